@@ -1,0 +1 @@
+"""See the README for what lives here."""
