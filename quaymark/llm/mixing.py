@@ -38,8 +38,8 @@ def targets(sources: DataFrame, weights: int = 3, epochs: int = EPOCHS) -> DataF
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-        weights: int = 3, epochs: int = EPOCHS, seed: int = 7, spread: int | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row per document: ``(doc_id, size, source_size, target, taken)`` and the columns ``keep``.
+        weights: int = 3, epochs: int = EPOCHS, seed: int = 7, spread: int | None = None, whole: bool = False) -> DataFrame:
+    """One row per document: ``(doc_id, size, source_size, target, taken)``, and ``row``, all its columns, if ``whole``.
 
     Each source's documents stand in the order of a hash of their doc_id; document d's k-th
     copy has the virtual finish time (words of the source up to and with it) / target. All
@@ -48,12 +48,11 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     taken; null sources are one source; equal rows are taken one by one; sources may be
     one or many. The order is the same in each run.
     """
-    spark = docs.sparkSession
-    extra = [F.col(c).alias(f"keep_{i}") for i, c in enumerate(keep)]
+    names = ["row"] if whole else []
     sized = written(docs.select(
         F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), n_words(F.col(text_col)).alias("size"),
         F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col).cast("string")).alias("tie"),
-        F.xxhash64(F.lit(seed), F.col(id_col)).alias("h"), *extra), "sized")
+        F.xxhash64(F.lit(seed), F.col(id_col)).alias("h"), *[F.struct("*").alias(n) for n in names]), "sized")
     # the prefix sum of a source in two steps, so that no task holds a whole source
     bits = max(0, ((spread or max(1, sized.count() // 512)) - 1).bit_length())
     part = F.shiftright("h", 64 - bits) if bits else F.lit(0).cast("long")
@@ -70,7 +69,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         s.join(c, F.col("s.source").eqNullSafe(F.col("c.source")) & (F.col("s.part") == F.col("c.part")))
         .join(t, F.col("s.source").eqNullSafe(F.col("t.source")))
         .select("s.doc_id", "s.size", "t.source_size", "t.target", "t.rank", (F.col("c.before") + F.col("s.inner")).alias("upto"),
-                *[f"s.keep_{i}" for i in range(len(keep))])
+                *[f"s.{n}" for n in names])
     )
     placed = written(placed, "placed")
     place = F.col("upto") + F.col("epoch") * F.col("source_size")
@@ -122,4 +121,4 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
     times = sum((taken(e) for e in range(epochs)), F.lit(0))
     words = F.when(F.col("size") > 0, F.col("size") * times).otherwise(F.lit(0)).cast("long")
-    return placed.select("doc_id", "size", "source_size", "target", words.alias("taken"), *[F.col(f"keep_{i}").alias(c) for i, c in enumerate(keep)])
+    return placed.select("doc_id", "size", "source_size", "target", words.alias("taken"), *names)
