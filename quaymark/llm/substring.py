@@ -91,11 +91,12 @@ def _bytes(col: pa.Array) -> list[bytes]:
     return [x.as_buffer().to_pybytes() if x.is_valid else b"" for x in col]
 
 
-def repeated_spans(docs: DataFrame, width: int = 20, hot: int = 1000, group: int = 60_000) -> DataFrame:
+def repeated_spans(docs: DataFrame, firsts: DataFrame, width: int = 20, hot: int = 1000, group: int = 60_000) -> DataFrame:
     """``(key, tie, lo, hi)``: word ranges of documents that repeat what starts earlier.
 
-    ``docs(key long, tie long, text string)``, ``tie`` a hash of the text, ``copy`` true for
-    a document whose whole text an earlier one has (those are left out here).
+    ``docs(key long, tie long, text string, copy boolean)``: ``tie`` is a hash of the text, ``copy``
+    true for a document whose whole text an earlier one has (those are left out here);
+    ``firsts(key, tie)`` names the others. Prefixes are filed under the hash of the text.
 
     Suffixes are split by variable-length prefixes: by the few words of :func:`heads`, and,
     where more than ``hot`` entries share those, by all ``width`` words. Prefixes that only one
@@ -108,26 +109,28 @@ def repeated_spans(docs: DataFrame, width: int = 20, hot: int = 1000, group: int
 
     def file(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, ties = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            out: list[list[np.ndarray]] = [[], [], [], [], []]
-            for i, text in enumerate(_bytes(batch.column(2))):
-                words = text.split()
+            ties = batch.column(0).to_numpy()
+            out: list[list[np.ndarray]] = [[], [], []]
+            for i in np.unique(ties, return_index=True)[1]:
+                words = batch.column(1)[i].as_buffer().to_pybytes().split()
                 if len(words) < width:
                     continue
                 h, first, n = heads(words, width)
-                often = np.unique(h, return_inverse=True, return_counts=True)
-                for col, x in zip(out, (h.view(np.int64), np.full(len(h), keys[i]), np.full(len(h), ties[i]), first * 64 + n, (often[2][often[1]] > 1))):
+                _, back, often = np.unique(h, return_inverse=True, return_counts=True)
+                for col, x in zip(out, (h.view(np.int64), np.full(len(h), ties[i]), (first * 64 + n) * 2 + (often[back] > 1))):
                     col.append(x)
             if out[0]:
-                yield pa.record_batch([pa.array(np.concatenate(c)) for c in out], ["h", "key", "tie", "at", "twice"])
+                yield pa.record_batch([pa.array(np.concatenate(c)) for c in out], ["h", "tie", "at"])
 
-    filed = written(docs.select("key", "tie", "text").mapInArrow(file, "h long, key long, tie long, at long, twice boolean"), "heads")
-    shared = filed.groupBy("h").agg(
-        F.count("*").alias("n"), F.min("tie").alias("t0"), F.max("tie").alias("t1"), F.max("twice").alias("again")
-    ).where("t0 <> t1 or again").select("h", (F.col("n") > hot).alias("hot"))
-    ours = filed.join(shared, "h").select("key", "tie", F.struct("at", "hot", "h").alias("e"))
-    lists = ours.groupBy("key", "tie").agg(F.collect_list("e").alias("es"))
-    rows = docs.where("not copy").join(lists, ["key", "tie"]).select("key", "tie", "text", "es")
+    filed = written(docs.select("tie", "text").mapInArrow(file, "h long, tie long, at long"), "heads")
+    # as a table of its own, so that the join below has plain exchanges on both sides, which can be split
+    shared = written(filed.groupBy("h").agg(
+        F.count("*").alias("n"), F.min("tie").alias("t0"), F.max("tie").alias("t1"), F.max(F.col("at").bitwiseAND(F.lit(1))).alias("again")
+    ).where("t0 <> t1 or again = 1").select("h", (F.col("n") > hot).alias("hot")), "shared")
+    ours = filed.join(shared, "h").select("tie", F.struct(F.shiftright("at", 1).alias("at"), "hot", "h").alias("e"))
+    lists = ours.groupBy("tie").agg(F.collect_set("e").alias("es")).join(firsts.select("key", "tie"), "tie")
+    # lists are of firsts alone; "copy" comes along so that both uses of the texts share one exchange
+    rows = docs.join(lists, ["key", "tie"]).select("key", "tie", "text", "es", "copy")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[tuple[bool, bytes], list] = {}
@@ -156,13 +159,19 @@ def repeated_spans(docs: DataFrame, width: int = 20, hot: int = 1000, group: int
                 old[3].append(late)
                 size += 60
 
+        last = None
         for batch in batches:
             for key, tie, text, es in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), _bytes(batch.column(2)), batch.column(3)):
+                if (key, tie) == last:  # the row is there twice
+                    continue
+                last = key, tie
                 words = text.split()
                 e = es.values
                 ats, hots, hs = (e.field(k).to_pylist() for k in ("at", "hot", "h"))
                 for at, is_hot, h in zip(ats, hots, hs):
                     first, n = divmod(at, 64)
+                    if first + n + width - 1 > len(words):  # of another text with the same hash
+                        continue
                     if is_hot:
                         for s in range(first, first + n):
                             window = b" ".join(words[s : s + width])
@@ -182,15 +191,17 @@ def repeated_spans(docs: DataFrame, width: int = 20, hot: int = 1000, group: int
 
     def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts, counts, order = [], [], []
+        known: set[tuple] = set()
         for batch in batches:
             cols = [c.to_pylist() for c in batch.columns[1:5]]
             done: list[list[int]] = [[], [], [], []]
             for key, tie, start, n, words in zip(*cols, _bytes(batch.column(5))):
-                if words:
+                if words and (key, tie, start, n) not in known:
+                    known.add((key, tie, start, n))
                     texts.append(words)
                     counts.append(n)
                     order.append((key, tie, start))
-                else:
+                elif not words:
                     for col, x in zip(done, (key, tie, start, start + n - 1 + width)):
                         col.append(x)
             yield pa.record_batch([pa.array(c, pa.int64()) for c in done], ["key", "tie", "lo", "hi"])
@@ -216,8 +227,10 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     named = rows.select("key", "tie", F.sha2("text", 256).alias("sha"))
     first = named.groupBy("sha").agg(F.min("key").alias("first"), F.count("*").alias("n")).where("n > 1")
     copies = written(named.join(first, "sha").where("key > first").select("key", "tie", F.lit(True).alias("is_copy")).distinct(), "copies")
+    firsts = named.select("key", "tie").distinct().join(copies, ["key", "tie"], "left_anti")
     marked = rows.join(copies, ["key", "tie"], "left").select("key", "tie", "text", F.col("is_copy").isNotNull().alias("copy"))
-    spans = written(repeated_spans(marked, width), "spans")
+    # one plan from here on: the texts are dealt out once, for cutting and for the result
+    spans = repeated_spans(marked, firsts, width)
     ranges = spans.groupBy("key", "tie").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
     joined = marked.join(ranges, ["key", "tie"], "left").select("key", "text", "copy", "ranges")
 
