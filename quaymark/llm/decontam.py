@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import written
+
 #: After lower-casing A-Z only: digits, a-z and everything beyond ASCII.
 TOKEN = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -46,11 +48,11 @@ def prefixes(wins: DataFrame, shingle: int = 5) -> DataFrame:
     """
     n = F.size("win")
     size = F.least(n, F.lit(shingle))
-    listed = None
-    for k in range(1, shingle + 1):
+    listed = wins.select(F.lit(0).alias("size"), "win", "items", F.lit(0).alias("at"), F.lit(0).cast("long").alias("h")).limit(0)
+    for k in [r[0] for r in wins.select(size).distinct().collect()]:  # at most ``shingle`` sizes
         part = wins.where(size == k).select(
             F.lit(k).alias("size"), "win", "items", F.posexplode(_shingles(F.col("win"), n, k)).alias("at", "h"))
-        listed = part if listed is None else listed.unionByName(part)
+        listed = listed.unionByName(part)
     often = listed.groupBy("size", "h").agg(F.count("*").alias("often"))
     best = listed.join(often, ["size", "h"]).groupBy("win").agg(
         F.min(F.struct("often", "h", "at", "size", "items")).alias("b"))
@@ -102,7 +104,7 @@ def contamination(
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     rows = rows.withColumn("th", F.xxhash64("text"))
-    probes = prefixes(windows(items, width, item_col, item_text_col), shingle)
+    probes = written(prefixes(written(windows(items, width, item_col, item_text_col), "windows"), shingle), "prefixes")
     found = matches(rows, probes, broadcast_rows)
     base = rows.select("doc_id", "th", F.size(tokens(F.col("text"))).cast("long").alias("n_words"))
     if found is None:

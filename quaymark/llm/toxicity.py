@@ -56,14 +56,20 @@ def unlike(lines: list[bytes]) -> list[bytes]:
 def marked(ours: list[bytes], theirs: list[bytes], least: float = 0.015, lift: float = 6.0, short: int = 4, long: int = 9) -> set[bytes]:
     """Words and word beginnings that at least a share ``least`` of ``ours`` has and that are
     ``lift`` times as common there as in ``theirs``."""
+    n, m = max(1, len(ours)), max(1, len(theirs))
+    floor = max(2, least * n)
+    # counted by hash first, so that the driver keeps names of those alone that may be common enough
+    cells = np.zeros(1 << 20, np.int32)
+    for line in ours:
+        cells[[xxhash.xxh32_intdigest(w) & 0xFFFFF for w in _stems(line, short, long)]] += 1
     a: Counter = Counter()
-    b: Counter = Counter()
     for line in ours:
-        a.update(_stems(line, short, long))
+        a.update(w for w in _stems(line, short, long) if cells[xxhash.xxh32_intdigest(w) & 0xFFFFF] >= floor)
+    a = Counter({w: k for w, k in a.items() if k >= floor})
+    b: Counter = Counter()
     for line in theirs:
-        b.update(_stems(line, short, long))
-    n, m = max(1, len(ours)), max(1, len(theirs))
-    return {w for w, k in a.items() if k >= max(2, least * n) and k / n > lift * (b[w] + 0.5) / m}
+        b.update(w for w in _stems(line, short, long) if w in a)
+    return {w for w, k in a.items() if k / n > lift * (b[w] + 0.5) / m}
 
 
 def fragments(line: bytes, stems: set[bytes], short: int = 4) -> bytes:
