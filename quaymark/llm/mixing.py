@@ -48,11 +48,12 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     taken; null sources are one source; equal rows are taken one by one; sources may be
     one or many. The order is the same in each run.
     """
-    names = ["row"] if whole else []
+    tie = F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col).cast("string"))
+    label = F.concat_ws(":", F.coalesce(F.col(id_col).cast("string"), F.lit("-")), tie.cast("string"), F.col(source_col).cast("string"))
     sized = written(docs.select(
         F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), n_words(F.col(text_col)).alias("size"),
-        F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col).cast("string")).alias("tie"),
-        F.xxhash64(F.lit(seed), F.col(id_col)).alias("h"), *[F.struct("*").alias(n) for n in names]), "sized")
+        tie.alias("tie"), label.alias("name"),
+        F.xxhash64(F.lit(seed), F.col(id_col)).alias("h")), "sized")
     # the prefix sum of a source in two steps, so that no task holds a whole source
     bits = max(0, ((spread or max(1, sized.count() // 512)) - 1).bit_length())
     part = F.shiftright("h", 64 - bits) if bits else F.lit(0).cast("long")
@@ -68,8 +69,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     placed = (
         s.join(c, F.col("s.source").eqNullSafe(F.col("c.source")) & (F.col("s.part") == F.col("c.part")))
         .join(t, F.col("s.source").eqNullSafe(F.col("t.source")))
-        .select("s.doc_id", "s.size", "t.source_size", "t.target", "t.rank", (F.col("c.before") + F.col("s.inner")).alias("upto"),
-                *[f"s.{n}" for n in names])
+        .select("s.doc_id", "s.size", "t.source_size", "t.target", "t.rank", (F.col("c.before") + F.col("s.inner")).alias("upto"), "s.name")
     )
     placed = written(placed, "placed")
     place = F.col("upto") + F.col("epoch") * F.col("source_size")
@@ -121,4 +121,12 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
     times = sum((taken(e) for e in range(epochs)), F.lit(0))
     words = F.when(F.col("size") > 0, F.col("size") * times).otherwise(F.lit(0)).cast("long")
-    return placed.select("doc_id", "size", "source_size", "target", words.alias("taken"), *names)
+    mixed = placed.select("doc_id", "size", "source_size", "target", words.alias("taken"), "name")
+    if not whole:
+        return mixed.drop("name")
+    # texts stay out of all of the above and are dealt out once, to meet their results; equal
+    # rows share a name, and each takes one of its results
+    results = mixed.groupBy("name").agg(F.sort_array(F.collect_list(F.struct("taken", "doc_id", "size", "source_size", "target"))).alias("rs"))
+    nth = F.row_number().over(Window.partitionBy("name").orderBy("name"))
+    rows = docs.select(F.struct("*").alias("row"), label.alias("name")).withColumn("nth", nth).join(results, "name")
+    return rows.select(F.get("rs", F.col("nth") - 1).alias("r"), "row").select("r.doc_id", "r.size", "r.source_size", "r.target", "r.taken", "row")
