@@ -82,13 +82,16 @@ def trigram_query(pattern: str) -> list[frozenset[str]] | None:
 
 def postings(docs: DataFrame, grams: list[str], per_block: int = 4096) -> DataFrame:
     """The index of ``docs(rid, text)`` for the trigrams of all queries: one row per block of
-    documents, one column ``p<i>`` of document keys per trigram. No list is longer than a block.
+    documents, one column of document keys per trigram. No list is longer than a block. The
+    index is a table in the shared folder, so that each rule's query reads it and not the texts.
     """
-    low = F.lower("text")
     blocks = max(1, docs.count() // per_block)
-    has = F.filter(F.array(*[F.when(F.contains(low, F.lit(g)), F.lit(i)) for i, g in enumerate(grams)]), lambda x: x.isNotNull())
-    rows = docs.select("rid", F.explode(has).alias("g")).select("g", "rid", F.pmod(F.shiftright("rid", 7), F.lit(blocks)).alias("block"))
-    return rows.groupBy("block").pivot("g", list(range(len(grams)))).agg(F.collect_list("rid"))
+    low = docs.select("rid", F.lower("text").alias("low"))  # a column of its own: folded once, not for each trigram
+    has = F.filter(F.array(*[F.when(F.contains("low", F.lit(g)), F.lit(i)) for i, g in enumerate(grams)]), lambda x: x.isNotNull())
+    # the outer form: for the inner one the optimizer computes the array a second time, to filter on its size
+    rows = low.select("rid", F.explode_outer(has).alias("g")).where("g is not null").select("g", "rid", F.pmod(F.shiftright("rid", 7), F.lit(blocks)).alias("block"))
+    # a set: rows that repeat in id and text have one key, and are one posting
+    return written(rows.groupBy("block").pivot("g", list(range(len(grams)))).agg(F.collect_set("rid")), "postings")
 
 
 def candidates(index: DataFrame, queries: dict[int, list[frozenset[str]]], grams: list[str]) -> DataFrame:
