@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, lm, mixing, pii, secrets, simhash, substring, toxicity, vectors, warc
+from . import decontam, lm, mixing, oracle, pii, secrets, simhash, substring, toxicity, vectors, warc
 from .common import table
 
 
@@ -56,4 +56,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """The five that SQL can express; the others need XXH64, a trained model or Spark's hash order."""
+    return dict(oracle.SQL)
