@@ -195,12 +195,13 @@ def _leaf_pairs(leaves: list[tuple[int, int, int]], budget: int) -> list[tuple[i
     return pairs
 
 
-def near_links(keys: DataFrame, budget: int = 2, leaf: int | None = None) -> DataFrame:
+def near_links(keys: DataFrame, budget: int = 2, leaf: int | None = None, per_task: int = 128) -> DataFrame:
     """Links among distinct fingerprints, as forests: ``keys(fp long)`` to ``(u long, v long)``.
 
     Every pair of fingerprints within ``budget`` bits ends up connected; of the links that
     one pair of trie nodes finds, only a spanning star per component leaves its task, so that
-    thousands of near copies give thousands of rows and not millions.
+    thousands of near copies give thousands of rows and not millions. A task joins about
+    ``per_task`` pairs of leaves at every size of the input: tasks grow in number, not in memory.
     """
     spark = keys.sparkSession
     n = keys.count()
@@ -220,7 +221,8 @@ def near_links(keys: DataFrame, budget: int = 2, leaf: int | None = None) -> Dat
 
     blobs = keys.mapInArrow(place, "leaf int, fp long").groupBy("leaf").agg(F.collect_list("fp").alias("fps"))
     blobs = written(blobs, "leaves")
-    links = spark.createDataFrame([(k, *p) for k, p in enumerate(pairs)], "k long, a int, b int").repartition(max(2, min(2048, len(pairs) // 16)))
+    tasks = len(pairs) // per_task + 2
+    links = spark.createDataFrame([(k, *p) for k, p in enumerate(pairs)], "k long, a int, b int")
     whole = links.join(blobs.select(F.col("leaf").alias("a"), F.col("fps").alias("x")), "a")
     whole = whole.join(blobs.select(F.col("leaf").alias("b"), F.col("fps").alias("y")), "b")
 
@@ -241,7 +243,7 @@ def near_links(keys: DataFrame, budget: int = 2, leaf: int | None = None) -> Dat
                 vs.append(keys_[root].view(np.int64))
             yield pa.record_batch([pa.array(np.concatenate(us)), pa.array(np.concatenate(vs))], ["u", "v"])
 
-    return whole.select("a", "b", "x", "y").repartition(max(2, min(2048, len(pairs) // 16))).mapInArrow(join, "u long, v long")
+    return whole.select("a", "b", "x", "y").repartition(tasks).mapInArrow(join, "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, seed: int = 42, budget: int = 2) -> DataFrame:
