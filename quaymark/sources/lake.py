@@ -44,9 +44,11 @@ def write(df: DataFrame, base: str, layer: str, name: str, by: list[str], marker
 
 
 def read(spark: SparkSession, base: str, layer: str, name: str) -> DataFrame:
-    """A dataset under its declared schema: columns that old files lack are null. Filters on path
-    keys prune partitions."""
-    return spark.read.schema(SCHEMAS[layer, name]).parquet(f"{base}/{layer}/{name}")
+    """A dataset under its declared schema and no other columns: those that old files lack are null.
+
+    Filters that name path keys still reach the scan, and prune partitions."""
+    files = spark.read.schema(SCHEMAS[layer, name]).parquet(f"{base}/{layer}/{name}")
+    return files.select(*spark.createDataFrame([], SCHEMAS[layer, name]).columns)
 
 
 def latest_date(df: DataFrame) -> str | None:
