@@ -156,7 +156,9 @@ def _cover(keys: DataFrame, leaf: int, step: int = 12) -> list[tuple[int, int, i
             parents = keys.sparkSession.createDataFrame([(x,) for x in heavy], "h long")
             part = F.shiftright("p", deeper - depth) if deeper == BITS else F.shiftrightunsigned("p", deeper - depth)
             rows = rows.withColumn("h", part.bitwiseAND(F.lit((1 << depth) - 1))).join(parents, "h").select("p")
-        counts = {int(r["p"]) % (1 << 64): r["n"] for r in rows.groupBy("p").agg(F.count("*").alias("n")).toLocalIterator()}
+        # few partitions, as the iterator runs a job for each; at most 64 * 2**step rows in one
+        few = rows.groupBy("p").agg(F.count("*").alias("n")).repartition(1 + len(heavy or ()) // 64)
+        counts = {int(r["p"]) % (1 << 64): r["n"] for r in few.toLocalIterator()}
         nodes = [(x, depth) for x in (heavy if heavy is not None else [0])]
         order = sorted(counts)
         values = np.array(order, np.uint64)
