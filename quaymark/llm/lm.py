@@ -129,11 +129,12 @@ def _contexts(ids: np.ndarray) -> np.ndarray:
     return np.stack([padded[k : k + n] for k in range(2 * SPAN + 1) if k != SPAN], axis=1)
 
 
-def train(docs: DataFrame, known: dict[bytes, int], net: Net, text_col: str = "text", rounds: int = 2, every: int = 16, rate: float = 0.15, batch: int = 4096, blocks: int = 64) -> Net:
+def train(docs: DataFrame, known: dict[bytes, int], net: Net, text_col: str = "text", rounds: int = 2, every: int = 1, rate: float = 0.15, batch: int = 4096, blocks: int = 64) -> Net:
     """Parameter averaging: each task trains a copy on its documents, and the copies are averaged by their tokens.
 
-    Every document takes part in every round with one in ``every`` of its tokens; the
-    contexts are whole. What is gathered is one set of weights per task, summed in ``blocks``
+    Every token of every document is a target in every round. With ``every`` above 1 a round takes
+    one token in ``every``, each round the next residue, so that ``every`` rounds cover each token
+    once; the contexts are whole. What is gathered is one set of weights per task, summed in ``blocks``
     keyed parts, of which the driver gets the sums alone.
     """
     size = len(net.flat())
@@ -149,13 +150,16 @@ def train(docs: DataFrame, known: dict[bytes, int], net: Net, text_col: str = "t
             for b in batches:
                 for t in b.column(0):
                     ids = _ids(t.as_buffer().to_pybytes().split() if t.is_valid else [], known)
-                    at = np.arange((r * 5 + len(ids)) % every, len(ids), every)
+                    at = np.arange(r % every, len(ids), every)
                     if len(at):
                         held.append((_contexts(ids)[at], ids[at]))
                         n += len(at)
                     if n >= batch:
-                        mine.step(np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held]), memory, rate)
-                        seen, n, held = seen + n, 0, []
+                        context, target = np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held])
+                        for z in range(batch, n + 1, batch):
+                            mine.step(context[z - batch : z], target[z - batch : z], memory, rate)
+                        n %= batch
+                        seen, held = seen + len(target) - n, [(context[len(target) - n :], target[len(target) - n :])]
             if n:
                 mine.step(np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held]), memory, rate)
                 seen += n
@@ -179,7 +183,7 @@ def train(docs: DataFrame, known: dict[bytes, int], net: Net, text_col: str = "t
     return net
 
 
-def pseudo_likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = 2, every: int = 16) -> DataFrame:
+def pseudo_likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = 2, every: int = 1) -> DataFrame:
     """One row per document: ``(doc_id, n_tokens, pll, mean_pll)``.
 
     ``pll`` sums, over the whole text, each token's log-probability given the ``SPAN`` tokens on

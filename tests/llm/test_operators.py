@@ -205,6 +205,16 @@ def test_language_model(spark, docs, empty):
     assert net.log_probs(lm._contexts(ids), ids).mean() > before + 2
 
 
+def test_language_model_trains_on_every_token(spark):
+    words = "q w e r t y u i".split()  # short texts, whose last words are targets too
+    docs = spark.createDataFrame([(" ".join(words),)] * 400, "text string").repartition(2)
+    known = {w.encode(): lm.BUCKETS + i for i, w in enumerate(words)}
+    ids = np.array([lm.BUCKETS + i for i in range(8)])
+    start = lm.Net.start(np.ones(lm.IDS))
+    net = lm.train(docs, known, start)
+    assert (net.log_probs(lm._contexts(ids), ids) > start.log_probs(lm._contexts(ids), ids) + 0.3).all()
+
+
 def test_mixing(spark, docs, empty):
     size = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
     per = Counter()
