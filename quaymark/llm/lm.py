@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -109,17 +109,26 @@ class Net:
             self.p[k] -= rate * g / (np.sqrt(memory[k]) + 1e-6)
 
 
-def vocabulary(docs: DataFrame, text_col: str = "text") -> tuple[list[str], list[int], int]:
-    """The commonest words of all texts with counts, and the number of all other words."""
+def vocabulary(docs: DataFrame, text_col: str = "text") -> tuple[list[str], list[int], np.ndarray, DataFrame]:
+    """The commonest words of all texts with counts, the tokens of each bucket, and a table of the other words.
+
+    The table is ``(w, share)``: the natural logarithm of the share that a word has of the tokens
+    of its bucket. It holds all counted words but the commonest and stays distributed.
+    """
     words = docs.select(F.explode_outer(F.regexp_extract_all(F.col(text_col).cast("string"), F.lit(WORD), F.lit(0))).alias("w")).where("w is not null")
     counts = written(words.groupBy("w").agg(F.count("*").alias("n")), "words")
     top = counts.orderBy(F.desc("n"), "w").limit(IDS - BUCKETS).collect()
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    return [r["w"] for r in top], [r["n"] for r in top], total - sum(r["n"] for r in top)
+    spark = docs.sparkSession
+    common = F.broadcast(spark.createDataFrame([(r["w"],) for r in top], "w string"))
+    rare = counts.join(common, "w", "left_anti").withColumn("bucket", F.crc32(F.col("w").cast("binary")) % BUCKETS)
+    totals = {r["bucket"]: r["n"] for r in rare.groupBy("bucket").agg(F.sum("n").alias("n")).collect()}
+    sizes = np.array([totals.get(k, 0) for k in range(BUCKETS)], float)
+    of = F.get(F.array(*[F.lit(float(x)) for x in sizes]), F.col("bucket").cast("int"))
+    return [r["w"] for r in top], [r["n"] for r in top], sizes, rare.select("w", F.ln(F.col("n") / of).alias("share"))
 
 
 def _ids(words: list[bytes], known: dict[bytes, int]) -> np.ndarray:
-    get, digest = known.get, xxhash.xxh32_intdigest
+    get, digest = known.get, zlib.crc32
     return np.fromiter((get(w, -1) if w in known else digest(w) % BUCKETS for w in words), np.int64, len(words))
 
 
@@ -187,14 +196,17 @@ def pseudo_likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """One row per document: ``(doc_id, n_tokens, pll, mean_pll)``.
 
     ``pll`` sums, over the whole text, each token's log-probability given the ``SPAN`` tokens on
-    either side; ``mean_pll`` is that by token. The vocabulary is counted over all documents and
-    the network trained on all. A null or empty text has no tokens, a sum of 0 and a null mean;
-    repeated rows repeat.
+    either side; ``mean_pll`` is that by token. The vocabulary is every word of all documents, and
+    the network is trained on all: it predicts one of the commonest words or a bucket of the
+    others, and a word in a bucket then has its share of the bucket's counted tokens, so that
+    the probabilities of all counted words sum to 1 at most. As context, a word in a bucket is
+    its bucket. A null or empty text has no tokens, a sum of 0 and a null mean; repeated rows
+    repeat.
     """
-    top, counts, rest = vocabulary(docs, text_col)
+    top, counts, sizes, shares = vocabulary(docs, text_col)
     known = {w.encode(): BUCKETS + i for i, w in enumerate(top)}
     freq = np.zeros(IDS)
-    freq[:BUCKETS] = rest / BUCKETS
+    freq[:BUCKETS] = sizes
     freq[BUCKETS : BUCKETS + len(counts)] = counts
     net = train(docs, known, Net.start(freq), text_col, rounds, every)
     kind = docs.schema[id_col].dataType.simpleString()
@@ -203,8 +215,8 @@ def pseudo_likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mine = Net.of(flat)
         for b in batches:
-            sums, sizes = [], []
-            ids = [_ids(t.as_buffer().to_pybytes().split() if t.is_valid else [], known) for t in b.column(1)]
+            sums, sizes, rare = [], [], []
+            ids = [_ids(t.as_buffer().to_pybytes().split() if t.is_valid else [], known) for t in b.column(2)]
             pending: list[int] = []
 
             def flush(which: list[int]) -> None:
@@ -214,6 +226,7 @@ def pseudo_likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                     parts = iter(np.add.reduceat(got, np.cumsum([0, *[len(x) for x in at[:-1]]])))
                 for i in which:
                     sizes.append(len(ids[i]))
+                    rare.append(int((ids[i] < BUCKETS).sum()))
                     sums.append(float(next(parts)) if len(ids[i]) else 0.0)
 
             size = 0
@@ -224,8 +237,17 @@ def pseudo_likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                     flush(pending)
                     pending, size = [], 0
             flush(pending)
-            yield pa.record_batch([b.column(0), pa.array(sizes, pa.int64()), pa.array(sums, pa.float64()),
-                                   pa.array([s / n if n else None for s, n in zip(sums, sizes)], pa.float64())], ["doc_id", "n_tokens", "pll", "mean_pll"])
-
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, f"doc_id {kind}, n_tokens long, pll double, mean_pll double")
+            yield pa.record_batch([b.column(0), b.column(1), pa.array(sizes, pa.int64()), pa.array(rare, pa.int64()), pa.array(sums, pa.float64())],
+                                  ["doc_id", "digest", "n_tokens", "n_rare", "known"])
+
+    text = F.col(text_col).cast("string")
+    digest = F.unhex(F.md5(text.cast("binary"))).alias("digest")
+    rows = docs.select(F.col(id_col).alias("doc_id"), digest, text.alias("text"))
+    scored = rows.mapInArrow(run, f"doc_id {kind}, digest binary, n_tokens long, n_rare long, known double")
+    # what the words in buckets add: by text, as the mean over such tokens of all its copies
+    # (the digest is taken below the explode, once a text and not once a word)
+    words = docs.select(digest, F.regexp_extract_all(text, F.lit(WORD), F.lit(0)).alias("words")).select("digest", F.explode("words").alias("w"))
+    common = F.broadcast(docs.sparkSession.createDataFrame([(w,) for w in top], "w string"))
+    added = words.join(common, "w", "left_anti").join(shares, "w").groupBy("digest").agg(F.avg("share").alias("share"))
+    pll = F.col("known") + F.when(F.col("n_rare") > 0, F.col("n_rare") * F.col("share")).otherwise(F.lit(0.0))
+    return scored.join(added, "digest", "left").select("doc_id", "n_tokens", pll.alias("pll"), F.when(F.col("n_tokens") > 0, pll / F.col("n_tokens")).alias("mean_pll"))

@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -215,6 +216,19 @@ def test_language_model_trains_on_every_token(spark):
     assert (net.log_probs(lm._contexts(ids), ids) > start.log_probs(lm._contexts(ids), ids) + 0.3).all()
 
 
+def test_language_model_scores_words_outside_the_vocabulary_as_themselves(spark):
+    many = " ".join(f"v{i} v{i} v{i}" for i in range(lm.IDS - lm.BUCKETS))
+    bucket = lambda w: zlib.crc32(w.encode()) % lm.BUCKETS
+    often, once = next((a, b) for a in (f"r{i}" for i in range(99)) for b in (f"s{i}" for i in range(99)) if bucket(a) == bucket(b))
+    rows = [(1, many), (2, often), (2, often), (3, once), (None, once + "x"), (4, None), (5, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = lm.pseudo_likelihood(docs).collect()
+    assert sorted((r.doc_id or 0, r.n_tokens) for r in got) == sorted((d or 0, len((t or "").split())) for d, t in rows)
+    of = {r.doc_id: r.pll for r in got}
+    assert of[2] - of[3] == pytest.approx(np.log(2), abs=1e-5)  # one bucket, one context, two tokens against one
+    assert of[4] == of[5] == 0
+
+
 def test_mixing(spark, docs, empty):
     size = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
     per = Counter()
