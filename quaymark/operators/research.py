@@ -105,38 +105,60 @@ def ridge(rows: DataFrame, features: list[str], y: str, alpha: float = 1.0) -> t
     return beta, float(mean[k] - beta @ mean[:k])
 
 
-def info_shares(panel: DataFrame, date: str = "date", lags: int = 10, least: int = 200) -> DataFrame:
-    """Price discovery of two venues by date: ``(date, n, lo, hi, gg, resid_corr)``.
+def min_rows(interval_ns: int, lags: int = 10) -> int:
+    """The fitted rows that a date's estimate needs on a grid of ``interval_ns``."""
+    return max(5000 // max(interval_ns // 1_000_000_000, 1), 20 * (2 * lags + 2))
 
-    ``panel(date, ts_ns, a, b)``: two log prices on a grid. Per date a vector error-correction
+
+def info_shares(panel: DataFrame, date: str = "date", lags: int = 10, least: int | None = 200, interval_ns: int | None = None, by: list[str] | None = None) -> DataFrame:
+    """Price discovery of two venues by date: ``(*by, date, n, lo, hi, gg, resid_corr)``.
+
+    ``panel(*by, date, ts_ns, a, b)``: two log prices on a grid. Per date a vector error-correction
     model by least squares on the spread and ``lags`` lagged differences; ``lo`` and ``hi`` bound
     Hasbrouck's share of the first venue over both Cholesky orders, ``gg`` is the
-    Gonzalo-Granger share. Dates with fewer rows than ``least`` are left out."""
+    Gonzalo-Granger share. With ``interval_ns``, the grid's step, a row is fitted only if its step
+    and each lagged one span exactly that, so that no window crosses a hole. Dates with fewer
+    fitted rows than ``least`` (None: :func:`min_rows`) are left out, and those that have no
+    estimate: too few rows for the parameters, or no venue that corrects."""
+    by = by or []
+    need = min_rows(interval_ns or 1_000_000_000, lags) if least is None else least
+    cols = [*by, date, "n", "lo", "hi", "gg", "resid_corr"]
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = pdf.sort_values("ts_ns")[["a", "b"]].to_numpy(float)
-        cols = [date, "n", "lo", "hi", "gg", "resid_corr"]
-        if len(x) < least:
-            return pd.DataFrame(columns=cols)
+        pdf = pdf.sort_values("ts_ns")
+        x = pdf[["a", "b"]].to_numpy(float)
+        none = pd.DataFrame(columns=cols)
+        if len(x) <= lags + 2:
+            return none
         d = np.diff(x, axis=0)
         y = d[lags:]
         z = np.column_stack([np.ones(len(y)), (x[lags:-1, 0] - x[lags:-1, 1]), *[d[lags - k : len(d) - k] for k in range(1, lags + 1)]])
+        if interval_ns is not None:
+            stretch = np.cumsum(np.r_[True, np.diff(pdf["ts_ns"].to_numpy(np.int64)) != interval_ns])
+            keep = stretch[: len(y)] == stretch[lags + 1 :]
+            y, z = y[keep], z[keep]
+        if len(y) < need or len(y) <= z.shape[1]:
+            return none
         beta, *_ = np.linalg.lstsq(z, y, rcond=None)
         e = y - z @ beta
         alpha = beta[1]
         omega = np.cov(e.T)
         perp = np.array([alpha[1], -alpha[0]])
-        if abs(perp.sum()) < 1e-300:
-            return pd.DataFrame(columns=cols)
+        if not abs(perp.sum()) >= 1e-15:
+            return none
         gg = perp / perp.sum()
         total = gg @ omega @ gg
         shares = []
         for order in ([0, 1], [1, 0]):
-            chol = np.linalg.cholesky(omega[np.ix_(order, order)])
+            try:
+                chol = np.linalg.cholesky(omega[np.ix_(order, order)])
+            except np.linalg.LinAlgError:
+                return none
             s = (gg[order] @ chol) ** 2 / total
             shares.append(float(np.clip(s[order.index(0)], 0, 1)))
         corr = omega[0, 1] / np.sqrt(omega[0, 0] * omega[1, 1])
-        return pd.DataFrame([(pdf[date].iloc[0], len(y), min(shares), max(shares), float(gg[0]), float(corr))], columns=cols)
+        return pd.DataFrame([(*[pdf[c].iloc[0] for c in by], pdf[date].iloc[0], len(y), min(shares), max(shares), float(gg[0]), float(corr))], columns=cols)
 
-    kind = panel.schema[date].dataType.simpleString()
-    return panel.select(date, "ts_ns", "a", "b").groupBy(date).applyInPandas(run, f"{date} {kind}, n long, lo double, hi double, gg double, resid_corr double")
+    keys = [*by, date]
+    kinds = "".join(f"{c} {panel.schema[c].dataType.simpleString()}, " for c in keys)
+    return panel.select(*keys, "ts_ns", "a", "b").groupBy(*keys).applyInPandas(run, kinds + "n long, lo double, hi double, gg double, resid_corr double")

@@ -17,6 +17,7 @@ from quaymark.streaming import gateway
 
 H = 3_600_000_000_000
 AGE = 6 * H
+MINUTE = H // 60
 VENUES = ["click", "error", "purchase", "signup", "view"]
 SYMBOLS = ["AAA-USD", "AAA-USDT", "BBB-USD", "BBB-USDT"]
 Query = Callable[[SparkSession, str], DataFrame]
@@ -484,8 +485,15 @@ def book_fold(spark, sf):
 
 @query(None)
 def vecm_shares(spark, sf):
-    g = gridded(spark, sf).where("symbol = 'AAA-USD' and bid is not null").groupBy("ts_ns").pivot("venue", ["click", "view"]).agg(F.max(F.ln((F.col("bid") + F.col("ask")).cast("double"))))
-    return research.info_shares(g.where("click is not null and view is not null").select(F.lit("all").alias("date"), "ts_ns", F.col("click").alias("a"), F.col("view").alias("b")))
+    """Information shares of every symbol, pair of venues and date, on a grid of a minute without stale quotes."""
+    q = quotes(spark, sf)
+    g = asof.asof_join(features.grid(q, ["symbol", "venue"], "ts_ns", MINUTE), q, ["symbol", "venue"], "ts_ns", ["arrival"], ["bid", "ask"])
+    fresh = g.where((F.col("age_ns") <= AGE) & F.col("bid").isNotNull())
+    wide = fresh.groupBy("symbol", "ts_ns").pivot("venue", VENUES).agg(F.max(F.ln((F.col("bid") + F.col("ask")).cast("double"))))
+    pairs = [F.struct(F.lit(x).alias("venue_a"), F.lit(y).alias("venue_b"), F.col(x).alias("a"), F.col(y).alias("b")) for i, x in enumerate(VENUES) for y in VENUES[i + 1 :]]
+    date = F.date_format(F.timestamp_micros(F.expr("ts_ns div 1000")), "yyyy-MM-dd").alias("date")
+    panel = wide.select("symbol", date, "ts_ns", F.explode(F.array(*pairs)).alias("p")).select("symbol", "date", "ts_ns", "p.*").where("a is not null and b is not null")
+    return research.info_shares(panel, least=None, interval_ns=MINUTE, by=["symbol", "venue_a", "venue_b"])
 
 
 @query(None)

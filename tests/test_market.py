@@ -107,6 +107,44 @@ def test_information_share_of_a_leader(spark):
     assert r.lo > 0.9 and r.gg > 0.9
 
 
+def test_information_shares_of_all_pairs_and_dates(spark):
+    sf, lags, step = "/root/testdata/sf0.01", 10, market.MINUTE
+    q = market.quotes(spark, sf).select("symbol", "venue", "ts_ns", "arrival", "bid", "ask").toPandas().sort_values(["ts_ns", "arrival"])
+    logs = {}
+    for key, x in q.groupby(["symbol", "venue"]):
+        ts, mid = x.ts_ns.to_numpy(), (x.bid + x.ask).to_numpy()
+        grid = np.arange(-(-ts[0] // step) * step, -(-ts[-1] // step) * step + 1, step)
+        at = np.searchsorted(ts, grid, "right") - 1
+        logs[key] = {int(t): np.log(float(mid[i])) for t, i in zip(grid, at) if t - ts[i] <= market.AGE}
+    want, holes = {}, 0
+    for (sym, v), x in logs.items():
+        for w in (w for s, w in logs if s == sym and w > v):
+            days = {}
+            for t in sorted(x.keys() & logs[sym, w].keys()):
+                days.setdefault(t // (24 * market.H), []).append(t)
+            for day, ts in days.items():
+                p, rows, y = {t: np.array([x[t], logs[sym, w][t]]) for t in ts}, [], []
+                for t in ts[lags + 1 :]:
+                    if not all(t - k * step in p for k in range(lags + 2)):
+                        holes += 1
+                        continue
+                    d = [p[t - k * step] - p[t - (k + 1) * step] for k in range(lags + 1)]
+                    y.append(d[0])
+                    rows.append(np.r_[1, p[t - step] @ [1, -1], np.concatenate(d[1:])])
+                if len(y) < 440:
+                    continue
+                beta = np.linalg.lstsq(np.array(rows), np.array(y), rcond=None)[0]
+                omega = np.cov((np.array(y) - np.array(rows) @ beta).T)
+                g = np.array([beta[1][1], -beta[1][0]]) / (beta[1][1] - beta[1][0])
+                (aa, ab), (_, bb) = omega
+                first = (g[0] * aa + g[1] * ab) ** 2 / aa / (g @ omega @ g)  # the first venue takes what both share
+                last = g[0] ** 2 * (aa - ab**2 / bb) / (g @ omega @ g)
+                want[sym, v, w, str(np.datetime64(int(day), "D"))] = (len(y), *sorted([first, last]), g[0], ab / np.sqrt(aa * bb))
+    got = {(r.symbol, r.venue_a, r.venue_b, r.date): (r.n, r.lo, r.hi, r.gg, r.resid_corr) for r in market.vecm_shares(spark, sf).collect()}
+    assert holes and got.keys() == want.keys() and len({k[:3] for k in got}) == 40 and len({k[3] for k in got}) > 25
+    assert all(got[k] == pytest.approx(want[k], rel=1e-4, abs=1e-6) for k in want)
+
+
 def test_wire_and_lake(spark, tmp_path):
     assert [tuple(r[0]) for r in spark.createDataFrame([("trades.coinbase.BTC-USD.x",), ("status.kraken",)], "t string").select(wire.topic_parts(F.col("t"), ["trades", "status"])).collect()] == [("trades", "coinbase", "BTC-USD.x"), ("status", "kraken", None)]
     assert spark.range(1).select(wire.rfc3339_ns(F.lit("2023-11-14T22:13:20.123456789Z"))).first()[0] == 1_700_000_000_123_456_789
