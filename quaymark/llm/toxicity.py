@@ -45,12 +45,28 @@ def _stems(line: bytes, short: int, long: int) -> set[bytes]:
     return out
 
 
-def unlike(lines: list[bytes]) -> list[bytes]:
-    """One line of each group of near copies: of those whose long words have the same least hash."""
-    seen: dict[int, bytes] = {}
-    for line in lines:
-        seen.setdefault(min((xxhash.xxh64_intdigest(w) for w in set(line.split()) if len(w) >= 7), default=xxhash.xxh64_intdigest(line)), line)
-    return list(seen.values())
+def unlike(lines: list[bytes], near: float = 0.8) -> list[bytes]:
+    """The lines without near copies: a line goes if the word Jaccard similarity to a kept one is at least ``near``.
+
+    Candidates share one of their rarest words, of which two sets that alike must share one;
+    each is compared whole.
+    """
+    sets = [set(line.split()) for line in lines]
+    freq = Counter(w for s in sets for w in s)
+    kept: list[int] = []
+    filed: dict[bytes, list[int]] = {}
+    bare = False
+    for i, s in enumerate(sets):
+        # one word more than the bound asks for, against rounding
+        head = sorted(s, key=lambda w: (freq[w], w))[: len(s) - math.ceil(near * len(s)) + 2]
+        rivals = {j for w in head for j in filed.get(w, ())}
+        if any(len(s & sets[j]) >= near * len(s | sets[j]) for j in rivals) or (not s and bare):
+            continue
+        bare = bare or not s
+        kept.append(i)
+        for w in head:
+            filed.setdefault(w, []).append(i)
+    return [lines[i] for i in kept]
 
 
 def marked(ours: list[bytes], theirs: list[bytes], least: float = 0.015, lift: float = 6.0, short: int = 4, long: int = 9) -> set[bytes]:
@@ -135,13 +151,13 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def fit(texts: list[bytes], labels: list[int], share: float | None = None, size: int = 40, level: int = 1, common_bytes: int = 6144, tail_bytes: int = 1024) -> Model:
+def fit(texts: list[bytes], labels: list[int], share: float | None = None, size: int = 40, level: int = 1, common_bytes: int = 6144, tail_bytes: int = 1024, least: float = 0.015, lift: float = 6.0, near: float = 0.8) -> Model:
     """Dictionaries and thresholds from labelled texts.
 
     Both dictionaries begin with the same trained text of what both classes share; the toxic
     one ends in a dictionary trained on the parts of toxic texts that mark them off, the
     ordinary one in one trained on the marked parts of ordinary texts, or on ordinary text if
-    there are none. A logistic model of the window gains sets the thresholds, for classes as
+    there are none. Of near copies (:func:`unlike`) one is used, all other texts whole. A logistic model of the window gains sets the thresholds, for classes as
     common as ``share`` of toxic texts says (None: as in ``texts``).
     """
     lines = [plain(t) for t in texts]
@@ -153,9 +169,9 @@ def fit(texts: list[bytes], labels: list[int], share: float | None = None, size:
         return Model(b"", b" ", b" ", size, level, np.zeros(FEATURES), np.ones(FEATURES), w)
     tox = [x for x, k in zip(lines, labels) if k]
     ord_ = [x for x, k in zip(lines, labels) if not k]
-    tox, ord_ = unlike(tox), unlike(ord_)
-    stems, their = marked(tox, ord_), marked(ord_, tox)
-    common = _train([x[i : i + 512] for x in ord_[:2000] for i in range(0, min(len(x), 4096), 512)], common_bytes)[-common_bytes:]
+    tox, ord_ = unlike(tox, near), unlike(ord_, near)
+    stems, their = marked(tox, ord_, least, lift), marked(ord_, tox, least, lift)
+    common = _train([x[i : i + 512] for x in ord_ for i in range(0, len(x), 512)], common_bytes)[-common_bytes:]
     toxic = _train([fragments(x, stems) for x in tox], tail_bytes)
     ordinary = _train([fragments(x, their) for x in ord_], len(toxic) or 256) or common[: len(toxic)]
     model = Model(common, toxic or b" ", (ordinary or b" ")[: max(1, len(toxic))], size, level, np.zeros(FEATURES), np.ones(FEATURES), np.zeros(FEATURES + 1))
@@ -200,16 +216,20 @@ def training_sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     return [r["text"].encode() for r in found], [int(r["y"]) for r in found], share
 
 
-def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", threshold: float = 0.3, per_class: int = 2500, whole: bool = False) -> DataFrame:
+def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", threshold: float = 0.3, per_class: int = 2500, whole: bool = False,
+          size: int = 40, common_bytes: int = 6144, tail_bytes: int = 1024, least: float = 0.015, lift: float = 6.0, near: float = 0.8) -> DataFrame:
     """One row per document: ``(doc_id, held_out, score, predicted)``, and ``row``, all its columns, if ``whole``.
 
     The model is fitted on at most ``per_class`` labelled texts of each class whose
-    crc32(doc_id as text) mod 4 is not 2. Every whole text is scored, window by window. Null
+    crc32(doc_id as text) mod 4 is not 2, of near copies (word Jaccard ``near`` or more) one.
+    The dictionaries hold ``common_bytes`` of ordinary text and ``tail_bytes`` of selected word
+    beginnings: those that at least a share ``least`` of a class's texts have, ``lift`` times as
+    common as in the other class. Windows have ``size`` bytes. Every whole text is scored, window by window. Null
     and empty texts have no windows and get the score of that; without labels of both classes
     every text gets the share of toxic labels. A null doc_id is not held out; repeated
     rows repeat.
     """
-    model = fit(*training_sample(docs, labels, id_col, text_col, label_col, per_class))
+    model = fit(*training_sample(docs, labels, id_col, text_col, label_col, per_class), size=size, common_bytes=common_bytes, tail_bytes=tail_bytes, least=least, lift=lift, near=near)
     names = ["row"] if whole else []
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(held_out(id_col), F.lit(False)).alias("held_out"), F.col(text_col).cast("string").alias("text"),
                        *[F.struct("*").alias(n) for n in names])

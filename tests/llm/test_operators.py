@@ -90,6 +90,32 @@ def test_toxicity_learns_and_keeps_its_hands_off_held_out_labels(spark):
     assert toxicity.score(docs.limit(0), lab).collect() == []
 
 
+def test_toxicity_drops_verified_near_copies_alone(monkeypatch):
+    rng = np.random.default_rng(3)
+    base = [" ".join(f"u{i}x{j}" for j in range(10)) + " however" for i in range(40)]  # unlike texts with one long word in common
+    assert toxicity.unlike([x.encode() for x in base]) == [x.encode() for x in base]
+    lines = [x.encode() for x in base[:5]]
+    for _ in range(300):  # copies with some words replaced
+        w = lines[int(rng.integers(len(lines)))].split()
+        for j in rng.integers(0, len(w), int(rng.integers(0, 5))):
+            w[j] = b"n%d" % rng.integers(1000)
+        lines.append(b" ".join(w))
+    lines += [b"", b"", b"a"]
+    want: list[bytes] = []
+    for x in lines:
+        s = set(x.split())
+        if not any(len(s & set(o.split())) >= 0.8 * len(s | set(o.split())) for o in want):
+            want.append(x)
+    assert toxicity.unlike(lines) == want
+    seen = []
+    train = toxicity._train
+    monkeypatch.setattr(toxicity, "_train", lambda samples, size: (seen.append(samples), train(samples, size))[1])
+    words = ["".join(rng.choice(list("abcdefgh"), 9)) for _ in range(9000)]
+    clean = [" ".join(rng.choice(words, 700 if i < 3 else 8)).encode() for i in range(2100)]
+    toxicity.fit([*clean, b"idiot you are", b"moron he is"], [0] * 2100 + [1, 1])
+    assert b"".join(seen[0]) == b"".join(clean)  # all texts, whole
+
+
 def test_archives(spark):
     rows = [(1, "http://a/ü b", "<p>x</p>"), (2, None, "<p>x</p>"), (3, "u\r\nX: y", None), (4, "u", ""), (None, "u", "<p>x</p>"), (5, "u", "é" * 50_000), (6, "u", None), (6, "u", None)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("id", F.lit(0))
