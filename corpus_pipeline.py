@@ -23,17 +23,25 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.where("predicted = 0").select(*_columns(docs))
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` as a table with ``_row``, a number of each row's own: ids may be null or repeat."""
+    return written(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash component: the one with the smallest doc_id; rows without an id stay."""
-    out = simhash.near_duplicates(docs)
-    others = out.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
+    """Exactly one row of each SimHash component: the one with the smallest doc_id (null last), then text hash."""
+    rows = _numbered(docs)
+    found = simhash.near_duplicates(rows, id_col="_row").select(F.col("doc_id").alias("_row"), "component_id")
+    keys = rows.select("_row", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.xxhash64("text").alias("hash"), "_row").alias("key"))
+    kept = found.join(keys, "_row").groupBy("component_id").agg(F.min("key").alias("key")).select(F.col("key._row").alias("_row"))
+    return rows.join(kept, "_row", "left_semi").select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that benchmark items do not contaminate; rows under a contaminated id go together."""
-    hit = decontam.contamination(docs, table(spark, sf_dir, "benchmark")).where("contaminated and doc_id is not null").select("doc_id").distinct()
-    return docs.join(hit, "doc_id", "left_anti").select(*docs.columns)
+    """The rows that benchmark items do not contaminate, each by its own text."""
+    rows = _numbered(docs)
+    hit = decontam.contamination(rows, table(spark, sf_dir, "benchmark"), id_col="_row").where("contaminated").select(F.col("doc_id").alias("_row"))
+    return rows.join(hit, "_row", "left_anti").select(*docs.columns)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

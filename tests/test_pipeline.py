@@ -1,0 +1,42 @@
+"""The pipeline's decisions by row, with null and repeated ids."""
+
+from collections import Counter
+
+import numpy as np
+
+import corpus_pipeline
+from quaymark.llm import simhash
+
+RNG = np.random.default_rng(11)
+TEXTS = [" ".join(RNG.choice([f"w{i}" for i in range(60)], 60)) for _ in range(8)]
+SCHEMA = "doc_id long, text string, source string"
+
+
+def test_one_row_of_each_component_stays(spark):
+    a, b, c, d = TEXTS[:4]
+    rows = [(3, a, "s"), (5, a, "s"), (5, b, "s"), (None, a, "s"), (7, c, "s"), (7, c, "s"), (None, d, "s"), (None, d, "s"), (8, a.upper(), "s")]
+    rows += [(9, t, "s") for t in TEXTS[4:]] + [(9, TEXTS[4], "s")]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    fp = {r.doc_id: r.fp for r in simhash.fingerprints(spark.createDataFrame([(i, r[1]) for i, r in enumerate(rows)], "doc_id long, text string"), "doc_id", "text", 3, 42).collect()}
+    part = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if ((fp[i] ^ fp[j]) & (2**64 - 1)).bit_count() <= 2:
+                part = [part[j] if p == part[i] else p for p in part]
+    want = {}
+    for i, r in enumerate(rows):
+        want.setdefault(part[i], []).append(r)
+    got = [tuple(r) for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()]
+    assert len(got) == len(want)
+    for same in want.values():
+        least = min((r[0] is None, r[0] or 0) for r in same)
+        assert sum(r in same and (r[0] is None, r[0] or 0) == least for r in got) >= 1
+    assert (3, a, "s") in got and (5, b, "s") in got and got.count((7, c, "s")) == got.count((None, d, "s")) == 1
+
+
+def test_contaminated_rows_go_alone(spark, tmp_path):
+    bad, *clean = TEXTS
+    spark.createDataFrame([(1, bad)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    rows = [(None, bad, "s"), (None, clean[0], "s"), (5, bad, "s"), (5, bad, "s"), (5, clean[1], "s"), (5, clean[1], "s"), (6, clean[2], "s"), (7, None, "s"), (None, None, "s")]
+    got = corpus_pipeline.drop_contaminated(spark, spark.createDataFrame(rows, SCHEMA).repartition(3), str(tmp_path)).collect()
+    assert Counter(tuple(r) for r in got) == Counter(r for r in rows if r[1] != bad)
