@@ -222,7 +222,7 @@ def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 def masked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with every found span replaced by its kind in brackets; all columns stay.
 
-    Where spans overlap, the first by start, then kind, is replaced and the others go with it.
+    Where spans overlap, the first by start, then kind, is replaced and the others go with it whole.
     """
     found = find(docs, id_col, text_col, whole=True)
     label = F.array(*[F.lit(f"[{x.upper()}]") for x in NAMES])
@@ -231,7 +231,8 @@ def masked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
     def step(acc: Column, s: Column) -> Column:
         piece = F.concat(acc["out"], F.substr(text, (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int")), F.get(label, s["kind"]))
-        return F.when(s["start"] < acc["at"], acc).otherwise(F.struct(s["stop"].alias("at"), piece.alias("out")))
+        beyond = F.struct(F.greatest(acc["at"], s["stop"]).alias("at"), acc["out"].alias("out"))
+        return F.when(s["start"] < acc["at"], beyond).otherwise(F.struct(s["stop"].alias("at"), piece.alias("out")))
 
     done = F.aggregate(F.array_sort("found"), start, step, lambda acc: F.concat(acc["out"], F.substr(text, (acc["at"] + 1).cast("int"), F.length(text))))
     clean = F.when(F.size("found") == 0, text).otherwise(done)

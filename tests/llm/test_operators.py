@@ -194,6 +194,11 @@ def test_masking_takes_effect(spark):
     assert sorted(map(tuple, pii.masked(df).collect())) == [(1, "a", "mail [EMAIL] or [PHONE]."), (2, "b", None)]
 
 
+def test_masking_takes_the_union_of_overlapping_spans(spark):
+    df = spark.createDataFrame([(1, "pay 4111 1111 1111 1111@x.com now")], "doc_id long, text string")
+    assert pii.masked(df).first().text == "pay [CARD] now"
+
+
 def test_em_trusts_the_labelers_that_agree():
     truth = np.random.default_rng(0).random(4000) < 0.3
     rng = np.random.default_rng(1)
