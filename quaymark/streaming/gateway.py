@@ -1,4 +1,4 @@
-"""The gateway as streams: the top of book of each venue as deduplicated changes. The cross-venue best is not built."""
+"""Streams: the bronze sink, and the top of book of each venue as deduplicated changes. The cross-venue best is not built."""
 
 from __future__ import annotations
 
