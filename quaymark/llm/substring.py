@@ -1,4 +1,4 @@
-"""Substring deduplication with prefix-partitioned suffix trees."""
+"""Substring deduplication: windows of words partitioned by minimizers and ranked in each group; no suffix tree."""
 
 from __future__ import annotations
 
