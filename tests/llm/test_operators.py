@@ -218,46 +218,110 @@ def test_trigram_queries():
     assert secrets.trigram_query("api_?key") == [frozenset({"api", "pi_", "i_k", "_ke", "key"}), frozenset({"api", "pik", "ike", "key"})]
 
 
-def test_language_model(spark, docs, empty):
-    got = {(r.doc_id, r.n_tokens): r for r in lm.pseudo_likelihood(docs, every=1).collect()}
+def plain_pll(net, words, text):
+    """The sum of log-probabilities of one text, token by token, from the weights alone."""
+    p, bare = net.p, (text or "").encode().split()
+    n = {w: words.freq[words.ids[i]] if words.ids[i] else None for w, i in words.index.items()}
+    ids = [int(words.ids[words.index[w]]) if w in words.index else lm.RARE for w in bare]
+    line = [lm.PAD] * lm.SPAN + ids + [lm.PAD] * lm.SPAN
+    count = {r.w.encode(): r.n for r in words.counts.collect()}
+    out = 0.0
+    for i, (w, k) in enumerate(zip(bare, ids)):
+        x = np.concatenate([p["e"][line[i + d]] for d in range(2 * lm.SPAN + 1) if d != lm.SPAN])
+        h = np.append(np.tanh(x @ p["w"] + p["b"]), 1)
+        z = p["a"] @ h
+        c = int(np.searchsorted(lm.STARTS, k, "right")) - 1
+        inner = p["u"][lm.STARTS[c] : lm.STARTS[c + 1]] @ h
+        out += z[c] - np.log(np.exp(z).sum()) + inner[k - lm.STARTS[c]] - np.log(np.exp(inner).sum())
+        if k == lm.RARE:
+            out += np.log(count[w] / words.freq[lm.RARE])
+        else:
+            assert n[w] == count[w]
+    return out
+
+
+@pytest.mark.parametrize("listed", [131_072, 30, 0])
+def test_language_model(spark, docs, empty, listed):
+    one = docs.coalesce(1)
+    got = {(r.doc_id, r.n_tokens): r for r in lm.pseudo_likelihood(one, listed=listed).collect()}
+    words = lm.word_counts(one, listed=listed)
+    net, _ = lm.train(one, words)
     for d, t, _ in ROWS:
         n = len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
         r = got[d, n]
         assert (r.pll == 0 and r.mean_pll is None) if n == 0 else abs(r.mean_pll - r.pll / n) < 1e-9
-    assert lm.pseudo_likelihood(empty).collect() == []
+        if n < 100:
+            assert r.pll == pytest.approx(plain_pll(net, words, t), rel=1e-4, abs=1e-3)
+    assert sum(len((t or "").encode().split()) for _, t, _ in ROWS) == words.freq.sum()
+    assert lm.pseudo_likelihood(empty, listed=listed).collect() == []
+
+
+def test_language_model_gives_probabilities_and_learns():
     net = lm.Net.start(np.ones(lm.IDS))
     context = RNG.integers(0, lm.IDS, (3, 2 * lm.SPAN))
     every = np.stack([np.exp(net.log_probs(context, np.full(3, k))) for k in range(lm.IDS)])
     assert np.allclose(every.sum(axis=0), 1, atol=1e-4)
-    ids = np.tile(np.arange(100, 120), 200)  # a text that both sides determine
+    context, ids = lm.windows([np.tile(np.arange(100, 120), 200)])  # a text that both sides determine
     memory = {k: np.full(s, 1e-3, np.float32) for k, s in lm.SHAPES.items()}
-    before = net.log_probs(lm._contexts(ids), ids).mean()
-    for _ in range(40):
-        net.step(lm._contexts(ids), ids, memory, 0.15)
-    assert net.log_probs(lm._contexts(ids), ids).mean() > before + 2
+    before = net.log_probs(context, ids).mean()
+    for _ in range(60):
+        net.step(context, ids, memory, 0.2)
+    assert net.log_probs(context, ids).mean() > before + 2
+    # the step's gradient against differences
+    net = lm.Net.start(np.ones(lm.IDS), 3)
+    context, ids = lm.windows([np.array([1, 5, 40, 0, 2000, 9, 700, 1]), np.array([3])])
+    flat, old = net.flat(), net.log_probs(context, ids).mean()
+    memory = {k: np.full(s, 1e6, np.float32) for k, s in lm.SHAPES.items()}
+    net.step(context, ids, memory, 1000.0)  # nearly gradient itself at such memory
+    move = (net.flat() - flat).astype(float)
+    gain = net.log_probs(context, ids).mean() - old
+    small = lm.Net.of((flat + move * 1e-2).astype(np.float32)).log_probs(context, ids).mean() - old
+    assert gain > 0 and small == pytest.approx((move @ move) * 1e-2, rel=0.2)
 
 
 def test_language_model_trains_on_every_token(spark):
     words = "q w e r t y u i".split()  # short texts, whose last words are targets too
-    docs = spark.createDataFrame([(" ".join(words),)] * 400, "text string").repartition(2)
-    known = {w.encode(): lm.BUCKETS + i for i, w in enumerate(words)}
-    ids = np.array([lm.BUCKETS + i for i in range(8)])
-    start = lm.Net.start(np.ones(lm.IDS))
-    net = lm.train(docs, known, start)
-    assert (net.log_probs(lm._contexts(ids), ids) > start.log_probs(lm._contexts(ids), ids) + 0.3).all()
+    docs = spark.createDataFrame([(i, " ".join(words)) for i in range(400)], "doc_id long, text string").repartition(2)
+    counted = lm.word_counts(docs)
+    context, ids = lm.windows([np.array([int(counted.ids[counted.index[w.encode()]]) for w in words])])
+    net, coded = lm.train(docs, counted, rounds=3)
+    assert (net.log_probs(context, ids) > lm.Net.start(counted.freq).log_probs(context, ids) + 0.2).all()
+    seen = []
+    trainer = lm.Trainer(net.flat(), 4096, 0.1)
+    trainer.net.step = lambda c, t, *_: seen.extend(t.tolist())
+    for lo, hi in lm._chunks([8] * 2000):
+        trainer.feed(*lm.windows([ids] * (hi - lo)))
+    assert trainer.finish()[1] == len(seen) == 16_000 and coded.count() == 400
+
+
+def test_language_model_beats_word_frequencies_on_held_out_texts(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("lang = 'en'")
+    fit, held = docs.where("doc_id % 5 <> 0").coalesce(2), docs.where("doc_id % 5 = 0")
+    words = lm.word_counts(fit)
+    net, _ = lm.train(fit, words)
+    ids = [np.array([words.ids[words.index[w]] if w in words.index else lm.RARE for w in (r.text or "").encode().split()], np.int64) for r in held.collect()]
+    context, target = lm.windows(ids)
+    plain = np.log((words.freq + 1) / (words.freq + 1).sum())[target].mean()
+    assert net.log_probs(context, target).mean() > plain + 0.02
+
+
+def test_weights_are_averaged_by_tokens(spark):
+    rows = [(t, b, float(t + 1), np.full(3, t * (b + 1), np.float32).tobytes()) for t in range(200) for b in range(2)]
+    got = lm.average(spark.createDataFrame(rows, "task int, block int, weight double, part binary"), fan=4)
+    mean = sum(t * (t + 1) for t in range(200)) / sum(t + 1 for t in range(200))
+    assert np.allclose(got, np.repeat([mean, 2 * mean], 3))
 
 
 def test_language_model_scores_words_outside_the_vocabulary_as_themselves(spark):
-    many = " ".join(f"v{i} v{i} v{i}" for i in range(lm.IDS - lm.BUCKETS))
-    bucket = lambda w: zlib.crc32(w.encode()) % lm.BUCKETS
-    often, once = next((a, b) for a in (f"r{i}" for i in range(99)) for b in (f"s{i}" for i in range(99)) if bucket(a) == bucket(b))
-    rows = [(1, many), (2, often), (2, often), (3, once), (None, once + "x"), (4, None), (5, "")]
+    many = " ".join(f"v{i} v{i} v{i}" for i in range(lm.IDS - 1))
+    rows = [(1, many), (2, "often"), (2, "often"), (3, "once"), (None, "oncex"), (4, None), (5, "")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    got = lm.pseudo_likelihood(docs).collect()
-    assert sorted((r.doc_id or 0, r.n_tokens) for r in got) == sorted((d or 0, len((t or "").split())) for d, t in rows)
-    of = {r.doc_id: r.pll for r in got}
-    assert of[2] - of[3] == pytest.approx(np.log(2), abs=1e-5)  # one bucket, one context, two tokens against one
-    assert of[4] == of[5] == 0
+    for listed in (131_072, lm.IDS - 1, lm.IDS):
+        got = lm.pseudo_likelihood(docs, listed=listed).collect()
+        assert sorted((r.doc_id or 0, r.n_tokens) for r in got) == sorted((d or 0, len((t or "").split())) for d, t in rows)
+        of = {r.doc_id: r.pll for r in got}
+        assert of[2] - of[3] == pytest.approx(np.log(2), abs=1e-5)  # one context, two tokens against one
+        assert of[4] == of[5] == 0
 
 
 def test_mixing(spark, docs, empty):
