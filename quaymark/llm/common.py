@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Separators of the whitespace word class ``[^\x20\x09-\x0D]+``.
@@ -14,10 +14,15 @@ WORD = "[^\\x20\\x09-\\x0D]+"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, or one made here if unset."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``.
+
+    Where that is unset, a local session (tests) gets a temporary folder; a cluster has to name one.
+    """
     sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="quaymark-")
         sc.setCheckpointDir(path)
     return path.rstrip("/")
@@ -43,6 +48,24 @@ def forget(df: DataFrame) -> None:
         hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
+def meet(rows: DataFrame, groups: DataFrame, key: str, salt: Column, parts: int = 512) -> DataFrame:
+    """``rows`` left-joined with ``groups(key, n, ...)``, one row per key, without a task for a hot key.
+
+    ``n`` is how many of the rows have the key. At most ``parts`` keys can hold more than a
+    ``parts``-th of what ``groups`` counts: those are broadcast, and their rows dealt by ``salt``. The
+    other keys meet in a shuffle. Keys are strings.
+    """
+    total = groups.agg(F.sum("n")).first()[0] or 0
+    names = [c for c in groups.columns if c != key]
+    found = F.struct(*names)
+    hot = groups.where(F.col("n") * parts > total).select(key, found.alias("_hot"))
+    cold = groups.where(F.col("n") * parts <= total).select(F.col(key).alias("_k"), found.alias("_cold"))
+    dealt = F.when(F.col("_hot").isNotNull(), F.concat(F.lit("#"), salt.cast("string"))).otherwise(F.col(key))
+    out = rows.join(F.broadcast(hot), key, "left").withColumn("_dealt", dealt).join(cold, F.col("_dealt") == F.col("_k"), "left")
+    got = F.coalesce("_hot", "_cold")
+    return out.select(*rows.columns, *[got[c].alias(c) for c in names])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

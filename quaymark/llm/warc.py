@@ -13,7 +13,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import meet, written
 
 #: Fixed values of the public formats: frame magics, and the skippable frame that holds a dictionary.
 FRAME, SKIPPABLE = 0xFD2FB528, 0x184D2A5D
@@ -88,52 +88,91 @@ def _frame_end(data: memoryview, at: int) -> int:
     return at
 
 
-def read_archive(blob: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """``(headers, block)`` of each record, in order; header names in lower case.
-
-    Checks the dictionary frame, each frame's checksum and content size, the version line,
-    the header lines, the block's length and digest, and that a frame holds just one record.
+def _unpacked(unpress: zstandard.ZstdDecompressor, frame: memoryview, most: int) -> bytes:
+    """One frame's content, whether its header gives the size or not; at most ``most`` bytes."""
+    with unpress.stream_reader(frame, read_across_frames=False) as source:
+        raw = source.read(most + 1)
+    if len(raw) > most:
+        raise BadArchive(f"a record of more than {most} bytes")
+    return raw
+
+
+def _record(raw: bytes) -> tuple[dict[str, str], bytes]:
+    """Headers and block of a frame's one record, checked."""
+    cut = raw.find(b"\r\n\r\n")
+    lines = raw[:cut].split(b"\r\n")
+    if cut < 0 or lines[0] not in (b"WARC/1.0", b"WARC/1.1"):
+        raise BadArchive("no WARC header")
+    headers: dict[str, str] = {}
+    for line in lines[1:]:
+        name, colon, value = line.partition(b":")
+        if not colon or not name.strip():
+            raise BadArchive(f"header line {line[:60]!r}")
+        headers[name.strip().decode("utf-8", "replace").lower()] = value.strip().decode("utf-8", "replace")
+    for name in ("warc-type", "warc-record-id", "warc-date", "content-length"):
+        if name not in headers:
+            raise BadArchive(f"no {name}")
+    if not headers["content-length"].isdigit():
+        raise BadArchive("Content-Length is no number")
+    n = int(headers["content-length"])
+    if len(raw) != cut + 4 + n + 4 or raw[-4:] != b"\r\n\r\n":
+        raise BadArchive("the record's length is not its Content-Length")
+    block = raw[cut + 4 : cut + 4 + n]
+    if headers.get("warc-block-digest", "").startswith("sha1:") and headers["warc-block-digest"] != f"sha1:{sha1_base32(block)}":
+        raise BadArchive("block digest")
+    return headers, block
+
+
+def read_archive(blob: bytes, most: int = 1 << 30) -> Iterator[tuple[dict[str, str], bytes]]:
+    """``(headers, block)`` of each record, in order, of any type; header names in lower case.
+
+    Checks the dictionary frame, each frame's checksum and content size where it has them, the
+    version line, the header lines, the block's length and SHA-1 digest, and that a frame holds
+    just one record of at most ``most`` bytes. An archive may lack the dictionary frame; other
+    skippable frames are passed over.
     """
     data = memoryview(blob)
-    if len(data) < 8 or struct.unpack_from("<I", data)[0] != SKIPPABLE:
-        raise BadArchive("no leading dictionary frame")
-    size = struct.unpack_from("<I", data, 4)[0]
-    if 8 + size > len(data):
-        raise BadArchive("the dictionary frame is cut off")
-    words = bytes(data[8 : 8 + size])
-    if words[:4] == struct.pack("<I", FRAME):  # the format allows a compressed dictionary
-        words = zstandard.ZstdDecompressor().decompress(words)
-    unpress = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(words)) if words else zstandard.ZstdDecompressor()
-    at = 8 + size
+    if len(data) < 8:
+        raise BadArchive("no frame")
+    magic, size = struct.unpack_from("<II", data)
+    at, unpress = 0, zstandard.ZstdDecompressor()
+    if magic == SKIPPABLE:
+        if 8 + size > len(data):
+            raise BadArchive("the dictionary frame is cut off")
+        words = bytes(data[8 : 8 + size])
+        at = 8 + size
+        if words[:4] == struct.pack("<I", FRAME):  # the format allows a compressed dictionary
+            words = _unpacked(unpress, memoryview(words), most)
+        if words:
+            unpress = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(words))
+    elif magic != FRAME:
+        raise BadArchive("neither a dictionary frame nor a record's")
     while at < len(data):
-        if at + 4 > len(data) or struct.unpack_from("<I", data, at)[0] != FRAME:
+        if at + 8 > len(data):
+            raise BadArchive("the last frame is cut off")
+        magic, size = struct.unpack_from("<II", data, at)
+        if magic & 0xFFFFFFF0 == SKIPPABLE & 0xFFFFFFF0:
+            at += 8 + size
+            if at > len(data):
+                raise BadArchive("a skippable frame is cut off")
+            continue
+        if magic != FRAME:
             raise BadArchive("no frame where one must start")
         end = _frame_end(data, at)
         try:
-            raw = unpress.decompress(data[at:end])
+            raw = _unpacked(unpress, data[at:end], most)
         except zstandard.ZstdError as e:
             raise BadArchive(f"frame at {at}: {e}") from None
         at = end
-        cut = raw.find(b"\r\n\r\n")
-        lines = raw[:cut].split(b"\r\n")
-        if cut < 0 or lines[0] != b"WARC/1.1":
-            raise BadArchive("no WARC/1.1 header")
-        headers = {}
-        for line in lines[1:]:
-            name, colon, value = line.partition(b":")
-            if not colon or not name.strip():
-                raise BadArchive(f"header line {line[:60]!r}")
-            headers[name.strip().decode().lower()] = value.strip().decode()
-        for name in ("warc-type", "warc-record-id", "warc-date", "content-length"):
-            if name not in headers:
-                raise BadArchive(f"no {name}")
-        n = int(headers["content-length"])
-        if len(raw) != cut + 4 + n + 4 or raw[-4:] != b"\r\n\r\n":
-            raise BadArchive("the record's length is not its Content-Length")
-        block = raw[cut + 4 : cut + 4 + n]
-        if "warc-block-digest" in headers and headers["warc-block-digest"] != f"sha1:{sha1_base32(block)}":
-            raise BadArchive("block digest")
-        yield headers, block
+        yield _record(raw)
+
+
+def payload_of(headers: dict[str, str], block: bytes) -> bytes:
+    """What a record's block carries: of an HTTP message its body, else the block."""
+    if not headers.get("content-type", "").lower().startswith("application/http"):
+        return block
+    cut = block.find(b"\r\n\r\n")
+    return block[cut + 4 :] if cut >= 0 else b""
 
 
 def write_archives(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least: int = 0, target: int = 8 << 20) -> DataFrame:
@@ -147,8 +186,8 @@ def write_archives(pages: DataFrame, id_col: str = "page_id", url_col: str = "ur
     """
     rows = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"), F.coalesce(F.col(html_col).cast("string"), F.lit("")).cast("binary").alias("html"))
     keyed = rows.withColumn("sha", F.sha2("html", 256))
-    owner = keyed.groupBy("sha").agg(F.max("id").alias("owner"))
-    joined = keyed.join(owner, "sha")
+    shared = keyed.groupBy("sha").agg(F.max("id").alias("owner"), F.count("*").alias("n")).where("n > 1")
+    joined = meet(keyed, written(shared, "payloads"), "sha", F.xxhash64("id", "url"))
     again = (F.length("html") >= least) & F.col("owner").isNotNull() & ~F.col("id").eqNullSafe(F.col("owner"))
     ready = joined.select("id", "url", "html", F.when(again, F.col("owner")).alias("refers"))
 
@@ -172,8 +211,11 @@ def write_archives(pages: DataFrame, id_col: str = "page_id", url_col: str = "ur
 def read_archives(archives: DataFrame, col: str = "archive") -> DataFrame:
     """Records of a column of archives; also of ``spark.read.format("binaryFile")``, with ``col="content"``.
 
-    ``(page_id, url, record_type, payload_bytes, payload_digest, refers_to, payload)``; a
-    broken archive fails the read. The digest of a response is of the payload that was read.
+    ``(page_id, url, record_type, payload_bytes, payload_digest, refers_to, payload)`` of every record of
+    any type; a broken archive fails the read, a null one has no records. The digest and length of
+    what has a payload are of the payload that was read, and must be those that its headers give,
+    if they do. A revisit has no payload: its digest and length are its headers', or null; so are page
+    ids that no header gives.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,17 +225,24 @@ def read_archives(archives: DataFrame, col: str = "archive") -> DataFrame:
         def made(rows: list[tuple]) -> pa.RecordBatch:
             return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
+        def row(h: dict[str, str], block: bytes) -> tuple:
+            named = h.get("warc-payload-digest")
+            listed = int(h["x-payload-length"]) if "x-payload-length" in h else None
+            payload, digest, length = None, named and named.removeprefix("sha1:"), listed
+            if h["warc-type"] != "revisit":
+                payload = payload_of(h, block)
+                digest, length = sha1_base32(payload), len(payload)
+                if (named or "").startswith("sha1:") and named != f"sha1:{digest}" or listed not in (None, length):
+                    raise BadArchive("payload digest or length")
+            page, refers = h.get("x-page-id"), h.get("x-refers-to-page")
+            return page and int(page), h.get("warc-target-uri"), h["warc-type"], length, digest, refers and int(refers), payload
+
         for batch in batches:
             for blob in batch.column(0):
                 rows, size = [], 0
                 for h, block in read_archive(blob.as_buffer().to_pybytes()) if blob.is_valid else ():
-                    payload = block[block.find(b"\r\n\r\n") + 4 :]
-                    digest, length = h["warc-payload-digest"].removeprefix("sha1:"), int(h["x-payload-length"])
-                    if h["warc-type"] == "response" and (digest != sha1_base32(payload) or length != len(payload)):
-                        raise BadArchive("payload digest or length")
-                    page, refers = h.get("x-page-id"), h.get("x-refers-to-page")
-                    rows.append((page and int(page), h.get("warc-target-uri"), h["warc-type"], length, digest, refers and int(refers), payload if h["warc-type"] == "response" else None))
-                    size += len(payload)
+                    rows.append(row(h, block))
+                    size += len(block)
                     if size > 4 << 20:
                         yield made(rows)
                         rows, size = [], 0
