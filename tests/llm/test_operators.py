@@ -9,9 +9,10 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 import xxhash
+import zstandard
 from pyspark.sql import functions as F
 
-from quaymark.llm import decontam, lm, mixing, pii, secrets, simhash, substring, toxicity, vectors, warc
+from quaymark.llm import common, decontam, lm, mixing, pii, secrets, simhash, substring, toxicity, vectors, warc
 
 RNG = np.random.default_rng(5)
 WORDS = [f"w{i}" for i in range(60)]
@@ -135,6 +136,41 @@ def test_archives(spark):
             list(warc.read_archive(broken))
 
 
+def test_archives_of_others(spark, tmp_path):
+    """Frames without a size, records without payload headers, other types, WARC/1.0, and files."""
+    def rec(kind, ctype, block, *more, version="1.0"):
+        head = [f"WARC/{version}", f"WARC-Type: {kind}", "WARC-Record-ID: <urn:x>", "WARC-Date: 2020-01-01T00:00:00Z", f"Content-Type: {ctype}", *more, f"Content-Length: {len(block)}"]
+        return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+    body = "héllo".encode() * 50
+    http = b"HTTP/1.1 200 OK\r\nX: y\r\n\r\n" + body
+    records = [rec("warcinfo", "application/warc-fields", b"software: x\r\n"), rec("request", "application/http; msgtype=request", b"GET / HTTP/1.1\r\nHost: a\r\n\r\n"),
+               rec("response", "application/http; msgtype=response", http, "WARC-Target-URI: http://a/"), rec("revisit", "application/http", b"HTTP/1.1 200 OK\r\n\r\n", version="1.1"),
+               rec("resource", "text/plain", body, "WARC-Block-Digest: sha256:abc")]
+    plain = zstandard.ZstdCompressor(write_content_size=False, write_checksum=False)
+    frames = [plain.compress(r) for r in records]
+    skip = (0x184D2A53).to_bytes(4, "little") + (3).to_bytes(4, "little") + b"abc"
+    for blob in (b"".join(frames), skip.replace(b"\x53", b"\x5d", 1)[:4] + (0).to_bytes(4, "little") + skip.join(frames)):
+        (tmp_path / "x.warc.zst").write_bytes(blob)
+        got = warc.read_archives(spark.read.format("binaryFile").load(str(tmp_path / "x.warc.zst")), "content").collect()
+        assert [(r.record_type, r.payload_bytes) for r in got] == [("warcinfo", 13), ("request", 0), ("response", len(body)), ("revisit", None), ("resource", len(body))]
+        assert got[2].payload == body and got[2].payload_digest == warc.sha1_base32(body) and got[3].payload is None and got[2].url == "http://a/"
+    bad = [records[0].replace(b"13", b"12"), rec("response", "text/plain", b"x", "WARC-Block-Digest: sha1:AAAA"), b"WARC/2.0" + records[0][8:], records[0] + records[1]]
+    for r in bad:
+        with pytest.raises(warc.BadArchive):
+            list(warc.read_archive(plain.compress(r)))
+    with pytest.raises(warc.BadArchive, match="more than"):
+        list(warc.read_archive(frames[2], most=100))
+
+
+def test_meet_splits_hot_keys(spark):
+    rows = spark.createDataFrame([(i, "hot" if i % 2 else f"k{i % 40}") for i in range(2000)] + [(9, "alone")], "id long, key string")
+    groups = rows.groupBy("key").agg(F.min("id").alias("least"), F.count("*").alias("n")).where("n > 1")
+    got = common.meet(rows, groups, "key", F.xxhash64("id"), parts=4)
+    want = rows.join(groups, "key", "left").select("id", "key", "least", "n")
+    assert Counter(map(tuple, got.select("id", "key", "least", "n").collect())) == Counter(map(tuple, want.collect()))
+
+
 @pytest.mark.parametrize("hot", [1000, 1])
 def test_substring(spark, docs, empty, hot, monkeypatch):
     monkeypatch.setattr(substring.repeated_spans, "__defaults__", (20, hot, 60_000))
@@ -155,6 +191,63 @@ def test_substring(spark, docs, empty, hot, monkeypatch):
     assert substring.deduplicate(empty).collect() == []
 
 
+def test_subtree_has_the_deep_nodes_of_the_suffix_tree():
+    rng = np.random.default_rng(4)
+    for least in (2, 3, 16, 20):
+        for _ in range(30):
+            texts = [rng.integers(0, 2, int(n)).tolist() for n in rng.integers(1, 60, 5)]
+            texts.append(texts[0][3:] + [1])
+            texts.append(list(texts[0]))
+            tokens, starts = [], []
+            for i, t in enumerate(texts):
+                starts += range(len(tokens), len(tokens) + len(t))
+                tokens += [*t, -1 - i]
+            tree = substring.subtree(np.array(tokens), np.array(starts), least)
+            got = {(int(d), frozenset(tree.leaves[a:z].tolist())) for a, z, d in zip(tree.lo, tree.hi, tree.depth)}
+            want = set()
+            for d in range(least, 60):  # a node: suffixes that share d words, two of which differ in the next
+                groups = defaultdict(set)
+                for s in starts:
+                    if min(tokens[s : s + d], default=-1) >= 0 and s + d < len(tokens) + 1:
+                        groups[tuple(tokens[s : s + d])].add(s)
+                want |= {(d, frozenset(g)) for g in groups.values() if len({tokens[s + d] for s in g}) > 1}
+            assert got == want
+            for i, p in enumerate(tree.parent):
+                above = [j for j in range(len(tree.lo)) if tree.lo[j] <= tree.lo[i] and tree.hi[j] >= tree.hi[i] and tree.depth[j] < tree.depth[i]]
+                assert p == max(above, key=lambda j: tree.depth[j], default=-1)
+            for k, node in enumerate(tree.leaf_node):
+                assert node == max((j for j in range(len(tree.lo)) if tree.lo[j] <= k < tree.hi[j]), key=lambda j: tree.depth[j])
+
+
+@pytest.mark.parametrize("hot", [1000, 1, 0])
+def test_substring_on_random_texts(spark, hot, monkeypatch):
+    rng = np.random.default_rng(7 + hot)
+    monkeypatch.setattr(substring.repeated_spans, "__defaults__", (20, hot, 60_000))
+    stock = [[f"v{k}" for k in rng.integers(0, 40, int(n))] for n in rng.integers(20, 90, 12)]
+    rows = []
+    for i in range(60):
+        parts = []
+        for _ in range(int(rng.integers(1, 5))):
+            p = stock[int(rng.integers(len(stock)))]
+            a = int(rng.integers(0, len(p) - 10))
+            parts += p[a : a + int(rng.integers(5, 80))] if rng.random() < 0.7 else [f"u{i}x{k}" for k in range(int(rng.integers(1, 30)))]
+        rows.append((i // 2, " ".join(parts)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    ties = {(r.doc_id, r.text): r.tie for r in docs.withColumn("tie", F.xxhash64("text")).collect()}
+    seen, want = set(), Counter()
+    done = {}
+    for d, t in sorted(set(rows), key=lambda r: (r[0], ties[r])):
+        w, gone = t.split(), set()
+        for s in range(len(w) - 19):
+            k = tuple(w[s : s + 20])
+            gone |= set(range(s, s + 20)) if k in seen else set()
+            seen.add(k)
+        done[d, t] = (d, len(w), len(gone), hashlib.sha256(" ".join(x for i, x in enumerate(w) if i not in gone).encode()).hexdigest())
+    for r in rows:
+        want[done[r]] += 1
+    assert Counter(map(tuple, substring.deduplicate(docs).collect())) == want
+
+
 def luhn(d):
     return sum((int(c) * (1 + i % 2) - 9 * (int(c) * (1 + i % 2) > 9)) for i, c in enumerate(reversed(d))) % 10 == 0
 
