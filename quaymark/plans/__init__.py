@@ -1 +1,5 @@
-"""See the README for what lives here."""
+"""All queries over the driver's tables, each with its SQL twin where there is one."""
+
+from quaymark.plans import market
+
+QUERIES, SQL = market.QUERIES, market.SQL
