@@ -57,6 +57,33 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, len(w) - coalesce(n, 0) AS n_r
 FROM d LEFT JOIN kept USING (rid)
 """
 
+MIXING = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+         CAST('0x' || substr(md5('7:' || coalesce(CAST(doc_id AS VARCHAR), '-') || ':' || md5(coalesce(text, ''))), 1, 15) AS BIGINT) AS h
+  FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+w AS (
+  SELECT *, CAST((rank - 1) % 3 + 1 AS DOUBLE) AS w, CAST(source_size * 3 AS DOUBLE) AS cap
+  FROM (SELECT *, row_number() OVER (ORDER BY source IS NULL, source) AS rank FROM s)),
+l AS (
+  SELECT *, (sum(CAST(source_size AS DOUBLE)) OVER () - coalesce(sum(cap) OVER (ORDER BY cap / w, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+         / sum(w) OVER (ORDER BY cap / w, rank ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM w),
+t AS (SELECT source, source_size, rank, least(max(level) OVER () * w, cap) AS target FROM l),
+p AS (
+  SELECT rid, doc_id, size, source_size, target, rank,
+         CAST(sum(size) OVER (PARTITION BY d.source ORDER BY h, doc_id NULLS FIRST, size, rid ROWS UNBOUNDED PRECEDING) AS BIGINT) AS upto
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+c AS (
+  SELECT rid, size, rank, upto + e * source_size AS place, (upto + e * source_size) / target AS finish
+  FROM p, (SELECT unnest([0, 1, 2]) AS e) WHERE size > 0),
+r AS (SELECT rid, size, sum(size) OVER (ORDER BY finish, rank, place ROWS UNBOUNDED PRECEDING) AS run FROM c),
+k AS (SELECT rid, sum(size) AS taken FROM r WHERE run <= (SELECT sum(size) FROM d) GROUP BY rid)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, CAST(coalesce(taken, 0) AS BIGINT) AS taken
+FROM p LEFT JOIN k USING (rid)
+"""
+
 #: name, pattern, and what a match must have besides; ``h`` is the match.
 _SECRETS = (
     ("assign", r"""(?i)(password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)""",
@@ -104,4 +131,7 @@ SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(c, vec_id) AS component_id, c
 FROM v LEFT JOIN comp ON comp.u = v.vec_id LEFT JOIN degree ON degree.u = v.vec_id
 """
 
-SQL = {"op1_decontamination": DECONTAMINATION, "op3_warc": WARC, "op4_substring": SUBSTRING, "op8_secrets": SECRETS, "op10_embeddings": EMBEDDINGS}
+SQL = {
+    "op1_decontamination": DECONTAMINATION, "op3_warc": WARC, "op4_substring": SUBSTRING, "op7_mixing": MIXING, "op8_secrets": SECRETS,
+    "op10_embeddings": EMBEDDINGS,
+}

@@ -56,5 +56,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    """The five that SQL can express; the others need XXH64, a trained model or Spark's hash order."""
+    """The six that SQL can express; the others need XXH64 or a trained model."""
     return dict(oracle.SQL)
