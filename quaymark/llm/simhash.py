@@ -2,20 +2,21 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import reduce
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, forget, written
+from .common import components, meet, written
 
 BITS = 64
 _ONE = np.uint64(1)
-#: Spark longs are signed; flipping the top bit keeps the unsigned order of fingerprints.
-_TOP = np.uint64(1 << 63)
 
 
 def fingerprint(text: bytes, shingle: int, seed: int) -> int:
@@ -138,63 +139,49 @@ def forest(n: int, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return node, label[node]
 
 
-def _cover(keys: DataFrame, leaf: int, step: int = 12) -> list[tuple[int, int, int]]:
-    """Top of the trie: leaves ``(prefix, depth, keys)`` of at most ``leaf`` keys each, in order.
+def _prefix(fp: Column, depth: int) -> Column:
+    """The leading ``depth`` bits as a number."""
+    return F.shiftrightunsigned(fp, BITS - depth) if depth else F.lit(0).cast("long")
 
-    Counts keys below prefixes, ``step`` bits at a time; each count table that the driver sees
-    has at most ``2**step`` rows for each node still too large, of which there are at most
-    ``keys / leaf``. Distinct keys part by 64 bits, so that every leaf ends within its bound.
+
+def _cover(keys: DataFrame, leaf: int, n: int, step: int = 4) -> DataFrame:
+    """The trie's leaves as ``(depth int, prefix long, fps array<long>)``, of at most ``leaf`` keys each.
+
+    Keys are counted below the prefixes that would hold half a leaf each if keys were spread
+    evenly; keys below prefixes that hold more go ``step`` bits deeper, until none is left.
+    Distinct keys part by 64 bits. All of this stays a table: the driver sees how many go on.
     """
-    done: list[tuple[int, int, int]] = []
-    heavy: list[int] | None = None
-    depth = 0
-    while depth < BITS:
-        deeper = min(BITS, depth + step)
-        u = F.shiftrightunsigned("fp", BITS - deeper) if deeper < BITS else F.col("fp")
-        rows = keys.select(u.alias("p"))
-        if heavy is not None:
-            parents = keys.sparkSession.createDataFrame([(x,) for x in heavy], "h long")
-            part = F.shiftright("p", deeper - depth) if deeper == BITS else F.shiftrightunsigned("p", deeper - depth)
-            rows = rows.withColumn("h", part.bitwiseAND(F.lit((1 << depth) - 1))).join(parents, "h").select("p")
-        # few partitions, as the iterator runs a job for each; at most 64 * 2**step rows in one
-        few = rows.groupBy("p").agg(F.count("*").alias("n")).repartition(1 + len(heavy or ()) // 64)
-        counts = {int(r["p"]) % (1 << 64): r["n"] for r in few.toLocalIterator()}
-        nodes = [(x, depth) for x in (heavy if heavy is not None else [0])]
-        order = sorted(counts)
-        values = np.array(order, np.uint64)
-        sums = np.concatenate([[0], np.cumsum([counts[p] for p in order])]).astype(np.int64)
-        heavy = []
-        while nodes:
-            p, d = nodes.pop()
-            width = deeper - d
-            lo = int(np.searchsorted(values, np.uint64(p << width)))
-            hi = len(values) if (p + 1) << width >= 1 << 64 else int(np.searchsorted(values, np.uint64((p + 1) << width)))
-            n = int(sums[hi] - sums[lo])
-            if not n:
-                continue
-            if n <= leaf or d == BITS:
-                done.append((p, d, n))
-            elif d == deeper:
-                heavy.append(p)
-            else:
-                nodes += [(2 * p + 1, d + 1), (2 * p, d + 1)]
-        if not heavy:
+    depth = min(BITS, max(0, math.ceil(math.log2(max(1, n / leaf))) + 1))
+    rest, done = keys, []
+    while True:
+        named = rest.select("fp", F.hex(_prefix(F.col("fp"), depth)).alias("node"))
+        counted = meet(named, written(named.groupBy("node").agg(F.count("*").alias("n")), "nodes"), "node", F.xxhash64("fp"))
+        small = (F.col("n") <= leaf) if depth < BITS else F.lit(True)
+        level = written(counted.select("fp", F.lit(depth).alias("depth"), small.alias("fits")), "keys")
+        done.append(level.where("fits").select("depth", _prefix(F.col("fp"), depth).alias("prefix"), "fp"))
+        rest = level.where("not fits").select("fp")
+        if depth >= BITS or rest.isEmpty():
             break
-        depth = deeper
-    return sorted(done, key=lambda x: x[0] << (BITS - x[1]))
+        depth = min(BITS, depth + step)
+    return reduce(DataFrame.unionByName, done).groupBy("depth", "prefix").agg(F.collect_list("fp").alias("fps"))
 
 
-def _leaf_pairs(leaves: list[tuple[int, int, int]], budget: int) -> list[tuple[int, int]]:
-    """Pairs of leaves whose prefixes differ by at most ``budget`` bits in what both have."""
-    first = np.array([p << (BITS - d) for p, d, _ in leaves], np.uint64)
-    deep = np.array([d for _, d, _ in leaves], np.int64)
-    pairs: list[tuple[int, int]] = []
-    for i in range(len(leaves)):
-        d = np.minimum(deep[i], deep[i:])
-        mask = np.where(d == 0, np.uint64(0), ~np.uint64(0) << np.uint64(1) * (BITS - np.maximum(d, 1)).astype(np.uint64))
-        ok = np.bitwise_count((first[i] ^ first[i:]) & mask) <= budget
-        pairs += [(i, i + int(j)) for j in np.flatnonzero(ok)]
-    return pairs
+def _leaf_pairs(leaves: DataFrame, budget: int) -> DataFrame:
+    """``(da, pa, db, pb)``: pairs of leaves whose prefixes differ by at most ``budget`` bits in what both have.
+
+    A leaf meets the leaves as deep as it or deeper in an equi-join: it has one row for each
+    set of at most ``budget`` bits flipped, they have one for each depth above them.
+    """
+    depths = sorted(r[0] for r in leaves.select("depth").distinct().collect())  # at most BITS + 1
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    masks = [(d, signed(sum(1 << b for b in bits))) for d in depths for k in range(budget + 1) for bits in combinations(range(d), k)]
+    flips = F.broadcast(leaves.sparkSession.createDataFrame(masks, "da int, mask long"))  # its size depends on budget and BITS alone
+    names = leaves.select("depth", "prefix")
+    near = names.select(F.col("depth").alias("da"), F.col("prefix").alias("pa")).join(flips, "da").select("da", "pa", F.col("pa").bitwiseXOR(F.col("mask")).alias("q"))
+    above = F.filter(F.array(*[F.lit(d) for d in depths]), lambda d: d <= F.col("depth"))
+    deep = names.select(F.col("depth").alias("db"), F.col("prefix").alias("pb"), F.explode(above).alias("k")).select(
+        "db", "pb", F.col("k").alias("da"), F.expr("if(k = 0, 0L, shiftrightunsigned(pb, db - k))").alias("q"))
+    return near.join(deep, ["da", "q"]).where("da < db or pa <= pb").select("da", "pa", "db", "pb")
 
 
 def near_links(keys: DataFrame, budget: int = 2, leaf: int | None = None, per_task: int = 128) -> DataFrame:
@@ -207,45 +194,32 @@ def near_links(keys: DataFrame, budget: int = 2, leaf: int | None = None, per_ta
     """
     spark = keys.sparkSession
     n = keys.count()
-    leaf = leaf or int(min(16384, max(128, n / 256)))
-    leaves = _cover(keys, leaf)
-    if not leaves:
+    if not n:
         return spark.createDataFrame([], "u long, v long")
-    pairs = _leaf_pairs(leaves, budget)
-    firsts = np.array([p << (BITS - d) for p, d, _ in leaves], np.uint64)
-    depths = np.array([d for _, d, _ in leaves], np.int64)
-
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            fp = batch.column(0).to_numpy(zero_copy_only=False)
-            at = np.searchsorted(firsts, fp.view(np.uint64), side="right") - 1
-            yield pa.record_batch([pa.array(at.astype(np.int32)), batch.column(0)], ["leaf", "fp"])
-
-    blobs = keys.mapInArrow(place, "leaf int, fp long").groupBy("leaf").agg(F.collect_list("fp").alias("fps"))
-    blobs = written(blobs, "leaves")
-    tasks = len(pairs) // per_task + 2
-    links = spark.createDataFrame([(k, *p) for k, p in enumerate(pairs)], "k long, a int, b int")
-    whole = links.join(blobs.select(F.col("leaf").alias("a"), F.col("fps").alias("x")), "a")
-    whole = whole.join(blobs.select(F.col("leaf").alias("b"), F.col("fps").alias("y")), "b")
+    leaves = written(_cover(keys, leaf or int(min(16384, max(128, n / 256))), n), "leaves")
+    pairs = written(_leaf_pairs(leaves, budget), "pairs")
+    whole = pairs.join(leaves.select(F.col("depth").alias("da"), F.col("prefix").alias("pa"), F.col("fps").alias("x")), ["da", "pa"])
+    whole = whole.join(leaves.select(F.col("depth").alias("db"), F.col("prefix").alias("pb"), F.col("fps").alias("y")), ["db", "pb"])
+    own = (F.col("da") == F.col("db")) & (F.col("pa") == F.col("pb"))
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             us, vs = [], []
-            for i, j, x, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3)):
+            for depth, same, x, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3)):
                 a = np.sort(x.values.to_numpy().view(np.uint64))
-                if i == j:
-                    left, right = trie_pairs(a, None, int(depths[i]), budget)
-                    keys_, right = a, right
+                if same:
+                    keys_, (left, right) = a, trie_pairs(a, None, depth, budget)
                 else:
                     b = np.sort(y.values.to_numpy().view(np.uint64))
-                    left, right = trie_pairs(a, b, int(min(depths[i], depths[j])), budget)
+                    left, right = trie_pairs(a, b, depth, budget)
                     keys_, right = np.concatenate([a, b]), right + len(a)
                 node, root = forest(len(keys_), left, right)
                 us.append(keys_[node].view(np.int64))
                 vs.append(keys_[root].view(np.int64))
             yield pa.record_batch([pa.array(np.concatenate(us)), pa.array(np.concatenate(vs))], ["u", "v"])
 
-    return whole.select("a", "b", "x", "y").repartition(tasks).mapInArrow(join, "u long, v long")
+    dealt = whole.select(F.col("da").alias("depth"), own.alias("same"), "x", "y").repartition(pairs.count() // per_task + 2)
+    return dealt.mapInArrow(join, "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, seed: int = 42, budget: int = 2) -> DataFrame:
