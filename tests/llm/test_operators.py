@@ -433,20 +433,51 @@ def test_mixing(spark, docs, empty):
             break
         open_ -= over
     target = {s: share.get(s, 3.0 * per[s]) for s in names}
-    got = mixing.mix(docs, whole=True).collect()
+    def finishes(rows):
+        """What is taken of each row: copies in the order of their virtual finish times, up to the budget."""
+        copies, out = [], Counter()
+        for rank, s in enumerate(names, 1):
+            h = lambda r: int(hashlib.md5(f"7:{'-' if r[0] is None else r[0]}:{hashlib.md5((r[1] or '').encode()).hexdigest()}".encode()).hexdigest()[:15], 16)
+            upto = 0
+            for d, t, _ in sorted((r for r in rows if r[2] == s), key=h):
+                upto += size(t)
+                copies += [((upto + e * per[s]) / target[s], rank, upto + e * per[s], size(t), (d, t, s)) for e in range(3) if size(t)]
+        left = sum(per.values())
+        for *_, n, r in sorted(copies, key=lambda c: c[:3]):
+            left -= n
+            if left < 0:
+                break
+            out[r] += n
+        return out
+
+    got = mixing.mix(docs).collect()
+    want = finishes(ROWS)
     assert len(got) == len(ROWS)
-    taken = Counter()
+    taken, by_id = Counter(), Counter()
     for r in got:
-        s = r.row.source
-        assert r.size == size(r.row.text) and r.source_size == per[s] and abs(r.target - target[s]) < 1e-6
         assert 0 <= r.taken <= 3 * r.size and (r.size == 0 or r.taken % r.size == 0)
-        taken[s] += r.taken
-    assert sum(taken.values()) <= sum(per.values())
+        assert r.source_size in per.values()
+        by_id[r.doc_id, r.size] += r.taken
+    for (d, t, s), n in want.items():
+        taken[d, size(t)] += n
+        assert abs(sum(v for k, v in want.items() if k[2] == s) - target[s]) <= 3001 + 200
+    assert {k: v for k, v in by_id.items() if v} == dict(taken)
+    assert sum(by_id.values()) <= sum(per.values())
+    assert {(r.source_size, round(r.target, 6)) for r in got} == {(per[s], round(target[s], 6)) for s in names}
     key = lambda rows: sorted((str(r.doc_id), r.size, r.taken) for r in rows)
-    assert key(mixing.mix(docs.repartition(7), spread=3).collect()) == key(got)
+    assert key(mixing.mix(docs.repartition(7), spread=3, per_range=10).collect()) == key(got)
+    keyed = docs.withColumn("n", F.monotonically_increasing_id())
+    assert key(mixing.mix(keyed, key_col="n").collect()) == key(got)
     assert mixing.mix(empty).collect() == []
 
 
+def test_mixing_unfolds_many_equal_rows(spark):
+    docs = spark.createDataFrame([(1, "a b", "s")] * 9000 + [(2, "c d e", "t"), (3, None, "u")], SCHEMA).repartition(4)
+    got = mixing.mix(docs).collect()
+    assert Counter((r.doc_id, r.size) for r in got) == {(1, 2): 9000, (2, 3): 1, (3, 0): 1}
+    assert sum(r.taken for r in got) <= 18_003 and [r.taken for r in got if r.doc_id == 2] == [9]
+
+
 def test_simhash(spark, docs, empty):
     def fp(t):
         w = re.findall(rb"[^\x20\x09-\x0D]+", (t or "").encode().lower())

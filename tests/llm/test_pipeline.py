@@ -3,9 +3,10 @@
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from quaymark.llm import simhash
+from quaymark.llm import pii, simhash
 
 RNG = np.random.default_rng(11)
 TEXTS = [" ".join(RNG.choice([f"w{i}" for i in range(60)], 60)) for _ in range(8)]
@@ -40,3 +41,63 @@ def test_contaminated_rows_go_alone(spark, tmp_path):
     rows = [(None, bad, "s"), (None, clean[0], "s"), (5, bad, "s"), (5, bad, "s"), (5, clean[1], "s"), (5, clean[1], "s"), (6, clean[2], "s"), (7, None, "s"), (None, None, "s")]
     got = corpus_pipeline.drop_contaminated(spark, spark.createDataFrame(rows, SCHEMA).repartition(3), str(tmp_path)).collect()
     assert Counter(tuple(r) for r in got) == Counter(r for r in rows if r[1] != bad)
+
+
+def test_the_mix_keeps_columns_of_documents(spark):
+    rows = [(i, TEXTS[i % 8], f"s{i % 2}", 100 + i, "t") for i in range(20)] + [(None, None, None, 7, "t"), (5, TEXTS[5], "s1", 9, "t"), (5, TEXTS[5], "s1", 9, "t")]
+    docs = spark.createDataFrame(rows, SCHEMA + ", size int, Copies string").repartition(3)
+    got = corpus_pipeline.mix_sources(spark, docs, "").collect()
+    assert got[0].asDict().keys() == {"doc_id", "text", "source", "size", "Copies", "mix_size", "source_size", "target", "taken", "mix_copies"}
+    assert all(r.mix_size == 60 and r.taken == r.mix_copies * 60 for r in got)
+    left = Counter(rows)
+    for r in got:
+        left[r.doc_id, r.text, r.source, r["size"], r.Copies] -= 1
+    assert min(left.values()) >= 0 and sum(r.taken for r in got) <= 22 * 60 and left[rows[20]] == 1
+    assert corpus_pipeline.mix_sources(spark, docs.limit(0), "").collect() == []
+
+
+def test_toxic_rows_go_alone(spark, tmp_path):
+    rng = np.random.default_rng(2)
+    rows = []
+    for i in range(400):
+        t = ["".join(rng.choice(list("aeioulnrst"), 6)) for _ in range(40)]
+        if i % 4 == 0:
+            t[:4] = ["worthless", "pathetic", "moron", "idiot"]
+        rows.append((i, " ".join(t), "s"))
+    spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(400)], "doc_id long, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    extra = [(None, None, "s"), (None, "", None), (3, rows[0][1], "s"), (3, rows[0][1], "s"), (3, rows[1][1], "s")]
+    docs = spark.createDataFrame([(*r, 0.5) for r in rows + extra], SCHEMA + ", score double").repartition(3)
+    got = Counter(tuple(r) for r in corpus_pipeline.drop_toxic(spark, docs, str(tmp_path)).collect())
+    assert got[None, None, "s", 0.5] == got[None, "", None, 0.5] == got[3, rows[1][1], "s", 0.5] == 1
+    assert (3, rows[0][1], "s", 0.5) not in got
+    kept = {k[0] for k in got if k[1]}
+    assert sum(i in kept for i in range(400) if i % 4) >= 290 and sum(i in kept for i in range(4, 400, 4)) <= 10
+    assert corpus_pipeline.drop_toxic(spark, docs.limit(0), str(tmp_path)).collect() == []
+
+
+def test_masked_texts_keep_no_character_of_a_span(spark):
+    rng = np.random.default_rng(8)
+    parts = ["10.0.0.4", "111 1111 1111 1111", "4111 1111 1111 1111", "a@b.co", "+1 (743) 555-3824", "x", " ", "12", "@x.com", "-", "é", "123-45-6789"]
+    rows = [(i, " ".join(rng.choice(parts, int(rng.integers(0, 9)))), "s") for i in range(300)]
+    rows += [(None, None, "s"), (1, "", None), (1, "pay 10.0.0.4 111 1111 1111 1111 now", "s"), (2, "word " * 20_000 + "a@b.co", "s")]
+    docs = spark.createDataFrame([(*r, 5) for r in rows], SCHEMA + ", n_chars long").repartition(3)
+    named = docs.withColumn("n", F.monotonically_increasing_id()).persist()
+    spans = {r.doc_id: r.spans for r in pii.report(named, id_col="n").collect()}
+    masked = [tuple(r) for r in corpus_pipeline.mask_personal_data(spark, docs, "").collect()]
+    want = []
+    for r in named.collect():
+        text, out, at = r.text, "", 0
+        found = sorted((int(a), pii.NAMES.index(k), int(z)) for k, a, z in (x.split(":") for x in spans[r.n].split(",") if x))
+        for a, kind, z in found:
+            if a >= at:
+                out += text[at:a] + f"[{pii.NAMES[kind].upper()}]"
+            at = max(at, z)
+        want.append((r.doc_id, None if text is None else out + text[at:], r.source, 5 if text is None else len(out + text[at:])))
+    assert Counter(masked) == Counter(want)
+    assert any("1111" in (r.text or "") for r in named.collect()) and not any("1111 1111 1111 now" in (t or "") for _, t, *_ in masked)
+    assert corpus_pipeline.mask_personal_data(spark, docs.limit(0), "").collect() == []
+
+
+def test_the_whole_pipeline(spark):
+    got = corpus_pipeline.run(spark, "/root/testdata/sf0.001").collect()
+    assert got and len({r.doc_id for r in got}) == len(got) and all(r.taken % r["size"] == 0 for r in got)
