@@ -23,25 +23,34 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.where("predicted = 0").select(*_columns(docs))
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
-    """``docs`` as a table with ``_row``, a number of each row's own: ids may be null or repeat."""
-    return written(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+def _free(docs: DataFrame, name: str) -> str:
+    """``name``, or that with a prefix, so that no column of ``docs`` has it in any case."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name = f"mix_{name}"
+    return name
+
+
+def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` as a table with a number of each row's own, and that column's name: ids may be null or repeat."""
+    row = _free(docs, "_row")
+    return written(docs.withColumn(row, F.monotonically_increasing_id()), "rows"), row
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Exactly one row of each SimHash component: the one with the smallest doc_id (null last), then text hash."""
-    rows = _numbered(docs)
-    found = simhash.near_duplicates(rows, id_col="_row").select(F.col("doc_id").alias("_row"), "component_id")
-    keys = rows.select("_row", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.xxhash64("text").alias("hash"), "_row").alias("key"))
-    kept = found.join(keys, "_row").groupBy("component_id").agg(F.min("key").alias("key")).select(F.col("key._row").alias("_row"))
-    return rows.join(kept, "_row", "left_semi").select(*docs.columns)
+    rows, row = _numbered(docs)
+    found = simhash.near_duplicates(rows, id_col=row).select(F.col("doc_id").alias(row), "component_id")
+    keys = rows.select(row, F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.xxhash64("text").alias("hash"), F.col(row).alias("n")).alias("key"))
+    kept = found.join(keys, row).groupBy("component_id").agg(F.min("key").alias("key")).select(F.col("key.n").alias(row))
+    return rows.join(kept, row, "left_semi").select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The rows that benchmark items do not contaminate, each by its own text."""
-    rows = _numbered(docs)
-    hit = decontam.contamination(rows, table(spark, sf_dir, "benchmark"), id_col="_row").where("contaminated").select(F.col("doc_id").alias("_row"))
-    return rows.join(hit, "_row", "left_anti").select(*docs.columns)
+    rows, row = _numbered(docs)
+    hit = decontam.contamination(rows, table(spark, sf_dir, "benchmark"), id_col=row).where("contaminated").select(F.col("doc_id").alias(row))
+    return rows.join(hit, row, "left_anti").select(*docs.columns)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,9 +60,16 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the mix takes, with ``copies``, how often, and the mix's columns."""
-    mixed = mixing.mix(docs, whole=True).where("taken > 0")
-    return mixed.select(*_columns(docs), "size", "source_size", "target", "taken", F.expr("taken div size").alias("copies"))
+    """The documents that the mix takes, with the mix's columns and ``copies``, how often.
+
+    A column of the mix whose name the documents have is called ``mix_`` and that name.
+    """
+    rows, row = _numbered(docs)
+    mixed = mixing.mix(rows, key_col=row).where("taken > 0")
+    added = {"size": F.col("size"), "source_size": F.col("source_size"), "target": F.col("target"), "taken": F.col("taken"), "copies": F.expr("taken div size")}
+    narrow = mixed.select(F.col("key").alias("_key"), F.struct(*[v.alias(k) for k, v in added.items()]).alias("_mix"))
+    met = rows.select(F.col(row).alias("_key"), F.struct(*docs.columns).alias("_doc")).join(narrow, "_key")
+    return met.select(*[F.col("_doc")[c].alias(c) for c in docs.columns], *[F.col("_mix")[k].alias(_free(docs, k)) for k in added])
 
 
 STAGES: list[tuple[str, Stage]] = [
