@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import written
+
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _OTHER = re.compile(rb"[^a-z\x80-\xff]+")
 
@@ -88,15 +90,17 @@ def marked(ours: list[bytes], theirs: list[bytes], least: float = 0.015, lift: f
     return {w for w, k in a.items() if k / n > lift * (b[w] + 0.5) / m}
 
 
-def fragments(line: bytes, stems: set[bytes], short: int = 4) -> bytes:
-    """What of a text begins with one of ``stems``: the part that a dictionary is to hold."""
-    out = []
+def parted(line: bytes, stems: set[bytes], short: int = 4) -> tuple[bytes, bytes]:
+    """The beginnings in a text that are among ``stems``, and the text without the words that have them."""
+    own, rest = [], []
     for w in line.split():
         for k in range(len(w), min(short, len(w)) - 1, -1):
             if w[:k] in stems:
-                out.append(w[:k])
+                own.append(w[:k])
                 break
-    return b" ".join([b"", *out, b""]) if out else b""
+        else:
+            rest.append(w)
+    return b" ".join([b"", *own, b""]) if own else b"", b" ".join(rest)
 
 
 def _train(samples: list[bytes], size: int) -> bytes:
@@ -110,16 +114,20 @@ def _train(samples: list[bytes], size: int) -> bytes:
     return text or trained[-size:]
 
 
-FEATURES = 6
+#: Bytes saved that count as a hit, from a slight one on.
+STEPS = (2, 3, 4, 5, 6, 8)
+FEATURES = 5 + len(STEPS)
 
 
 def measures(gains: np.ndarray) -> np.ndarray:
-    """Features of a document from the bytes that the toxic dictionary saves in each window."""
-    if not len(gains):
+    """Features of a document from the bytes that the toxic dictionary saves in each window: the three most, how many
+    windows save so many (by the root of their number), the mean, and how many windows there are."""
+    n = len(gains)
+    if not n:
         return np.zeros(FEATURES)
-    g = np.sort(gains)
-    n = len(g)
-    return np.array([g[-1], g[-2:].sum(), (g >= 3).sum() / math.sqrt(n), (g >= 4).sum() / math.sqrt(n), (g >= 5).sum() / math.sqrt(n), math.log1p(n)], float)
+    top = np.zeros(3)
+    top[: min(3, n)] = np.sort(gains)[::-1][:3]
+    return np.array([*top, *((gains >= k).sum() / math.sqrt(n) for k in STEPS), gains.mean(), math.log1p(n)], float)
 
 
 @dataclass
@@ -151,13 +159,14 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def fit(texts: list[bytes], labels: list[int], share: float | None = None, size: int = 40, level: int = 1, common_bytes: int = 6144, tail_bytes: int = 1024, least: float = 0.015, lift: float = 6.0, near: float = 0.8) -> Model:
+def fit(texts: list[bytes], labels: list[int], share: float | None = None, size: int = 40, level: int = 1, common_bytes: int = 16384, tail_bytes: int = 1024, least: float = 0.015, lift: float = 6.0, near: float = 0.8) -> Model:
     """Dictionaries and thresholds from labelled texts.
 
-    Both dictionaries begin with the same trained text of what both classes share; the toxic
-    one ends in a dictionary trained on the parts of toxic texts that mark them off, the
-    ordinary one in one trained on the marked parts of ordinary texts, or on ordinary text if
-    there are none. Of near copies (:func:`unlike`) one is used, all other texts whole. A logistic model of the window gains sets the thresholds, for classes as
+    Both dictionaries begin with the same text trained on the ordinary class, whole texts but for the
+    words that mark toxic ones off; the toxic one ends in a dictionary trained on those parts of the
+    toxic texts, the ordinary one in one trained on the marked parts of ordinary texts, or on
+    ordinary text if there are none. (Dictionaries trained on the classes' whole texts alone differ
+    by chance in the prose they hold, which outweighs what is toxic in a window.) Of near copies (:func:`unlike`) one is used, all other texts whole. A logistic model of the window gains sets the thresholds, for classes as
     common as ``share`` of toxic texts says (None: as in ``texts``).
     """
     lines = [plain(t) for t in texts]
@@ -171,9 +180,11 @@ def fit(texts: list[bytes], labels: list[int], share: float | None = None, size:
     ord_ = [x for x, k in zip(lines, labels) if not k]
     tox, ord_ = unlike(tox, near), unlike(ord_, near)
     stems, their = marked(tox, ord_, least, lift), marked(ord_, tox, least, lift)
-    common = _train([x[i : i + 512] for x in ord_ for i in range(0, len(x), 512)], common_bytes)[-common_bytes:]
-    toxic = _train([fragments(x, stems) for x in tox], tail_bytes)
-    ordinary = _train([fragments(x, their) for x in ord_], len(toxic) or 256) or common[: len(toxic)]
+    # what marks toxic text off is kept out of the part that both share, even where a label is wrong
+    prose = [parted(x, stems)[1] for x in ord_]
+    common = _train([x[i : i + 512] for x in prose for i in range(0, len(x), 512)], common_bytes)[-common_bytes:]
+    toxic = _train([parted(x, stems)[0] for x in tox], tail_bytes)
+    ordinary = _train([parted(x, their)[0] for x in ord_] if their else [], len(toxic) or 256) or common[: len(toxic)]
     model = Model(common, toxic or b" ", (ordinary or b" ")[: max(1, len(toxic))], size, level, np.zeros(FEATURES), np.ones(FEATURES), np.zeros(FEATURES + 1))
     presses = model.presses()
     x = np.stack([measures(model.gains(t, presses)) for t in texts])
@@ -197,30 +208,40 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", per_class: int = 2500) -> tuple[list[bytes], list[int], float | None]:
+def training_sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", per_class: int = 2500,
+                    class_bytes: int = 48 << 20) -> tuple[list[bytes], list[int], float | None]:
     """Texts, labels, and the share of toxic ones among all labels that are not held out.
 
-    At most ``per_class`` labelled texts of each class, none held out, by the hash of their id.
-
-    Ids are chosen from the labels alone; only the chosen texts reach the driver.
+    At most ``per_class`` labelled texts of each class and ``class_bytes`` of them, none held out, in the order of the hash
+    of their id. Ids that are labelled both ways are not used; of several texts under one id one is. Ids are
+    chosen from the labels alone; only the chosen texts are gathered, and only those within the bounds reach
+    the driver, each whole.
     """
-    known = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("y")).where("id is not null and y in (0, 1)").where(~held_out("id"))
+    said = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("y")).where("id is not null and y in (0, 1)").where(~held_out("id"))
+    known = said.groupBy("id").agg(F.min("y").alias("y"), F.max("y").alias("_z")).where("y = _z").drop("_z")
     share = known.agg(F.avg("y")).first()[0]
     picked = None
     for k in (0, 1):
         one = known.where(F.col("y") == k).orderBy(F.xxhash64("id"), "id").limit(per_class)
         picked = one if picked is None else picked.unionByName(one)
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    found = rows.join(F.broadcast(picked), "id").select("id", "y", "text").collect()
-    found.sort(key=lambda r: (r["id"], r["y"], r["text"]))
-    return [r["text"].encode() for r in found], [int(r["y"]) for r in found], share
-
-
-def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", threshold: float = 0.3, per_class: int = 2500, whole: bool = False,
-          size: int = 40, common_bytes: int = 6144, tail_bytes: int = 1024, least: float = 0.015, lift: float = 6.0, near: float = 0.8) -> DataFrame:
+    one = rows.join(F.broadcast(picked), "id").groupBy("id", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    found = written(one, "labelled")
+    left, chosen = {0: class_bytes, 1: class_bytes}, []
+    for r in found.select("id", "y", F.octet_length("text").alias("n"), F.xxhash64("id").alias("h")).orderBy("h", "id").collect():
+        if r["n"] <= left[r["y"]]:
+            left[r["y"]] -= r["n"]
+            chosen.append(r["id"])
+    texts = found.where(F.col("id").isin(chosen)).collect() if chosen else []
+    texts.sort(key=lambda r: (r["id"], r["y"]))
+    return [r["text"].encode() for r in texts], [int(r["y"]) for r in texts], share
+
+
+def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", threshold: float = 0.3, per_class: int = 2500, class_bytes: int = 48 << 20, whole: bool = False,
+          size: int = 40, common_bytes: int = 16384, tail_bytes: int = 1024, least: float = 0.015, lift: float = 6.0, near: float = 0.8) -> DataFrame:
     """One row per document: ``(doc_id, held_out, score, predicted)``, and ``row``, all its columns, if ``whole``.
 
-    The model is fitted on at most ``per_class`` labelled texts of each class whose
+    The model is fitted on at most ``per_class`` labelled texts and ``class_bytes`` of each class whose
     crc32(doc_id as text) mod 4 is not 2, of near copies (word Jaccard ``near`` or more) one.
     The dictionaries hold ``common_bytes`` of ordinary text and ``tail_bytes`` of selected word
     beginnings: those that at least a share ``least`` of a class's texts have, ``lift`` times as
@@ -229,7 +250,7 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     every text gets the share of toxic labels. A null doc_id is not held out; repeated
     rows repeat.
     """
-    model = fit(*training_sample(docs, labels, id_col, text_col, label_col, per_class), size=size, common_bytes=common_bytes, tail_bytes=tail_bytes, least=least, lift=lift, near=near)
+    model = fit(*training_sample(docs, labels, id_col, text_col, label_col, per_class, class_bytes), size=size, common_bytes=common_bytes, tail_bytes=tail_bytes, least=least, lift=lift, near=near)
     names = ["row"] if whole else []
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(held_out(id_col), F.lit(False)).alias("held_out"), F.col(text_col).cast("string").alias("text"),
                        *[F.struct("*").alias(n) for n in names])

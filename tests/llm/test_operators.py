@@ -91,6 +91,20 @@ def test_toxicity_learns_and_keeps_its_hands_off_held_out_labels(spark):
     assert toxicity.score(docs.limit(0), lab).collect() == []
 
 
+def test_toxicity_sample_is_bounded(spark):
+    rows = [(1, "a b"), (1, "c d"), (1, "a b"), (3, "x " * 400), (4, "y"), (6, None), (7, "both"), (None, "n"), (9, "z")]
+    labels = [(1, 1), (3, 0), (4, 0), (6, 0), (7, 0), (7, 1), (None, 1), (9, 2), (9, None), (4, 0)]
+    docs = spark.createDataFrame([(*r, "k") for r in rows], "doc_id long, text string, toxic string").repartition(3)
+    lab = spark.createDataFrame(labels, "doc_id long, toxic int")
+    free = [i for i in (1, 3, 4, 6) if zlib.crc32(str(i).encode()) % 4 != 2]
+    texts, y, share = toxicity.training_sample(docs, lab)
+    assert len(texts) == len(free) and share == sum(i == 1 for i in free) / len(free)
+    assert all(t in (b"a b", b"c d") for t, k in zip(texts, y) if k)
+    small, _, _ = toxicity.training_sample(docs, lab, class_bytes=10)
+    assert sorted(small) == sorted(t for t in texts if len(t) <= 10)
+    assert toxicity.training_sample(docs, lab.limit(0)) == ([], [], None)
+
+
 def test_toxicity_drops_verified_near_copies_alone(monkeypatch):
     rng = np.random.default_rng(3)
     base = [" ".join(f"u{i}x{j}" for j in range(10)) + " however" for i in range(40)]  # unlike texts with one long word in common
@@ -115,6 +129,7 @@ def test_toxicity_drops_verified_near_copies_alone(monkeypatch):
     clean = [" ".join(rng.choice(words, 700 if i < 3 else 8)).encode() for i in range(2100)]
     toxicity.fit([*clean, b"idiot you are", b"moron he is"], [0] * 2100 + [1, 1])
     assert b"".join(seen[0]) == b"".join(clean)  # all texts, whole
+    assert toxicity.parted(b"so idiotic an idiom", {b"idio", b"idiot"}) == (b" idiot idio ", b"so an")
 
 
 def test_archives(spark):
