@@ -25,6 +25,24 @@ def sharded(df: DataFrame, ts: str, shard_ns: int, lookback_ns: int) -> DataFram
     return own.unionByName(tail)
 
 
+def carried(df: DataFrame, by: list[str], keys: list[str], ts: str, order: list[str], shard_ns: int) -> DataFrame:
+    """Adds ``bucket`` and ``ghost``: each time bucket also gets, as ghosts, the last row that each of ``keys``
+    had in any bucket before it.
+
+    So a state of any age needs no other bucket, and a hot ``by``'s history is many tasks. Beside the rows
+    themselves, only the last row of each bucket and key is moved.
+    """
+    own = df.withColumn("bucket", _hour(ts, shard_ns)).withColumn("ghost", F.lit(False))
+    cols = list(df.columns)
+    lasts = own.groupBy(*by, *keys, "bucket").agg(F.max_by(F.struct(*cols), F.struct(ts, *order)).alias("_last"))
+    every = own.select(*by, "bucket").distinct().join(own.select(*by, *keys).distinct(), by)
+    same = [*by, *keys, "bucket"]
+    before = Window.partitionBy(*by, *keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    state = every.join(lasts, same, "left").withColumn("_state", F.last("_last", ignorenulls=True).over(before)).where("_state is not null")
+    ghosts = state.select(*[F.col("_state")[c].alias(c) for c in cols], "bucket", F.lit(True).alias("ghost"))
+    return own.unionByName(ghosts)
+
+
 def merge_latest(df: DataFrame, by: list[str], key: str, keys: list[str], ts: str, order: list[str], value: Column) -> DataFrame:
     """One row per ``by`` and distinct ``ts``: ``latest``, a map from key to its last value so far.
 
@@ -44,7 +62,8 @@ def nbbo(quotes: DataFrame, venues: list[str], max_age_ns: int | None, downs: Da
     ``quotes(symbol, venue, ts_ns, arrival, bid, ask)``. A leg leaves when it is older than
     ``max_age_ns`` or its venue goes down (``downs(venue, ts_ns)``; a down at a quote's time
     comes after it). Ties: the bid goes to the largest venue name, the ask to the smallest.
-    Times without a live leg give no row.
+    Times without a live leg give no row. With ``shard_ns``, a symbol's history is split into buckets
+    of that length, which are tasks of their own.
     """
     rows = quotes.select("symbol", "venue", "ts_ns", F.lit(0).alias("late"), "arrival", F.struct(F.lit(True).alias("alive"), F.col("ts_ns").alias("at"), "bid", "ask").alias("v"))
     if downs is not None:
@@ -54,10 +73,11 @@ def nbbo(quotes: DataFrame, venues: list[str], max_age_ns: int | None, downs: Da
                            F.struct(F.lit(False).alias("alive"), F.col("ts_ns").alias("at"), F.lit(None).cast(kinds["bid"]).alias("bid"), F.lit(None).cast(kinds["ask"]).alias("ask")).alias("v"))
         rows = rows.unionByName(gone)
     by = ["symbol"]
-    if shard_ns and max_age_ns is not None:
-        rows, by = sharded(rows, "ts_ns", shard_ns, max_age_ns), ["symbol", "bucket"]
+    if shard_ns:
+        rows = carried(rows, by, ["venue"], "ts_ns", ["late", "arrival"], shard_ns) if max_age_ns is None else sharded(rows, "ts_ns", shard_ns, max_age_ns)
+        by = ["symbol", "bucket"]
     merged = merge_latest(rows, by, "venue", venues, "ts_ns", ["late", "arrival"], F.col("v"))
-    if shard_ns and max_age_ns is not None:
+    if shard_ns:
         merged = merged.where(~F.col("ghost"))
     legs = F.transform(F.map_entries("latest"), lambda e: F.struct(e["key"].alias("venue"), e["value"].alias("v")))
     fresh = F.filter(legs, lambda x: x["v"].isNotNull() & x["v"]["alive"] & (F.lit(True) if max_age_ns is None else F.col("ts_ns") - x["v"]["at"] <= max_age_ns))
@@ -82,28 +102,48 @@ def basis(nbbos: DataFrame, pairs: DataFrame, max_age_ns: int) -> DataFrame:
     return out.withColumn("basis2", F.col("usd_mid2") - F.col("usdt_mid2")).withColumn("basis_bps", F.col("basis2").cast("double") / F.col("usd_mid2") * 1e4)
 
 
-def asof_join(grid: DataFrame, series: DataFrame, by: list[str], ts: str, order: list[str], cols: list[str], age: str = "age_ns") -> DataFrame:
-    """Each grid row with the last series row at or before it (the last by ``order`` among ties) and its age."""
+def asof_join(grid: DataFrame, series: DataFrame, by: list[str], ts: str, order: list[str], cols: list[str], age: str = "age_ns", shard_ns: int | None = None) -> DataFrame:
+    """Each grid row with the last series row at or before it (the last by ``order`` among ties) and its age.
+
+    With ``shard_ns``, a key's history is split into buckets of that length, which are tasks of their own."""
     g = grid.select(*by, ts, F.lit(1).alias("_grid"), *[F.lit(None).cast("long").alias(o) for o in order], F.lit(None).cast(f"struct<{','.join(f'`{c}`:{series.schema[c].dataType.simpleString()}' for c in cols)},_at:bigint>").alias("_v"))
     s = series.select(*by, ts, F.lit(0).alias("_grid"), *[F.col(o).cast("long").alias(o) for o in order], F.struct(*cols, F.col(ts).cast("long").alias("_at")).alias("_v"))
-    run = Window.partitionBy(*by).orderBy(ts, "_grid", *order).rowsBetween(Window.unboundedPreceding, 0)
-    both = g.unionByName(s).withColumn("_v", F.last("_v", ignorenulls=True).over(run)).where("_grid = 1")
+    both, keys = g.unionByName(s), by
+    if shard_ns:
+        # of a bucket's rows the last with a value is carried on: the grid's rows have none
+        buckets = g.withColumn("bucket", _hour(ts, shard_ns)).select(*by, "bucket").distinct()
+        lasts = s.withColumn("bucket", _hour(ts, shard_ns)).groupBy(*by, "bucket").agg(F.max_by(F.struct(ts, "_grid", *order, "_v"), F.struct(ts, "_grid", *order)).alias("_l"))
+        before = Window.partitionBy(*by).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+        every = buckets.unionByName(lasts.select(*by, "bucket")).distinct().join(lasts, [*by, "bucket"], "left").withColumn("_state", F.last("_l", ignorenulls=True).over(before))
+        marks = every.where("_state is not null").select(*by, "_state.*", "bucket")
+        both = both.withColumn("bucket", _hour(ts, shard_ns)).unionByName(marks)
+        keys = [*by, "bucket"]
+    run = Window.partitionBy(*keys).orderBy(ts, "_grid", *order).rowsBetween(Window.unboundedPreceding, 0)
+    both = both.withColumn("_v", F.last("_v", ignorenulls=True).over(run)).where("_grid = 1")
     return both.select(*by, ts, *[F.col("_v")[c].alias(c) for c in cols], (F.col(ts) - F.col("_v")["_at"]).alias(age))
 
 
-def reorder(events: DataFrame, by: list[str], ts: str, arrival: str, window_ns: int) -> DataFrame:
-    """The events with ``position``, their place by (time, arrival); fails on one that is too late.
+def lateness(events: DataFrame, by: list[str], ts: str, arrival: str, window_ns: int) -> DataFrame:
+    """``late``: whether an event arrives below what a reorder buffer of ``window_ns`` has let go.
 
-    A late event is one below the highest time that was at least ``window_ns`` under the peak
-    before it arrived. It suffices to compare it with the running peak less the window, and
-    with the events between: the check keeps, per event, the highest earlier time not above that.
+    The buffer lets go of an event when the highest time that has arrived is ``window_ns`` above it.
+    That moment is found among the arrivals that raised the highest time, by one sort by time;
+    the highest time let go so far is then a running maximum by arrival.
     """
-    prior = Window.partitionBy(*by).orderBy(arrival).rowsBetween(Window.unboundedPreceding, -1)
-    place = Window.partitionBy(*by).orderBy(ts, arrival)
-    suspect = events.withColumn("_cut", F.max(ts).over(prior) - window_ns).withColumn("_late", F.col(ts) < F.col("_cut"))
-    # below the cut: late if any earlier arrival lies in (time, cut]; sorted by time, that is the next one up
-    up = Window.partitionBy(*by).orderBy(F.col(ts)).rangeBetween(1, Window.unboundedFollowing)
-    first = F.min(F.struct(F.col(arrival))).over(up)
-    checked = suspect.withColumn("_bad", F.col("_late") & (first[arrival] < F.col(arrival)))
-    return checked.withColumn("position", F.row_number().over(place)).withColumn(
-        "position", F.when(F.col("_bad"), F.raise_error(F.concat(F.lit("event beyond the lateness window at "), F.col(ts).cast("string"))).cast("int")).otherwise(F.col("position"))).drop("_cut", "_late", "_bad")
+    upto = Window.partitionBy(*by).orderBy(arrival).rowsBetween(Window.unboundedPreceding, 0)
+    peaks = events.select(*by, F.col(arrival).alias("_a"), F.max(ts).over(upto).alias("_x"), F.lit(0).alias("_ask"), F.lit(None).cast("long").alias("_ts"))
+    asks = events.select(*by, F.col(arrival).alias("_a"), (F.col(ts) + window_ns).alias("_x"), F.lit(1).alias("_ask"), F.col(ts).cast("long").alias("_ts"))
+    high_first = Window.partitionBy(*by).orderBy(F.desc("_x"), "_ask").rowsBetween(Window.unboundedPreceding, 0)
+    raised = F.min(F.when(F.col("_ask") == 0, F.col("_a"))).over(high_first)
+    gone = peaks.unionByName(asks).withColumn("_r", raised).where("_ask = 1 and _r is not null")
+    gone = gone.select(*by, F.greatest("_r", "_a").alias(arrival), F.col("_ts")).groupBy(*by, arrival).agg(F.max("_ts").alias("_gone"))
+    before = Window.partitionBy(*by).orderBy(arrival).rowsBetween(Window.unboundedPreceding, -1)
+    met = events.join(gone, [*by, arrival], "left").withColumn("_out", F.max("_gone").over(before))
+    return met.withColumn("late", F.coalesce(F.col(ts) < F.col("_out"), F.lit(False))).drop("_gone", "_out")
+
+
+def reorder(events: DataFrame, by: list[str], ts: str, arrival: str, window_ns: int) -> DataFrame:
+    """The events with ``position``, their place by (time, arrival); fails on one that is too late (:func:`lateness`)."""
+    place = F.row_number().over(Window.partitionBy(*by).orderBy(ts, arrival))
+    stop = F.raise_error(F.concat(F.lit("event beyond the lateness window at "), F.col(ts).cast("string"))).cast("int")
+    return lateness(events, by, ts, arrival, window_ns).withColumn("position", F.when(F.col("late"), stop).otherwise(place)).drop("late")

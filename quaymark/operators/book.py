@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from dataclasses import dataclass, field
+from bisect import bisect_left, insort
+from collections.abc import Iterable, Iterator
 from decimal import Decimal
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 RUNGS = (5, 10)
@@ -17,78 +17,100 @@ EVENTS = ("exchange string, symbol string, date string, kind string, offset long
           "bid_depth_5 decimal(38,18), ask_depth_5 decimal(38,18), bid_depth_10 decimal(38,18), ask_depth_10 decimal(38,18), bid_px_10 decimal(38,18), ask_px_10 decimal(38,18)")
 
 
-class OutOfOrder(ValueError):
-    """Book records whose (epoch, sequence) order and arrival order disagree."""
+class Ladder:
+    """Prices and sizes of one side, best first: ``sign`` -1 for bids, 1 for asks."""
+
+    def __init__(self, sign: int, levels: Iterable[tuple[Decimal, Decimal]] = ()) -> None:
+        self.sign = sign
+        self.sizes = {sign * p: s for p, s in levels if s > 0}
+        self.keys = sorted(self.sizes)
+
+    def put(self, price: Decimal, size: Decimal) -> None:
+        key = self.sign * price
+        known = key in self.sizes
+        if size == 0:
+            if known:
+                del self.sizes[key]
+                del self.keys[bisect_left(self.keys, key)]
+            return
+        self.sizes[key] = size
+        if not known:
+            insort(self.keys, key)
+
+    def best(self, n: int) -> list[tuple[Decimal, Decimal]]:
+        return [(self.sign * k, self.sizes[k]) for k in self.keys[:n]]
+
+    def cut(self, depth: int) -> list[Decimal]:
+        """Keep the best ``depth`` levels; the prices that went, the worst first."""
+        gone, self.keys = self.keys[depth:], self.keys[:depth]
+        for k in gone:
+            del self.sizes[k]
+        return [self.sign * k for k in reversed(gone)]
 
 
-@dataclass
 class Book:
-    """Price to size on each side, and the last sequence applied (-1: none)."""
+    """Both sides of a book, and the last sequence applied (-1: none)."""
 
-    bids: dict[Decimal, Decimal] = field(default_factory=dict)
-    asks: dict[Decimal, Decimal] = field(default_factory=dict)
-    sequence: int = -1
+    def __init__(self) -> None:
+        self.clear()
+
+    def clear(self) -> None:
+        self.bids, self.asks, self.sequence = Ladder(-1), Ladder(1), -1
+
+    @staticmethod
+    def _cross(bids: Ladder, asks: Ladder) -> bool:
+        """Whether the best bid is at or above the best ask."""
+        return bool(bids.keys and asks.keys) and -bids.keys[0] >= asks.keys[0]
 
     def crossed(self) -> bool:
-        return bool(self.bids and self.asks) and max(self.bids) >= min(self.asks)
+        return self._cross(self.bids, self.asks)
 
     def snapshot(self, sequence: int, bids: list, asks: list) -> str | None:
         """Replace the book; a crossed snapshot leaves it as it is and is named."""
-        new = Book({p: s for p, s in bids if s > 0}, {p: s for p, s in asks if s > 0}, sequence)
-        if new.crossed():
+        new = Ladder(-1, bids), Ladder(1, asks)
+        if self._cross(*new):
             return "snapshot_crossed"
-        self.bids, self.asks, self.sequence = new.bids, new.asks, sequence
+        (self.bids, self.asks), self.sequence = new, sequence
         return None
 
     def delta(self, sequence: int, bids: list, asks: list) -> str | None:
         """Set or delete levels; what breaks an invariant is named. A book crossed by a delta keeps its levels."""
         if sequence <= self.sequence:
             return "non_monotonic_seq"
-        for side, levels in ((self.bids, bids), (self.asks, asks)):
-            for price, size in levels:
-                if size == 0:
-                    side.pop(price, None)
-                else:
-                    side[price] = size
+        for price, size in bids:
+            self.bids.put(price, size)
+        for price, size in asks:
+            self.asks.put(price, size)
         if self.crossed():
             return "crossed_after_delta"
         self.sequence = sequence
         return None
 
     def top(self, n: int) -> tuple[list, list]:
-        return sorted(self.bids.items(), reverse=True)[:n], sorted(self.asks.items())[:n]
+        return self.bids.best(n), self.asks.best(n)
+
+    def depth(self) -> tuple[int, int]:
+        return len(self.bids.keys), len(self.asks.keys)
 
     def trim(self, depth: int) -> tuple[list, list]:
         """Keep the best ``depth`` levels a side; the prices that went."""
-        gone = sorted(self.bids)[: max(0, len(self.bids) - depth)], sorted(self.asks, reverse=True)[: max(0, len(self.asks) - depth)]
-        for side, prices in zip((self.bids, self.asks), gone):
-            for p in prices:
-                del side[p]
-        return gone
-
-    def clear(self) -> None:
-        self.bids, self.asks, self.sequence = {}, {}, -1
+        return self.bids.cut(depth), self.asks.cut(depth)
 
 
-def fold(records: Iterator, contiguous: bool) -> Iterator[tuple]:
-    """``(record, gap, violation, bids, asks)`` for each record of one book, in fold order.
+def fold(records: Iterable, contiguous: bool) -> Iterator[tuple]:
+    """``(record, gap, violation, bids, asks)`` for each record of one stretch of a book, in fold order.
 
-    A new epoch starts an empty book, and a violation empties it after its row; later deltas
-    go on from there. A delta at the book's own sequence is already in it.
+    A violation empties the book after its row, and later deltas go on from there. A delta at the
+    book's own sequence is already in it.
     """
-    book, epoch, key, offsets = Book(), None, None, {}
+    book = Book()
     for r in records:
-        k = (r.epoch, r.sequence, r.kind != "snap")
-        if (key is not None and k < key) or r.offset < offsets.get(r.kind, r.offset):
-            raise OutOfOrder(f"{r.exchange} {r.symbol} {r.kind} at offset {r.offset}")
-        key, offsets[r.kind] = k, r.offset
-        if r.epoch != epoch:
-            book, epoch = Book(), r.epoch
-        gap = r.sequence - book.sequence - 1 if r.kind == "delta" and contiguous and 0 <= book.sequence < r.sequence - 1 else 0
+        at, gap, wrong = book.sequence, 0, None
         if r.kind == "snap":
             wrong = book.snapshot(r.sequence, r.bids, r.asks)
-        else:
-            wrong = None if r.sequence == book.sequence else book.delta(r.sequence, r.bids, r.asks)
+        elif r.sequence != at:
+            gap = max(0, r.sequence - at - 1) if contiguous and at >= 0 else 0
+            wrong = book.delta(r.sequence, r.bids, r.asks)
         yield r, gap, wrong, *book.top(RUNGS[-1])
         if wrong:
             book.clear()
@@ -98,16 +120,38 @@ def _levels(raw) -> list[tuple[Decimal, Decimal]]:
     return [(Decimal(x["px"]), Decimal(x["sz"])) for x in (raw if raw is not None else ())]
 
 
-def fold_books(records: DataFrame) -> DataFrame:
-    """The fold of every book, one row per record with what the book then shows (``EVENTS``).
+#: The order of the fold: by epoch and sequence, a snapshot before a delta of its own sequence.
+ORDER = ["epoch", "sequence", "late", "offset"]
+
+
+def stretches(records: DataFrame) -> DataFrame:
+    """``late`` and ``stretch``: runs of a book's records that need no state from before.
+
+    A new epoch starts an empty book, and a snapshot that is not crossed replaces whatever there was: so a
+    hot book's date is many groups, each from one such snapshot to the next. Fails where the offsets
+    of a kind do not rise in the order of the fold."""
+    rows = records.withColumn("late", (F.col("kind") != "snap").cast("int"))
+    by = ["exchange", "symbol", "date"]
+    before = F.lag("offset").over(Window.partitionBy(*by, "kind").orderBy("epoch", "sequence", "offset"))
+    wrong = F.raise_error(F.concat(F.lit("records out of order at offset "), F.col("offset").cast("string"))).cast("long")
+    price = lambda side: F.transform(F.filter(side, lambda x: x["sz"].cast("decimal(38,18)") > 0), lambda x: x["px"].cast("decimal(38,18)"))
+    sound = (F.col("kind") == "snap") & ~F.coalesce(F.array_max(price("bids")) >= F.array_min(price("asks")), F.lit(False))
+    n = F.sum(sound.cast("long")).over(Window.partitionBy(*by, "epoch").orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, 0))
+    return rows.withColumn("_before", before).withColumn("offset", F.when(F.col("_before") > F.col("offset"), wrong).otherwise(F.col("offset"))).drop("_before").withColumn("stretch", n)
+
+
+def fold_books(records: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """The fold of every book, one row per record with what the book then shows (``EVENTS``, then ``carry``).
 
     ``records(exchange, symbol, date, kind, offset, sequence, epoch, ts_ns, bids, asks)``, levels
-    as arrays of ``struct<px:string,sz:string>``. Books of one (exchange, symbol, date) are one
-    group: the state is sequential, and epochs reset it.
+    as arrays of ``struct<px:string,sz:string>``; ``carry`` names columns that go along as they are. A group is
+    one of :func:`stretches`; inside it the state is sequential.
     """
+    kinds = EVENTS + "".join(f", {c} {records.schema[c].dataType.simpleString()}" for c in carry)
+    names = [c.split()[0] for c in EVENTS.split(", ")] + list(carry)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.assign(late=(pdf["kind"] != "snap").astype(int)).sort_values(["epoch", "sequence", "late", "offset"], kind="stable")
+        pdf = pdf.sort_values(ORDER, kind="stable")
         pdf = pdf.assign(bids=pdf["bids"].map(_levels), asks=pdf["asks"].map(_levels))
         rows = []
         for r, gap, wrong, bids, asks in fold(pdf.itertuples(index=False), pdf["exchange"].iloc[0] in CONTIGUOUS):
@@ -115,11 +159,12 @@ def fold_books(records: DataFrame) -> DataFrame:
             quoted = wrong is None and bool(bids) and bool(asks)
             depth = [sum((s for _, s in side[:n]), Decimal(0)) if quoted else None for n in RUNGS for side in (bids, asks)]
             rows.append((r.exchange, r.symbol, r.date, r.kind, r.offset, r.sequence, r.epoch, r.ts_ns, b[0], a[0], b[1], a[1], gap, wrong,
-                         wrong in ("snapshot_crossed", "crossed_after_delta"), quoted, *depth, bids[-1][0] if quoted else None, asks[-1][0] if quoted else None))
-        return pd.DataFrame(rows, columns=[c.split()[0] for c in EVENTS.split(", ")])
+                         wrong in ("snapshot_crossed", "crossed_after_delta"), quoted, *depth, bids[-1][0] if quoted else None, asks[-1][0] if quoted else None, *[getattr(r, c) for c in carry]))
+        out = pd.DataFrame(rows, columns=names)
+        return out.astype({c: "Int64" for c in carry if pd.api.types.is_numeric_dtype(out[c])})
 
     cols = ["exchange", "symbol", "date", "kind", "offset", "sequence", "epoch", "ts_ns", "bids", "asks"]
-    return records.select(*cols).groupBy("exchange", "symbol", "date").applyInPandas(run, EVENTS)
+    return stretches(records.select(*cols, *carry)).groupBy("exchange", "symbol", "date", "epoch", "stretch").applyInPandas(run, kinds)
 
 
 def quotes(events: DataFrame) -> DataFrame:

@@ -46,3 +46,142 @@ def histogram_quantile(buckets: DataFrame, by: list[str], q: float) -> DataFrame
     first = hit.groupBy(*by).agg(F.min(F.struct("_le", "n", "_n0", "_le0", "_total")).alias("h")).select(*by, "h.*")
     inside = F.col("_le0") + (F.col("_le") - F.col("_le0")) * F.try_divide(F.col("_total") * q - F.col("_n0"), F.col("n") - F.col("_n0"))
     return first.select(*by, F.when(F.col("_le") == float("inf"), F.col("_le0")).otherwise(inside).alias("quantile"))
+
+
+def rate(samples: DataFrame, by: list[str], ts: str, value: str, span: int) -> DataFrame:
+    """``rate``: the increase over the ``span`` before each sample, by its length; no extrapolation to its edges."""
+    return increase(samples, by, ts, value, span).withColumn("rate", F.col("increase") / F.lit(float(span)))
+
+
+def summed_rate(samples: DataFrame, series: list[str], by: list[str], ts: str, value: str, span: int) -> DataFrame:
+    """``rate`` by ``by`` and time, over all series: each series' own first, as a counter resets by itself."""
+    return rate(samples, series, ts, value, span).groupBy(*by, ts).agg(F.sum("rate").alias("rate"))
+
+
+def share(part: DataFrame, whole: DataFrame, by: list[str], ts: str, factor: float = 100.0) -> DataFrame:
+    """``ratio``: one summed rate over another at the same times; null where the other is 0."""
+    both = part.select(*by, ts, F.col("rate").alias("_a")).join(whole.select(*by, ts, F.col("rate").alias("_b")), [*by, ts])
+    return both.select(*by, ts, F.when(F.col("_b") != 0, F.col("_a") / F.col("_b") * factor).alias("ratio"))
+
+
+MINUTE = 60
+#: Alert, metric, how it is read (and over which span), the labels it is summed by, test, and for how long it must hold.
+ALERTS = [
+    ("GatewayBBOCrossed", "gateway_bbo_crossed_total", "rate", 5 * MINUTE, ("exchange",), ">", 0.0, 2 * MINUTE),
+    ("GatewayNBBOCrossed", "gateway_nbbo_crossed_material_total", "rate", 5 * MINUTE, ("canonical_id",), ">", 0.0, 2 * MINUTE),
+    ("BookInvariantViolations", "md_book_invariant_violations_total", "rate", 5 * MINUTE, ("exchange", "kind"), ">", 0.0, 2 * MINUTE),
+    ("BookResyncStorm", "md_book_resyncs_total", "rate", 5 * MINUTE, ("exchange",), ">", 0.02, 10 * MINUTE),
+    ("VenueDown", "gateway_venue_up", "value", 0, None, "==", 0.0, MINUTE),
+    ("GatewayConsumerLagHigh", "gateway_consumer_lag_messages", "value", 0, None, ">", 50000.0, 5 * MINUTE),
+    ("MaterializerLagHigh", "bronze_consumer_lag_messages", "value", 0, None, ">", 50000.0, 10 * MINUTE),
+    ("TargetDown", "up", "value", 0, None, "==", 0.0, MINUTE),
+    ("RecvClockBackwardStep", "md_recv_clock_worst_step_ms", "max", 0, ("exchange",), ">", 1000.0, 5 * MINUTE),
+    ("GatewayRestarted", "gateway_process_start_time_seconds", "changes", 15 * MINUTE, None, ">", 0.0, 0),
+    ("BronzeLakeStale", "lake_freshness_seconds{layer=bronze}", "min", 0, (), ">", 1800.0, 5 * MINUTE),
+    ("CaptureClockStepLarge", "gold_dq_clock_worst_ms", "value", 0, None, ">", 1000.0, 0),
+    ("ClockStepsElevated", "gold_dq_violations{check=clock_monotonic}", "value", 0, None, ">", 100.0, 10 * MINUTE),
+    ("LakeExporterStale", "lake_exporter_last_success_seconds", "age", 0, None, ">", 600.0, 5 * MINUTE),
+]
+
+
+def selected(samples: DataFrame, metric: str) -> DataFrame:
+    """The samples ``(metric, labels map, ts, value)`` of a name with label matches in braces."""
+    name, _, match = metric.partition("{")
+    out = samples.where(F.col("metric") == name)
+    for pair in match.rstrip("}").split(",") if match else []:
+        key, _, want = pair.partition("=")
+        out = out.where(F.col("labels")[key] == want)
+    return out
+
+
+def alerts(samples: DataFrame, rules: list[tuple] = ALERTS) -> DataFrame:
+    """Every alert at every evaluation that has a sample: ``(alert, series, ts, value, active, firing)``.
+
+    ``samples(metric string, labels map<string,string>, ts long, value double)``. ``series`` holds the labels that
+    an alert is by, as sorted JSON. An alert fires once its test has held for as long as its rule says."""
+    from functools import reduce
+
+    parts = []
+    for name, metric, how, span, by, test, bound, hold in rules:
+        own = selected(samples, metric)
+        full = F.to_json(F.map_from_entries(F.array_sort(F.map_entries("labels"))))
+        kept = full if by is None else F.to_json(F.map_from_arrays(F.array(*[F.lit(b) for b in sorted(by)]), F.array(*[F.coalesce(F.col("labels")[b], F.lit("")) for b in sorted(by)]))) if by else F.lit("{}")
+        rows = own.select(full.alias("_full"), kept.alias("series"), "ts", "value")
+        if how == "rate":
+            got = summed_rate(rows, ["_full", "series"], ["series"], "ts", "value", span).select("series", "ts", F.col("rate").alias("value"))
+        elif how == "changes":
+            got = changes(rows, ["series"], "ts", "value", span).select("series", "ts", F.col("changes").cast("double").alias("value"))
+        elif how == "age":
+            got = rows.select("series", "ts", (F.col("ts") - F.col("value")).alias("value"))
+        else:
+            pick = {"max": F.max, "min": F.min, "value": F.max}[how]
+            got = rows.groupBy("series", "ts").agg(pick("value").alias("value"))
+        on = F.col("value") > bound if test == ">" else F.col("value") == bound
+        held = firing(got, ["series"], "ts", on, hold)
+        parts.append(held.select(F.lit(name).alias("alert"), "series", "ts", "value", "active", "firing"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _gauge(df: DataFrame, name: str, labels: dict[str, Column], value: Column) -> DataFrame:
+    entries = F.map_from_arrays(F.array(*[F.lit(k) for k in labels]), F.array(*[v.cast("string") for v in labels.values()])) if labels else F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
+    return df.select(F.lit(name).alias("metric"), entries.alias("labels"), value.cast("double").alias("value"))
+
+
+def freshness_families(newest: DataFrame, now: float) -> DataFrame:
+    """``newest(layer, dataset, at)`` to seconds since, never below 0."""
+    return _gauge(newest, "lake_freshness_seconds", {"layer": F.col("layer"), "dataset": F.col("dataset")}, F.greatest(F.lit(0.0), F.lit(now) - F.col("at")))
+
+
+def scorecard_families(rows: DataFrame) -> DataFrame:
+    """The gauges of one date's scorecard: violations, records, latency quantiles, worst clock step, and the date itself."""
+    from functools import reduce
+
+    sym = F.coalesce("canonical_symbol", F.lit(""))
+    labels = {"check": F.col("check"), "exchange": F.col("exchange"), "symbol": sym}
+    lat = rows.where(F.col("check").startswith("latency.")).select(
+        "exchange", sym.alias("symbol"), F.substring("check", len("latency.") + 1, 1000).alias("dataset"),
+        F.explode(F.array(*[F.struct(F.lit(q).alias("q"), F.col(f"{q}_ms").alias("v")) for q in ("p50", "p95", "p99")])).alias("x")).where("x.v is not null")
+    step = rows.where("check = 'clock_monotonic'").withColumn("_w", F.get_json_object("detail", "$.worst_lateness_ms").cast("double")).where("_w is not null")
+    parts = [
+        _gauge(rows, "gold_dq_violations", labels, F.col("n_violations")),
+        _gauge(rows, "gold_dq_records", labels, F.col("n_records")),
+        _gauge(lat, "gold_dq_latency_ms", {"exchange": F.col("exchange"), "symbol": F.col("symbol"), "dataset": F.col("dataset"), "quantile": F.col("x.q")}, F.col("x.v")),
+        _gauge(step, "gold_dq_clock_worst_ms", {"exchange": F.col("exchange"), "symbol": sym}, F.col("_w")),
+        _gauge(rows.select("date").distinct(), "gold_scorecard_date_seconds", {}, F.unix_timestamp(F.to_timestamp("date", "yyyy-MM-dd"))),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def basis_families(rows: DataFrame) -> DataFrame:
+    """The gauges of one date's basis summary: four statistics, and how many observations are behind them."""
+    tall = rows.select("base", F.explode(F.array(*[F.struct(F.lit(q).alias("q"), F.col(f"basis_bps_{q}").alias("v")) for q in ("mean", "std", "min", "max")])).alias("x")).where("x.v is not null")
+    return _gauge(tall, "gold_basis_bps", {"base": F.col("base"), "stat": F.col("x.q")}, F.col("x.v")).unionByName(_gauge(rows, "gold_basis_obs", {"base": F.col("base")}, F.col("n_obs")))
+
+
+def marker_skew(markers: DataFrame, newest: DataFrame) -> DataFrame:
+    """How far each dataset's marker is from its newest object: ``markers(layer, dataset, written_at_epoch)``, ``newest(layer, dataset, at)``."""
+    met = markers.join(newest, ["layer", "dataset"])
+    return _gauge(met, "lake_freshness_marker_skew_seconds", {"layer": F.col("layer"), "dataset": F.col("dataset")}, F.abs(F.col("written_at_epoch") - F.col("at")))
+
+
+def latest(rows: DataFrame, date: str = "date") -> DataFrame:
+    """The rows of the latest date alone."""
+    top = rows.agg(F.max(date).alias("_top"))
+    return rows.join(F.broadcast(top), F.col(date) == F.col("_top")).drop("_top")
+
+
+class LastGood:
+    """The last snapshot that could be made, and how often making one failed since the start."""
+
+    def __init__(self) -> None:
+        self.rows: list = []
+        self.errors = 0
+        self.made_at: float | None = None
+
+    def refresh(self, make, now: float) -> list:
+        """``make()`` a frame and keep its rows; if that fails, count it and serve the last ones."""
+        try:
+            self.rows, self.made_at = make().collect(), now
+        except Exception:
+            self.errors += 1
+        return self.rows

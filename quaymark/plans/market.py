@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quaymark.operators import asof, features, metrics, research, scorecard
+from quaymark.operators import asof, features, metrics, quantiles, research, scorecard
 from quaymark.sources import wire
 from quaymark.streaming import gateway
 
@@ -77,7 +77,7 @@ def _downs(q: DataFrame) -> DataFrame:
 
 @query(_nbbo_sql(None, False, "SELECT * FROM nbbo"))
 def nbbo_asof(spark, sf):
-    return asof.nbbo(quotes(spark, sf), VENUES, None)
+    return asof.nbbo(quotes(spark, sf), VENUES, None, shard_ns=4 * AGE)
 
 
 @query(_nbbo_sql(AGE, False, "SELECT * FROM nbbo"))
@@ -87,13 +87,13 @@ def nbbo_evict_stale(spark, sf):
 
 @query(_nbbo_sql(AGE, False, "SELECT * FROM nbbo", truncated=True))
 def nbbo_ties(spark, sf):
-    return asof.nbbo(quotes(spark, sf).withColumn("ts_ns", F.expr(f"(ts_ns div {H}) * {H}")), VENUES, AGE)
+    return asof.nbbo(quotes(spark, sf).withColumn("ts_ns", F.expr(f"(ts_ns div {H}) * {H}")), VENUES, AGE, shard_ns=2 * AGE)
 
 
 @query(_nbbo_sql(AGE, True, "SELECT * FROM nbbo"))
 def nbbo_evict_down(spark, sf):
     q = quotes(spark, sf)
-    return asof.nbbo(q, VENUES, AGE, _downs(q))
+    return asof.nbbo(q, VENUES, AGE, _downs(q), shard_ns=2 * AGE)
 
 
 _BASIS = """, legs AS (SELECT split_part(symbol, '-', 1) AS base, split_part(symbol, '-', 2) AS quote, ts_ns, best_bid + best_ask AS mid2 FROM nbbo),
@@ -116,9 +116,9 @@ def basis_cross_quote(spark, sf):
 def summary(basis: DataFrame) -> DataFrame:
     """Daily basis statistics: exact percentiles, population deviation, rounded to a millionth."""
     b = F.col("basis_bps")
-    p = F.percentile(b, F.array(F.lit(0.5), F.lit(0.01), F.lit(0.99)))
-    date = F.date_format(F.timestamp_micros(F.expr("ts_ns div 1000")), "yyyy-MM-dd")
-    out = basis.groupBy("base", date.alias("date")).agg(F.count("*").alias("n_obs"), F.avg(b).alias("mean"), F.stddev_pop(b).alias("std"), p.alias("p"), F.min(b).alias("lo"), F.max(b).alias("hi"), (F.max("ts_ns") - F.min("ts_ns")).alias("coverage_ns"))
+    dated = basis.withColumn("date", F.date_format(F.timestamp_micros(F.expr("ts_ns div 1000")), "yyyy-MM-dd"))
+    out = dated.groupBy("base", "date").agg(F.count("*").alias("n_obs"), F.avg(b).alias("mean"), F.stddev_pop(b).alias("std"), F.min(b).alias("lo"), F.max(b).alias("hi"), (F.max("ts_ns") - F.min("ts_ns")).alias("coverage_ns"))
+    out = out.join(quantiles.percentiles(dated, ["base", "date"], "basis_bps", [0.5, 0.01, 0.99]), ["base", "date"])
     r = lambda c: F.round(c, 6)
     return out.select("base", "date", "n_obs", r("mean").alias("basis_bps_mean"), r("std").alias("basis_bps_std"), r(F.col("p")[0]).alias("basis_bps_median"), r("lo").alias("basis_bps_min"), r("hi").alias("basis_bps_max"),
                       r(F.col("p")[1]).alias("basis_bps_p1"), r(F.col("p")[2]).alias("basis_bps_p99"), "coverage_ns")
@@ -138,7 +138,7 @@ gq AS (SELECT g.symbol, g.venue, g.ts_ns, q.bid, q.ask, g.ts_ns - q.ts_ns AS age
 
 def gridded(spark, sf):
     q = quotes(spark, sf)
-    return asof.asof_join(features.grid(q, ["symbol", "venue"], "ts_ns", H), q, ["symbol", "venue"], "ts_ns", ["arrival"], ["bid", "ask"])
+    return asof.asof_join(features.grid(q, ["symbol", "venue"], "ts_ns", H), q, ["symbol", "venue"], "ts_ns", ["arrival"], ["bid", "ask"], shard_ns=4 * AGE)
 
 
 @query(BASE + _GRID + "SELECT * FROM gq")
@@ -204,15 +204,16 @@ def scorecard_absent(spark, sf):
     return scorecard.absent(quotes(spark, sf), expected, ["symbol", "venue"])
 
 
-BUDGET = {"default": {"max_violations": 0}, "checks": {"sequence_gap": {"max_violations": 300, "max_rate": 0.9, "exchanges": {"view": {"max_violations": 100, "symbols": {"AAA-USD": {"max_violations": 1000000}}}}}}}
+BUDGET = {"default": {"max_violations": 0}, "checks": {"sequence_gap": {"max_violations": 3, "max_rate": 0.9, "exchanges": {"view": {"max_violations": 1, "symbols": {"AAA-USD": {"max_violations": 1000000}}}}}}}
 
 
-@query(BASE + _SEQ + """, c AS (SELECT venue AS exchange, symbol, count(*) AS n, count_if(gap > 0) AS v FROM s WHERE gap IS NOT NULL GROUP BY ALL),
-l AS (SELECT *, CASE WHEN exchange = 'view' AND symbol = 'AAA-USD' THEN 1000000.0 WHEN exchange = 'view' THEN 100.0 ELSE 300.0 END AS mv FROM c)
-SELECT exchange, symbol, 'sequence_gap' AS "check", 'max_violations' AS "limit", CAST(v AS DOUBLE) AS value, CAST(mv AS DOUBLE) AS bound FROM l WHERE v > mv
-UNION ALL SELECT exchange, symbol, 'sequence_gap', 'max_rate', CAST(v AS DOUBLE) / n, CAST(0.9 AS DOUBLE) FROM l WHERE n > 0 AND CAST(v AS DOUBLE) / n > 0.9""")
+@query(BASE + _SEQ + """, c AS (SELECT venue AS exchange, symbol, strftime(make_timestamp(ts_ns // 1000), '%Y-%m-%d') AS date, count(*) AS n, count_if(gap > 0) AS v FROM s WHERE gap IS NOT NULL GROUP BY 1, 2, 3),
+l AS (SELECT *, CASE WHEN exchange = 'view' AND symbol = 'AAA-USD' THEN 1000000.0 WHEN exchange = 'view' THEN 1.0 ELSE 3.0 END AS mv FROM c)
+SELECT exchange, symbol, date, 'sequence_gap' AS "check", 'max_violations' AS "limit", CAST(v AS DOUBLE) AS value, CAST(mv AS DOUBLE) AS bound FROM l WHERE v > mv
+UNION ALL SELECT exchange, symbol, date, 'sequence_gap', 'max_rate', CAST(v AS DOUBLE) / n, CAST(0.9 AS DOUBLE) FROM l WHERE n > 0 AND CAST(v AS DOUBLE) / n > 0.9""")
 def budget_breaches(spark, sf):
-    rows = scorecard_gap(spark, sf).select(F.col("venue").alias("exchange"), "symbol", F.lit("sequence_gap").alias("check"), "n_records", "n_violations", F.lit(None).cast("double").alias("p99_ms"))
+    rows = scorecard.sequence_gap(_sequenced(spark, sf).where("seq_gap is not null").withColumn("date", F.date_format(F.timestamp_micros(F.expr("ts_ns div 1000")), "yyyy-MM-dd")), ["symbol", "venue", "date"])
+    rows = rows.select(F.col("venue").alias("exchange"), "symbol", "date", F.lit("sequence_gap").alias("check"), "n_records", "n_violations", F.lit(None).cast("double").alias("p99_ms"))
     return scorecard.breaches(rows, scorecard.rules_frame(spark, BUDGET))
 
 
