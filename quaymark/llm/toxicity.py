@@ -130,13 +130,17 @@ def measures(gains: np.ndarray) -> np.ndarray:
     return np.array([*top, *((gains >= k).sum() / math.sqrt(n) for k in STEPS), gains.mean(), math.log1p(n)], float)
 
 
+#: How matches are sought: every place of a dictionary has its slot, and a match has at least six bytes, about a word;
+#: shorter ones are chance.
+SEARCH = {"window_log": 17, "chain_log": 17, "hash_log": 17, "search_log": 4, "min_match": 6, "target_length": 0, "strategy": zstandard.STRATEGY_FAST}
+
+
 @dataclass
 class Model:
     common: bytes
     toxic: bytes
     ordinary: bytes
     size: int
-    level: int
     mean: np.ndarray
     scale: np.ndarray
     weights: np.ndarray
@@ -145,8 +149,8 @@ class Model:
         out = []
         for tail in (self.toxic, self.ordinary):
             known = zstandard.ZstdCompressionDict(self.common + tail, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            known.precompute_compress(level=self.level)
-            how = zstandard.ZstdCompressionParameters.from_level(self.level, write_content_size=False, write_dict_id=False, write_checksum=False)
+            how = zstandard.ZstdCompressionParameters(**SEARCH, write_content_size=False, write_dict_id=False, write_checksum=False)
+            known.precompute_compress(compression_params=how)
             out.append(zstandard.ZstdCompressor(dict_data=known, compression_params=how))
         return out[0], out[1]
 
@@ -159,15 +163,16 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def fit(texts: list[bytes], labels: list[int], share: float | None = None, size: int = 40, level: int = 1, common_bytes: int = 16384, tail_bytes: int = 1024, least: float = 0.015, lift: float = 6.0, near: float = 0.8) -> Model:
+def fit(texts: list[bytes], labels: list[int], share: float | None = None, size: int = 40, common_bytes: int = 16384, tail_bytes: int = 1024, least: float = 0.015, lift: float = 6.0, near: float = 0.8) -> Model:
     """Dictionaries and thresholds from labelled texts.
 
     Both dictionaries begin with the same text trained on the ordinary class, whole texts but for the
     words that mark toxic ones off; the toxic one ends in a dictionary trained on those parts of the
-    toxic texts, the ordinary one in one trained on the marked parts of ordinary texts, or on
-    ordinary text if there are none. (Dictionaries trained on the classes' whole texts alone differ
-    by chance in the prose they hold, which outweighs what is toxic in a window.) Of near copies (:func:`unlike`) one is used, all other texts whole. A logistic model of the window gains sets the thresholds, for classes as
-    common as ``share`` of toxic texts says (None: as in ``texts``).
+    toxic texts, the ordinary one in as much more ordinary text. (Dictionaries trained on the classes'
+    whole texts alone differ by chance in the prose they hold, which outweighs what is toxic in a
+    window.) Of near copies (:func:`unlike`) one is used, all other texts whole. A logistic model of
+    the window gains sets the thresholds, for classes as common as ``share`` of toxic texts says
+    (None: as in ``texts``).
     """
     lines = [plain(t) for t in texts]
     y = np.array(labels)
@@ -175,17 +180,17 @@ def fit(texts: list[bytes], labels: list[int], share: float | None = None, size:
         base = float(y.mean()) if len(y) else 0.0
         w = np.zeros(FEATURES + 1)
         w[0] = math.log((base + 1e-3) / (1 - base + 1e-3))
-        return Model(b"", b" ", b" ", size, level, np.zeros(FEATURES), np.ones(FEATURES), w)
+        return Model(b"", b" ", b" ", size, np.zeros(FEATURES), np.ones(FEATURES), w)
     tox = [x for x, k in zip(lines, labels) if k]
     ord_ = [x for x, k in zip(lines, labels) if not k]
     tox, ord_ = unlike(tox, near), unlike(ord_, near)
-    stems, their = marked(tox, ord_, least, lift), marked(ord_, tox, least, lift)
+    stems = marked(tox, ord_, least, lift)
     # what marks toxic text off is kept out of the part that both share, even where a label is wrong
     prose = [parted(x, stems)[1] for x in ord_]
     common = _train([x[i : i + 512] for x in prose for i in range(0, len(x), 512)], common_bytes)[-common_bytes:]
     toxic = _train([parted(x, stems)[0] for x in tox], tail_bytes)
-    ordinary = _train([parted(x, their)[0] for x in ord_] if their else [], len(toxic) or 256) or common[: len(toxic)]
-    model = Model(common, toxic or b" ", (ordinary or b" ")[: max(1, len(toxic))], size, level, np.zeros(FEATURES), np.ones(FEATURES), np.zeros(FEATURES + 1))
+    ordinary = common[: len(toxic)]
+    model = Model(common, toxic or b" ", (ordinary or b" ")[: max(1, len(toxic))], size, np.zeros(FEATURES), np.ones(FEATURES), np.zeros(FEATURES + 1))
     presses = model.presses()
     x = np.stack([measures(model.gains(t, presses)) for t in texts])
     model.mean, model.scale = x.mean(axis=0), x.std(axis=0) + 1e-6
