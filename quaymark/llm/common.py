@@ -51,12 +51,12 @@ def forget(df: DataFrame) -> None:
 def meet(rows: DataFrame, groups: DataFrame, key: str, salt: Column, parts: int = 512) -> DataFrame:
     """``rows`` left-joined with ``groups(key, n, ...)``, one row per key, without a task for a hot key.
 
-    ``n`` is how many of the rows have the key. At most ``parts`` keys can hold more than a
+    The columns of ``groups`` that ``rows`` has not are added. ``n`` is how many of the rows have the key. At most ``parts`` keys can hold more than a
     ``parts``-th of what ``groups`` counts: those are broadcast, and their rows dealt by ``salt``. The
     other keys meet in a shuffle. Keys are strings.
     """
     total = groups.agg(F.sum("n")).first()[0] or 0
-    names = [c for c in groups.columns if c != key]
+    names = [c for c in groups.columns if c != key and c not in rows.columns]
     found = F.struct(*names)
     hot = groups.where(F.col("n") * parts > total).select(key, found.alias("_hot"))
     cold = groups.where(F.col("n") * parts <= total).select(F.col(key).alias("_k"), found.alias("_cold"))

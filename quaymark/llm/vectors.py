@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, written
+from .common import components, meet, written
 from .simhash import forest
 
 
@@ -117,8 +117,9 @@ def near_duplicates(vecs: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     placed = classes.select("label", F.col("id").alias("id"), "unit", "n").mapInArrow(
         place, f"label {label_kind}, size long, cell long, home long, id {id_kind}, unit binary, n long, visits array<int>")
     placed = written(placed, "placed")
-    sizes = placed.groupBy("label", "size", "cell").agg(F.ceil(F.count("*") / block).alias("blocks"))
-    dealt = placed.join(sizes, ["label", "size", "cell"]).withColumn("own", F.pmod(F.xxhash64("unit"), "blocks"))
+    spot = F.concat_ws(":", F.col("label").cast("string"), "size", "cell")
+    sizes = placed.groupBy(spot.alias("spot")).agg(F.count("*").alias("n"), F.ceil(F.count("*") / block).alias("blocks"))
+    dealt = meet(placed.withColumn("spot", spot), sizes, "spot", F.xxhash64("unit")).withColumn("own", F.pmod(F.xxhash64("unit"), "blocks"))
     others = F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda j: F.struct(F.least(j, "own").alias("i"), F.greatest(j, "own").alias("j")))
     dealt = dealt.withColumn("pair", F.explode(others)).select("label", "size", "cell", "pair.i", "pair.j", "own", "home", "id", "unit", "n", "visits")
 
