@@ -28,15 +28,25 @@ PHONE_LIKE = "(?<![0-9+(.-])\\(?[0-9]{3}\\)?[\\x20.-][0-9]{3}[\\x20.-][0-9]{4}(?
 SSN = "(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 IBAN = "(?<![A-Z0-9])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}(?![A-Z0-9])"
 
-#: Words before a span that speak for its kind, and listed beginnings or endings.
+#: Words before a span that speak for its kind.
 CONTEXT = {
-    "email_like": "(?i)(mail|contact|write|reach)", "card_like": "(?i)(card|visa|credit|debit|master|amex|payment)",
-    "phone_like": "(?i)(tel|phone|call|fax|mobile|cell)", "ssn": "(?i)(ssn|social|security|tax)", "iban": "(?i)(iban|bank|account|transfer)",
+    "email_like": "(?i)(mail|contact|write|reach|address|inbox)", "card_like": "(?i)(card|visa|credit|debit|master|amex|payment|pan|number)",
+    "phone_like": "(?i)(tel|phone|call|fax|mobile|cell|dial|sms|text)", "ssn": "(?i)(ssn|social|security|tax|itin)", "iban": "(?i)(iban|bank|account|transfer|konto|swift|bic)",
 }
+#: Listed domain endings, issuers' beginnings, countries of account numbers.
+ENDINGS = "com org net edu gov mil int info biz name pro io ai app dev co me tv de at ch fr be nl lu es pt it uk ie dk se no fi pl cz gr ru ua tr us ca mx br ar au nz jp cn in kr za eu"
+COUNTRIES = "AD AE AL AT AZ BA BE BG BH BR CH CR CY CZ DE DK DO EE ES FI FO FR GB GE GI GL GR GT HR HU IE IL IS IT KW KZ LB LI LT LU LV MC MD ME MK MR MT MU NL NO PK PL PS PT QA RO RS SA SE SI SK SM TN TR UA VG XK"
 GAZETTEER = {
-    "email_like": "(?i)(com|org|net|edu|de|fr|es|io)$", "card_like": "^(4|5[1-5]|2[2-7]|3[47]|6011|65)",
-    "phone_like": "^\\(?(2[0-9]{2}|[3-9][0-9]{2})", "ssn": "^(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)", "iban": "^(DE|FR|ES|GB|IT|NL|BE|AT|CH|PT|IE)",
+    "email_like": f"(?i)(?<![A-Za-z])({ENDINGS.replace(' ', '|')})$", "card_like": "^(4|5[1-5]|2[2-7]|3[47]|30[0-5]|36|38|6011|64[4-9]|65|62|35)",
+    "phone_like": "^\\(?(2[0-9]{2}|[3-9][0-9]{2})", "ssn": "^(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)", "iban": f"^({COUNTRIES.replace(' ', '|')})",
 }
+#: The strict form of each kind: grouped as cards are printed, one separator throughout, and so on.
+STRICT = {
+    "email_like": "^[A-Za-z0-9][A-Za-z0-9._%+-]+\\x20?[\\[(](at|AT)[\\])]", "card_like": f"^[0-9]{{4}}{JOINT}[0-9]{{4}}{JOINT}[0-9]{{4}}{JOINT}[0-9]{{4}}$|^[0-9]{{4}}{JOINT}[0-9]{{6}}{JOINT}[0-9]{{5}}$|^[0-9]{{15,16}}$",
+    "phone_like": "^\\([0-9]{3}\\)\\x20|^([0-9]{3})([.-])[0-9]{3}\\2", "ssn": "^(?!000|666|9)[0-9]{3}", "iban": "^.{15,34}$",
+}
+#: What stands right before a span: a sign that announces a value, or a word that does.
+BEFORE = ("[:=#]\\s*$", "(?i)\\b(is|at|no|nr|num|number|my|your|the)\\s*$")
 
 
 def _digits(x: Column) -> Column:
@@ -130,7 +140,7 @@ def classifier(cells: dict[tuple, int], r: Reliability) -> dict[tuple, float]:
     """The span classifier: naive Bayes on a span's kind, votes and shape, trained on EM's posteriors.
 
     ``cells`` counts ``(kind, vote, vote, vote, shape)``; the result scores each cell. The shape
-    (length class, and whether a letter or sign abuts) is what the labelers don't see.
+    (length class, whether a letter or sign abuts, and what announces it) is what the labelers don't see.
     """
     true: dict[tuple, float] = {}
     false: dict[tuple, float] = {}
@@ -161,7 +171,7 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least:
     Three labelers vote on each candidate: a regex (its strict form), a gazetteer (listed
     beginnings or endings) and a context (words before it). EM estimates their reliabilities from
     the counts of vote patterns over all documents; the driver sees only those counts, of
-    which there are at most 27 for each of five kinds and six shapes. Candidates that overlap a
+    which there are at most 27 for each of five kinds and eighteen shapes. Candidates that overlap a
     base span are not added.
     """
     names = ["row"] if whole else []
@@ -181,16 +191,17 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least:
         """Votes and shape of a span, from its struct or from columns of those names."""
         get = (lambda k: F.col(k)) if s is None else (lambda k: s[k])
         kind, hit, left = get("kind"), get("hit"), get("left")
-        strict = {4: hit.rlike("^[A-Za-z0-9][A-Za-z0-9._%+-]+\\x20?[\\[(](at|AT)[\\])]"), 5: F.lit(False), 6: hit.rlike("^\\([0-9]{3}\\)\\x20|^([0-9]{3})([.-])[0-9]{3}\\2"),
-                  7: hit.rlike("^(?!000|666|9)[0-9]{3}"), 8: F.length(hit).between(15, 34) & hit.rlike("[0-9]{6}")}
         regex = context = gazetteer = F.lit(-1)
         for k in range(4, 9):
             name = NAMES[k]
-            regex = F.when(kind == k, _vote(strict[k], ~strict[k])).otherwise(regex)
+            strict, listed = hit.rlike(STRICT[name]), hit.rlike(GAZETTEER[name])
+            if name == "iban":
+                strict &= hit.rlike("[0-9]{6}")
+            regex = F.when(kind == k, _vote(strict, ~strict)).otherwise(regex)
             context = F.when(kind == k, _vote(left.rlike(CONTEXT[name]), left.rlike("[0-9A-Za-z]{12}$"))).otherwise(context)
-            good = hit.rlike(GAZETTEER[name])
-            gazetteer = F.when(kind == k, _vote(good, ~good)).otherwise(gazetteer)
-        shape = F.least(F.lit(2), F.floor(F.length(hit) / 16)).cast("int") * 2 + left.rlike("[^\\s]$").cast("int")
+            gazetteer = F.when(kind == k, _vote(listed, ~listed)).otherwise(gazetteer)
+        before = F.when(left.rlike(BEFORE[0]), 1).when(left.rlike(BEFORE[1]), 2).otherwise(0)
+        shape = (before * 3 + F.least(F.lit(2), F.floor(F.length(hit) / 16))).cast("int") * 2 + left.rlike("[^\\s]$").cast("int")
         return {"kind": kind, "v0": regex, "v1": gazetteer, "v2": context, "shape": shape}
 
     counted = one.select(*[v.alias(k) for k, v in cell(None).items()]).groupBy("kind", "v0", "v1", "v2", "shape").agg(F.count("*").alias("n")).collect()
