@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 from functools import reduce
-from re import _constants as sre
-from re import _parser
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,33 +36,69 @@ RULES = (
 BASE = ("assign", "access", "hex")
 
 
-def _runs(tree) -> list[list[str]]:
-    """Ways through a parsed regex, each as the literal runs that any match of it contains.
-
-    The last item of a way is a run that may still grow. Sets, classes and repeats end a
-    run; small optional parts and alternatives make ways of their own.
+_TIMES = re.compile(r"(?:([?*+])|\{(\d+)(,?)(\d*)\})[?+]?")
+_SIGNS = {"t": "\t", "n": "\n", "r": "\r", "f": "\f"}
+Ways = list[list[str]]
+
+
+def _atom(p: str, at: int) -> tuple[str, Ways, int]:
+    """What stands at a place: ``literal``, ``group`` or ``other`` with its ways, and where it ends."""
+    ch = p[at]
+    if ch == "(":
+        look = re.compile(r"\(\?(?:<?[=!])").match(p, at)
+        head = re.compile(r"\((?:\?(?:[a-zA-Z-]*:|P?<[A-Za-z]\w*>|<?[=!]))?").match(p, at)
+        flags = re.compile(r"\(\?[a-zA-Z-]+\)").match(p, at)
+        if flags:
+            return "nothing", [[""]], flags.end()
+        ways, end = _runs(p, head.end())
+        if end >= len(p):
+            raise ValueError(f"unclosed group in {p!r}")
+        return ("nothing", [[""]], end + 1) if look else ("group", ways, end + 1)
+    if ch == "[":
+        end = at + 2 if p[at + 1] != "^" else at + 3  # a bracket that comes first is one of the class
+        while p[end] != "]":
+            end += 2 if p[end] == "\\" else 1
+        return "other", [["", ""]], end + 1
+    if ch == "\\":
+        code = re.compile(r"\\(?:x([0-9A-Fa-f]{2})|u([0-9A-Fa-f]{4}))").match(p, at)
+        if code:
+            return "literal", [[chr(int(code[1] or code[2], 16)).lower()]], code.end()
+        if p[at + 1] in "bBAzZG":
+            return "nothing", [[""]], at + 2
+        if p[at + 1].isalnum() and p[at + 1] not in _SIGNS:
+            return "other", [["", ""]], at + 2
+        return "literal", [[_SIGNS.get(p[at + 1], p[at + 1]).lower()]], at + 2
+    if ch in "^$":
+        return "nothing", [[""]], at + 1
+    return ("other", [["", ""]], at + 1) if ch == "." else ("literal", [[ch.lower()]], at + 1)
+
+
+def _runs(p: str, at: int = 0) -> tuple[Ways, int]:
+    """Ways through a regex from a place to the end of its group, each as the literal runs that any match of it contains.
+
+    The last item of a way is a run that may still grow. Classes and repeats end a run; optional
+    letters and alternatives make ways of their own. Also where the group ends.
     """
-    ways: list[list[str]] = [[""]]
-
-    def after(inner: list[list[str]]) -> list[list[str]]:
-        return [[*w[:-1], w[-1] + i[0], *i[1:]] for w in ways for i in inner]
-
-    for op, arg in tree:
-        if op is sre.LITERAL:
-            ways = [[*w[:-1], w[-1] + chr(arg).lower()] for w in ways]
-        elif op is sre.SUBPATTERN:
-            ways = after(_runs(arg[3]))
-        elif op is sre.BRANCH:
-            ways = after([x for branch in arg[1] for x in _runs(branch)])
-        elif op in (sre.MAX_REPEAT, sre.MIN_REPEAT) and arg[:2] == (0, 1) and len(arg[2]) == 1 and arg[2][0][0] is sre.LITERAL:
-            ways = after([[""], *_runs(arg[2])])
-        elif op in (sre.MAX_REPEAT, sre.MIN_REPEAT) and arg[0] >= 1:
-            ways = [[*w, ""] for w in after(_runs(arg[2]))]
-        elif op is sre.AT:
+    done: Ways = []
+    ways: Ways = [[""]]
+    while at < len(p) and p[at] != ")":
+        if p[at] == "|":
+            done, ways, at = done + ways, [[""]], at + 1
+            continue
+        kind, inner, at = _atom(p, at)
+        often = _TIMES.match(p, at)
+        least, most = 1, 1
+        if often:
+            at = often.end()
+            least, most = {"?": (0, 1), "*": (0, None), "+": (1, None)}.get(often[1]) or (int(often[2]), int(often[4]) if often[4] else None if often[3] else int(often[2]))
+        if kind == "nothing":
             continue
-        else:
-            ways = [[*w, ""] for w in ways]
-    return ways
+        if least == 0:
+            inner = [[""], *inner] if (kind, most) == ("literal", 1) else [["", ""]]
+        elif (least, most) != (1, 1):
+            inner = [[*w, ""] for w in inner]
+        ways = [[*w[:-1], w[-1] + i[0], *i[1:]] for w in ways for i in inner]
+    return done + ways, at
 
 
 def trigram_query(pattern: str) -> list[frozenset[str]] | None:
@@ -72,7 +107,7 @@ def trigram_query(pattern: str) -> list[frozenset[str]] | None:
     Letters are taken in lower case, since the index folds case.
     """
     clauses = set()
-    for way in _runs(_parser.parse(pattern)):
+    for way in _runs(pattern)[0]:
         grams = frozenset(run[i : i + 3] for run in way for i in range(len(run) - 2))
         if not grams:
             return None

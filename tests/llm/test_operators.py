@@ -319,10 +319,56 @@ def test_em_trusts_the_labelers_that_agree():
     assert pii.posterior(r, (6, 1, 1, 1)) > 0.95 > 0.05 > pii.posterior(r, (6, 0, 0, 0))
 
 
+def test_added_spans_are_those_that_the_votes_elect(spark):
+    rng = np.random.default_rng(6)
+    bits = ["mail joe [at] host [dot] com", "x [at] y [dot] zz", "call 212-555-0147", "212.555-0147", "ssn: 123-45-6789", "000-12-3456", "iban DE89370400440532013000", "ZZ11ABCDEFGHIJKLM", "card 4111 1111 1111 1112",
+            "1234567890123456", "my 555-555-5555", "some words here", "a.b@c.de", "no:4111-1111-1111-1113"]
+    rows = [(i, " ; ".join(rng.choice(bits, int(rng.integers(0, 6))))) for i in range(200)]
+    got = {r.doc_id: r.spans for r in pii.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    found, cells = {}, Counter()
+    for i, text in rows:
+        joined = re.sub("(?<=[0-9])[ -](?=[0-9])", "\x01", text)
+        base = [(m.start(), m.end()) for _, p, ok in PII for m in re.finditer(p, text) if ok(m[0])]
+        spans = []
+        for kind, pattern, line in ((4, pii.EMAIL_LIKE, text), (5, pii.CARD, joined), (6, pii.PHONE_LIKE, text), (7, pii.SSN, text), (8, pii.IBAN, text)):
+            before = 0
+            for m in re.finditer(pattern, line):
+                left, before = line[before : m.start()][-24:], m.end()
+                digits = re.sub("[^0-9]", "", m[0])
+                if kind == 5 and (not 14 <= len(digits) <= 19 or luhn(digits)) or any(a < m.end() and m.start() < z for a, z in base):
+                    continue
+                name = pii.NAMES[kind]
+                vote = lambda yes, no: 1 if yes else 0 if no else -1
+                strict = bool(re.search(pii.STRICT[name], m[0])) and (kind != 8 or bool(re.search("[0-9]{6}", m[0])))
+                listed = bool(re.search(pii.GAZETTEER[name], m[0]))
+                ahead = 1 if re.search(pii.BEFORE[0], left) else 2 if re.search(pii.BEFORE[1], left) else 0
+                shape = (ahead * 3 + min(2, len(m[0]) // 16)) * 2 + bool(re.search(r"[^\s]$", left))
+                cell = (kind, vote(strict, not strict), vote(listed, not listed), vote(re.search(pii.CONTEXT[name], left), re.search("[0-9A-Za-z]{12}$", left)), shape)
+                cells[cell] += 1
+                spans.append((m.start(), kind, m.end(), cell))
+        found[i] = spans
+    patterns = Counter()
+    for c, n in cells.items():
+        patterns[c[:4]] += n
+    scores = pii.classifier(dict(cells), pii.reliabilities(dict(patterns)))
+    for i, spans in found.items():
+        want = {f"{pii.NAMES[k]}:{a}:{z}" for a, k, z, c in spans if scores[c] >= 0.9}
+        assert {x for x in got[i].split(",") if x and x.split(":")[0] in pii.ADDED} == want
+    assert any(s >= 0.9 for s in scores.values()) and any(s < 0.9 for s in scores.values())
+
+
 def test_trigram_queries():
     assert secrets.trigram_query("AKIA[A-Z]+") == [frozenset({"aki", "kia"})]
     assert secrets.trigram_query("[0-9a-f]{32,}") is None
     assert secrets.trigram_query("(abcd|xyz)[0-9]") == [frozenset({"abc", "bcd"}), frozenset({"xyz"})]
+    assert secrets.trigram_query("(?i)(?:ABC|de+f)\\x20x\\.y") == [frozenset({"abc", "bc ", "c x", " x.", "x.y"}), frozenset({"f x", " x.", "x.y"})]
+    assert secrets.trigram_query("(?<![a-z])ab[\\]c]{2}cde") == [frozenset({"cde"})] and secrets.trigram_query("abc*") is None and secrets.trigram_query("^abc$") == [frozenset({"abc"})]
+    assert secrets.trigram_query("a{3}bcd") == [frozenset({"bcd"})] and secrets.trigram_query("(ab)?cde\\d") == [frozenset({"cde"})] and secrets.trigram_query("ab|cdef") is None
+    with pytest.raises(ValueError):
+        secrets.trigram_query("(abc")
+    for rule in secrets.RULES:  # every match holds one of its clauses
+        q = secrets.trigram_query(rule.plain or rule.pattern)
+        assert (q is None) == (rule.name in ("hex", "github"))
     assert secrets.trigram_query("api_?key") == [frozenset({"api", "pi_", "i_k", "_ke", "key"}), frozenset({"api", "pik", "ike", "key"})]
 
 
