@@ -330,12 +330,12 @@ class Boosted:
         self.trees: list[dict[int, tuple]] = []
 
     def _binned(self, rows: DataFrame) -> DataFrame:
-        cols = []
-        for i, (f, cuts) in enumerate(zip(self.features, self.cuts)):
+        def bin_of(i: int, f: str, cuts: list[float]) -> Column:
             x = F.col(f).cast("double")
-            at = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c, x=x: c < x)) if cuts else F.lit(0)
-            cols.append(F.when(x.isNull() | F.isnan(x), -1).otherwise(at).cast("int").alias(f"_b{i}"))
-        return rows.select("*", *cols)
+            at = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c < x)) if cuts else F.lit(0)
+            return F.when(x.isNull() | F.isnan(x), -1).otherwise(at).cast("int").alias(f"_b{i}")
+
+        return rows.select("*", *[bin_of(i, f, cuts) for i, (f, cuts) in enumerate(zip(self.features, self.cuts))])
 
     def _leaf(self, tree: dict[int, tuple]) -> Column:
         """A row's value of one tree, as nested conditions."""

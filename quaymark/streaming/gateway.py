@@ -348,9 +348,11 @@ def consolidated_stream(events: DataFrame, silence_ns: int) -> DataFrame:
     def run(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         import pickle
 
-        machine = pickle.loads(state.get[0]) if state.exists else Consolidated(silence_ns)
+        machine = Consolidated(silence_ns)
+        if state.exists:
+            vars(machine).update(pickle.loads(state.get[0]))
         rows = _fed(machine, pd.concat(list(pdfs)))
-        state.update((pickle.dumps(machine),))
+        state.update((pickle.dumps(vars(machine)),))
         yield pd.DataFrame(rows, columns=NAMES)
 
     return events.groupBy("canonical").applyInPandasWithState(run, NBBO, "machine binary", "append", GroupStateTimeout.NoTimeout)
