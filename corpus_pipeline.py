@@ -41,7 +41,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """Exactly one row of each SimHash component: the one with the smallest doc_id (null last), then text hash."""
     rows, row = _numbered(docs)
     found = simhash.near_duplicates(rows, id_col=row).select(F.col("doc_id").alias(row), "component_id")
-    keys = rows.select(row, F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.xxhash64("text").alias("hash"), F.col(row).alias("n")).alias("key"))
+    keys = rows.select(row, F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.xxhash64("text").alias("hash"),
+        F.col(row).alias("n")).alias("key"))
     kept = found.join(keys, row).groupBy("component_id").agg(F.min("key").alias("key")).select(F.col("key.n").alias(row))
     return rows.join(kept, row, "left_semi").select(*docs.columns)
 
@@ -49,14 +50,16 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The rows that benchmark items do not contaminate, each by its own text."""
     rows, row = _numbered(docs)
-    hit = decontam.contamination(rows, table(spark, sf_dir, "benchmark"), id_col=row).where("contaminated").select(F.col("doc_id").alias(row))
+    hit = decontam.contamination(rows, table(spark, sf_dir, "benchmark"),
+        id_col=row).where("contaminated").select(F.col("doc_id").alias(row))
     return rows.join(hit, row, "left_anti").select(*docs.columns)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with each span of personal data replaced by its kind; n_chars follows the text."""
     out = pii.masked(docs)
-    return out.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+    return out.withColumn("n_chars", F.when(F.col("text").isNotNull(),
+        F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -66,7 +69,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     rows, row = _numbered(docs)
     mixed = mixing.mix(rows, key_col=row).where("taken > 0")
-    added = {"size": F.col("size"), "source_size": F.col("source_size"), "target": F.col("target"), "taken": F.col("taken"), "copies": F.expr("taken div size")}
+    added = {"size": F.col("size"), "source_size": F.col("source_size"), "target": F.col("target"), "taken": F.col("taken"),
+        "copies": F.expr("taken div size")}
     narrow = mixed.select(F.col("key").alias("_key"), F.struct(*[v.alias(k) for k, v in added.items()]).alias("_mix"))
     met = rows.select(F.col(row).alias("_key"), F.struct(*docs.columns).alias("_doc")).join(narrow, "_key")
     return met.select(*[F.col("_doc")[c].alias(c) for c in docs.columns], *[F.col("_mix")[k].alias(_free(docs, k)) for k in added])

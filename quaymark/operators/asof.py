@@ -21,7 +21,8 @@ def sharded(df: DataFrame, ts: str, shard_ns: int, lookback_ns: int) -> DataFram
     if lookback_ns > shard_ns:
         raise ValueError("a shard must be at least as long as the lookback")
     own = df.withColumn("bucket", _hour(ts, shard_ns)).withColumn("ghost", F.lit(False))
-    tail = own.where(F.col(ts) >= (F.col("bucket") + 1) * shard_ns - lookback_ns).withColumn("bucket", F.col("bucket") + 1).withColumn("ghost", F.lit(True))
+    tail = own.where(F.col(ts) >= (F.col("bucket") + 1) * shard_ns - lookback_ns).withColumn("bucket",
+        F.col("bucket") + 1).withColumn("ghost", F.lit(True))
     return own.unionByName(tail)
 
 
@@ -51,12 +52,14 @@ def merge_latest(df: DataFrame, by: list[str], key: str, keys: list[str], ts: st
     """
     run = Window.partitionBy(*by).orderBy(ts, *order).rowsBetween(Window.unboundedPreceding, 0)
     nxt = Window.partitionBy(*by).orderBy(ts, *order)
-    latest = F.map_from_arrays(F.array(*[F.lit(k) for k in keys]), F.array(*[F.last(F.when(F.col(key) == k, value), ignorenulls=True).over(run) for k in keys]))
+    latest = F.map_from_arrays(F.array(*[F.lit(k) for k in keys]),
+        F.array(*[F.last(F.when(F.col(key) == k, value), ignorenulls=True).over(run) for k in keys]))
     return (df.withColumn("latest", latest).withColumn("_next", F.lead(ts).over(nxt))
             .where(F.col("_next").isNull() | (F.col("_next") != F.col(ts))).drop("_next"))
 
 
-def nbbo(quotes: DataFrame, venues: list[str], max_age_ns: int | None, downs: DataFrame | None = None, shard_ns: int | None = None) -> DataFrame:
+def nbbo(quotes: DataFrame, venues: list[str], max_age_ns: int | None, downs: DataFrame | None = None,
+    shard_ns: int | None = None) -> DataFrame:
     """Best bid and offer over venues: ``(symbol, ts_ns, best_bid, best_ask, bid_venue, ask_venue, n_venues)``.
 
     ``quotes(symbol, venue, ts_ns, arrival, bid, ask)``. A leg leaves when it is older than
@@ -65,26 +68,31 @@ def nbbo(quotes: DataFrame, venues: list[str], max_age_ns: int | None, downs: Da
     Times without a live leg give no row. With ``shard_ns``, a symbol's history is split into buckets
     of that length, which are tasks of their own.
     """
-    rows = quotes.select("symbol", "venue", "ts_ns", F.lit(0).alias("late"), "arrival", F.struct(F.lit(True).alias("alive"), F.col("ts_ns").alias("at"), "bid", "ask").alias("v"))
+    rows = quotes.select("symbol", "venue", "ts_ns", F.lit(0).alias("late"), "arrival",
+        F.struct(F.lit(True).alias("alive"), F.col("ts_ns").alias("at"), "bid", "ask").alias("v"))
     if downs is not None:
         gone = quotes.select("symbol", "venue").distinct().join(downs.select("venue", "ts_ns"), "venue")
         kinds = {f.name: f.dataType for f in quotes.schema}
         gone = gone.select("symbol", "venue", "ts_ns", F.lit(1).alias("late"), F.lit(0).cast("long").alias("arrival"),
-                           F.struct(F.lit(False).alias("alive"), F.col("ts_ns").alias("at"), F.lit(None).cast(kinds["bid"]).alias("bid"), F.lit(None).cast(kinds["ask"]).alias("ask")).alias("v"))
+                           F.struct(F.lit(False).alias("alive"), F.col("ts_ns").alias("at"), F.lit(None).cast(kinds["bid"]).alias("bid"),
+                           F.lit(None).cast(kinds["ask"]).alias("ask")).alias("v"))
         rows = rows.unionByName(gone)
     by = ["symbol"]
     if shard_ns:
-        rows = carried(rows, by, ["venue"], "ts_ns", ["late", "arrival"], shard_ns) if max_age_ns is None else sharded(rows, "ts_ns", shard_ns, max_age_ns)
+        rows = carried(rows, by, ["venue"], "ts_ns", ["late", "arrival"], shard_ns) if max_age_ns is None else sharded(rows, "ts_ns",
+            shard_ns, max_age_ns)
         by = ["symbol", "bucket"]
     merged = merge_latest(rows, by, "venue", venues, "ts_ns", ["late", "arrival"], F.col("v"))
     if shard_ns:
         merged = merged.where(~F.col("ghost"))
     legs = F.transform(F.map_entries("latest"), lambda e: F.struct(e["key"].alias("venue"), e["value"].alias("v")))
-    fresh = F.filter(legs, lambda x: x["v"].isNotNull() & x["v"]["alive"] & (F.lit(True) if max_age_ns is None else F.col("ts_ns") - x["v"]["at"] <= max_age_ns))
+    fresh = F.filter(legs, lambda x: x["v"].isNotNull() & x["v"]["alive"]
+        & (F.lit(True) if max_age_ns is None else F.col("ts_ns") - x["v"]["at"] <= max_age_ns))
     live = merged.withColumn("live", fresh).where(F.size("live") > 0)
     bid = F.array_max(F.transform("live", lambda x: F.struct(x["v"]["bid"].alias("px"), x["venue"].alias("venue"))))
     ask = F.array_min(F.transform("live", lambda x: F.struct(x["v"]["ask"].alias("px"), x["venue"].alias("venue"))))
-    return live.select("symbol", "ts_ns", bid["px"].alias("best_bid"), ask["px"].alias("best_ask"), bid["venue"].alias("bid_venue"), ask["venue"].alias("ask_venue"), F.size("live").cast("long").alias("n_venues"))
+    return live.select("symbol", "ts_ns", bid["px"].alias("best_bid"), ask["px"].alias("best_ask"), bid["venue"].alias("bid_venue"),
+        ask["venue"].alias("ask_venue"), F.size("live").cast("long").alias("n_venues"))
 
 
 def basis(nbbos: DataFrame, pairs: DataFrame, max_age_ns: int) -> DataFrame:
@@ -93,28 +101,36 @@ def basis(nbbos: DataFrame, pairs: DataFrame, max_age_ns: int) -> DataFrame:
     ``pairs(base, usd, usdt)``; ``(base, ts_ns, usd_mid2, usdt_mid2, basis2)`` in twice the
     price unit, so that whole numbers stay whole, and ``basis_bps``.
     """
-    legs = pairs.select("base", F.col("usd").alias("symbol"), F.lit("usd").alias("leg")).unionByName(pairs.select("base", F.col("usdt").alias("symbol"), F.lit("usdt").alias("leg")))
-    ticks = nbbos.join(F.broadcast(legs), "symbol").select("base", "leg", "ts_ns", F.struct(F.col("ts_ns").alias("at"), (F.col("best_bid") + F.col("best_ask")).alias("mid2")).alias("v"))
+    legs = pairs.select("base", F.col("usd").alias("symbol"), F.lit("usd").alias("leg")).unionByName(pairs.select("base",
+        F.col("usdt").alias("symbol"), F.lit("usdt").alias("leg")))
+    ticks = nbbos.join(F.broadcast(legs), "symbol").select("base", "leg", "ts_ns",
+        F.struct(F.col("ts_ns").alias("at"), (F.col("best_bid") + F.col("best_ask")).alias("mid2")).alias("v"))
     merged = merge_latest(ticks, ["base"], "leg", ["usd", "usdt"], "ts_ns", [], F.col("v"))
     usd, usdt = F.col("latest")["usd"], F.col("latest")["usdt"]
     ok = usd.isNotNull() & usdt.isNotNull() & (F.col("ts_ns") - usd["at"] <= max_age_ns) & (F.col("ts_ns") - usdt["at"] <= max_age_ns)
     out = merged.where(ok).select("base", "ts_ns", usd["mid2"].alias("usd_mid2"), usdt["mid2"].alias("usdt_mid2"))
-    return out.withColumn("basis2", F.col("usd_mid2") - F.col("usdt_mid2")).withColumn("basis_bps", F.col("basis2").cast("double") / F.col("usd_mid2") * 1e4)
+    return out.withColumn("basis2", F.col("usd_mid2") - F.col("usdt_mid2")).withColumn("basis_bps",
+        F.col("basis2").cast("double") / F.col("usd_mid2") * 1e4)
 
 
-def asof_join(grid: DataFrame, series: DataFrame, by: list[str], ts: str, order: list[str], cols: list[str], age: str = "age_ns", shard_ns: int | None = None) -> DataFrame:
+def asof_join(grid: DataFrame, series: DataFrame, by: list[str], ts: str, order: list[str], cols: list[str], age: str = "age_ns",
+    shard_ns: int | None = None) -> DataFrame:
     """Each grid row with the last series row at or before it (the last by ``order`` among ties) and its age.
 
     With ``shard_ns``, a key's history is split into buckets of that length, which are tasks of their own."""
-    g = grid.select(*by, ts, F.lit(1).alias("_grid"), *[F.lit(None).cast("long").alias(o) for o in order], F.lit(None).cast(f"struct<{','.join(f'`{c}`:{series.schema[c].dataType.simpleString()}' for c in cols)},_at:bigint>").alias("_v"))
-    s = series.select(*by, ts, F.lit(0).alias("_grid"), *[F.col(o).cast("long").alias(o) for o in order], F.struct(*cols, F.col(ts).cast("long").alias("_at")).alias("_v"))
+    g = grid.select(*by, ts, F.lit(1).alias("_grid"), *[F.lit(None).cast("long").alias(o) for o in order],
+        F.lit(None).cast(f"struct<{','.join(f'`{c}`:{series.schema[c].dataType.simpleString()}' for c in cols)},_at:bigint>").alias("_v"))
+    s = series.select(*by, ts, F.lit(0).alias("_grid"), *[F.col(o).cast("long").alias(o) for o in order],
+        F.struct(*cols, F.col(ts).cast("long").alias("_at")).alias("_v"))
     both, keys = g.unionByName(s), by
     if shard_ns:
         # of a bucket's rows the last with a value is carried on: the grid's rows have none
         buckets = g.withColumn("bucket", _hour(ts, shard_ns)).select(*by, "bucket").distinct()
-        lasts = s.withColumn("bucket", _hour(ts, shard_ns)).groupBy(*by, "bucket").agg(F.max_by(F.struct(ts, "_grid", *order, "_v"), F.struct(ts, "_grid", *order)).alias("_l"))
+        lasts = s.withColumn("bucket", _hour(ts, shard_ns)).groupBy(*by,
+            "bucket").agg(F.max_by(F.struct(ts, "_grid", *order, "_v"), F.struct(ts, "_grid", *order)).alias("_l"))
         before = Window.partitionBy(*by).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-        every = buckets.unionByName(lasts.select(*by, "bucket")).distinct().join(lasts, [*by, "bucket"], "left").withColumn("_state", F.last("_l", ignorenulls=True).over(before))
+        every = buckets.unionByName(lasts.select(*by, "bucket")).distinct().join(lasts, [*by, "bucket"], "left").withColumn("_state",
+            F.last("_l", ignorenulls=True).over(before))
         marks = every.where("_state is not null").select(*by, "_state.*", "bucket")
         both = both.withColumn("bucket", _hour(ts, shard_ns)).unionByName(marks)
         keys = [*by, "bucket"]
@@ -131,8 +147,10 @@ def lateness(events: DataFrame, by: list[str], ts: str, arrival: str, window_ns:
     the highest time let go so far is then a running maximum by arrival.
     """
     upto = Window.partitionBy(*by).orderBy(arrival).rowsBetween(Window.unboundedPreceding, 0)
-    peaks = events.select(*by, F.col(arrival).alias("_a"), F.max(ts).over(upto).alias("_x"), F.lit(0).alias("_ask"), F.lit(None).cast("long").alias("_ts"))
-    asks = events.select(*by, F.col(arrival).alias("_a"), (F.col(ts) + window_ns).alias("_x"), F.lit(1).alias("_ask"), F.col(ts).cast("long").alias("_ts"))
+    peaks = events.select(*by, F.col(arrival).alias("_a"), F.max(ts).over(upto).alias("_x"), F.lit(0).alias("_ask"),
+        F.lit(None).cast("long").alias("_ts"))
+    asks = events.select(*by, F.col(arrival).alias("_a"), (F.col(ts) + window_ns).alias("_x"), F.lit(1).alias("_ask"),
+        F.col(ts).cast("long").alias("_ts"))
     high_first = Window.partitionBy(*by).orderBy(F.desc("_x"), "_ask").rowsBetween(Window.unboundedPreceding, 0)
     raised = F.min(F.when(F.col("_ask") == 0, F.col("_a"))).over(high_first)
     gone = peaks.unionByName(asks).withColumn("_r", raised).where("_ask = 1 and _r is not null")

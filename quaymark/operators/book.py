@@ -134,10 +134,12 @@ def stretches(records: DataFrame) -> DataFrame:
     by = ["exchange", "symbol", "date"]
     before = F.lag("offset").over(Window.partitionBy(*by, "kind").orderBy("epoch", "sequence", "offset"))
     wrong = F.raise_error(F.concat(F.lit("records out of order at offset "), F.col("offset").cast("string"))).cast("long")
-    price = lambda side: F.transform(F.filter(side, lambda x: x["sz"].cast("decimal(38,18)") > 0), lambda x: x["px"].cast("decimal(38,18)"))
+    price = lambda side: F.transform(F.filter(side, lambda x: x["sz"].cast("decimal(38,18)") > 0),
+        lambda x: x["px"].cast("decimal(38,18)"))
     sound = (F.col("kind") == "snap") & ~F.coalesce(F.array_max(price("bids")) >= F.array_min(price("asks")), F.lit(False))
     n = F.sum(sound.cast("long")).over(Window.partitionBy(*by, "epoch").orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, 0))
-    return rows.withColumn("_before", before).withColumn("offset", F.when(F.col("_before") > F.col("offset"), wrong).otherwise(F.col("offset"))).drop("_before").withColumn("stretch", n)
+    return rows.withColumn("_before", before).withColumn("offset",
+        F.when(F.col("_before") > F.col("offset"), wrong).otherwise(F.col("offset"))).drop("_before").withColumn("stretch", n)
 
 
 def fold_books(records: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
@@ -159,7 +161,8 @@ def fold_books(records: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
             quoted = wrong is None and bool(bids) and bool(asks)
             depth = [sum((s for _, s in side[:n]), Decimal(0)) if quoted else None for n in RUNGS for side in (bids, asks)]
             rows.append((r.exchange, r.symbol, r.date, r.kind, r.offset, r.sequence, r.epoch, r.ts_ns, b[0], a[0], b[1], a[1], gap, wrong,
-                         wrong in ("snapshot_crossed", "crossed_after_delta"), quoted, *depth, bids[-1][0] if quoted else None, asks[-1][0] if quoted else None, *[getattr(r, c) for c in carry]))
+                         wrong in ("snapshot_crossed", "crossed_after_delta"), quoted, *depth, bids[-1][0] if quoted else None,
+                         asks[-1][0] if quoted else None, *[getattr(r, c) for c in carry]))
         out = pd.DataFrame(rows, columns=names)
         return out.astype({c: "Int64" for c in carry if pd.api.types.is_numeric_dtype(out[c])})
 
@@ -169,7 +172,8 @@ def fold_books(records: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
 
 def quotes(events: DataFrame) -> DataFrame:
     """Tops of valid two-sided books, with depth at the rungs and the worst price reached."""
-    return events.where("quoted").select("exchange", "symbol", "date", "ts_ns", "best_bid", "best_ask", "bid_sz", "ask_sz", *[f"{s}_depth_{n}" for n in RUNGS for s in ("bid", "ask")], "bid_px_10", "ask_px_10")
+    return events.where("quoted").select("exchange", "symbol", "date", "ts_ns", "best_bid", "best_ask", "bid_sz", "ask_sz",
+        *[f"{s}_depth_{n}" for n in RUNGS for s in ("bid", "ask")], "bid_px_10", "ask_px_10")
 
 
 def kraken_checksum(bids: Column, asks: Column) -> Column:

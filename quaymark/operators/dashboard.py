@@ -22,9 +22,11 @@ def tops(bbos: DataFrame, by: list[str], order: str) -> DataFrame:
     """The latest top of each stream with spread, mid, whether it is crossed, and how it moved: up if the bid rose,
     else down if the ask fell, against the top before."""
     w = Window.partitionBy(*by).orderBy(order)
-    last = bbos.withColumn("_pb", F.lag("bid").over(w)).withColumn("_pa", F.lag("ask").over(w)).withColumn("_n", F.lead(order).over(w)).where("_n is null")
+    last = bbos.withColumn("_pb", F.lag("bid").over(w)).withColumn("_pa", F.lag("ask").over(w)).withColumn("_n",
+        F.lead(order).over(w)).where("_n is null")
     tick = F.when(F.col("bid") > F.col("_pb"), "up").when(F.col("ask") < F.col("_pa"), "down")
-    return last.select(*by, "ts_ns", "bid", "ask", (F.col("ask") - F.col("bid")).alias("spread"), ((F.col("ask") + F.col("bid")) / 2).alias("mid"), (F.col("ask") < F.col("bid")).alias("crossed"), tick.alias("tick"))
+    return last.select(*by, "ts_ns", "bid", "ask", (F.col("ask") - F.col("bid")).alias("spread"),
+        ((F.col("ask") + F.col("bid")) / 2).alias("mid"), (F.col("ask") < F.col("bid")).alias("crossed"), tick.alias("tick"))
 
 
 def stale(rows: DataFrame, ts: str, clock: DataFrame, most_ns: int = STALE_NS) -> DataFrame:
@@ -69,5 +71,7 @@ def consolidated(nbbos: DataFrame, order: str, clock: DataFrame, most_ns: int =
     w = Window.partitionBy("symbol").orderBy(order)
     last = nbbos.withColumn("_n", F.lead(order).over(w)).where("_n is null").join(F.broadcast(clock), F.lit(True))
     old = lambda c: F.greatest(F.lit(0), F.col("now_ns") - F.col(c)) > most_ns
-    return last.select("symbol", "best_bid", "bid_venue", "best_ask", "ask_venue", (F.col("best_ask") - F.col("best_bid")).alias("spread"), ((F.col("best_ask") + F.col("best_bid")) / 2).alias("mid"),
-                       (F.col("best_ask") < F.col("best_bid")).alias("crossed"), "n_venues", old("bid_at").alias("bid_stale"), old("ask_at").alias("ask_stale"))
+    return last.select("symbol", "best_bid", "bid_venue", "best_ask", "ask_venue", (F.col("best_ask") - F.col("best_bid")).alias("spread"),
+        ((F.col("best_ask") + F.col("best_bid")) / 2).alias("mid"),
+                       (F.col("best_ask") < F.col("best_bid")).alias("crossed"), "n_venues", old("bid_at").alias("bid_stale"),
+                       old("ask_at").alias("ask_stale"))

@@ -23,7 +23,8 @@ def grid(series: DataFrame, by: list[str], ts: str, width: int) -> DataFrame:
 def flow(trades: DataFrame, by: list[str], ts: str, width: int) -> DataFrame:
     """``trades(price, size, side)`` by bar: signed volume, volume, trades, notional and VWAP."""
     signed = F.when(F.col("side") == "bid", F.col("size")).otherwise(-F.col("size"))
-    out = trades.groupBy(*by, bar(ts, width).alias(ts)).agg(F.sum(signed).alias("signed_vol"), F.sum("size").alias("volume"), F.count("*").alias("n_trades"), F.sum(F.col("price") * F.col("size")).alias("notional"))
+    out = trades.groupBy(*by, bar(ts, width).alias(ts)).agg(F.sum(signed).alias("signed_vol"), F.sum("size").alias("volume"),
+        F.count("*").alias("n_trades"), F.sum(F.col("price") * F.col("size")).alias("notional"))
     return out.withColumn("vwap", F.try_divide("notional", "volume"))
 
 
@@ -31,8 +32,10 @@ def ofi(quotes: DataFrame, by: list[str], ts: str, order: str, gap: int) -> Data
     """Level-1 order-flow imbalance of each quote; 0 on the first and across gaps of more than ``gap``."""
     w = Window.partitionBy(*by).orderBy(ts, order)
     lag = lambda c: F.lag(c).over(w)
-    bid = F.when(F.col("bid") > lag("bid"), F.col("bid_sz")).when(F.col("bid") == lag("bid"), F.col("bid_sz") - lag("bid_sz")).otherwise(-lag("bid_sz"))
-    ask = F.when(F.col("ask") < lag("ask"), F.col("ask_sz")).when(F.col("ask") == lag("ask"), F.col("ask_sz") - lag("ask_sz")).otherwise(-lag("ask_sz"))
+    bid = F.when(F.col("bid") > lag("bid"), F.col("bid_sz")).when(F.col("bid") == lag("bid"),
+        F.col("bid_sz") - lag("bid_sz")).otherwise(-lag("bid_sz"))
+    ask = F.when(F.col("ask") < lag("ask"), F.col("ask_sz")).when(F.col("ask") == lag("ask"),
+        F.col("ask_sz") - lag("ask_sz")).otherwise(-lag("ask_sz"))
     fresh = F.col(ts) - lag(ts) <= gap
     return quotes.withColumn("ofi", F.when(fresh, bid - ask).otherwise(F.lit(0)))
 
@@ -120,7 +123,8 @@ def trailing(mid: str, age: str, over: WindowSpec, bar: int, floor: int, windows
     return {f"ret_bps_{w}": (F.try_divide(F.col(mid), far(w)) - 1) * 1e4 for w in windows}
 
 
-def targets(mid: str, spread_bps: str, age: str, over: WindowSpec, bar: int, floor: int, horizons: tuple[int, ...] = HORIZONS, prefix: str = "y") -> dict[str, Column]:
+def targets(mid: str, spread_bps: str, age: str, over: WindowSpec, bar: int, floor: int, horizons: tuple[int, ...] = HORIZONS,
+    prefix: str = "y") -> dict[str, Column]:
     """``{prefix}_ret_bps_{h}`` and its dead-zone class ``{prefix}_dz_{h}``: the only columns that look forward."""
     out = {}
     for h in horizons:
@@ -156,13 +160,15 @@ def mark_basis(mark: Column, index: Column) -> Column:
     return F.when(index > 0, (mark - index) / index * 1e4)
 
 
-def basis_changes(basis: str, age: str, over: WindowSpec, bar: int, floor: int, windows: tuple[int, ...] = FLOW_WINDOWS) -> dict[str, Column]:
+def basis_changes(basis: str, age: str, over: WindowSpec, bar: int, floor: int, windows: tuple[int, ...] = FLOW_WINDOWS) -> dict[str,
+    Column]:
     return {f"basis_chg_{w}": F.col(basis) - at_offset(basis, age, over, -w, window_tolerance(w, floor, bar)) for w in windows}
 
 
 def oi_changes(level: str, age: str, over: WindowSpec, bar: int, floor: int, windows: tuple[int, ...] = FLOW_WINDOWS) -> dict[str, Column]:
     """``oi_chg_bps_{w}``: open interest against what it was; the level itself is no feature."""
-    return {f"oi_chg_bps_{w}": oi_change_bps(F.col(level), at_offset(level, age, over, -w, window_tolerance(w, floor, bar))) for w in windows}
+    return {f"oi_chg_bps_{w}": oi_change_bps(F.col(level), at_offset(level, age, over, -w, window_tolerance(w, floor, bar)))
+        for w in windows}
 
 
 def leg_prefix(exchange: Column | str) -> Column | str:
@@ -174,7 +180,8 @@ def legs(quotes: DataFrame, symbols: list[str]) -> list[tuple[str, str, str]]:
     """``(prefix, symbol, exchange)`` of every venue that quotes one of ``symbols``; fails if one quotes two of them.
 
     The driver sees one row for each venue and symbol."""
-    found = sorted((r["exchange"], r["symbol"]) for r in quotes.where(F.col("symbol").isin(*symbols)).select("exchange", "symbol").distinct().collect())
+    found = sorted((r["exchange"], r["symbol"]) for r in quotes.where(F.col("symbol").isin(*symbols)).select("exchange",
+        "symbol").distinct().collect())
     owner: dict[str, str] = {}
     out = []
     for exchange, symbol in found:
@@ -186,7 +193,8 @@ def legs(quotes: DataFrame, symbols: list[str]) -> list[tuple[str, str, str]]:
     return sorted(out, key=lambda x: (symbols.index(x[1]), x[0]))
 
 
-def feature_matrix(quotes: DataFrame, nbbo: DataFrame, trades: DataFrame, symbol: str, extra: tuple[str, ...] = (), bar_ns: int = 1_000_000_000,
+def feature_matrix(quotes: DataFrame, nbbo: DataFrame, trades: DataFrame, symbol: str, extra: tuple[str, ...] = (),
+    bar_ns: int = 1_000_000_000,
                    marks: DataFrame | None = None, interest: DataFrame | None = None, forced: DataFrame | None = None,
                    max_age_ms: int = MAX_AGE_MS, max_tape_age_ms: int = MAX_TAPE_AGE_MS) -> DataFrame:
     """The features and targets of one instrument on its grid, one row per date and bar.
@@ -208,7 +216,8 @@ def feature_matrix(quotes: DataFrame, nbbo: DataFrame, trades: DataFrame, symbol
     if not own:
         raise ValueError(f"no quotes of {symbol}: no grid and no target")
     anchor = quotes.where((F.col("symbol") == symbol) & F.col("exchange").isin(*[x[2] for x in own]))
-    ends = anchor.groupBy("date").agg((F.expr(f"min(ts_ns) div {bar_ns}") * bar_ns).alias("lo"), (F.expr(f"max(ts_ns) div {bar_ns}") * bar_ns).alias("hi"))
+    ends = anchor.groupBy("date").agg((F.expr(f"min(ts_ns) div {bar_ns}") * bar_ns).alias("lo"),
+        (F.expr(f"max(ts_ns) div {bar_ns}") * bar_ns).alias("hi"))
     bars = ends.select("date", F.explode(F.sequence("lo", "hi", F.lit(bar_ns).cast("long"))).alias("ts_ns"))
     ms = lambda c: F.col(c) / 1e6
 
@@ -218,7 +227,8 @@ def feature_matrix(quotes: DataFrame, nbbo: DataFrame, trades: DataFrame, symbol
 
     mid = lambda b, a: (F.col(b) + F.col(a)) / 2
     spread = lambda b, a: F.try_divide(F.col(a) - F.col(b), (F.col(b) + F.col(a)) / 2) * 1e4
-    best = aligned(nbbo, [], {"nbbo_mid": mid("bid", "ask"), "nbbo_spread_bps": spread("bid", "ask"), "nbbo_n_venues": F.col("n_venues")}, "nbbo_age_ms")
+    best = aligned(nbbo, [], {"nbbo_mid": mid("bid", "ask"), "nbbo_spread_bps": spread("bid", "ask"), "nbbo_n_venues": F.col("n_venues")},
+        "nbbo_age_ms")
     best = best.withColumn("nbbo_n_venues", F.col("nbbo_n_venues").cast("long"))
     live = best.select("date", "ts_ns", (F.col("nbbo_age_ms") <= max_age_ms).alias("_live"))
     frames = [best]
@@ -228,17 +238,22 @@ def feature_matrix(quotes: DataFrame, nbbo: DataFrame, trades: DataFrame, symbol
 
     for prefix, sym, exchange in wanted:
         q = doubles_of(quotes.where((F.col("exchange") == exchange) & (F.col("symbol") == sym)))
-        shape = {"mid": mid("bid", "ask"), "bid": F.col("bid"), "ask": F.col("ask"), "bid_sz": F.col("bid_sz"), "ask_sz": F.col("ask_sz"), "spread_bps": spread("bid", "ask"),
+        shape = {"mid": mid("bid", "ask"), "bid": F.col("bid"), "ask": F.col("ask"), "bid_sz": F.col("bid_sz"), "ask_sz": F.col("ask_sz"),
+            "spread_bps": spread("bid", "ask"),
                  "imbalance": imbalance(F.col("bid_sz"), F.col("ask_sz")),
-                 "micro_dev": F.try_divide(F.col("bid") * F.col("ask_sz") + F.col("ask") * F.col("bid_sz"), F.col("bid_sz") + F.col("ask_sz")) - mid("bid", "ask"),
+                 "micro_dev": F.try_divide(F.col("bid") * F.col("ask_sz") + F.col("ask") * F.col("bid_sz"),
+                 F.col("bid_sz") + F.col("ask_sz")) - mid("bid", "ask"),
                  **depth_shape(q.columns, mid("bid", "ask"))}
         book = aligned(q, ["arrival"], shape, "age_ms")
-        pressure = ofi(q, ["date"], "ts_ns", "arrival", max_age_ms * 1_000_000).groupBy("date", bar("ts_ns", bar_ns).alias("ts_ns")).agg(F.sum("ofi").cast("double").alias("ofi"))
+        pressure = ofi(q, ["date"], "ts_ns", "arrival", max_age_ms * 1_000_000).groupBy("date",
+            bar("ts_ns", bar_ns).alias("ts_ns")).agg(F.sum("ofi").cast("double").alias("ofi"))
         leg = book.join(pressure, ["date", "ts_ns"], "left").na.fill({"ofi": 0.0}).join(live, ["date", "ts_ns"])
-        leg = leg.select("*", *[v.alias(k) for k, v in {**trailing("mid", "age_ms", w, bar_ms, max_age_ms), **flow_windows(["ofi"], "_live", w)}.items()],
+        leg = leg.select("*", *[v.alias(k) for k, v in {**trailing("mid", "age_ms", w, bar_ms, max_age_ms),
+            **flow_windows(["ofi"], "_live", w)}.items()],
                          *[v.alias(k) for k, v in targets("mid", "spread_bps", "age_ms", w, bar_ms, max_age_ms).items()]).drop("_live")
         ys = [c for c in leg.columns if c.startswith("y_")]
-        frames.append(named(leg.drop(*ys), prefix).join(leg.select("date", "ts_ns", *[F.col(c).alias(f"y_{prefix}{c[1:]}") for c in ys]), ["date", "ts_ns"]))
+        frames.append(named(leg.drop(*ys), prefix).join(leg.select("date", "ts_ns", *[F.col(c).alias(f"y_{prefix}{c[1:]}") for c in ys]),
+            ["date", "ts_ns"]))
 
     def venues(df: DataFrame) -> list[str]:
         return sorted(r[0] for r in df.where(F.col("symbol").isin(symbol, *extra)).select("exchange").distinct().collect())
@@ -248,7 +263,8 @@ def feature_matrix(quotes: DataFrame, nbbo: DataFrame, trades: DataFrame, symbol
 
     def summed(per_bar: DataFrame, cols: dict[str, str]) -> DataFrame:
         full = bars.join(per_bar, ["date", "ts_ns"], "left").join(live, ["date", "ts_ns"])
-        full = full.select("date", "ts_ns", "_live", *[F.coalesce(F.col(c).cast(k), F.lit(0).cast(k)).alias(c) for c, k in cols.items()], *[c for c in per_bar.columns if c not in ("date", "ts_ns", *cols)])
+        full = full.select("date", "ts_ns", "_live", *[F.coalesce(F.col(c).cast(k), F.lit(0).cast(k)).alias(c) for c, k in cols.items()],
+            *[c for c in per_bar.columns if c not in ("date", "ts_ns", *cols)])
         rolled = [c for c in cols if c != "n_trades"]
         return full.select("*", *[v.alias(k) for k, v in flow_windows(rolled, "_live", w).items()]).drop("_live")
 
@@ -256,9 +272,11 @@ def feature_matrix(quotes: DataFrame, nbbo: DataFrame, trades: DataFrame, symbol
         tape = flow(one(trades, exchange), ["date"], "ts_ns", bar_ns).drop("notional")
         frames.append(named(summed(tape, {"signed_vol": "double", "volume": "double", "n_trades": "long"}), leg_prefix(exchange)))
     for exchange in venues(marks) if marks is not None else []:
-        cols = {"basis_bps": mark_basis(F.col("mark_price"), F.col("index_price")), "funding_rate": F.col("funding_rate"), "_next": F.col("next_funding_ts_ns")}
+        cols = {"basis_bps": mark_basis(F.col("mark_price"), F.col("index_price")), "funding_rate": F.col("funding_rate"),
+            "_next": F.col("next_funding_ts_ns")}
         m = aligned(one(marks, exchange), [], cols, "mark_age_ms")
-        m = m.select("*", ((F.col("_next") - F.col("ts_ns")) / 1e9).alias("funding_in_s"), *[v.alias(k) for k, v in basis_changes("basis_bps", "mark_age_ms", w, bar_ms, max_tape_age_ms).items()]).drop("_next")
+        m = m.select("*", ((F.col("_next") - F.col("ts_ns")) / 1e9).alias("funding_in_s"),
+            *[v.alias(k) for k, v in basis_changes("basis_bps", "mark_age_ms", w, bar_ms, max_tape_age_ms).items()]).drop("_next")
         frames.append(named(m, leg_prefix(exchange)))
     for exchange in venues(interest) if interest is not None else []:
         o = aligned(one(interest, exchange), [], {"_level": F.col("open_interest")}, "oi_age_ms")
@@ -267,7 +285,8 @@ def feature_matrix(quotes: DataFrame, nbbo: DataFrame, trades: DataFrame, symbol
     for exchange in venues(forced) if forced is not None else []:
         per = liquidations(one(forced, exchange), ["date"], "ts_ns", bar_ns)
         frames.append(named(summed(per, {"liq_flow": "double", "n_liqs": "long"}), leg_prefix(exchange)))
-    y = best.select("date", "ts_ns", *[v.alias(k) for k, v in targets("nbbo_mid", "nbbo_spread_bps", "nbbo_age_ms", w, bar_ms, max_age_ms).items()])
+    y = best.select("date", "ts_ns", *[v.alias(k) for k,
+        v in targets("nbbo_mid", "nbbo_spread_bps", "nbbo_age_ms", w, bar_ms, max_age_ms).items()])
     return reduce(lambda a, b: a.join(b, ["date", "ts_ns"], "left"), [*frames, y], bars)
 
 

@@ -20,12 +20,15 @@ def _over(name: str, windows: Iterable[int]) -> list[str]:
 
 #: Family, the stream it comes from, and its columns by role.
 PER_VENUE: dict[str, tuple[str, dict[str, list[str]]]] = {
-    "book": ("quotes", {LEVEL: ["mid", "bid", "ask"], FEATURE: ["bid_sz", "ask_sz", "spread_bps", "imbalance", "micro_dev", *_over("depth_imb", DEPTH_RUNGS), "bid_span_bps", "ask_span_bps",
+    "book": ("quotes", {LEVEL: ["mid", "bid", "ask"], FEATURE: ["bid_sz", "ask_sz", "spread_bps", "imbalance", "micro_dev",
+    *_over("depth_imb", DEPTH_RUNGS), "bid_span_bps", "ask_span_bps",
                                                               "depth_10"], CLOCK: ["age_ms"]}),
     "ofi": ("quotes", {FEATURE: ["ofi", *_over("ofi", FLOW_WINDOWS)]}),
     "returns": ("quotes", {FEATURE: _over("ret_bps", RETURN_WINDOWS)}),
-    "flow": ("trades", {FEATURE: ["signed_vol", "volume", "n_trades", *_over("signed_vol", FLOW_WINDOWS), *_over("volume", FLOW_WINDOWS)], LEVEL: ["vwap"]}),
-    "basis": ("mark_price", {FEATURE: ["basis_bps", "funding_rate", "funding_in_s", *_over("basis_chg", FLOW_WINDOWS)], CLOCK: ["mark_age_ms"]}),
+    "flow": ("trades", {FEATURE: ["signed_vol", "volume", "n_trades", *_over("signed_vol", FLOW_WINDOWS), *_over("volume", FLOW_WINDOWS)],
+    LEVEL: ["vwap"]}),
+    "basis": ("mark_price", {FEATURE: ["basis_bps", "funding_rate", "funding_in_s", *_over("basis_chg", FLOW_WINDOWS)],
+    CLOCK: ["mark_age_ms"]}),
     "open_interest": ("open_interest", {FEATURE: _over("oi_chg_bps", FLOW_WINDOWS), CLOCK: ["oi_age_ms"]}),
     "liquidations": ("liquidations", {FEATURE: ["liq_flow", "n_liqs", *_over("liq_flow", FLOW_WINDOWS), *_over("n_liqs", FLOW_WINDOWS)]}),
 }
@@ -69,7 +72,8 @@ def classify(name: str) -> Named:
 
 def expected(streams: Mapping[str, Iterable[str]]) -> list[Named]:
     """Every column of a matrix, from the streams that each venue published; names that collide are an error."""
-    out = [Named("ts_ns", "grid", KEY), Named("date", "grid", KEY), *[Named(c, "nbbo", r) for c, r in CONSOLIDATED.items()], *[Named(f"y_{g}", "target", TARGET) for g in GOALS]]
+    out = [Named("ts_ns", "grid", KEY), Named("date", "grid", KEY), *[Named(c, "nbbo", r) for c, r in CONSOLIDATED.items()],
+        *[Named(f"y_{g}", "target", TARGET) for g in GOALS]]
     for venue in sorted(streams):
         have = set(streams[venue])
         for family, (stream, roles) in PER_VENUE.items():

@@ -21,7 +21,8 @@ def increase(samples: DataFrame, by: list[str], ts: str, value: str, span: int)
 def changes(samples: DataFrame, by: list[str], ts: str, value: str, span: int) -> DataFrame:
     w = Window.partitionBy(*by).orderBy(ts)
     moved = F.coalesce((F.col(value) != F.lag(value).over(w)).cast("int"), F.lit(0))
-    return samples.withColumn("_m", moved).withColumn("changes", F.sum("_m").over(Window.partitionBy(*by).orderBy(ts).rangeBetween(-(span - 1), 0))).drop("_m")
+    return samples.withColumn("_m", moved).withColumn("changes",
+        F.sum("_m").over(Window.partitionBy(*by).orderBy(ts).rangeBetween(-(span - 1), 0))).drop("_m")
 
 
 def firing(samples: DataFrame, by: list[str], ts: str, condition: Column, hold: int) -> DataFrame:
@@ -41,7 +42,8 @@ def histogram_quantile(buckets: DataFrame, by: list[str], q: float) -> DataFrame
     le = F.coalesce(F.col("le").cast("double"), F.lit(float("inf")))
     w = Window.partitionBy(*by).orderBy("_le")
     rows = buckets.withColumn("_le", le)
-    rows = rows.withColumn("_total", F.max("n").over(Window.partitionBy(*by))).withColumn("_n0", F.coalesce(F.lag("n").over(w), F.lit(0))).withColumn("_le0", F.coalesce(F.lag("_le").over(w), F.lit(0.0)))
+    rows = rows.withColumn("_total", F.max("n").over(Window.partitionBy(*by))).withColumn("_n0",
+        F.coalesce(F.lag("n").over(w), F.lit(0))).withColumn("_le0", F.coalesce(F.lag("_le").over(w), F.lit(0.0)))
     hit = rows.where((F.col("n") >= F.col("_total") * q) & (F.col("_total") > 0))
     first = hit.groupBy(*by).agg(F.min(F.struct("_le", "n", "_n0", "_le0", "_total")).alias("h")).select(*by, "h.*")
     inside = F.col("_le0") + (F.col("_le") - F.col("_le0")) * F.try_divide(F.col("_total") * q - F.col("_n0"), F.col("n") - F.col("_n0"))
@@ -105,10 +107,12 @@ def alerts(samples: DataFrame, rules: list[tuple] = ALERTS) -> DataFrame:
     for name, metric, how, span, by, test, bound, hold in rules:
         own = selected(samples, metric)
         full = F.to_json(F.map_from_entries(F.array_sort(F.map_entries("labels"))))
-        kept = full if by is None else F.to_json(F.map_from_arrays(F.array(*[F.lit(b) for b in sorted(by)]), F.array(*[F.coalesce(F.col("labels")[b], F.lit("")) for b in sorted(by)]))) if by else F.lit("{}")
+        kept = full if by is None else F.to_json(F.map_from_arrays(F.array(*[F.lit(b) for b in sorted(by)]),
+            F.array(*[F.coalesce(F.col("labels")[b], F.lit("")) for b in sorted(by)]))) if by else F.lit("{}")
         rows = own.select(full.alias("_full"), kept.alias("series"), "ts", "value")
         if how == "rate":
-            got = summed_rate(rows, ["_full", "series"], ["series"], "ts", "value", span).select("series", "ts", F.col("rate").alias("value"))
+            got = summed_rate(rows, ["_full", "series"], ["series"], "ts", "value", span).select("series", "ts",
+                F.col("rate").alias("value"))
         elif how == "changes":
             got = changes(rows, ["series"], "ts", "value", span).select("series", "ts", F.col("changes").cast("double").alias("value"))
         elif how == "age":
@@ -123,13 +127,16 @@ def alerts(samples: DataFrame, rules: list[tuple] = ALERTS) -> DataFrame:
 
 
 def _gauge(df: DataFrame, name: str, labels: dict[str, Column], value: Column) -> DataFrame:
-    entries = F.map_from_arrays(F.array(*[F.lit(k) for k in labels]), F.array(*[v.cast("string") for v in labels.values()])) if labels else F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
+    entries = F.map_from_arrays(F.array(*[F.lit(k) for k in labels]),
+        F.array(*[v.cast("string") for v in labels.values()])) if labels else F.map_from_arrays(F.array().cast("array<string>"),
+        F.array().cast("array<string>"))
     return df.select(F.lit(name).alias("metric"), entries.alias("labels"), value.cast("double").alias("value"))
 
 
 def freshness_families(newest: DataFrame, now: float) -> DataFrame:
     """``newest(layer, dataset, at)`` to seconds since, never below 0."""
-    return _gauge(newest, "lake_freshness_seconds", {"layer": F.col("layer"), "dataset": F.col("dataset")}, F.greatest(F.lit(0.0), F.lit(now) - F.col("at")))
+    return _gauge(newest, "lake_freshness_seconds", {"layer": F.col("layer"), "dataset": F.col("dataset")},
+        F.greatest(F.lit(0.0), F.lit(now) - F.col("at")))
 
 
 def scorecard_families(rows: DataFrame) -> DataFrame:
@@ -140,12 +147,15 @@ def scorecard_families(rows: DataFrame) -> DataFrame:
     labels = {"check": F.col("check"), "exchange": F.col("exchange"), "symbol": sym}
     lat = rows.where(F.col("check").startswith("latency.")).select(
         "exchange", sym.alias("symbol"), F.substring("check", len("latency.") + 1, 1000).alias("dataset"),
-        F.explode(F.array(*[F.struct(F.lit(q).alias("q"), F.col(f"{q}_ms").alias("v")) for q in ("p50", "p95", "p99")])).alias("x")).where("x.v is not null")
-    step = rows.where("check = 'clock_monotonic'").withColumn("_w", F.get_json_object("detail", "$.worst_lateness_ms").cast("double")).where("_w is not null")
+        F.explode(F.array(*[F.struct(F.lit(q).alias("q"), F.col(f"{q}_ms").alias("v"))
+        for q in ("p50", "p95", "p99")])).alias("x")).where("x.v is not null")
+    step = rows.where("check = 'clock_monotonic'").withColumn("_w",
+        F.get_json_object("detail", "$.worst_lateness_ms").cast("double")).where("_w is not null")
     parts = [
         _gauge(rows, "gold_dq_violations", labels, F.col("n_violations")),
         _gauge(rows, "gold_dq_records", labels, F.col("n_records")),
-        _gauge(lat, "gold_dq_latency_ms", {"exchange": F.col("exchange"), "symbol": F.col("symbol"), "dataset": F.col("dataset"), "quantile": F.col("x.q")}, F.col("x.v")),
+        _gauge(lat, "gold_dq_latency_ms", {"exchange": F.col("exchange"), "symbol": F.col("symbol"), "dataset": F.col("dataset"),
+        "quantile": F.col("x.q")}, F.col("x.v")),
         _gauge(step, "gold_dq_clock_worst_ms", {"exchange": F.col("exchange"), "symbol": sym}, F.col("_w")),
         _gauge(rows.select("date").distinct(), "gold_scorecard_date_seconds", {}, F.unix_timestamp(F.to_timestamp("date", "yyyy-MM-dd"))),
     ]
@@ -154,14 +164,17 @@ def scorecard_families(rows: DataFrame) -> DataFrame:
 
 def basis_families(rows: DataFrame) -> DataFrame:
     """The gauges of one date's basis summary: four statistics, and how many observations are behind them."""
-    tall = rows.select("base", F.explode(F.array(*[F.struct(F.lit(q).alias("q"), F.col(f"basis_bps_{q}").alias("v")) for q in ("mean", "std", "min", "max")])).alias("x")).where("x.v is not null")
-    return _gauge(tall, "gold_basis_bps", {"base": F.col("base"), "stat": F.col("x.q")}, F.col("x.v")).unionByName(_gauge(rows, "gold_basis_obs", {"base": F.col("base")}, F.col("n_obs")))
+    tall = rows.select("base", F.explode(F.array(*[F.struct(F.lit(q).alias("q"), F.col(f"basis_bps_{q}").alias("v"))
+        for q in ("mean", "std", "min", "max")])).alias("x")).where("x.v is not null")
+    return _gauge(tall, "gold_basis_bps", {"base": F.col("base"), "stat": F.col("x.q")},
+        F.col("x.v")).unionByName(_gauge(rows, "gold_basis_obs", {"base": F.col("base")}, F.col("n_obs")))
 
 
 def marker_skew(markers: DataFrame, newest: DataFrame) -> DataFrame:
     """How far each dataset's marker is from its newest object: ``markers(layer, dataset, written_at_epoch)``, ``newest(layer, dataset, at)``."""
     met = markers.join(newest, ["layer", "dataset"])
-    return _gauge(met, "lake_freshness_marker_skew_seconds", {"layer": F.col("layer"), "dataset": F.col("dataset")}, F.abs(F.col("written_at_epoch") - F.col("at")))
+    return _gauge(met, "lake_freshness_marker_skew_seconds", {"layer": F.col("layer"), "dataset": F.col("dataset")},
+        F.abs(F.col("written_at_epoch") - F.col("at")))
 
 
 def latest(rows: DataFrame, date: str = "date") -> DataFrame:

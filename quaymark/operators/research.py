@@ -32,14 +32,16 @@ def strided(rows: DataFrame, every: int, by: list[str], ts: str) -> DataFrame:
 #: Metrics as (numerator, denominator) of per-row terms of y and p.
 RATIOS = {
     "r2": (lambda y, p: y * y - (y - p) * (y - p), lambda y, p: y * y),
-    "hit": (lambda y, p: F.when((F.abs(y) > 1e-9) & (F.signum(y) * F.signum(p) > 0), 1.0).otherwise(0.0), lambda y, p: F.when((F.abs(y) > 1e-9) & (p != 0), 1.0).otherwise(0.0)),
+    "hit": (lambda y, p: F.when((F.abs(y) > 1e-9) & (F.signum(y) * F.signum(p) > 0), 1.0).otherwise(0.0), lambda y,
+    p: F.when((F.abs(y) > 1e-9) & (p != 0), 1.0).otherwise(0.0)),
     "gross_bps": (lambda y, p: y * F.signum(p), lambda y, p: F.when(p != 0, 1.0).otherwise(0.0)),
 }
 
 
 #: Ratios over rows that are classes already: of the calls of a class those that were right, and the other way round.
 CLASS_RATIOS = {
-    f"{name}_{kind}": (lambda y, p, k=k: ((y == k) & (p == k)).cast("double"), (lambda y, p, k=k: (p == k).cast("double")) if kind == "precision" else (lambda y, p, k=k: (y == k).cast("double")))
+    f"{name}_{kind}": (lambda y, p, k=k: ((y == k) & (p == k)).cast("double"),
+    (lambda y, p, k=k: (p == k).cast("double")) if kind == "precision" else (lambda y, p, k=k: (y == k).cast("double")))
     for name, k in (("up", 1), ("down", -1)) for kind in ("precision", "recall")
 }
 
@@ -70,14 +72,17 @@ def bootstrap(sums: DataFrame, date: str, draws: int = 1000, seed: int = 0, leve
     picks = np.random.default_rng(seed).integers(0, len(dates), (draws if len(dates) > 1 else 0, max(1, len(dates))))
     weights = [(i, dates[j], int(n)) for i, row in enumerate(picks) for j, n in enumerate(np.bincount(row, minlength=len(dates))) if n]
     w = spark.createDataFrame(weights, f"draw int, {date} {sums.schema[date].dataType.simpleString()}, weight int")
-    per = sums.join(F.broadcast(w), date).groupBy("draw").agg(*[_ratio(F.sum(F.col(f"{k}_num") * F.col("weight")), F.sum(F.col(f"{k}_den") * F.col("weight"))).alias(k) for k in of])
+    per = sums.join(F.broadcast(w),
+        date).groupBy("draw").agg(*[_ratio(F.sum(F.col(f"{k}_num") * F.col("weight")), F.sum(F.col(f"{k}_den") * F.col("weight"))).alias(k)
+        for k in of])
     tall = per.unpivot("draw", list(of), "metric", "value")
     q = (1 - level) / 2
     p = F.percentile("value", F.array(F.lit(q), F.lit(1 - q)))
     bounds = tall.groupBy("metric").agg(p.alias("p")).select("metric", F.col("p")[0].alias("lo"), F.col("p")[1].alias("hi"))
     point = ratios(sums, of).withColumn("_", F.lit(1)).unpivot("_", list(of), "metric", "point").drop("_")
     none = F.col("point").isNull()
-    return point.join(bounds, "metric", "left").select("metric", "point", F.when(~none, F.col("lo")).alias("lo"), F.when(~none, F.col("hi")).alias("hi"))
+    return point.join(bounds, "metric", "left").select("metric", "point", F.when(~none, F.col("lo")).alias("lo"),
+        F.when(~none, F.col("hi")).alias("hi"))
 
 
 def classes(values: Column, threshold: Column) -> Column:
@@ -92,7 +97,8 @@ def as_classes(rows: DataFrame, y: str = "y", p: str = "p", threshold: str = "th
     if share is None:
         return rows.withColumn("_y", truth).withColumn(p, classes(F.col(p), F.col(threshold))).withColumn(y, F.col("_y")).drop("_y")
     cut = percentiles(rows.withColumn("_abs", F.abs(p)), [], "_abs", [1 - share]).select(F.get("p", F.lit(0)).alias("_cut"))
-    return rows.join(F.broadcast(cut), F.lit(True)).withColumn("_y", truth).withColumn(p, classes(F.col(p), F.col("_cut"))).withColumn(y, F.col("_y")).drop("_y", "_cut")
+    return rows.join(F.broadcast(cut), F.lit(True)).withColumn("_y", truth).withColumn(p, classes(F.col(p), F.col("_cut"))).withColumn(y,
+        F.col("_y")).drop("_y", "_cut")
 
 
 def intervals(rows: DataFrame, date: str = "date", share: float | None = None, draws: int = 1000, seed: int = 0) -> DataFrame:
@@ -105,7 +111,8 @@ def intervals(rows: DataFrame, date: str = "date", share: float | None = None, d
         parts.append(("coverage", as_classes(rows, share=share), CLASS_RATIOS))
     out = None
     for name, df, of in parts:
-        one = bootstrap(partial_sums(df, [date], of=of), date, draws, seed, of=of).select(F.lit(name).alias("family"), "metric", "point", "lo", "hi")
+        one = bootstrap(partial_sums(df, [date], of=of), date, draws, seed, of=of).select(F.lit(name).alias("family"), "metric", "point",
+            "lo", "hi")
         out = one if out is None else out.unionByName(one)
     return out
 
@@ -117,15 +124,18 @@ def evaluate(rows: DataFrame, by: list[str] | None = None, y: str = "y", p: str
     Y, P = F.col(y), F.col(p)
     parts = {k: (F.sum(RATIOS[k][0](Y, P)), F.sum(RATIOS[k][1](Y, P))) for k in ("r2", "hit")}
     out = rows.groupBy(*(by or [])).agg(
-        F.count("*").alias("n"), *[_ratio(*v).alias(k) for k, v in parts.items()], F.stddev_pop(p).alias("pred_std"), F.stddev_pop(y).alias("y_std"), F.covar_pop(y, p).alias("_cov"))
+        F.count("*").alias("n"), *[_ratio(*v).alias(k) for k, v in parts.items()], F.stddev_pop(p).alias("pred_std"),
+        F.stddev_pop(y).alias("y_std"), F.covar_pop(y, p).alias("_cov"))
     fine = (F.col("n") > 2) & (F.col("pred_std") > 0) & (F.col("y_std") > 0)
-    return out.withColumn("corr", F.when(fine, F.try_divide("_cov", F.col("pred_std") * F.col("y_std")))).select(*(by or []), "n", "r2", "hit", "corr", "pred_std", "y_std")
+    return out.withColumn("corr", F.when(fine, F.try_divide("_cov", F.col("pred_std") * F.col("y_std")))).select(*(by or []), "n", "r2",
+        "hit", "corr", "pred_std", "y_std")
 
 
 def edge_summary(rows: DataFrame, by: list[str] | None = None, y: str = "y", p: str = "p") -> DataFrame:
     """Trades taken and what they made before costs: in all, and by trade, which is the cost to break even at."""
     take = F.abs(F.col(p)) > 0
-    out = rows.groupBy(*(by or [])).agg(F.count_if(take).alias("n_trades"), F.sum(F.when(take, F.signum(p) * F.col(y))).alias("gross_bps_total"))
+    out = rows.groupBy(*(by or [])).agg(F.count_if(take).alias("n_trades"),
+        F.sum(F.when(take, F.signum(p) * F.col(y))).alias("gross_bps_total"))
     return out.withColumn("gross_bps_per_trade", F.try_divide("gross_bps_total", "n_trades"))
 
 
@@ -134,7 +144,8 @@ def spread_over(folds: DataFrame, by: list[str], value: str) -> DataFrame:
     return folds.groupBy(*by).agg(F.avg(value).alias("mean"), F.stddev_pop(value).alias("std"))
 
 
-def fold_rows(rows: DataFrame, train: Sequence[str], test: Sequence[str], horizon: int, share: float = 0.15, date: str = "date", ts: str = "ts_ns") -> DataFrame:
+def fold_rows(rows: DataFrame, train: Sequence[str], test: Sequence[str], horizon: int, share: float = 0.15, date: str = "date",
+    ts: str = "ts_ns") -> DataFrame:
     """``part`` of each row of a fold: fit, val, test, or null for rows that the embargoes leave out.
 
     Of the training dates in time order the last ``horizon`` rows go, whose targets reach into the test; the
@@ -144,8 +155,10 @@ def fold_rows(rows: DataFrame, train: Sequence[str], test: Sequence[str], horizo
     nth = F.row_number().over(Window.partitionBy(date).orderBy(ts))
     per = one.groupBy(date).agg(F.count("*").alias("_n")).where(F.col(date).isin(*train))
     before = F.sum("_n").over(Window.orderBy(date).rowsBetween(Window.unboundedPreceding, -1))  # a row a date
-    base = per.select(F.col(date).alias("_d"), F.coalesce(before, F.lit(0)).alias("_base"), F.sum("_n").over(Window.partitionBy()).alias("_all"))
-    placed = one.withColumn("_nth", nth).join(F.broadcast(base), F.col(date) == F.col("_d"), "left").withColumn("_place", F.col("_base") + F.col("_nth"))
+    base = per.select(F.col(date).alias("_d"), F.coalesce(before, F.lit(0)).alias("_base"),
+        F.sum("_n").over(Window.partitionBy()).alias("_all"))
+    placed = one.withColumn("_nth", nth).join(F.broadcast(base), F.col(date) == F.col("_d"), "left").withColumn("_place",
+        F.col("_base") + F.col("_nth"))
     kept = F.greatest(F.lit(0), F.col("_all") - horizon)
     n_val = F.bround(kept * share).cast("long")
     part = (F.when(F.col(date).isin(*test), "test").when(F.col("_place") > kept, None).when(F.col("_place") > kept - n_val, "val")
@@ -168,7 +181,8 @@ def class_report(rows: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
     cols = []
     for name, k in (("up", 1), ("down", -1)):
         both = F.count_if((Y == k) & (P == k))
-        cols += [F.try_divide(both, F.count_if(P == k)).alias(f"{name}_precision"), F.try_divide(both, F.count_if(Y == k)).alias(f"{name}_recall"), F.count_if(Y == k).alias(f"{name}_support")]
+        cols += [F.try_divide(both, F.count_if(P == k)).alias(f"{name}_precision"),
+            F.try_divide(both, F.count_if(Y == k)).alias(f"{name}_recall"), F.count_if(Y == k).alias(f"{name}_support")]
     return rows.agg(*cols, F.avg((P != 0).cast("double")).alias("traded_share"), F.avg((Y != 0).cast("double")).alias("movable_share"))
 
 
@@ -192,9 +206,11 @@ def ridge(rows: DataFrame, features: list[str], y: str, alpha: float = 1.0) -> t
     Nulls take the feature's median."""
     tall = rows.select(*[F.col(c).cast("double").alias(c) for c in features]).unpivot([], features, "_f", "_v")
     meds = {r["_f"]: r["p"][0] for r in percentiles(tall, ["_f"], "_v", [0.5]).collect()}
-    full = rows.select(F.col(y).cast("double").alias("_y"), *[F.coalesce(F.col(c).cast("double"), F.lit(float(meds.get(c) or 0.0))).alias(c) for c in features]).where("_y is not null")
+    full = rows.select(F.col(y).cast("double").alias("_y"),
+        *[F.coalesce(F.col(c).cast("double"), F.lit(float(meds.get(c) or 0.0))).alias(c) for c in features]).where("_y is not null")
     cols = [*features, "_y"]
-    aggs = [F.count("*").alias("n"), *[F.sum(c).alias(f"s{i}") for i, c in enumerate(cols)], *[F.sum(F.col(a) * F.col(b)).alias(f"p{i}_{j}") for i, a in enumerate(cols) for j, b in enumerate(cols) if i <= j]]
+    aggs = [F.count("*").alias("n"), *[F.sum(c).alias(f"s{i}") for i, c in enumerate(cols)],
+        *[F.sum(F.col(a) * F.col(b)).alias(f"p{i}_{j}") for i, a in enumerate(cols) for j, b in enumerate(cols) if i <= j]]
     m = full.agg(*aggs).first()
     k, n = len(features), m["n"]
     mean = np.array([m[f"s{i}"] / n for i in range(k + 1)])
@@ -227,7 +243,8 @@ def _lead(cov: np.ndarray, a: float, b: float) -> tuple[float, float]:
     return tuple(sorted((min(1.0, max(0.0, first)), min(1.0, max(0.0, last)))))
 
 
-def info_shares(panel: DataFrame, date: str = "date", lags: int = 10, least: int | None = 200, interval_ns: int | None = None, by: list[str] | None = None) -> DataFrame:
+def info_shares(panel: DataFrame, date: str = "date", lags: int = 10, least: int | None = 200, interval_ns: int | None = None,
+    by: list[str] | None = None) -> DataFrame:
     """Price discovery of two venues by date: ``(*by, date,`` and ``SHARES)``.
 
     ``panel(*by, date, ts_ns, a, b)``: two log prices on a grid. Per date a vector error-correction
@@ -248,7 +265,8 @@ def info_shares(panel: DataFrame, date: str = "date", lags: int = 10, least: int
             return none
         steps = np.diff(x, axis=0)
         y = steps[lags:]
-        z = np.column_stack([np.ones(len(y)), (x[lags:-1, 0] - x[lags:-1, 1]), *[steps[lags - k : len(steps) - k] for k in range(1, lags + 1)]])
+        z = np.column_stack([np.ones(len(y)), (x[lags:-1, 0] - x[lags:-1, 1]),
+            *[steps[lags - k : len(steps) - k] for k in range(1, lags + 1)]])
         rows = len(y)
         if interval_ns is not None:
             stretch = np.cumsum(np.r_[True, np.diff(pdf["ts_ns"].to_numpy(np.int64)) != interval_ns])
@@ -264,7 +282,8 @@ def info_shares(panel: DataFrame, date: str = "date", lags: int = 10, least: int
         if not abs(a + b) >= 1e-15 or not cov[0, 0] * cov[1, 1] - cov[0, 1] ** 2 > 0:
             return none
         corr = cov[0, 1] / np.sqrt(cov[0, 0] * cov[1, 1])
-        return pd.DataFrame([(*[pdf[c].iloc[0] for c in by], pdf[date].iloc[0], len(y), rows - len(y), float(speed[0]), float(speed[1]), *_lead(cov, a, b), float(a / (a + b)), float(corr),
+        return pd.DataFrame([(*[pdf[c].iloc[0] for c in by], pdf[date].iloc[0], len(y), rows - len(y), float(speed[0]), float(speed[1]),
+            *_lead(cov, a, b), float(a / (a + b)), float(corr),
                               float(np.linalg.cond(z)))], columns=cols)
 
     keys = [*by, date]
@@ -276,11 +295,13 @@ def share_summary(shares: DataFrame, by: list[str]) -> DataFrame:
     """Over dates: mean and deviation (of the population) of the bounds' midpoint, mean width, and dates whose
     Gonzalo-Granger number is no share."""
     mid = (F.col("lo") + F.col("hi")) / 2
-    return shares.groupBy(*by).agg(F.count("*").alias("n_dates"), F.avg(mid).alias("mid_mean"), F.stddev_pop(mid).alias("mid_std"), F.avg(F.col("hi") - F.col("lo")).alias("mean_width"),
+    return shares.groupBy(*by).agg(F.count("*").alias("n_dates"), F.avg(mid).alias("mid_mean"), F.stddev_pop(mid).alias("mid_std"),
+        F.avg(F.col("hi") - F.col("lo")).alias("mean_width"),
                                    F.count_if(~F.col("gg").between(0, 1)).alias("gg_unusable"))
 
 
-def permutation_importance(rows: DataFrame, predict, features: list[str], venue_of: dict[str, str | None], repeats: int = 5, seed: int = 0, y: str = "y") -> DataFrame:
+def permutation_importance(rows: DataFrame, predict, features: list[str], venue_of: dict[str, str | None], repeats: int = 5, seed: int = 0,
+    y: str = "y") -> DataFrame:
     """``(venue, importance)``: how much R2 falls, over the features of a venue, when a feature's values are dealt anew.
 
     ``predict(df)`` adds ``p``. A feature is shuffled by pairing rows in their own order with rows in the order of
@@ -321,7 +342,8 @@ class Boosted:
     side would be above its right is not taken, and children keep within the bounds that such splits set.
     """
 
-    def __init__(self, features: list[str], rounds: int = 1000, rate: float = 0.03, depth: int = 4, least: int = 200, l2: float = 1.0, patience: int = 20, bins: int = 64,
+    def __init__(self, features: list[str], rounds: int = 1000, rate: float = 0.03, depth: int = 4, least: int = 200, l2: float = 1.0,
+        patience: int = 20, bins: int = 64,
                  upward: tuple[str, ...] = UPWARD) -> None:
         self.features, self.rounds, self.rate, self.depth, self.least, self.l2, self.patience, self.bins = features, rounds, rate, depth, least, l2, patience, bins
         self.sign = [any(u in f for u in upward) for f in features]
@@ -363,7 +385,8 @@ class Boosted:
             step = F.col("_p") + self._leaf(tree)
             train, held = (None if df is None else df.withColumn("_p", step) for df in (train, held))
             if n % 10 == 9:  # short lineages: written, not only planned
-                train, held = (None if df is None else df.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else df.persist() for df in (train, held))
+                train, held = (None if df is None else df.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else df.persist()
+                    for df in (train, held))
             if held is not None:
                 loss = held.agg(F.avg((F.col(y) - F.col("_p")) ** 2)).first()[0]
                 if loss < best - 1e-12:
@@ -386,7 +409,8 @@ class Boosted:
                 break
             tagged = rows.withColumn("_node", node).where(F.col("_node").isin(open_))
             stacked = F.explode(F.array(*[F.struct(F.lit(i).alias("f"), F.col(f"_b{i}").alias("b")) for i in range(len(self.features))]))
-            cells = tagged.select("_node", (F.col(y) - F.col("_p")).alias("_g"), stacked.alias("c")).groupBy("_node", "c.f", "c.b").agg(F.sum("_g").alias("g"), F.count("*").alias("n")).collect()
+            cells = tagged.select("_node", (F.col(y) - F.col("_p")).alias("_g"), stacked.alias("c")).groupBy("_node", "c.f",
+                "c.b").agg(F.sum("_g").alias("g"), F.count("*").alias("n")).collect()
             table: dict[int, dict[int, dict[int, tuple]]] = {}
             for r in cells:
                 table.setdefault(r["_node"], {}).setdefault(r["f"], {})[r["b"]] = (r["g"], r["n"])
@@ -448,7 +472,8 @@ class Boosted:
 def linear(beta: np.ndarray, intercept: float, features: list[str], medians: dict[str, float], name: str = "p"):
     """A fitted ridge as a function that adds its prediction; nulls take the feature's median."""
     def predict(df: DataFrame) -> DataFrame:
-        x = sum((F.coalesce(F.col(f).cast("double"), F.lit(float(medians.get(f) or 0.0))) * float(b) for f, b in zip(features, beta)), F.lit(float(intercept)))
+        x = sum((F.coalesce(F.col(f).cast("double"), F.lit(float(medians.get(f) or 0.0))) * float(b) for f, b in zip(features, beta)),
+            F.lit(float(intercept)))
         return df.withColumn(name, x)
     return predict
 
@@ -467,7 +492,8 @@ def fit_models(fit: DataFrame, val: DataFrame, features: list[str], y: str = "y"
     return out
 
 
-def evaluate_folds(rows: DataFrame, dates: Sequence[str], features: list[str], horizon: int, y: str = "y", least: int = 8, test: int = 3, step: int = 3, boosted: dict | None = None) -> DataFrame:
+def evaluate_folds(rows: DataFrame, dates: Sequence[str], features: list[str], horizon: int, y: str = "y", least: int = 8, test: int = 3,
+    step: int = 3, boosted: dict | None = None) -> DataFrame:
     """Out-of-sample rows of every fold and model, strided and pooled: ``(fold, model, date, ts_ns, y, p)``."""
     parts = []
     for i, (train, held) in enumerate(walk_forward(dates, least, test, step)):
@@ -475,7 +501,8 @@ def evaluate_folds(rows: DataFrame, dates: Sequence[str], features: list[str], h
         models = fit_models(split.where("part = 'fit'"), split.where("part = 'val'"), features, y, boosted)
         tested = split.where("part = 'test'").withColumn("_all", F.lit(0))
         kept = strided(tested, horizon, ["_all"], "ts_ns").drop("_all")
-        parts += [m(kept).select(F.lit(i).alias("fold"), F.lit(name).alias("model"), "date", "ts_ns", F.col(y).alias("y"), "p") for name, m in models.items()]
+        parts += [m(kept).select(F.lit(i).alias("fold"), F.lit(name).alias("model"), "date", "ts_ns", F.col(y).alias("y"), "p") for name,
+            m in models.items()]
     if not parts:
         raise ValueError("too few dates for a fold")
     out = parts[0]

@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: What makes two runs one experiment, and of that what names its direction.
-EXPERIMENT = ("dates", "symbol", "extra_symbols", "horizon", "target", "spread_col", "predict_venue", "max_age_ms", "min_train", "test_size", "step", "coverages", "dead_zone_spreads")
+EXPERIMENT = ("dates", "symbol", "extra_symbols", "horizon", "target", "spread_col", "predict_venue", "max_age_ms", "min_train",
+    "test_size", "step", "coverages", "dead_zone_spreads")
 DIRECTION = ("predict_venue", "target", "spread_col")
 
 
@@ -48,7 +49,8 @@ def fingerprint(spark: SparkSession, base: str, date: str, symbols: list[str], s
     return digest(f"{r['at']} {r['sha256']}" for r in rows)
 
 
-def cached(spark: SparkSession, cache: str, name: str, sources: str, builder: str, build: Callable[[], DataFrame], refresh: bool = False) -> DataFrame:
+def cached(spark: SparkSession, cache: str, name: str, sources: str, builder: str, build: Callable[[], DataFrame],
+    refresh: bool = False) -> DataFrame:
     """A frame built once for each digest of its sources and its builder, then read from ``cache``."""
     path = f"{cache}/{name}_{sources}-{builder}.parquet"
     jvm = spark.sparkContext._jvm
@@ -72,11 +74,15 @@ def _version(name: str) -> str:
         return ""
 
 
-def provenance(created_at: str, builder: bytes, columns: Iterable[str], sources: Mapping[str, str], packages: Iterable[str] = ("pyspark", "numpy", "pyarrow"), at: Path | None = None) -> dict[str, Any]:
+def provenance(created_at: str, builder: bytes, columns: Iterable[str], sources: Mapping[str, str],
+    packages: Iterable[str] = ("pyspark", "numpy", "pyarrow"), at: Path | None = None) -> dict[str, Any]:
     """What code, columns, sources and packages a run had. The tree is dirty if a tracked file differs from its commit, or an untracked module could have changed what ran."""
-    dirty = bool(_git("status", "--porcelain", "--untracked-files=no", at=at) or _git("ls-files", "--others", "--exclude-standard", "*.py", at=at))
-    return {"created_at": created_at, "git_sha": _git("rev-parse", "--short", "HEAD", at=at), "git_dirty": dirty, "builder_fingerprint": digest(builder, 4),
-            "feature_schema_digest": digest(columns, 4), "source_fingerprints": dict(sources), "packages": {p: _version(p) for p in packages}}
+    dirty = bool(_git("status", "--porcelain", "--untracked-files=no", at=at)
+        or _git("ls-files", "--others", "--exclude-standard", "*.py", at=at))
+    return {"created_at": created_at, "git_sha": _git("rev-parse", "--short", "HEAD", at=at), "git_dirty": dirty,
+        "builder_fingerprint": digest(builder, 4),
+            "feature_schema_digest": digest(columns, 4), "source_fingerprints": dict(sources),
+            "packages": {p: _version(p) for p in packages}}
 
 
 def plain(value: Any) -> Any:
@@ -97,7 +103,8 @@ def write_run(spark: SparkSession, root: str, record: Mapping[str, Any], oos: Da
     column for each model's prediction. A record without a provenance is an error."""
     stamp = record["provenance"]["created_at"].replace(":", "").replace("-", "")[:15]
     out = f"{root}/{stamp}-{record['provenance']['git_sha'] or 'nogit'}"
-    spark.createDataFrame([(json.dumps(plain(record), allow_nan=False, sort_keys=True),)], "record string").coalesce(1).write.mode("overwrite").text(f"{out}/record")
+    spark.createDataFrame([(json.dumps(plain(record), allow_nan=False, sort_keys=True),)],
+        "record string").coalesce(1).write.mode("overwrite").text(f"{out}/record")
     wide(oos).write.mode("overwrite").parquet(f"{out}/oos")
     return out
 
@@ -124,7 +131,8 @@ def differences(a: Mapping[str, Any], b: Mapping[str, Any], fields: Iterable[str
     return [f"{f}: {a['spec'].get(f)!r} and {b['spec'].get(f)!r}" for f in fields if a["spec"].get(f) != b["spec"].get(f)]
 
 
-def check(real: Mapping[str, Any], placebo: Mapping[str, Any] | None = None, reverse: Mapping[str, Any] | None = None, allow_dirty: bool = False) -> None:
+def check(real: Mapping[str, Any], placebo: Mapping[str, Any] | None = None, reverse: Mapping[str, Any] | None = None,
+    allow_dirty: bool = False) -> None:
     """Whether runs may be published side by side; what speaks against it is an error.
 
     Every run comes from a clean tree. The placebo is the same experiment with the target displaced; the reverse
@@ -147,7 +155,8 @@ def check(real: Mapping[str, Any], placebo: Mapping[str, Any] | None = None, rev
                 raise ValueError(f"the {tag} run differs in {f}")
 
 
-def export(spark: SparkSession, out: str, real: str, placebo: str | None = None, reverse: str | None = None, allow_dirty: bool = False) -> list[str]:
+def export(spark: SparkSession, out: str, real: str, placebo: str | None = None, reverse: str | None = None,
+    allow_dirty: bool = False) -> list[str]:
     """Check, then copy: the folders written, ``<tag>/record`` and ``<tag>/oos``."""
     paths = {t: p for t, p in (("real", real), ("placebo", placebo), ("reverse", reverse)) if p is not None}
     records = {t: read_run(spark, p) for t, p in paths.items()}
@@ -162,7 +171,8 @@ def export(spark: SparkSession, out: str, real: str, placebo: str | None = None,
 
 def report(folds: DataFrame, intervals: DataFrame, gaps: Mapping[str, list[str]]) -> list[str]:
     """A run in words: each metric with its interval, its spread over folds, and the columns that were missing."""
-    lines = [f"{r['family']:<10}{r['metric']:<16}{_number(r['point'])} [{_number(r['lo'])}, {_number(r['hi'])}]" for r in intervals.orderBy("family", "metric").collect()]
+    lines = [f"{r['family']:<10}{r['metric']:<16}{_number(r['point'])} [{_number(r['lo'])}, {_number(r['hi'])}]"
+        for r in intervals.orderBy("family", "metric").collect()]
     lines += [f"{r['model']:<12}R2 over folds {_number(r['mean'])} +/- {_number(r['std'])}" for r in folds.orderBy("model").collect()]
     return lines + [f"missing in {where}: {', '.join(names)}" for where, names in sorted(gaps.items())]
 

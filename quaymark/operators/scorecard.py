@@ -16,13 +16,15 @@ LIMITS = ("max_violations", "max_rate", "min_records", "max_p99_ms")
 
 def sequence_gap(deltas: DataFrame, by: list[str]) -> DataFrame:
     """``deltas(..., seq_gap)``: records, gaps, missing sequences and the largest gap."""
-    return deltas.groupBy(*by).agg(F.count("*").alias("n_records"), F.count_if(F.col("seq_gap") > 0).alias("n_violations"), F.sum("seq_gap").alias("total_missing"), F.max("seq_gap").alias("max_gap"))
+    return deltas.groupBy(*by).agg(F.count("*").alias("n_records"), F.count_if(F.col("seq_gap") > 0).alias("n_violations"),
+        F.sum("seq_gap").alias("total_missing"), F.max("seq_gap").alias("max_gap"))
 
 
 def invariants(events: DataFrame, by: list[str]) -> DataFrame:
     """``events(..., invariant_kind, crossed, locked)``: violations, by kind, and locked ones."""
     return events.groupBy(*by).agg(F.count("*").alias("n_records"), F.count("invariant_kind").alias("n_violations"),
-                                   F.count_if(F.col("crossed")).alias("n_crossed"), F.count_if(F.col("crossed") & F.col("locked")).alias("n_locked"))
+                                   F.count_if(F.col("crossed")).alias("n_crossed"),
+                                   F.count_if(F.col("crossed") & F.col("locked")).alias("n_locked"))
 
 
 def clock(deltas: DataFrame, by: list[str], order: list[str], recv: str, epoch: str) -> DataFrame:
@@ -32,8 +34,10 @@ def clock(deltas: DataFrame, by: list[str], order: list[str], recv: str, epoch:
     w = Window.partitionBy(*by).orderBy(*order)
     known = deltas.where(F.col(recv).isNotNull()).withColumn("_r", F.lag(recv).over(w)).withColumn("_e", F.lag(epoch).over(w))
     back = F.col(recv) < F.col("_r")
-    steps = known.groupBy(*by).agg(F.count_if(back & (F.col("_e") == F.col(epoch))).alias("n_violations"), F.count_if(back & (F.col("_e") != F.col(epoch))).alias("inter_epoch_steps"),
-                                   F.coalesce(F.max(F.when(back & (F.col("_e") == F.col(epoch)), F.col("_r") - F.col(recv))), F.lit(0)).alias("worst_ns"))
+    steps = known.groupBy(*by).agg(F.count_if(back & (F.col("_e") == F.col(epoch))).alias("n_violations"),
+        F.count_if(back & (F.col("_e") != F.col(epoch))).alias("inter_epoch_steps"),
+                                   F.coalesce(F.max(F.when(back & (F.col("_e") == F.col(epoch)), F.col("_r") - F.col(recv))),
+                                   F.lit(0)).alias("worst_ns"))
     return deltas.groupBy(*by).agg(F.count("*").alias("n_records")).join(steps, by, "left").na.fill(0)
 
 
@@ -45,7 +49,8 @@ def latency(rows: DataFrame, by: list[str], ns: str) -> DataFrame:
     p = percentiles(rows.withColumn("_ms", F.col(ns) / 1e6), by, "_ms", [0.5, 0.95, 0.99])
     same = [F.col(f"w.{c}").eqNullSafe(F.col(f"p.{c}")) for c in by]
     met = whole.alias("w").join(p.alias("p"), reduce(Column.__and__, same))
-    return met.select(*[f"w.{c}" for c in by], "n_records", F.col("p")[0].alias("p50_ms"), F.col("p")[1].alias("p95_ms"), F.col("p")[2].alias("p99_ms"), "max_ms")
+    return met.select(*[f"w.{c}" for c in by], "n_records", F.col("p")[0].alias("p50_ms"), F.col("p")[1].alias("p95_ms"),
+        F.col("p")[2].alias("p99_ms"), "max_ms")
 
 
 def transitions(status: DataFrame, by: list[str], ts: str, order: str, state: str = "state") -> DataFrame:
@@ -57,14 +62,17 @@ def transitions(status: DataFrame, by: list[str], ts: str, order: str, state: st
 
 
 def uptime(trans: DataFrame, by: list[str], ts: str, order: str, state: str = "state") -> DataFrame:
-    return trans.groupBy(*by).agg(F.count_if("is_transition").alias("transitions"), F.count_if(F.col("is_transition") & (F.col(state) == "down")).alias("n_violations"),
-                                  F.sum(F.coalesce("downtime_ns", F.lit(0))).alias("downtime_ns"), F.max_by(state, F.struct(ts, order)).alias("final_state"))
+    return trans.groupBy(*by).agg(F.count_if("is_transition").alias("transitions"),
+        F.count_if(F.col("is_transition") & (F.col(state) == "down")).alias("n_violations"),
+                                  F.sum(F.coalesce("downtime_ns", F.lit(0))).alias("downtime_ns"),
+                                  F.max_by(state, F.struct(ts, order)).alias("final_state"))
 
 
 def absent(seen: DataFrame, expected: DataFrame, by: list[str]) -> DataFrame:
     """Coverage rows for declared partitions that have none."""
     missing = expected.join(seen.select(*by).distinct(), by, "left_anti")
-    return missing.select(*by, F.lit("coverage").alias("check"), F.lit(0).cast("long").alias("n_records"), F.lit(1).cast("long").alias("n_violations"))
+    return missing.select(*by, F.lit("coverage").alias("check"), F.lit(0).cast("long").alias("n_records"),
+        F.lit(1).cast("long").alias("n_violations"))
 
 
 def budget_rules(doc: Mapping[str, Any]) -> list[tuple]:
@@ -107,10 +115,12 @@ def breaches(rows: DataFrame, rules: DataFrame) -> DataFrame:
     ``rows(exchange, symbol, date, check, n_records, n_violations, p99_ms)``. Each limit is that of the
     most specific rule that has it; the default holds where no node names the check. Every
     row is held to its limits by itself, so that equal counts on two dates are two breaches."""
-    r = rows.select("exchange", "symbol", "date", "check", "n_records", "n_violations", "p99_ms").withColumn("_row", F.monotonically_increasing_id())
+    r = rows.select("exchange", "symbol", "date", "check", "n_records", "n_violations", "p99_ms").withColumn("_row",
+        F.monotonically_increasing_id())
     family = F.col("check").startswith("latency.") & (F.col("check_key") == "latency")
     names = (F.col("check_key") == F.col("check")) | family
-    scope = (F.col("rule_exchange").isNull() | (F.col("rule_exchange") == F.col("exchange"))) & (F.col("rule_symbol").isNull() | (F.col("rule_symbol") == F.col("symbol")))
+    scope = (F.col("rule_exchange").isNull() | (F.col("rule_exchange") == F.col("exchange"))) & (F.col("rule_symbol").isNull()
+        | (F.col("rule_symbol") == F.col("symbol")))
     # the rules are a budget file: as many rows as it has lines
     met = r.join(F.broadcast(rules), ((F.col("check_key") == "*") | names) & scope, "left")
     named = F.max((F.col("check_key") != "*").cast("int")) == 1
@@ -120,9 +130,11 @@ def breaches(rows: DataFrame, rules: DataFrame) -> DataFrame:
     lim = met.groupBy("_row").agg(named.alias("named"), *[F.first(c).alias(c) for c in keep], *ranked, *default)
     lim = lim.select(*keep, *[F.when(F.col("named"), F.col(f"own_{k}")).otherwise(F.col(f"default_{k}")).alias(k) for k in LIMITS])
     n, v, p = (F.coalesce("n_records", F.lit(0)), F.coalesce("n_violations", F.lit(0)), F.col("p99_ms"))
-    tests = [("max_violations", v.cast("double"), v > F.col("max_violations")), ("max_rate", F.try_divide(v, n), (n > 0) & (F.try_divide(v, n) > F.col("max_rate"))),
+    tests = [("max_violations", v.cast("double"), v > F.col("max_violations")),
+        ("max_rate", F.try_divide(v, n), (n > 0) & (F.try_divide(v, n) > F.col("max_rate"))),
              ("min_records", n.cast("double"), n < F.col("min_records")), ("max_p99_ms", p, p > F.col("max_p99_ms"))]
-    failed = F.filter(F.array(*[F.when(t, F.struct(F.lit(k).alias("limit"), x.alias("value"), F.col(k).alias("bound"))) for k, x, t in tests]), lambda x: x.isNotNull())
+    failed = F.filter(F.array(*[F.when(t, F.struct(F.lit(k).alias("limit"), x.alias("value"), F.col(k).alias("bound"))) for k, x,
+        t in tests]), lambda x: x.isNotNull())
     return lim.withColumn("b", F.explode(failed)).select("exchange", "symbol", "date", "check", "b.limit", "b.value", "b.bound")
 
 
@@ -152,7 +164,8 @@ ROW = ["exchange", "canonical_symbol", "date", "check", "n_records", "n_violatio
 def _rows(df: DataFrame, check: Column) -> DataFrame:
     """Scorecard rows from ``df``, with nulls for what a check does not measure."""
     have = set(df.columns)
-    none = {"canonical_symbol": F.lit(None).cast("string"), "n_violations": F.lit(0).cast("long"), **{f"{q}_ms": F.lit(None).cast("double") for q in ("p50", "p95", "p99")}}
+    none = {"canonical_symbol": F.lit(None).cast("string"), "n_violations": F.lit(0).cast("long"),
+        **{f"{q}_ms": F.lit(None).cast("double") for q in ("p50", "p95", "p99")}}
     return df.withColumn("check", check).select(*[F.col(c) if c in have or c == "check" else none[c].alias(c) for c in ROW])
 
 
@@ -171,13 +184,16 @@ def scorecard(book: DataFrame, latencies: DataFrame, status: DataFrame, expected
         F.coalesce(F.sum(F.when(delta & (F.col("seq_gap") > 0), F.col("seq_gap"))), F.lit(0)).alias("missing"),
         F.coalesce(F.max(F.when(delta & (F.col("seq_gap") > 0), F.col("seq_gap"))), F.lit(0)).alias("largest"))
     kinds = book.groupBy(*by, "invariant_kind").agg(
-        F.count("*").alias("n"), F.count_if(delta).alias("deltas"), F.count_if(F.col("crossed") & (F.col("best_bid") == F.col("best_ask"))).alias("locked"))
+        F.count("*").alias("n"), F.count_if(delta).alias("deltas"),
+        F.count_if(F.col("crossed") & (F.col("best_bid") == F.col("best_ask"))).alias("locked"))
     named = F.collect_list(F.when(F.col("invariant_kind").isNotNull(), F.struct("invariant_kind", "n")))
     broken = F.col("invariant_kind").isNotNull()
     whole = kinds.groupBy(*by).agg(
-        F.sum("n").alias("n_records"), F.coalesce(F.sum(F.when(broken, F.col("n"))), F.lit(0)).alias("n_violations"), F.sum("deltas").alias("deltas"),
+        F.sum("n").alias("n_records"), F.coalesce(F.sum(F.when(broken, F.col("n"))), F.lit(0)).alias("n_violations"),
+        F.sum("deltas").alias("deltas"),
         F.coalesce(F.sum(F.when(broken, F.col("locked"))), F.lit(0)).alias("locked"), named.alias("kinds"))
-    tally = F.map_from_entries(F.array_sort(F.concat("kinds", F.array(F.struct(F.lit("locked").alias("invariant_kind"), F.col("locked").alias("n"))))))
+    tally = F.map_from_entries(F.array_sort(F.concat("kinds",
+        F.array(F.struct(F.lit("locked").alias("invariant_kind"), F.col("locked").alias("n"))))))
     order = ["epoch", "sequence", "offset"]
     steps = clock(book.where(delta), by, order, "local_recv_ts_ns", "epoch")
     quiet = whole.where("deltas = 0").select(*by, F.lit(0).cast("long").alias("n_records"), F.lit(0).cast("long").alias("n_violations"),
@@ -188,16 +204,20 @@ def scorecard(book: DataFrame, latencies: DataFrame, status: DataFrame, expected
     parts = [
         _rows(gaps.withColumn("detail", _detail(total_missing=F.col("missing"), max_gap=F.col("largest"))), F.lit("sequence_gap")),
         _rows(whole.withColumn("detail", F.to_json(tally)), F.lit("book_invariant")),
-        _rows(whole.drop("n_violations").withColumn("detail", _detail(snapshots=F.col("n_records") - F.col("deltas"), deltas=F.col("deltas"))), F.lit("coverage")),
-        _rows(steps.select(*quiet.columns).unionByName(quiet).withColumn("detail", _detail(worst_lateness_ms=F.col("worst_ns") / 1e6, inter_epoch_steps=F.col("inter_epoch_steps"))), F.lit("clock_monotonic")),
+        _rows(whole.drop("n_violations").withColumn("detail", _detail(snapshots=F.col("n_records") - F.col("deltas"),
+        deltas=F.col("deltas"))), F.lit("coverage")),
+        _rows(steps.select(*quiet.columns).unionByName(quiet).withColumn("detail",
+        _detail(worst_lateness_ms=F.col("worst_ns") / 1e6, inter_epoch_steps=F.col("inter_epoch_steps"))), F.lit("clock_monotonic")),
         _rows(lat.withColumn("detail", _detail(max_ms=F.col("max_ms"))), F.concat(F.lit("latency."), F.col("dataset"))),
         _rows(up.join(seen, ["exchange", "date"]).withColumn("detail", _detail(
-            transitions=F.col("transitions"), down_transitions=F.col("n_violations"), downtime_sec=F.col("downtime_ns") / 1e9, final_state=F.col("final_state"))), F.lit("venue_uptime")),
+            transitions=F.col("transitions"), down_transitions=F.col("n_violations"), downtime_sec=F.col("downtime_ns") / 1e9,
+            final_state=F.col("final_state"))), F.lit("venue_uptime")),
     ]
     out = reduce(DataFrame.unionByName, parts)
     if expected is not None:
         dates = out.select("date").distinct()
-        want = expected.select("exchange", "canonical_symbol").distinct().join(F.broadcast(dates), F.lit(True))  # declared pairs by the dates of a build
+        want = expected.select("exchange", "canonical_symbol").distinct().join(F.broadcast(dates),
+            F.lit(True))  # declared pairs by the dates of a build
         gone = absent(out.where("canonical_symbol is not null"), want, by).withColumn("n_violations", F.lit(0).cast("long"))
         out = out.unionByName(_rows(gone.drop("check").withColumn("detail", F.lit('{"absent":true}')), F.lit("coverage")))
     return out

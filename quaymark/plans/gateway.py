@@ -17,12 +17,16 @@ EVENTS = """, ev AS (SELECT symbol AS canonical, arrival * 2 AS position, ts_ns,
 def events(spark: SparkSession, sf: str) -> DataFrame:
     q = quotes(spark, sf)
     text = lambda e: F.expr(e).cast("string")
-    tops = q.where("k >= 10").select(F.col("symbol").alias("canonical"), (F.col("arrival") * 2).alias("position"), "ts_ns", F.col("venue").alias("exchange"), text("bid div 20000").alias("bid_px"), text("k % 3").alias("bid_sz"),
-                                     text("ask div 20000").alias("ask_px"), text("k % 4").alias("ask_sz"), F.lit(None).cast("string").alias("state"))
+    tops = q.where("k >= 10").select(F.col("symbol").alias("canonical"), (F.col("arrival") * 2).alias("position"), "ts_ns",
+        F.col("venue").alias("exchange"), text("bid div 20000").alias("bid_px"), text("k % 3").alias("bid_sz"),
+                                     text("ask div 20000").alias("ask_px"), text("k % 4").alias("ask_sz"),
+                                     F.lit(None).cast("string").alias("state"))
     none = F.lit(None).cast("string")
     names = F.broadcast(q.select(F.col("symbol").alias("canonical")).distinct())  # the instrument table: a row each
-    status = q.where("k < 10").select((F.col("arrival") * 2 + 1).alias("position"), "ts_ns", F.col("venue").alias("exchange"), "state").join(names, F.lit(True))
-    return tops.unionByName(status.select("canonical", "position", "ts_ns", "exchange", none.alias("bid_px"), none.alias("bid_sz"), none.alias("ask_px"), none.alias("ask_sz"), "state"))
+    status = q.where("k < 10").select((F.col("arrival") * 2 + 1).alias("position"), "ts_ns", F.col("venue").alias("exchange"),
+        "state").join(names, F.lit(True))
+    return tops.unionByName(status.select("canonical", "position", "ts_ns", "exchange", none.alias("bid_px"), none.alias("bid_sz"),
+        none.alias("ask_px"), none.alias("ask_sz"), "state"))
 
 
 def _best_sql() -> str:
@@ -30,7 +34,8 @@ def _best_sql() -> str:
     b = "OVER (PARTITION BY canonical ORDER BY position ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
     leg = "CASE WHEN down IS NULL AND exchange = '{v}' THEN {{'bp': bid_px, 'bs': bid_sz, 'ap': ask_px, 'az': ask_sz, 'seen': ts_ns}} END"
     cols = ", ".join(f"last_value({leg.format(v=v)} IGNORE NULLS) {w} AS l{i}, coalesce(last_value(CASE WHEN exchange = '{v}' THEN down END IGNORE NULLS) {w}, false) AS d{i}, "
-                     f"coalesce(last_value(CASE WHEN exchange = '{v}' THEN down END IGNORE NULLS) {b}, false) AS p{i}" for i, v in enumerate(VENUES))
+                     f"coalesce(last_value(CASE WHEN exchange = '{v}' THEN down END IGNORE NULLS) {b}, false) AS p{i}" for i,
+                     v in enumerate(VENUES))
     legs = " UNION ALL ".join(f"SELECT canonical, position, '{v}' AS v, l{i}.bp AS bp, l{i}.bs AS bs, l{i}.ap AS ap, l{i}.az AS az, l{i}.seen AS seen FROM st WHERE l{i} IS NOT NULL AND NOT d{i}" for i, v in enumerate(VENUES))
     own = lambda c: "CASE exchange " + " ".join(f"WHEN '{v}' THEN {c}{i}" for i, v in enumerate(VENUES)) + " END"
     has = "CASE exchange " + " ".join(f"WHEN '{v}' THEN l{i} IS NOT NULL" for i, v in enumerate(VENUES)) + " END"
@@ -65,8 +70,10 @@ def gateway_crosses(spark, sf):
     spread, mid = F.col("a") - F.col("b"), (F.col("a") + F.col("b")) / 2
     crossed = gateway.decimal(F.col("ask_px")) < gateway.decimal(F.col("bid_px"))
     ages = [gateway.leg_age_ms(F.col("clock"), F.col(c)) for c in ("bid_at", "ask_at")]
-    return best.select("canonical", "position", crossed.alias("crossed"), (F.round(gateway.cross_bps(spread, mid), 6) + 0.0).alias("cross_bps"), ages[0].alias("bid_age_ms"),
-                       (gateway.fresh_cross(crossed, *ages, 10 * H / 1e6) & (F.round(gateway.cross_bps(spread, mid), 6) >= 0.2)).alias("material"))
+    return best.select("canonical", "position", crossed.alias("crossed"),
+        (F.round(gateway.cross_bps(spread, mid), 6) + 0.0).alias("cross_bps"), ages[0].alias("bid_age_ms"),
+                       (gateway.fresh_cross(crossed, *ages, 10 * H / 1e6)
+                       & (F.round(gateway.cross_bps(spread, mid), 6) >= 0.2)).alias("material"))
 
 
 @query(None)
@@ -78,13 +85,16 @@ def gateway_stream(spark, sf):
 def book_records(spark: SparkSession, sf: str) -> DataFrame:
     """Events as book messages of one level: snapshots now and then, an epoch of a thousand, late and early ones among them."""
     q = quotes(spark, sf)
-    level = lambda px: F.array(F.struct(F.expr(f"{px} div 20000").cast("string").alias("px"), F.expr("k % 5").cast("string").alias("sz")))
+    level = lambda px: F.array(F.struct(F.expr(f"{px} div 20000").cast("string").alias("px"),
+        F.expr("k % 5").cast("string").alias("sz")))
     none = F.array().cast("array<struct<px:string,sz:string>>")
     snap = F.col("k") % 25 == 0
     seq = F.row_number().over(Window.partitionBy("venue", "symbol").orderBy("arrival")).cast("long")
     q = q.withColumn("seq", seq)
-    return q.select(F.col("venue").alias("exchange"), "symbol", F.col("arrival").alias("position"), F.when(snap, "snap").otherwise("delta").alias("kind"), F.expr("seq div 60").alias("epoch"),
-                    (F.col("seq") - F.when(snap, F.col("k") % 2 * 3).otherwise(0)).alias("sequence"), F.when(snap | (F.col("side") == "bid"), level("bid")).otherwise(none).alias("bids"),
+    return q.select(F.col("venue").alias("exchange"), "symbol", F.col("arrival").alias("position"),
+        F.when(snap, "snap").otherwise("delta").alias("kind"), F.expr("seq div 60").alias("epoch"),
+                    (F.col("seq") - F.when(snap, F.col("k") % 2 * 3).otherwise(0)).alias("sequence"),
+                    F.when(snap | (F.col("side") == "bid"), level("bid")).otherwise(none).alias("bids"),
                     F.when(snap | (F.col("side") == "ask"), level("ask")).otherwise(none).alias("asks"), "ts_ns")
 
 

@@ -55,10 +55,13 @@ def scorecard_rows(spark, sf):
     """Every row of every date; details with fractions as whole milliseconds, as engines write fractions differently."""
     rows = card(spark, sf)
     json = lambda p: F.get_json_object("detail", f"$.{p}")
-    step = F.concat(F.lit('{"inter_epoch_steps":'), json("inter_epoch_steps"), F.lit(',"worst_lateness_ms":'), F.floor(json("worst_lateness_ms").cast("double")).cast("string"), F.lit(".0}"))
+    step = F.concat(F.lit('{"inter_epoch_steps":'), json("inter_epoch_steps"), F.lit(',"worst_lateness_ms":'),
+        F.floor(json("worst_lateness_ms").cast("double")).cast("string"), F.lit(".0}"))
     state = F.concat(F.lit('{"final_state":"'), json("final_state"), F.lit('"}'))
-    detail = F.when(F.col("check") == "clock_monotonic", step).when(F.col("check") == "venue_uptime", state).when(F.col("check").startswith("latency."), "max_ms").otherwise(F.col("detail"))
-    return rows.select("exchange", "canonical_symbol", "date", "check", "n_records", "n_violations", *[F.round(f"{q}_ms", 6).alias(f"{q}_ms") for q in ("p50", "p95", "p99")], detail.alias("detail"))
+    detail = F.when(F.col("check") == "clock_monotonic", step).when(F.col("check") == "venue_uptime",
+        state).when(F.col("check").startswith("latency."), "max_ms").otherwise(F.col("detail"))
+    return rows.select("exchange", "canonical_symbol", "date", "check", "n_records", "n_violations",
+        *[F.round(f"{q}_ms", 6).alias(f"{q}_ms") for q in ("p50", "p95", "p99")], detail.alias("detail"))
 
 
 BUDGET = """
@@ -105,7 +108,8 @@ def scorecard_breaches(spark, sf):
     return out.withColumn("value", F.when(F.col("limit") == "max_p99_ms", F.round("value", 6)).otherwise(F.col("value")))
 
 
-@query(CARD + _LIMITS.replace("SELECT exchange, canonical_symbol AS symbol", ", br AS (SELECT exchange, canonical_symbol AS symbol", 1) + ") SELECT date, CAST(1 AS INTEGER) AS exit_code, count(*) AS n_breaches FROM br GROUP BY date")
+@query(CARD + _LIMITS.replace("SELECT exchange, canonical_symbol AS symbol", ", br AS (SELECT exchange, canonical_symbol AS symbol", 1)
+    + ") SELECT date, CAST(1 AS INTEGER) AS exit_code, count(*) AS n_breaches FROM br GROUP BY date")
 def build_exits(spark, sf):
     """The dates whose build a gate would fail, with what fails it."""
     return scorecard_breaches(spark, sf).groupBy("date").agg(F.lit(1).alias("exit_code"), F.count("*").alias("n_breaches"))
@@ -145,7 +149,8 @@ MARKS = f""", w AS (SELECT venue AS dataset, CASE WHEN venue < 'f' THEN 'silver'
 
 
 def _marks(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    q = quotes(spark, sf).select(F.col("venue").alias("dataset"), F.when(F.col("venue") < "f", "silver").otherwise("gold").alias("layer"), "k", "ts_ns")
+    q = quotes(spark, sf).select(F.col("venue").alias("dataset"), F.when(F.col("venue") < "f", "silver").otherwise("gold").alias("layer"),
+        "k", "ts_ns")
     marked = q.where("k % 2 = 0").groupBy("layer", "dataset").agg((F.max("ts_ns") / 1e9).alias("written_at_epoch"))
     return marked, q.groupBy("layer", "dataset").agg((F.max("ts_ns") / 1e9).alias("at"))
 
@@ -160,28 +165,36 @@ def exporter_freshness(spark, sf):
 
 #: The alerts with spans that suit events minutes apart, in microseconds.
 SPAN = 200 * 1_000_000
-RULES = [(name, metric, how, span * SPAN, by, test, bound / SPAN * 5 if how == "rate" else bound, hold * SPAN) for name, metric, how, span, by, test, bound, hold in metrics.ALERTS]
+RULES = [(name, metric, how, span * SPAN, by, test, bound / SPAN * 5 if how == "rate" else bound, hold * SPAN) for name, metric, how, span,
+    by, test, bound, hold in metrics.ALERTS]
 
 
 def samples(spark: SparkSession, sf: str) -> DataFrame:
     """Events as samples of every alert's metric: counters that rise and reset, gauges that cross their bounds."""
     q = quotes(spark, sf)
-    labels = F.create_map(F.lit("exchange"), F.col("venue"), F.lit("canonical_id"), F.col("symbol"), F.lit("kind"), (F.col("k") % 2).cast("string"), F.lit("layer"), F.lit("bronze"), F.lit("check"), F.lit("clock_monotonic"))
+    labels = F.create_map(F.lit("exchange"), F.col("venue"), F.lit("canonical_id"), F.col("symbol"), F.lit("kind"),
+        (F.col("k") % 2).cast("string"), F.lit("layer"), F.lit("bronze"), F.lit("check"), F.lit("clock_monotonic"))
     ts = F.expr("ts_ns div 1000")
-    value = {"rate": (F.col("arrival") * 3) % 4001, "value": F.col("k") * 1200, "max": F.col("k") * 20, "min": F.col("k") * 40, "changes": F.floor(F.col("arrival") / 700), "age": ts - F.col("k") * 10}
-    one = [F.struct(F.lit(m.partition("{")[0]).alias("metric"), F.when(F.lit(t == "==") & (F.col("k") < 60), 0).otherwise(value[how]).cast("double").alias("value")) for _, m, how, _, _, t, _, _ in RULES]
-    return q.select(labels.alias("labels"), ts.alias("ts"), F.explode(F.array(*one)).alias("s")).select("s.metric", "labels", "ts", "s.value")
+    value = {"rate": (F.col("arrival") * 3) % 4001, "value": F.col("k") * 1200, "max": F.col("k") * 20, "min": F.col("k") * 40,
+        "changes": F.floor(F.col("arrival") / 700), "age": ts - F.col("k") * 10}
+    one = [F.struct(F.lit(m.partition("{")[0]).alias("metric"),
+        F.when(F.lit(t == "==") & (F.col("k") < 60), 0).otherwise(value[how]).cast("double").alias("value")) for _, m, how, _, _, t, _,
+        _ in RULES]
+    return q.select(labels.alias("labels"), ts.alias("ts"), F.explode(F.array(*one)).alias("s")).select("s.metric", "labels", "ts",
+        "s.value")
 
 
 def _alerts_sql() -> str:
     """The board in SQL, rule by rule."""
-    value = {"rate": "(arrival * 3) % 4001", "value": "k * 1200", "max": "k * 20", "min": "k * 40", "changes": "arrival // 700", "age": "ts_ns // 1000 - k * 10"}
+    value = {"rate": "(arrival * 3) % 4001", "value": "k * 1200", "max": "k * 20", "min": "k * 40", "changes": "arrival // 700",
+        "age": "ts_ns // 1000 - k * 10"}
     label = {"exchange": "venue", "canonical_id": "symbol", "kind": "CAST(k % 2 AS VARCHAR)"}
     full = "'{\"canonical_id\":\"' || symbol || '\",\"check\":\"clock_monotonic\",\"exchange\":\"' || venue || '\",\"kind\":\"' || (k % 2) || '\",\"layer\":\"bronze\"}'"
     parts = []
     for i, (name, _, how, span, by, test, bound, hold) in enumerate(RULES):
         v = value[how] if test == ">" else f"CASE WHEN k < 60 THEN 0 ELSE {value[how]} END"
-        series = full if by is None else "'{}'" if not by else "'{' || " + " || ',' || ".join(f"'\"{b}\":\"' || {label[b]} || '\"'" for b in sorted(by)) + " || '}'"
+        series = full if by is None else "'{}'" if not by else "'{' || " + " || ',' || ".join(f"'\"{b}\":\"' || {label[b]} || '\"'"
+            for b in sorted(by)) + " || '}'"
         head = f"s{i} AS (SELECT {full} AS f, {series} AS series, ts_ns // 1000 AS ts, CAST({v} AS DOUBLE) AS v FROM q)"
         if how == "rate":
             got = (f"(SELECT series, ts, sum(r) AS value FROM (SELECT series, ts, sum(d) OVER (PARTITION BY f, series ORDER BY ts RANGE BETWEEN {span - 1} PRECEDING AND CURRENT ROW) / {float(span)}::DOUBLE AS r FROM "
@@ -195,7 +208,8 @@ def _alerts_sql() -> str:
             got = f"(SELECT series, ts, {'min' if how == 'min' else 'max'}(v) AS value FROM s{i} GROUP BY ALL)"
         body = (f"a{i} AS (SELECT *, value {'>' if test == '>' else '='} {float(bound)!r}::DOUBLE AS active FROM {got}), "
                 f"e{i} AS (SELECT *, sum(CASE WHEN active IS DISTINCT FROM p THEN 1 ELSE 0 END) OVER (PARTITION BY series ORDER BY ts ROWS UNBOUNDED PRECEDING) AS run FROM (SELECT *, lag(active) OVER (PARTITION BY series ORDER BY ts) AS p FROM a{i}))")
-        parts.append((f"{head}, {body}", f"SELECT '{name}' AS alert, series, ts, round(value, 14) AS value, active, active AND ts - min(ts) OVER (PARTITION BY series, run) >= {hold} AS firing FROM e{i}"))
+        parts.append((f"{head}, {body}",
+            f"SELECT '{name}' AS alert, series, ts, round(value, 14) AS value, active, active AND ts - min(ts) OVER (PARTITION BY series, run) >= {hold} AS firing FROM e{i}"))
     return BASE + ", " + ", ".join(p[0] for p in parts) + " " + " UNION ALL ".join(p[1] for p in parts)
 
 
@@ -209,7 +223,8 @@ r AS (SELECT symbol, ts, sum(da) OVER w AS ra, sum(db) OVER w AS rb FROM (SELECT
   CASE WHEN lag(b) OVER v IS NULL THEN 0 WHEN b >= lag(b) OVER v THEN b - lag(b) OVER v ELSE b END AS db FROM s WINDOW v AS (PARTITION BY symbol ORDER BY ts)) WINDOW w AS (PARTITION BY symbol ORDER BY ts RANGE BETWEEN 21599 PRECEDING AND CURRENT ROW))
 SELECT symbol, ts, round(CASE WHEN rb <> 0 THEN (ra / 21600.0::DOUBLE) / (rb / 21600.0::DOUBLE) * 100.0 END, 6) AS ratio FROM r""")
 def bbo_per_delta(spark, sf):
-    s = quotes(spark, sf).groupBy("symbol", F.expr("ts_ns div 1000000000").alias("ts")).agg(F.max(F.col("arrival") % 3000).alias("a"), F.max(F.col("arrival") % 4000).alias("b"))
+    s = quotes(spark, sf).groupBy("symbol", F.expr("ts_ns div 1000000000").alias("ts")).agg(F.max(F.col("arrival") % 3000).alias("a"),
+        F.max(F.col("arrival") % 4000).alias("b"))
     out = metrics.share(metrics.rate(s, ["symbol"], "ts", "a", 21600), metrics.rate(s, ["symbol"], "ts", "b", 21600), ["symbol"], "ts")
     return out.withColumn("ratio", F.round("ratio", 6))
 
@@ -219,7 +234,8 @@ def offenders(spark, sf):
     from pyspark.sql import Window
 
     rows = metrics.latest(card(spark, sf)).where("n_violations > 0")
-    return rows.select("check", "exchange", "canonical_symbol", "n_violations", F.sum("n_violations").over(Window.partitionBy("check")).alias("check_total"))
+    return rows.select("check", "exchange", "canonical_symbol", "n_violations",
+        F.sum("n_violations").over(Window.partitionBy("check")).alias("check_total"))
 
 
 @query(BASE + """, w AS (SELECT *, lag(bid) OVER v AS pb, lag(ask) OVER v AS pa, lead(arrival) OVER v AS n FROM (SELECT symbol, venue, arrival, ts_ns, bid, CASE WHEN k < 4 THEN bid - 5 ELSE ask END AS ask FROM q) WINDOW v AS (PARTITION BY symbol, venue ORDER BY arrival))
@@ -244,7 +260,9 @@ def nbbo_table(spark, sf):
 a AS (SELECT *, CAST(greatest(0, (SELECT max(ts_ns) FROM q) - ts_ns) AS DOUBLE) / 1000000.0 AS age FROM l) SELECT symbol, """ + ", ".join(f"max(mid) FILTER (venue = '{v}') AS {v}_mid, max(age) FILTER (venue = '{v}') AS {v}_age_ms" for v in VENUES) + " FROM a GROUP BY symbol")
 def venue_matrix(spark, sf):
     q = quotes(spark, sf)
-    tops = q.where("not (venue = 'view' and symbol = 'AAA-USD')").groupBy("symbol", "venue").agg(F.max_by("ts_ns", "arrival").alias("ts_ns"), ((F.max_by("bid", "arrival") + F.max_by("ask", "arrival")) / 2).alias("mid"))
+    tops = q.where("not (venue = 'view' and symbol = 'AAA-USD')").groupBy("symbol",
+        "venue").agg(F.max_by("ts_ns", "arrival").alias("ts_ns"),
+        ((F.max_by("bid", "arrival") + F.max_by("ask", "arrival")) / 2).alias("mid"))
     return dashboard.matrix(tops, VENUES, dashboard.now(q, "ts_ns"))
 
 
@@ -266,7 +284,8 @@ def feed_stalls(spark, sf):
 @query("SELECT l_linestatus AS mode, l_returnflag AS flag, round(quantile_cont(l_extendedprice, 0.01), 6) AS p1, round(quantile_cont(l_extendedprice, 0.5), 6) AS p50, round(quantile_cont(l_extendedprice, 0.999), 6) AS p999 FROM lineitem GROUP BY ALL")
 def exact_percentiles(spark, sf):
     """Percentiles of groups by the two-pass way, whatever their size."""
-    rows = spark.read.parquet(f"{sf}/lineitem.parquet").select(F.col("l_linestatus").alias("mode"), F.col("l_returnflag").alias("flag"), F.col("l_extendedprice").alias("x"))
+    rows = spark.read.parquet(f"{sf}/lineitem.parquet").select(F.col("l_linestatus").alias("mode"), F.col("l_returnflag").alias("flag"),
+        F.col("l_extendedprice").alias("x"))
     out = quantiles.percentiles(rows, ["mode", "flag"], "x", [0.01, 0.5, 0.999], small=0)
     return out.select("mode", "flag", *[F.round(F.col("p")[i], 6).alias(n) for i, n in enumerate(("p1", "p50", "p999"))])
 

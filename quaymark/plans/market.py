@@ -46,10 +46,13 @@ def quotes(spark: SparkSession, sf: str) -> DataFrame:
     e = spark.read.parquet(f"{sf}/events.parquet")
     k = F.get_json_object("props", "$.k").cast("long")
     cents = F.round(F.col("value") * 100).cast("long")
-    e = e.select(F.col("event_id").alias("arrival"), (F.unix_micros(F.col("ts").cast("timestamp")) * 1000).alias("ts_ns"), "user_id", F.col("event_type").alias("venue"), cents.alias("cents"), k.alias("k"))
+    e = e.select(F.col("event_id").alias("arrival"), (F.unix_micros(F.col("ts").cast("timestamp")) * 1000).alias("ts_ns"), "user_id",
+        F.col("event_type").alias("venue"), cents.alias("cents"), k.alias("k"))
     mid, half = F.lit(1_000_000_000).cast("long") + F.col("cents") * 2, F.lit(10_000) + F.col("k") * 500
-    return e.select(F.get(F.array(*[F.lit(s) for s in SYMBOLS]), (F.col("user_id") % 4).cast("int")).alias("symbol"), "venue", "ts_ns", "arrival", "user_id", "k", (mid - half).alias("bid"), (mid + half).alias("ask"),
-                    mid.alias("price"), (F.col("k") + 1).alias("size"), F.when(F.col("k") % 2 == 0, "bid").otherwise("ask").alias("side"), F.when(F.col("k") < 5, "down").otherwise("up").alias("state"))
+    return e.select(F.get(F.array(*[F.lit(s) for s in SYMBOLS]), (F.col("user_id") % 4).cast("int")).alias("symbol"), "venue", "ts_ns",
+        "arrival", "user_id", "k", (mid - half).alias("bid"), (mid + half).alias("ask"),
+                    mid.alias("price"), (F.col("k") + 1).alias("size"), F.when(F.col("k") % 2 == 0, "bid").otherwise("ask").alias("side"),
+                    F.when(F.col("k") < 5, "down").otherwise("up").alias("state"))
 
 
 def _nbbo_sql(age: int | None, downs: bool, out: str, truncated: bool = False) -> str:
@@ -117,10 +120,12 @@ def summary(basis: DataFrame) -> DataFrame:
     """Daily basis statistics: exact percentiles, population deviation, rounded to a millionth."""
     b = F.col("basis_bps")
     dated = basis.withColumn("date", F.date_format(F.timestamp_micros(F.expr("ts_ns div 1000")), "yyyy-MM-dd"))
-    out = dated.groupBy("base", "date").agg(F.count("*").alias("n_obs"), F.avg(b).alias("mean"), F.stddev_pop(b).alias("std"), F.min(b).alias("lo"), F.max(b).alias("hi"), (F.max("ts_ns") - F.min("ts_ns")).alias("coverage_ns"))
+    out = dated.groupBy("base", "date").agg(F.count("*").alias("n_obs"), F.avg(b).alias("mean"), F.stddev_pop(b).alias("std"),
+        F.min(b).alias("lo"), F.max(b).alias("hi"), (F.max("ts_ns") - F.min("ts_ns")).alias("coverage_ns"))
     out = out.join(quantiles.percentiles(dated, ["base", "date"], "basis_bps", [0.5, 0.01, 0.99]), ["base", "date"])
     r = lambda c: F.round(c, 6)
-    return out.select("base", "date", "n_obs", r("mean").alias("basis_bps_mean"), r("std").alias("basis_bps_std"), r(F.col("p")[0]).alias("basis_bps_median"), r("lo").alias("basis_bps_min"), r("hi").alias("basis_bps_max"),
+    return out.select("base", "date", "n_obs", r("mean").alias("basis_bps_mean"), r("std").alias("basis_bps_std"),
+        r(F.col("p")[0]).alias("basis_bps_median"), r("lo").alias("basis_bps_min"), r("hi").alias("basis_bps_max"),
                       r(F.col("p")[1]).alias("basis_bps_p1"), r(F.col("p")[2]).alias("basis_bps_p99"), "coverage_ns")
 
 
@@ -138,7 +143,8 @@ gq AS (SELECT g.symbol, g.venue, g.ts_ns, q.bid, q.ask, g.ts_ns - q.ts_ns AS age
 
 def gridded(spark, sf):
     q = quotes(spark, sf)
-    return asof.asof_join(features.grid(q, ["symbol", "venue"], "ts_ns", H), q, ["symbol", "venue"], "ts_ns", ["arrival"], ["bid", "ask"], shard_ns=4 * AGE)
+    return asof.asof_join(features.grid(q, ["symbol", "venue"], "ts_ns", H), q, ["symbol", "venue"], "ts_ns", ["arrival"], ["bid", "ask"],
+        shard_ns=4 * AGE)
 
 
 @query(BASE + _GRID + "SELECT * FROM gq")
@@ -164,7 +170,8 @@ def scorecard_uptime(spark, sf):
 @query("""SELECT l_returnflag AS dataset, count(*) AS n_records, quantile_cont(v, 0.5) AS p50_ms, quantile_cont(v, 0.95) AS p95_ms, quantile_cont(v, 0.99) AS p99_ms, max(v) AS max_ms
 FROM (SELECT l_returnflag, CAST(CAST(l_quantity * 1000000 AS BIGINT) AS DOUBLE) / 1000000.0 AS v FROM lineitem) GROUP BY 1""")
 def latency_percentiles(spark, sf):
-    rows = spark.read.parquet(f"{sf}/lineitem.parquet").select(F.col("l_returnflag").alias("dataset"), (F.col("l_quantity") * 1_000_000).cast("long").alias("ns"))
+    rows = spark.read.parquet(f"{sf}/lineitem.parquet").select(F.col("l_returnflag").alias("dataset"),
+        (F.col("l_quantity") * 1_000_000).cast("long").alias("ns"))
     return scorecard.latency(rows, ["dataset"], "ns")
 
 
@@ -184,7 +191,8 @@ def scorecard_gap(spark, sf):
 
 @query(BASE + "SELECT symbol, venue, count(*) AS n_records, count_if(k > 95) AS n_violations, count_if(k > 90) AS n_crossed, count_if(k > 90 AND k % 2 = 0) AS n_locked FROM q GROUP BY ALL")
 def scorecard_invariant(spark, sf):
-    q = quotes(spark, sf).select("symbol", "venue", F.when(F.col("k") > 95, "crossed_after_delta").alias("invariant_kind"), (F.col("k") > 90).alias("crossed"), (F.col("k") % 2 == 0).alias("locked"))
+    q = quotes(spark, sf).select("symbol", "venue", F.when(F.col("k") > 95, "crossed_after_delta").alias("invariant_kind"),
+        (F.col("k") > 90).alias("crossed"), (F.col("k") % 2 == 0).alias("locked"))
     return scorecard.invariants(q, ["symbol", "venue"])
 
 
@@ -193,7 +201,8 @@ l AS (SELECT *, lag(recv) OVER w AS pr, lag(epoch) OVER w AS pe FROM r WHERE rec
 c AS (SELECT venue, count_if(recv < pr AND pe = epoch) AS n_violations, count_if(recv < pr AND pe <> epoch) AS inter_epoch_steps, coalesce(max(CASE WHEN recv < pr AND pe = epoch THEN pr - recv END), 0) AS worst_ns FROM l GROUP BY venue)
 SELECT n.venue, n_records, n_violations, inter_epoch_steps, worst_ns FROM (SELECT venue, count(*) AS n_records FROM r GROUP BY venue) n JOIN c USING (venue)""")
 def scorecard_clock(spark, sf):
-    q = quotes(spark, sf).select("venue", "arrival", F.expr("arrival div 1000").alias("epoch"), F.when(F.col("k") != 7, F.col("ts_ns") - F.col("k") * 20_000_000_000).alias("recv"))
+    q = quotes(spark, sf).select("venue", "arrival", F.expr("arrival div 1000").alias("epoch"),
+        F.when(F.col("k") != 7, F.col("ts_ns") - F.col("k") * 20_000_000_000).alias("recv"))
     return scorecard.clock(q, ["venue"], ["arrival"], "recv", "epoch")
 
 
@@ -204,7 +213,9 @@ def scorecard_absent(spark, sf):
     return scorecard.absent(quotes(spark, sf), expected, ["symbol", "venue"])
 
 
-BUDGET = {"default": {"max_violations": 0}, "checks": {"sequence_gap": {"max_violations": 3, "max_rate": 0.9, "exchanges": {"view": {"max_violations": 1, "symbols": {"AAA-USD": {"max_violations": 1000000}}}}}}}
+BUDGET = {"default": {"max_violations": 0},
+    "checks": {"sequence_gap": {"max_violations": 3, "max_rate": 0.9,
+    "exchanges": {"view": {"max_violations": 1, "symbols": {"AAA-USD": {"max_violations": 1000000}}}}}}}
 
 
 @query(BASE + _SEQ + """, c AS (SELECT venue AS exchange, symbol, strftime(make_timestamp(ts_ns // 1000), '%Y-%m-%d') AS date, count(*) AS n, count_if(gap > 0) AS v FROM s WHERE gap IS NOT NULL GROUP BY 1, 2, 3),
@@ -212,8 +223,10 @@ l AS (SELECT *, CASE WHEN exchange = 'view' AND symbol = 'AAA-USD' THEN 1000000.
 SELECT exchange, symbol, date, 'sequence_gap' AS "check", 'max_violations' AS "limit", CAST(v AS DOUBLE) AS value, CAST(mv AS DOUBLE) AS bound FROM l WHERE v > mv
 UNION ALL SELECT exchange, symbol, date, 'sequence_gap', 'max_rate', CAST(v AS DOUBLE) / n, CAST(0.9 AS DOUBLE) FROM l WHERE n > 0 AND CAST(v AS DOUBLE) / n > 0.9""")
 def budget_breaches(spark, sf):
-    rows = scorecard.sequence_gap(_sequenced(spark, sf).where("seq_gap is not null").withColumn("date", F.date_format(F.timestamp_micros(F.expr("ts_ns div 1000")), "yyyy-MM-dd")), ["symbol", "venue", "date"])
-    rows = rows.select(F.col("venue").alias("exchange"), "symbol", "date", F.lit("sequence_gap").alias("check"), "n_records", "n_violations", F.lit(None).cast("double").alias("p99_ms"))
+    rows = scorecard.sequence_gap(_sequenced(spark, sf).where("seq_gap is not null").withColumn("date",
+        F.date_format(F.timestamp_micros(F.expr("ts_ns div 1000")), "yyyy-MM-dd")), ["symbol", "venue", "date"])
+    rows = rows.select(F.col("venue").alias("exchange"), "symbol", "date", F.lit("sequence_gap").alias("check"), "n_records",
+        "n_violations", F.lit(None).cast("double").alias("p99_ms"))
     return scorecard.breaches(rows, scorecard.rules_frame(spark, BUDGET))
 
 
@@ -256,7 +269,8 @@ gf AS (SELECT gs.symbol, gs.ts_ns, f.signed_vol FROM gs LEFT JOIN f ON f.symbol
 def rolling_flow(spark, sf):
     q = quotes(spark, sf)
     g = features.grid(q, ["symbol"], "ts_ns", H).join(features.flow(q, ["symbol"], "ts_ns", H), ["symbol", "ts_ns"], "left")
-    return g.select("symbol", "ts_ns", features.rolling("signed_vol", Window.partitionBy("symbol").orderBy("ts_ns"), 5).alias("signed_vol_5"))
+    return g.select("symbol", "ts_ns", features.rolling("signed_vol", Window.partitionBy("symbol").orderBy("ts_ns"),
+        5).alias("signed_vol_5"))
 
 
 def _ret_sql(op: str, sign: int) -> str:
@@ -271,7 +285,8 @@ def _ret_sql(op: str, sign: int) -> str:
 def _returns(spark, sf, sign):
     g = gridded(spark, sf).withColumn("mid", (F.col("bid") + F.col("ask")).cast("double"))
     w = Window.partitionBy("symbol", "venue").orderBy("ts_ns")
-    return g.select("symbol", "venue", "ts_ns", *[features.returns_bps("mid", "age_ns", w, sign * k, 2 * H).alias(f"r_{k}") for k in (1, 5)])
+    return g.select("symbol", "venue", "ts_ns",
+        *[features.returns_bps("mid", "age_ns", w, sign * k, 2 * H).alias(f"r_{k}") for k in (1, 5)])
 
 
 @query(_ret_sql("lag", -1))
@@ -284,12 +299,14 @@ def forward_targets(spark, sf):
     return _returns(spark, sf, 1)
 
 
-@query(_ret_sql("lead", 1).replace("SELECT symbol, venue, ts_ns, (", "SELECT symbol, venue, ts_ns, CAST(CASE WHEN r_1 IS NULL THEN NULL WHEN r_1 > 0.5 * sp THEN 1 WHEN r_1 < -0.5 * sp THEN -1 ELSE 0 END AS TINYINT) AS y FROM (SELECT symbol, venue, ts_ns, CAST(ask - bid AS DOUBLE) / (CAST(bid + ask AS DOUBLE) / 2) * 10000.0 AS sp, (", 1).replace("age_ns, CAST(bid + ask AS DOUBLE) AS mid", "age_ns, bid, ask, CAST(bid + ask AS DOUBLE) AS mid") + ")")
+@query(_ret_sql("lead", 1).replace("SELECT symbol, venue, ts_ns, (",
+    "SELECT symbol, venue, ts_ns, CAST(CASE WHEN r_1 IS NULL THEN NULL WHEN r_1 > 0.5 * sp THEN 1 WHEN r_1 < -0.5 * sp THEN -1 ELSE 0 END AS TINYINT) AS y FROM (SELECT symbol, venue, ts_ns, CAST(ask - bid AS DOUBLE) / (CAST(bid + ask AS DOUBLE) / 2) * 10000.0 AS sp, (", 1).replace("age_ns, CAST(bid + ask AS DOUBLE) AS mid", "age_ns, bid, ask, CAST(bid + ask AS DOUBLE) AS mid") + ")")
 def dead_zone(spark, sf):
     g = gridded(spark, sf).withColumn("mid", (F.col("bid") + F.col("ask")).cast("double"))
     w = Window.partitionBy("symbol", "venue").orderBy("ts_ns")
     spread = (F.col("ask") - F.col("bid")).cast("double") / (F.col("mid") / 2) * 1e4
-    return g.select("symbol", "venue", "ts_ns", features.returns_bps("mid", "age_ns", w, 1, 2 * H).alias("r"), spread.alias("sp")).select("symbol", "venue", "ts_ns", features.dead_zone(F.col("r"), F.col("sp")).alias("y"))
+    return g.select("symbol", "venue", "ts_ns", features.returns_bps("mid", "age_ns", w, 1, 2 * H).alias("r"),
+        spread.alias("sp")).select("symbol", "venue", "ts_ns", features.dead_zone(F.col("r"), F.col("sp")).alias("y"))
 
 
 @query(BASE + "SELECT arrival, CAST(size - (100 - k) AS DOUBLE) / (size + (100 - k)) AS imbalance FROM q")
@@ -299,7 +316,8 @@ def book_imbalance(spark, sf):
 
 @query(BASE + "SELECT arrival, round((CAST(bid * (100 - k) + ask * size AS DOUBLE) / (size + 100 - k) - CAST(bid + ask AS DOUBLE) / 2) / (CAST(bid + ask AS DOUBLE) / 2) * 10000.0, 6) AS micro_dev FROM q")
 def microprice(spark, sf):
-    return quotes(spark, sf).select("arrival", F.round(features.microprice_dev(F.col("bid"), F.col("ask"), F.col("size"), 100 - F.col("k")), 6).alias("micro_dev"))
+    return quotes(spark, sf).select("arrival", F.round(features.microprice_dev(F.col("bid"), F.col("ask"), F.col("size"), 100 - F.col("k")),
+        6).alias("micro_dev"))
 
 
 @query(BASE + ", l AS (SELECT symbol, user_id % 2 AS side, cents // 100 AS px, arg_max(e.k, arrival) AS sz FROM q JOIN e ON e.event_id = q.arrival GROUP BY ALL) SELECT symbol, side, px, sz FROM l WHERE sz > 0".replace("user_id % 2 AS side", "q.user_id % 2 AS side"))
@@ -315,7 +333,8 @@ _L2 = ", l AS (SELECT q.symbol, q.user_id % 2 AS side, cents // 100 AS px, arg_m
 def depth_rungs(spark, sf):
     w = Window.partitionBy("symbol", "side").orderBy(F.when(F.col("side") == 0, -F.col("px")).otherwise(F.col("px")))
     n = l2_state_asof(spark, sf).withColumn("rn", F.row_number().over(w)).where("rn <= 10")
-    return n.groupBy("symbol", "side").agg(F.sum(F.when(F.col("rn") <= 5, F.col("sz"))).alias("depth_5"), F.sum("sz").alias("depth_10"), F.max_by("px", "rn").alias("px_10"))
+    return n.groupBy("symbol", "side").agg(F.sum(F.when(F.col("rn") <= 5, F.col("sz"))).alias("depth_5"), F.sum("sz").alias("depth_10"),
+        F.max_by("px", "rn").alias("px_10"))
 
 
 @query(BASE + ", b AS (SELECT symbol, venue, ts_ns, arrival, k // 20 AS lvl, lag(k // 20) OVER (PARTITION BY symbol, venue ORDER BY ts_ns, arrival) AS p FROM q) SELECT symbol, venue, ts_ns, arrival, lvl FROM b WHERE p IS NULL OR p <> lvl")
@@ -326,7 +345,8 @@ def bbo_dedup(spark, sf):
 
 @query(_nbbo_sql(AGE, False, ", d AS (SELECT *, lag({'b': best_bid, 'a': best_ask}) OVER (PARTITION BY symbol ORDER BY ts_ns) AS p FROM nbbo) SELECT symbol, ts_ns, best_bid, best_ask FROM d WHERE p IS NULL OR p.b <> best_bid OR p.a <> best_ask"))
 def nbbo_dedup(spark, sf):
-    return gateway.changed(nbbo_evict_stale(spark, sf), ["symbol"], ["ts_ns"], ["best_bid", "best_ask"]).select("symbol", "ts_ns", "best_bid", "best_ask")
+    return gateway.changed(nbbo_evict_stale(spark, sf), ["symbol"], ["ts_ns"], ["best_bid", "best_ask"]).select("symbol", "ts_ns",
+        "best_bid", "best_ask")
 
 
 @query(BASE + "SELECT symbol, arrival, max(ts_ns - k * 1000000000000) OVER (PARTITION BY symbol ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS clock FROM q")
@@ -339,7 +359,8 @@ def stream_clock(spark, sf):
 def liveness_evict(spark, sf):
     q = quotes(spark, sf)
     now = q.agg(F.max("ts_ns").alias("now"))
-    return q.groupBy("venue", "symbol").agg(F.max("ts_ns").alias("last_ns")).join(F.broadcast(now), F.lit(True)).select("venue", "symbol", "last_ns", (F.col("now") - F.col("last_ns") > H).alias("evicted"))
+    return q.groupBy("venue", "symbol").agg(F.max("ts_ns").alias("last_ns")).join(F.broadcast(now), F.lit(True)).select("venue", "symbol",
+        "last_ns", (F.col("now") - F.col("last_ns") > H).alias("evicted"))
 
 
 @query(BASE + ", r AS (SELECT symbol, arrival, ts_ns - (k % 3) * 600000000000 AS ts_ns FROM q) SELECT symbol, arrival, ts_ns, CAST(row_number() OVER (PARTITION BY symbol ORDER BY ts_ns, arrival) AS INTEGER) AS position FROM r")
@@ -350,12 +371,14 @@ def reorder_lateness(spark, sf):
 
 @query(BASE + "SELECT symbol, venue, max(arrival) AS arrival, arg_max(bid, arrival) AS bid, arg_max(ask, arrival) AS ask FROM q GROUP BY ALL")
 def compact_latest(spark, sf):
-    return gateway.compact(quotes(spark, sf).select("symbol", "venue", "arrival", "bid", "ask"), ["symbol", "venue"], "arrival").select("symbol", "venue", "arrival", "bid", "ask")
+    return gateway.compact(quotes(spark, sf).select("symbol", "venue", "arrival", "bid", "ask"), ["symbol", "venue"],
+        "arrival").select("symbol", "venue", "arrival", "bid", "ask")
 
 
 @query(BASE + "SELECT arrival, CASE WHEN symbol LIKE 'AAA%' AND venue <> 'error' THEN 'X:' || symbol ELSE replace(symbol, '/', '-') END AS canonical FROM q")
 def canonical_resolve(spark, sf):
-    ref = spark.createDataFrame([("X:" + s, "AAA", "", v, s) for s in SYMBOLS if s.startswith("AAA") for v in VENUES if v != "error"], "canonical string, base string, quote string, exchange string, symbol string")
+    ref = spark.createDataFrame([("X:" + s, "AAA", "", v, s) for s in SYMBOLS if s.startswith("AAA") for v in VENUES if v != "error"],
+        "canonical string, base string, quote string, exchange string, symbol string")
     return wire.resolve(quotes(spark, sf).withColumn("exchange", F.col("venue")), ref).select("arrival", "canonical")
 
 
@@ -387,7 +410,8 @@ def gaps_islands(spark, sf):
 
 
 def _scored(spark, sf):
-    return _dated(spark, sf).select("date", "arrival", (F.col("k") - 50).cast("double").alias("y"), (F.col("user_id") % 101 - 50).cast("double").alias("p"))
+    return _dated(spark, sf).select("date", "arrival", (F.col("k") - 50).cast("double").alias("y"),
+        (F.col("user_id") % 101 - 50).cast("double").alias("p"))
 
 
 _SC = f", z AS (SELECT {_DATE} AS date, arrival, CAST(k - 50 AS DOUBLE) AS y, CAST(user_id % 101 - 50 AS DOUBLE) AS p FROM q)"
@@ -414,7 +438,8 @@ count_if(y = 1 AND p = 1)::DOUBLE / count_if(p = 1) AS up_precision, count_if(y
 count_if(y = -1 AND p = -1)::DOUBLE / count_if(p = -1) AS down_precision, count_if(y = -1 AND p = -1)::DOUBLE / count_if(y = -1) AS down_recall, count_if(y = -1) AS down_support,
 avg((p <> 0)::INT::DOUBLE) AS traded_share, avg((y <> 0)::INT::DOUBLE) AS movable_share FROM c""")
 def class_precision(spark, sf):
-    return research.class_report(quotes(spark, sf).select(F.when(F.col("k") > 66, 1).when(F.col("k") < 33, -1).otherwise(0).alias("y"), (F.col("user_id") % 3 - 1).alias("p")))
+    return research.class_report(quotes(spark, sf).select(F.when(F.col("k") > 66, 1).when(F.col("k") < 33, -1).otherwise(0).alias("y"),
+        (F.col("user_id") % 3 - 1).alias("p")))
 
 
 @query(BASE + _SC + " SELECT arrival, p FROM z WHERE abs(p) > (SELECT quantile_cont(abs(p), 0.8) FROM z)")
@@ -428,7 +453,8 @@ def price_panel(spark, sf):
     return g.select("symbol", "venue", "ts_ns", F.round(F.ln((F.col("bid") + F.col("ask")).cast("double")), 9).alias("log_price"))
 
 
-@query(BASE + ", l AS (SELECT symbol, venue, arg_max(bid, arrival) AS bid FROM q GROUP BY ALL) SELECT symbol, " + ", ".join(f"max(bid) FILTER (venue = '{v}') AS \"{v}\"" for v in VENUES) + " FROM l GROUP BY symbol")
+@query(BASE + ", l AS (SELECT symbol, venue, arg_max(bid, arrival) AS bid FROM q GROUP BY ALL) SELECT symbol, "
+    + ", ".join(f"max(bid) FILTER (venue = '{v}') AS \"{v}\"" for v in VENUES) + " FROM l GROUP BY symbol")
 def venue_pivot(spark, sf):
     return compact_latest(spark, sf).groupBy("symbol").pivot("venue", VENUES).agg(F.max("bid"))
 
@@ -438,7 +464,8 @@ inc AS (SELECT venue, ts, v, CAST(sum(CASE WHEN p IS NULL THEN 0 WHEN v >= p THE
 
 
 def _counter(spark, sf):
-    return quotes(spark, sf).groupBy("venue", F.expr("ts_ns div 1000000000").alias("ts")).agg(F.max((F.col("arrival") * 7) % 5000).alias("v"))
+    return quotes(spark, sf).groupBy("venue",
+        F.expr("ts_ns div 1000000000").alias("ts")).agg(F.max((F.col("arrival") * 7) % 5000).alias("v"))
 
 
 @query(BASE + _CTR + " SELECT venue, ts, v, increase FROM inc")
@@ -449,7 +476,8 @@ def counter_rate(spark, sf):
 @query(BASE + _CTR + """, a AS (SELECT venue, ts, increase > 30000 AS active FROM inc), ed AS (SELECT *, CASE WHEN active <> lag(active) OVER w THEN 1 WHEN lag(active) OVER w IS NULL THEN 1 ELSE 0 END AS e FROM a WINDOW w AS (PARTITION BY venue ORDER BY ts)),
 ru AS (SELECT *, sum(e) OVER (PARTITION BY venue ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS r FROM ed) SELECT venue, ts, active, active AND ts - min(ts) OVER (PARTITION BY venue, r) >= 7200 AS firing FROM ru""")
 def alert_for(spark, sf):
-    return metrics.firing(counter_rate(spark, sf), ["venue"], "ts", F.col("increase") > 30000, 7200).select("venue", "ts", "active", "firing")
+    return metrics.firing(counter_rate(spark, sf), ["venue"], "ts", F.col("increase") > 30000, 7200).select("venue", "ts", "active",
+        "firing")
 
 
 @query(BASE + """, b AS (SELECT venue, le, (SELECT count(*) FROM q x WHERE x.venue = v.venue AND x.k <= le) AS n FROM (SELECT DISTINCT venue FROM q) v, (SELECT unnest([10, 25, 50, 75, 100]) AS le) l),
@@ -457,7 +485,8 @@ w AS (SELECT *, max(n) OVER (PARTITION BY venue) * 0.9::DOUBLE AS t, coalesce(la
 f AS (SELECT venue, min({'le': le, 'n': n, 'n0': n0, 'l0': l0, 't': t}) AS h FROM w WHERE n >= t GROUP BY venue) SELECT venue, h.l0 + (h.le - h.l0) * ((h.t - h.n0) / (h.n - h.n0)) AS quantile FROM f""")
 def histogram_quantile(spark, sf):
     q = quotes(spark, sf)
-    tall = q.select("venue", F.explode(F.array(*[F.struct(F.lit(b).alias("le"), (F.col("k") <= b).cast("int").alias("in")) for b in (10, 25, 50, 75, 100)])).alias("b"))
+    tall = q.select("venue", F.explode(F.array(*[F.struct(F.lit(b).alias("le"), (F.col("k") <= b).cast("int").alias("in"))
+        for b in (10, 25, 50, 75, 100)])).alias("b"))
     return metrics.histogram_quantile(tall.groupBy("venue", F.col("b.le").alias("le")).agg(F.sum("b.in").alias("n")), ["venue"], 0.9)
 
 
@@ -479,8 +508,10 @@ def book_fold(spark, sf):
     level = F.array(F.struct(F.col("bid").cast("string").alias("px"), F.col("k").cast("string").alias("sz")))
     other = F.array(F.struct(F.col("ask").cast("string").alias("px"), F.col("k").cast("string").alias("sz")))
     none = F.array().cast("array<struct<px:string,sz:string>>")
-    q = _dated(spark, sf).select(F.col("venue").alias("exchange"), "symbol", "date", F.lit("delta").alias("kind"), F.col("arrival").alias("offset"), F.col("arrival").alias("sequence"), F.lit(0).cast("long").alias("epoch"), "ts_ns",
-                                 F.when(F.col("side") == "bid", level).otherwise(none).alias("bids"), F.when(F.col("side") == "ask", other).otherwise(none).alias("asks"))
+    q = _dated(spark, sf).select(F.col("venue").alias("exchange"), "symbol", "date", F.lit("delta").alias("kind"),
+        F.col("arrival").alias("offset"), F.col("arrival").alias("sequence"), F.lit(0).cast("long").alias("epoch"), "ts_ns",
+                                 F.when(F.col("side") == "bid", level).otherwise(none).alias("bids"),
+                                 F.when(F.col("side") == "ask", other).otherwise(none).alias("asks"))
     return book.fold_books(q)
 
 
@@ -491,14 +522,17 @@ def vecm_shares(spark, sf):
     g = asof.asof_join(features.grid(q, ["symbol", "venue"], "ts_ns", MINUTE), q, ["symbol", "venue"], "ts_ns", ["arrival"], ["bid", "ask"])
     fresh = g.where((F.col("age_ns") <= AGE) & F.col("bid").isNotNull())
     wide = fresh.groupBy("symbol", "ts_ns").pivot("venue", VENUES).agg(F.max(F.ln((F.col("bid") + F.col("ask")).cast("double"))))
-    pairs = [F.struct(F.lit(x).alias("venue_a"), F.lit(y).alias("venue_b"), F.col(x).alias("a"), F.col(y).alias("b")) for i, x in enumerate(VENUES) for y in VENUES[i + 1 :]]
+    pairs = [F.struct(F.lit(x).alias("venue_a"), F.lit(y).alias("venue_b"), F.col(x).alias("a"), F.col(y).alias("b")) for i,
+        x in enumerate(VENUES) for y in VENUES[i + 1 :]]
     date = F.date_format(F.timestamp_micros(F.expr("ts_ns div 1000")), "yyyy-MM-dd").alias("date")
-    panel = wide.select("symbol", date, "ts_ns", F.explode(F.array(*pairs)).alias("p")).select("symbol", "date", "ts_ns", "p.*").where("a is not null and b is not null")
+    panel = wide.select("symbol", date, "ts_ns", F.explode(F.array(*pairs)).alias("p")).select("symbol", "date", "ts_ns",
+        "p.*").where("a is not null and b is not null")
     return research.info_shares(panel, least=None, interval_ns=MINUTE, by=["symbol", "venue_a", "venue_b"])
 
 
 @query(None)
 def ridge_fit(spark, sf):
-    q = quotes(spark, sf).select(F.col("k").cast("double").alias("x0"), F.col("user_id").cast("double").alias("x1"), (F.col("price") - 1_000_000_000).cast("double").alias("y"))
+    q = quotes(spark, sf).select(F.col("k").cast("double").alias("x0"), F.col("user_id").cast("double").alias("x1"),
+        (F.col("price") - 1_000_000_000).cast("double").alias("y"))
     beta, intercept = research.ridge(q, ["x0", "x1"], "y")
     return spark.createDataFrame([("x0", float(beta[0])), ("x1", float(beta[1])), ("intercept", intercept)], "term string, value double")

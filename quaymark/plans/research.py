@@ -29,16 +29,19 @@ def _mid(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _rounded(df: DataFrame, keys: list[str], cols: dict[str, Column], digits: int = 6) -> DataFrame:
-    return df.select(*keys, *[v.alias(k) for k, v in cols.items()]).select(*keys, *[F.round(k, digits).alias(k) if "_dz_" not in k else F.col(k) for k in cols])
+    return df.select(*keys, *[v.alias(k) for k, v in cols.items()]).select(*keys,
+        *[F.round(k, digits).alias(k) if "_dz_" not in k else F.col(k) for k in cols])
 
 
-@query(BASE + _MID + "SELECT symbol, venue, ts_ns, " + ", ".join(f"round((mid / (CASE WHEN lag(age_ns, {w}) OVER w <= {_tol(w)} THEN lag(mid, {w}) OVER w END) - 1) * 10000.0, 6) AS ret_bps_{w}" for w in features.RETURN_WINDOWS)
+@query(BASE + _MID + "SELECT symbol, venue, ts_ns, "
+    + ", ".join(f"round((mid / (CASE WHEN lag(age_ns, {w}) OVER w <= {_tol(w)} THEN lag(mid, {w}) OVER w END) - 1) * 10000.0, 6) AS ret_bps_{w}" for w in features.RETURN_WINDOWS)
        + " FROM m WINDOW w AS (PARTITION BY symbol, venue ORDER BY ts_ns)")
 def return_windows(spark, sf):
     return _rounded(_mid(spark, sf), ["symbol", "venue", "ts_ns"], features.trailing("mid", "age_ns", _leg(), H, FLOOR))
 
 
-_Y = ", ".join(f"((CASE WHEN lead(age_ns, {h}) OVER w <= {_tol(h)} THEN lead(mid, {h}) OVER w END) / mid - 1) * 10000.0 AS r{h}" for h in features.HORIZONS)
+_Y = ", ".join(f"((CASE WHEN lead(age_ns, {h}) OVER w <= {_tol(h)} THEN lead(mid, {h}) OVER w END) / mid - 1) * 10000.0 AS r{h}"
+    for h in features.HORIZONS)
 _DZ = ", ".join(f"round(r{h}, 6) AS y_ret_bps_{h}, CAST(CASE WHEN r{h} IS NULL OR sp IS NULL THEN NULL WHEN r{h} > sp * 0.5 THEN 1 WHEN r{h} < -(sp * 0.5) THEN -1 ELSE 0 END AS TINYINT) AS y_dz_{h}" for h in features.HORIZONS)
 
 
@@ -64,11 +67,13 @@ def _flowing(spark: SparkSession, sf: str, per_bar: DataFrame, cols: list[str])
     return g.select("symbol", "venue", "ts_ns", *[F.coalesce(c, F.lit(0)).alias(c) for c in cols], (F.col("age_ns") <= 5 * H).alias("live"))
 
 
-@query(BASE + _LIVE + "SELECT symbol, venue, ts_ns, " + ", ".join(_rolled(c, w) for w in features.FLOW_WINDOWS for c in ("signed_vol", "volume")) + " FROM fl")
+@query(BASE + _LIVE + "SELECT symbol, venue, ts_ns, " + ", ".join(_rolled(c, w) for w in features.FLOW_WINDOWS
+    for c in ("signed_vol", "volume")) + " FROM fl")
 def flow_windows(spark, sf):
     bars = features.flow(quotes(spark, sf), ["symbol", "venue"], "ts_ns", H).select("symbol", "venue", "ts_ns", "signed_vol", "volume")
     g = _flowing(spark, sf, bars, ["signed_vol", "volume"])
-    return g.select("symbol", "venue", "ts_ns", *[v.alias(k) for k, v in features.flow_windows(["signed_vol", "volume"], "live", _leg()).items()])
+    return g.select("symbol", "venue", "ts_ns", *[v.alias(k) for k,
+        v in features.flow_windows(["signed_vol", "volume"], "live", _leg()).items()])
 
 
 _LIQ = _GRID + f""", b AS (SELECT symbol, venue, ((ts_ns + {H - 1}) // {H}) * {H} AS ts_ns, CAST(sum(CASE WHEN side = 'bid' THEN k ELSE -k END) AS BIGINT) AS liq_flow, count(*) AS n_liqs FROM q WHERE k > 60 GROUP BY ALL),
@@ -76,26 +81,32 @@ fl AS (SELECT gq.symbol, gq.venue, gq.ts_ns, coalesce(liq_flow, 0) AS liq_flow,
 """
 
 
-@query(BASE + _LIQ + "SELECT symbol, venue, ts_ns, liq_flow, n_liqs, " + ", ".join(_rolled(c, w) for w in features.FLOW_WINDOWS for c in ("liq_flow", "n_liqs")) + " FROM fl")
+@query(BASE + _LIQ + "SELECT symbol, venue, ts_ns, liq_flow, n_liqs, "
+    + ", ".join(_rolled(c, w) for w in features.FLOW_WINDOWS for c in ("liq_flow", "n_liqs")) + " FROM fl")
 def liq_windows(spark, sf):
     forced = quotes(spark, sf).where("k > 60").withColumn("filled_size", F.col("k"))
     g = _flowing(spark, sf, features.liquidations(forced, ["symbol", "venue"], "ts_ns", H), ["liq_flow", "n_liqs"])
-    return g.select("symbol", "venue", "ts_ns", "liq_flow", "n_liqs", *[v.alias(k) for k, v in features.flow_windows(["liq_flow", "n_liqs"], "live", _leg()).items()])
+    return g.select("symbol", "venue", "ts_ns", "liq_flow", "n_liqs",
+        *[v.alias(k) for k, v in features.flow_windows(["liq_flow", "n_liqs"], "live", _leg()).items()])
 
 
-_PERP = _GRID.replace("q.bid, q.ask,", "q.bid, q.ask, q.price, q.k, q.ts_ns AS seen_at,") + """, p AS (SELECT symbol, venue, ts_ns, age_ns, CASE WHEN bid > 0 THEN CAST(price - bid AS DOUBLE) / bid * 10000.0 END AS basis, CAST(k AS DOUBLE) AS level, k, seen_at FROM gq) """
+_PERP = _GRID.replace("q.bid, q.ask,",
+    "q.bid, q.ask, q.price, q.k, q.ts_ns AS seen_at,") + """, p AS (SELECT symbol, venue, ts_ns, age_ns, CASE WHEN bid > 0 THEN CAST(price - bid AS DOUBLE) / bid * 10000.0 END AS basis, CAST(k AS DOUBLE) AS level, k, seen_at FROM gq) """
 
 
 def _perp(spark: SparkSession, sf: str) -> DataFrame:
     q = quotes(spark, sf).withColumn("at", F.col("ts_ns"))
-    return asof.asof_join(features.grid(q, ["symbol", "venue"], "ts_ns", H), q, ["symbol", "venue"], "ts_ns", ["arrival"], ["price", "bid", "k", "at"])
+    return asof.asof_join(features.grid(q, ["symbol", "venue"], "ts_ns", H), q, ["symbol", "venue"], "ts_ns", ["arrival"],
+        ["price", "bid", "k", "at"])
 
 
 @query(BASE + _PERP + f"SELECT symbol, venue, ts_ns, round(basis, 6) + 0.0::DOUBLE AS basis_bps, round(CAST(seen_at + {24 * H} - ts_ns AS DOUBLE) / 1000000000.0, 6) AS funding_in_s, " + ", ".join(
-    f"round(basis - (CASE WHEN lag(age_ns, {w}) OVER w <= {_tol(w)} THEN lag(basis, {w}) OVER w END), 6) + 0.0::DOUBLE AS basis_chg_{w}" for w in features.FLOW_WINDOWS) + " FROM p WINDOW w AS (PARTITION BY symbol, venue ORDER BY ts_ns)")
+    f"round(basis - (CASE WHEN lag(age_ns, {w}) OVER w <= {_tol(w)} THEN lag(basis, {w}) OVER w END), 6) + 0.0::DOUBLE AS basis_chg_{w}"
+    for w in features.FLOW_WINDOWS) + " FROM p WINDOW w AS (PARTITION BY symbol, venue ORDER BY ts_ns)")
 def basis_windows(spark, sf):
     p = _perp(spark, sf).withColumn("basis", features.mark_basis(F.col("price"), F.col("bid")))
-    cols = {"basis_bps": F.col("basis") + 0.0, "funding_in_s": features.funding_countdown(F.col("at") + 24 * H, F.col("ts_ns")), **features.basis_changes("basis", "age_ns", _leg(), H, FLOOR)}
+    cols = {"basis_bps": F.col("basis") + 0.0, "funding_in_s": features.funding_countdown(F.col("at") + 24 * H, F.col("ts_ns")),
+        **features.basis_changes("basis", "age_ns", _leg(), H, FLOOR)}
     return _rounded(p, ["symbol", "venue", "ts_ns"], cols)
 
 
@@ -111,10 +122,14 @@ def oi_windows(spark, sf):
   round((CAST(bid + ask AS DOUBLE) / 2 - (bid - 100 * k)) / (CAST(bid + ask AS DOUBLE) / 2) * 10000.0, 6) AS bid_span_bps, round((ask + 100 * size - CAST(bid + ask AS DOUBLE) / 2) / (CAST(bid + ask AS DOUBLE) / 2) * 10000.0, 6) AS ask_span_bps,
   k * 3 + size AS depth_10 FROM q""")
 def depth_shape(spark, sf):
-    q = quotes(spark, sf).select("arrival", "bid", "ask", F.col("k").alias("bid_depth_5"), F.col("size").alias("ask_depth_5"), (F.col("k") * 3).alias("bid_depth_10"), F.col("size").alias("ask_depth_10"),
-                                 (F.col("bid") - F.col("k") * 100).alias("bid_px_10"), (F.col("ask") + F.col("size") * 100).alias("ask_px_10"))
+    q = quotes(spark, sf).select("arrival", "bid", "ask", F.col("k").alias("bid_depth_5"), F.col("size").alias("ask_depth_5"),
+        (F.col("k") * 3).alias("bid_depth_10"), F.col("size").alias("ask_depth_10"),
+                                 (F.col("bid") - F.col("k") * 100).alias("bid_px_10"),
+                                 (F.col("ask") + F.col("size") * 100).alias("ask_px_10"))
     s = features.depth_shape(q.columns, (F.col("bid") + F.col("ask")) / 2)
-    return q.select("arrival", *[F.round(s[f"depth_imb_{n}"], 9).alias(f"depth_imb_{n}") for n in (5, 10)], F.round(s["bid_span_bps"], 6).alias("bid_span_bps"), F.round(s["ask_span_bps"], 6).alias("ask_span_bps"), s["depth_10"].alias("depth_10"))
+    return q.select("arrival", *[F.round(s[f"depth_imb_{n}"], 9).alias(f"depth_imb_{n}") for n in (5, 10)],
+        F.round(s["bid_span_bps"], 6).alias("bid_span_bps"), F.round(s["ask_span_bps"], 6).alias("ask_span_bps"),
+        s["depth_10"].alias("depth_10"))
 
 
 _PURE = "CASE venue WHEN 'click' THEN 'AAA-USD' WHEN 'error' THEN 'AAA-USD' ELSE 'AAA-USDT' END"
@@ -128,16 +143,21 @@ def quote_legs(spark, sf):
 
 def matrix(spark: SparkSession, sf: str) -> DataFrame:
     """The feature matrix of one symbol on hourly bars, with two of its venues, all tapes, and legs of another symbol."""
-    q = _dated(spark, sf).withColumnRenamed("venue", "exchange").withColumn("symbol", F.when(F.col("exchange") == "view", "AAA-USDT").otherwise("AAA-USD"))
+    q = _dated(spark, sf).withColumnRenamed("venue", "exchange").withColumn("symbol",
+        F.when(F.col("exchange") == "view", "AAA-USDT").otherwise("AAA-USD"))
     q = q.where(F.col("exchange").isin("click", "error", "view"))
-    books = q.select("date", "exchange", "symbol", "ts_ns", "arrival", "bid", "ask", F.col("size").alias("bid_sz"), (F.col("k") + 2).alias("ask_sz"))
-    best = nbbo_evict_stale(spark, sf).where("symbol = 'AAA-USD'").select(F.date_format(F.timestamp_micros(F.expr("ts_ns div 1000")), "yyyy-MM-dd").alias("date"), "ts_ns", F.col("best_bid").alias("bid"), F.col("best_ask").alias("ask"), "n_venues")
+    books = q.select("date", "exchange", "symbol", "ts_ns", "arrival", "bid", "ask", F.col("size").alias("bid_sz"),
+        (F.col("k") + 2).alias("ask_sz"))
+    best = nbbo_evict_stale(spark, sf).where("symbol = 'AAA-USD'").select(F.date_format(F.timestamp_micros(F.expr("ts_ns div 1000")),
+        "yyyy-MM-dd").alias("date"), "ts_ns", F.col("best_bid").alias("bid"), F.col("best_ask").alias("ask"), "n_venues")
     trades = q.select("date", "exchange", "symbol", "ts_ns", "price", "size", "side")
     perp = q.where("exchange = 'view'")
-    marks = perp.select("date", "exchange", "symbol", "ts_ns", F.col("price").alias("mark_price"), F.col("bid").alias("index_price"), F.col("k").alias("funding_rate"), (F.col("ts_ns") + 24 * H).alias("next_funding_ts_ns"))
+    marks = perp.select("date", "exchange", "symbol", "ts_ns", F.col("price").alias("mark_price"), F.col("bid").alias("index_price"),
+        F.col("k").alias("funding_rate"), (F.col("ts_ns") + 24 * H).alias("next_funding_ts_ns"))
     interest = perp.select("date", "exchange", "symbol", "ts_ns", F.col("size").alias("open_interest"))
     forced = perp.where("k > 50").select("date", "exchange", "symbol", "ts_ns", F.col("size").alias("filled_size"), "side")
-    return features.feature_matrix(books, best, trades, "AAA-USD", ("AAA-USDT",), H, marks, interest, forced, max_age_ms=6 * 3_600_000, max_tape_age_ms=12 * 3_600_000)
+    return features.feature_matrix(books, best, trades, "AAA-USD", ("AAA-USDT",), H, marks, interest, forced, max_age_ms=6 * 3_600_000,
+        max_tape_age_ms=12 * 3_600_000)
 
 
 @query(None)
@@ -149,7 +169,8 @@ def feature_matrix(spark, sf):
 def schema_audit(spark, sf):
     """Each column of the matrix with its family, role and venue, and whether it is there."""
     g = grammar.Grammar(c for c in matrix(spark, sf).columns if c != "click_vwap")
-    return spark.createDataFrame([(c.name, c.family, c.role, c.venue, c.name in g.present) for c in g.columns.values()], "column string, family string, role string, venue string, present boolean")
+    return spark.createDataFrame([(c.name, c.family, c.role, c.venue, c.name in g.present) for c in g.columns.values()],
+        "column string, family string, role string, venue string, present boolean")
 
 
 def _labelled(spark: SparkSession, sf: str) -> DataFrame:
@@ -171,7 +192,8 @@ _EV = f", z AS (SELECT {DATE} AS date, arrival, CAST(k - 50 AS DOUBLE) AS y, CAS
 
 
 def _predicted(spark: SparkSession, sf: str) -> DataFrame:
-    return _dated(spark, sf).select("date", "arrival", (F.col("k") - 50).cast("double").alias("y"), (F.col("user_id") % 7 - 3).cast("double").alias("p"), (F.lit(20.0) + F.col("k") % 9).alias("threshold"))
+    return _dated(spark, sf).select("date", "arrival", (F.col("k") - 50).cast("double").alias("y"),
+        (F.col("user_id") % 7 - 3).cast("double").alias("p"), (F.lit(20.0) + F.col("k") % 9).alias("threshold"))
 
 
 @query(BASE + _EV + """SELECT date, count(*) AS n, round(1 - sum((y - p) * (y - p)) / nullif(sum(y * y), 0), 9) AS r2, round(sum(CASE WHEN y <> 0 AND sign(y) = sign(p) THEN 1.0::DOUBLE ELSE 0 END) / nullif(count_if(y <> 0 AND p <> 0), 0), 9) AS hit,
@@ -188,7 +210,8 @@ def edge_by_date(spark, sf):
 
 @query(BASE + _EV + ", per AS (SELECT date, sum(y * p) AS v FROM z GROUP BY date) SELECT substr(date, 9, 1) AS decade, round(avg(v), 6) AS mean, round(stddev_pop(v), 6) AS std FROM per GROUP BY ALL")
 def fold_spread(spark, sf):
-    per = _predicted(spark, sf).groupBy("date").agg(F.sum(F.col("y") * F.col("p")).alias("v")).withColumn("decade", F.substring("date", 9, 1))
+    per = _predicted(spark, sf).groupBy("date").agg(F.sum(F.col("y") * F.col("p")).alias("v")).withColumn("decade",
+        F.substring("date", 9, 1))
     return research.spread_over(per, ["decade"], "v").select("decade", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"))
 
 
@@ -220,7 +243,8 @@ def _learnable(spark: SparkSession, sf: str) -> DataFrame:
     """Rows whose target follows one feature upward, another either way, with some values missing."""
     q = _dated(spark, sf)
     noise = F.pmod(F.col("arrival") * 7919, F.lit(101)).cast("double") / 101 - 0.5
-    return q.select("date", "ts_ns", "arrival", F.when(F.col("k") % 11 != 0, F.col("k") / 50.0 - 1).alias("click_ofi"), (F.col("user_id") / 75.0 - 1).alias("view_imbalance"),
+    return q.select("date", "ts_ns", "arrival", F.when(F.col("k") % 11 != 0, F.col("k") / 50.0 - 1).alias("click_ofi"),
+        (F.col("user_id") / 75.0 - 1).alias("view_imbalance"),
                     (F.col("k") / 50.0 - 1 + 0.3 * F.abs(F.col("user_id") / 75.0 - 1) + noise).alias("y"))
 
 
@@ -241,9 +265,11 @@ def venue_importance(spark, sf):
     rows = _learnable(spark, sf)
     beta, icept = research.ridge(rows, ["click_ofi", "view_imbalance"], "y")
     predict = research.linear(beta, icept, ["click_ofi", "view_imbalance"], {})
-    return research.permutation_importance(rows, predict, ["click_ofi", "view_imbalance"], {"click_ofi": "click", "view_imbalance": "view"}, repeats=2)
+    return research.permutation_importance(rows, predict, ["click_ofi", "view_imbalance"], {"click_ofi": "click", "view_imbalance": "view"},
+        repeats=2)
 
 
 @query("WITH x AS (SELECT unnest(" + str(SYMBOLS) + ") AS s) SELECT s AS symbol, replace(s, '-', '_') AS prefix FROM x")
 def leg_prefixes(spark, sf):
-    return spark.createDataFrame([(s,) for s in SYMBOLS], "symbol string").select("symbol", features.leg_prefix(F.col("symbol")).alias("prefix"))
+    return spark.createDataFrame([(s,) for s in SYMBOLS], "symbol string").select("symbol",
+        features.leg_prefix(F.col("symbol")).alias("prefix"))

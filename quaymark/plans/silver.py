@@ -22,8 +22,10 @@ def messages(spark: SparkSession, sf: str) -> DataFrame:
     q = dated(quotes(spark, sf))
     dataset = F.element_at(F.array(*[F.lit(x) for x in (*silver.LATENCY_DATASETS, "bbo")]), (F.col("k") % 7 + 1).cast("int"))
     return q.select(
-        F.col("venue").alias("exchange"), F.col("symbol").alias("canonical_symbol"), "date", dataset.alias("dataset"), F.col("arrival").alias("offset"),
-        F.when(F.col("k") == 3, 0).otherwise(F.col("ts_ns") - F.col("k") * 1_000_000).alias("exchange_ts_ns"), (F.col("ts_ns") + 500).alias("local_ts_ns"),
+        F.col("venue").alias("exchange"), F.col("symbol").alias("canonical_symbol"), "date", dataset.alias("dataset"),
+        F.col("arrival").alias("offset"),
+        F.when(F.col("k") == 3, 0).otherwise(F.col("ts_ns") - F.col("k") * 1_000_000).alias("exchange_ts_ns"),
+        (F.col("ts_ns") + 500).alias("local_ts_ns"),
         F.when(F.col("k") != 7, F.col("ts_ns") + F.col("k")).alias("recv_ns"), F.col("k"), F.col("price"), F.col("size"), F.col("side"))
 
 
@@ -50,7 +52,8 @@ TAPE_SQL = 'SELECT exchange, canonical_symbol, date, coalesce(recv_ns, local_ts_
 def _tape(spark: SparkSession, sf: str, name: str, **fields) -> DataFrame:
     """A tape from messages whose numbers are strings; its decimals as doubles, as research reads them."""
     m = messages(spark, sf).where(F.col("dataset") == name)
-    m = m.drop("price", "size", "side").select("*") if not fields else m.select(*[c for c in m.columns if c not in fields], *[v.alias(k) for k, v in fields.items()])
+    m = m.drop("price", "size", "side").select("*") if not fields else m.select(*[c for c in m.columns if c not in fields],
+        *[v.alias(k) for k, v in fields.items()])
     return silver.doubles(silver.tape(m, name))
 
 
@@ -59,15 +62,18 @@ def _text(col: str, unit: int = 1_000_000):
     return F.concat(F.expr(f"{col} div {unit}").cast("string"), F.lit("."), F.lpad(F.expr(f"{col} % {unit}").cast("string"), 6, "0"))
 
 
-@query(BASE + MESSAGES + TAPE_SQL.format(name="trades", cols="CAST(\"offset\" AS VARCHAR) AS trade_id, CAST(price AS DOUBLE) / 1000000 AS price, CAST(size AS DOUBLE) AS size, side"))
+@query(BASE + MESSAGES + TAPE_SQL.format(name="trades",
+    cols="CAST(\"offset\" AS VARCHAR) AS trade_id, CAST(price AS DOUBLE) / 1000000 AS price, CAST(size AS DOUBLE) AS size, side"))
 def tape_trades(spark, sf):
-    return _tape(spark, sf, "trades", trade_id=F.col("offset").cast("string"), price=_text("price"), size=F.col("size").cast("string"), side=F.col("side"))
+    return _tape(spark, sf, "trades", trade_id=F.col("offset").cast("string"), price=_text("price"), size=F.col("size").cast("string"),
+        side=F.col("side"))
 
 
 @query(BASE + MESSAGES + TAPE_SQL.format(name="mark_price", cols="""CAST(price AS DOUBLE) / 1000000 AS mark_price, CAST(price + k AS DOUBLE) / 1000000 AS index_price,
   CAST(price AS DOUBLE) / 1000000 AS est_settle_price, CAST(k AS DOUBLE) / 1000000 AS funding_rate, local_ts_ns + 1000 AS next_funding_ts_ns"""))
 def tape_mark_price(spark, sf):
-    return _tape(spark, sf, "mark_price", mark_price=_text("price"), index_price=_text("(price + k)"), est_settle_price=_text("price"), funding_rate=_text("k"),
+    return _tape(spark, sf, "mark_price", mark_price=_text("price"), index_price=_text("(price + k)"), est_settle_price=_text("price"),
+        funding_rate=_text("k"),
                  next_funding_ts_ns=(F.col("local_ts_ns") + 1000).cast("string"))
 
 
@@ -79,19 +85,25 @@ def tape_open_interest(spark, sf):
 @query(BASE + MESSAGES + TAPE_SQL.format(name="liquidations", cols="""side, CAST(price AS DOUBLE) / 1000000 AS price, CAST(price AS DOUBLE) / 1000000 AS avg_price, CAST(size AS DOUBLE) AS orig_size,
   CAST(k AS DOUBLE) AS filled_size, CASE WHEN k % 2 = 0 THEN 'FILLED' ELSE 'PARTIAL' END AS status"""))
 def tape_liquidations(spark, sf):
-    return _tape(spark, sf, "liquidations", side=F.col("side"), price=_text("price"), avg_price=_text("price"), orig_size=F.col("size").cast("string"), filled_size=F.col("k").cast("string"),
+    return _tape(spark, sf, "liquidations", side=F.col("side"), price=_text("price"), avg_price=_text("price"),
+        orig_size=F.col("size").cast("string"), filled_size=F.col("k").cast("string"),
                  status=F.when(F.col("k") % 2 == 0, "FILLED").otherwise("PARTIAL"))
 
 
 def facts(spark: SparkSession, sf: str) -> DataFrame:
     """Events as rows of the book fold: one in ten a snapshot, some with gaps, some broken, some one-sided."""
     q = dated(quotes(spark, sf))
-    kind = F.when(F.col("k") == 95, "snapshot_crossed").when(F.col("k") == 96, "crossed_after_delta").when(F.col("k") == 97, "non_monotonic_seq")
+    kind = F.when(F.col("k") == 95, "snapshot_crossed").when(F.col("k") == 96, "crossed_after_delta").when(F.col("k") == 97,
+        "non_monotonic_seq")
     return q.select(
-        F.col("venue").alias("exchange"), F.col("symbol").alias("canonical_symbol"), "date", F.when(F.col("k") % 10 == 0, "snap").otherwise("delta").alias("kind"), F.col("arrival").alias("offset"),
-        F.col("arrival").alias("sequence"), F.expr("arrival div 1000").alias("epoch"), F.col("ts_ns").alias("exchange_ts_ns"), (F.col("k") % 4).alias("engine_ts_ns"), (F.col("ts_ns") + 500).alias("local_ts_ns"),
-        F.when(F.col("k") != 7, F.col("ts_ns") - F.col("k") * 20_000_000_000).alias("local_recv_ts_ns"), F.when(F.col("k") != 11, F.col("bid")).alias("best_bid"),
-        F.when(F.col("k") % 3 == 0, F.col("bid")).otherwise(F.col("ask")).alias("best_ask"), F.when(F.col("k") > 90, F.col("k") % 3).otherwise(0).alias("seq_gap"), kind.alias("invariant_kind"),
+        F.col("venue").alias("exchange"), F.col("symbol").alias("canonical_symbol"), "date",
+        F.when(F.col("k") % 10 == 0, "snap").otherwise("delta").alias("kind"), F.col("arrival").alias("offset"),
+        F.col("arrival").alias("sequence"), F.expr("arrival div 1000").alias("epoch"), F.col("ts_ns").alias("exchange_ts_ns"),
+        (F.col("k") % 4).alias("engine_ts_ns"), (F.col("ts_ns") + 500).alias("local_ts_ns"),
+        F.when(F.col("k") != 7, F.col("ts_ns") - F.col("k") * 20_000_000_000).alias("local_recv_ts_ns"),
+        F.when(F.col("k") != 11, F.col("bid")).alias("best_bid"),
+        F.when(F.col("k") % 3 == 0, F.col("bid")).otherwise(F.col("ask")).alias("best_ask"),
+        F.when(F.col("k") > 90, F.col("k") % 3).otherwise(0).alias("seq_gap"), kind.alias("invariant_kind"),
         F.col("size").alias("bid_sz"), F.col("k").alias("ask_sz"))
 
 
@@ -119,7 +131,8 @@ SELECT base, base || '-USD' AS usd, base || '-USDT' AS usdt FROM p WHERE base ||
 def both_legs(spark, sf):
     q = quotes(spark, sf)
     base = F.split("symbol", "-")[0]
-    pairs = q.select(base.alias("base")).distinct().select("base", F.concat("base", F.lit("-USD")).alias("usd"), F.concat("base", F.lit("-USDT")).alias("usdt"))
+    pairs = q.select(base.alias("base")).distinct().select("base", F.concat("base", F.lit("-USD")).alias("usd"),
+        F.concat("base", F.lit("-USDT")).alias("usdt"))
     return silver.both_legs(pairs, q.where("k = 1").select("symbol"))
 
 
@@ -132,7 +145,8 @@ def live_agreement(spark, sf):
 
 
 KINDS = ("snapshots", "deltas", "trades", "bbo", "liquidations", "mark_price", "open_interest")
-_HEADS = {"snapshots": "md.book", "deltas": "md.book", "trades": "md.trades", "bbo": "md.bbo", "liquidations": "md.liquidations", "mark_price": "md.markprice", "open_interest": "md.openinterest"}
+_HEADS = {"snapshots": "md.book", "deltas": "md.book", "trades": "md.trades", "bbo": "md.bbo", "liquidations": "md.liquidations",
+    "mark_price": "md.markprice", "open_interest": "md.openinterest"}
 
 
 @query(BASE + "SELECT DISTINCT kind, CASE WHEN kind IN ('snapshots', 'deltas') THEN 'md.book' WHEN kind = 'mark_price' THEN 'md.markprice' WHEN kind = 'open_interest' THEN 'md.openinterest' ELSE 'md.' || kind END"
@@ -151,8 +165,11 @@ def topics(spark, sf):
   CAST(ts_ns AS VARCHAR) AS recv_header, CAST(ts_ns - k AS VARCHAR) AS exchange_header FROM q""")
 def encoded_messages(spark, sf):
     q = quotes(spark, sf).withColumn("exchange", F.col("venue")).withColumn("size", F.when(F.col("k") % 2 == 0, F.col("size")))
-    out = bronze.encoded(q, "trade", ["exchange", "price", "size"]).withColumn("headers", bronze.latency_headers(F.col("ts_ns"), F.col("ts_ns") - F.col("k")))
-    return out.select("arrival", F.col("value").cast("string").alias("value"), wire.header("local_recv_ts_ns").cast("string").alias("recv_header"), wire.header("exchange_ts_ns").cast("string").alias("exchange_header"))
+    out = bronze.encoded(q, "trade", ["exchange", "price", "size"]).withColumn("headers",
+        bronze.latency_headers(F.col("ts_ns"), F.col("ts_ns") - F.col("k")))
+    return out.select("arrival", F.col("value").cast("string").alias("value"),
+        wire.header("local_recv_ts_ns").cast("string").alias("recv_header"),
+        wire.header("exchange_ts_ns").cast("string").alias("exchange_header"))
 
 
 def _lv(px: str, sz: str) -> str:
@@ -167,7 +184,8 @@ def _raw(spark: SparkSession, sf: str, body: str) -> DataFrame:
 
 def _flat(events: DataFrame) -> DataFrame:
     first = lambda c: F.get(c, F.lit(0))
-    return events.select("frame_id", "symbol", "kind", "sequence", "exchange_ts_ns", "recv_ns", first("bids")["px"].alias("bid_px"), first("asks")["sz"].alias("ask_sz"), "engine_ts_ns", "trade_id", "price",
+    return events.select("frame_id", "symbol", "kind", "sequence", "exchange_ts_ns", "recv_ns", first("bids")["px"].alias("bid_px"),
+        first("asks")["sz"].alias("ask_sz"), "engine_ts_ns", "trade_id", "price",
                          "size", "side", F.to_json("extra").alias("extra"))
 
 
@@ -196,10 +214,12 @@ def frames_futures(spark, sf):
     trade = "named_struct('e', 'aggTrade', 's', symbol, 'a', arrival, 'p', string(price), 'q', string(size), 'T', ms, 'm', k % 2 = 0)"
     forced = "named_struct('e', 'forceOrder', 'o', named_struct('s', symbol, 'S', if(k % 2 = 0, 'SELL', 'BUY'), 'p', string(price), 'ap', string(price), 'q', string(size), 'z', string(k), 'X', 'FILLED', 'T', ms))"
     mark = "named_struct('e', 'markPriceUpdate', 's', symbol, 'E', ms, 'p', string(price), 'i', string(ask), 'P', string(bid), 'r', '0.0001', 'T', ms + 5)"
-    kinds = " ".join(f"when {i} then concat('{{\"stream\":\"x\",\"data\":', to_json({b}), '}}')" for i, b in enumerate((depth, trade, forced, mark)))
+    kinds = " ".join(f"when {i} then concat('{{\"stream\":\"x\",\"data\":', to_json({b}), '}}')" for i,
+        b in enumerate((depth, trade, forced, mark)))
     q = quotes(spark, sf).withColumn("ms", F.expr("ts_ns div 1000000"))
     raw = F.expr(f"case k % 5 {kinds} else '{{\"id\":1}}' end")
-    return _flat(venues.futures_events(q.select(F.col("arrival").alias("frame_id"), raw.alias("raw"), (F.col("ts_ns") + 1).alias("recv_ns"))))
+    return _flat(venues.futures_events(q.select(F.col("arrival").alias("frame_id"), raw.alias("raw"),
+        (F.col("ts_ns") + 1).alias("recv_ns"))))
 
 
 @query(BASE + """SELECT arrival AS frame_id, symbol, CASE WHEN k % 3 = 2 THEN 'trade' WHEN k % 2 = 0 THEN 'snapshot' ELSE 'delta' END AS kind, arrival AS sequence, ts_ns AS exchange_ts_ns, ts_ns + 1 AS recv_ns,
@@ -215,7 +235,8 @@ def frames_channels(spark, sf):
     trade = f"named_struct('channel', 'market_trades', 'timestamp', {at('ts_ns')}, 'sequence_num', arrival, 'events', array(named_struct('trades', array({one}))))"
     q = quotes(spark, sf)
     raw = F.expr(f"if(k % 3 = 2, to_json({trade}), to_json({book}))")
-    return _flat(venues.channel_events(q.select(F.col("arrival").alias("frame_id"), raw.alias("raw"), (F.col("ts_ns") + 1).alias("recv_ns"))))
+    return _flat(venues.channel_events(q.select(F.col("arrival").alias("frame_id"), raw.alias("raw"),
+        (F.col("ts_ns") + 1).alias("recv_ns"))))
 
 
 @query(BASE + """SELECT arrival AS frame_id, symbol, CASE WHEN k % 3 = 2 THEN 'trade' WHEN k % 2 = 0 THEN 'snapshot' ELSE 'delta' END AS kind, CAST(NULL AS BIGINT) AS sequence, (ts_ns // 1000) * 1000 AS exchange_ts_ns,
@@ -242,7 +263,8 @@ def connection_sequence(spark, sf):
     from pyspark.sql import Window
 
     n = F.row_number().over(Window.partitionBy("venue").orderBy("arrival"))
-    s = quotes(spark, sf).select("venue", "arrival", (n - F.when(F.col("k") == 50, 2).otherwise(0) + F.when(F.col("arrival") % 900 == 899, 3).otherwise(0)).cast("long").alias("seq"))
+    s = quotes(spark, sf).select("venue", "arrival",
+        (n - F.when(F.col("k") == 50, 2).otherwise(0) + F.when(F.col("arrival") % 900 == 899, 3).otherwise(0)).cast("long").alias("seq"))
     return venues.sequence_check(s, ["venue"], "arrival", "seq")
 
 
@@ -274,11 +296,14 @@ def _sync_events(spark: SparkSession, sf: str, gap: int) -> DataFrame:
     q = dated(quotes(spark, sf))
     w = Window.partitionBy("venue", "symbol", "date").orderBy("arrival")
     n = F.row_number().over(w).cast("long")
-    q = q.select(F.dense_rank().over(Window.partitionBy("venue", "symbol").orderBy("date")).cast("long").alias("connection"), F.concat("venue", F.lit(":"), "symbol").alias("symbol"), n.alias("n"), "k")
+    q = q.select(F.dense_rank().over(Window.partitionBy("venue", "symbol").orderBy("date")).cast("long").alias("connection"),
+        F.concat("venue", F.lit(":"), "symbol").alias("symbol"), n.alias("n"), "k")
     snap = F.col("n") == 4
     last = F.col("n") * 2
-    return q.select("connection", "symbol", F.col("n").alias("position"), F.when(snap, "snapshot").otherwise("delta").alias("kind"), F.when(snap, last - gap).otherwise(last).alias("sequence"),
-                    F.when(~snap, last - 1 + F.when(F.col("k") < 3, 1).otherwise(0)).alias("first"), F.when(~snap, last - 2 + F.when(F.col("k") > 97, 1).otherwise(0)).alias("previous"))
+    return q.select("connection", "symbol", F.col("n").alias("position"), F.when(snap, "snapshot").otherwise("delta").alias("kind"),
+        F.when(snap, last - gap).otherwise(last).alias("sequence"),
+                    F.when(~snap, last - 1 + F.when(F.col("k") < 3, 1).otherwise(0)).alias("first"),
+                    F.when(~snap, last - 2 + F.when(F.col("k") > 97, 1).otherwise(0)).alias("previous"))
 
 
 @query(None)
@@ -293,8 +318,10 @@ def sync_futures(spark, sf):
 
 def log_records(spark: SparkSession, sf: str) -> DataFrame:
     q = quotes(spark, sf)
-    return q.select(F.concat(F.lit("md.trades."), "venue", F.lit("."), "symbol").alias("topic"), (F.col("user_id") % 3).cast("int").alias("partition"), F.col("arrival").alias("offset"),
-                    F.expr("ts_ns div 1000000").alias("timestamp_ms"), (F.col("size") * 1000).alias("size"), (F.expr("ts_ns div 1000000") + F.col("k")).alias("poll_ms"))
+    return q.select(F.concat(F.lit("md.trades."), "venue", F.lit("."), "symbol").alias("topic"),
+        (F.col("user_id") % 3).cast("int").alias("partition"), F.col("arrival").alias("offset"),
+                    F.expr("ts_ns div 1000000").alias("timestamp_ms"), (F.col("size") * 1000).alias("size"),
+                    (F.expr("ts_ns div 1000000") + F.col("k")).alias("poll_ms"))
 
 
 @query(None)
@@ -313,7 +340,8 @@ def log_manifest(spark, sf):
 
 @query(BASE + RECORDS + f"SELECT topic, \"partition\", \"offset\", timestamp_ms FROM r WHERE timestamp_ms - (SELECT min(timestamp_ms) FROM r) < {240 * 3_600_000} ORDER BY timestamp_ms, \"offset\" LIMIT 2000")
 def capture_window(spark, sf):
-    return bronze.captured(log_records(spark, sf).select("topic", "partition", "offset", "timestamp_ms"), ["timestamp_ms", "offset"], 2000, 240 * 3_600_000)
+    return bronze.captured(log_records(spark, sf).select("topic", "partition", "offset", "timestamp_ms"), ["timestamp_ms", "offset"], 2000,
+        240 * 3_600_000)
 
 
 @query(BASE + RECORDS + """SELECT topic, "partition", "offset", greatest(0.0::DOUBLE, CAST(timestamp_ms - first_value(timestamp_ms) OVER (PARTITION BY topic, "partition" ORDER BY "offset") AS DOUBLE) / 1000.0::DOUBLE / 50.0::DOUBLE
@@ -327,7 +355,8 @@ def replay_pace(spark, sf):
 SELECT topic, "partition", high, consumed, greatest(0, high - 1 - coalesce(consumed, -1)) AS lag FROM p""")
 def consumer_lag(spark, sf):
     r = log_records(spark, sf)
-    p = r.groupBy("topic", "partition").agg((F.max("offset") + 5).alias("high"), F.max(F.when(F.col("offset") % 3 == 0, F.col("offset"))).alias("consumed"))
+    p = r.groupBy("topic", "partition").agg((F.max("offset") + 5).alias("high"),
+        F.max(F.when(F.col("offset") % 3 == 0, F.col("offset"))).alias("consumed"))
     return gateway.lag(p)
 
 
@@ -343,7 +372,8 @@ def _positions(spark: SparkSession, sf: str) -> DataFrame:
     q = quotes(spark, sf)
     one, two = F.concat("venue", F.lit("")), F.concat("venue", F.lit("."), "symbol")
     by = F.col("user_id") % 5
-    name = (F.when(by == 0, F.concat(F.lit("md.status."), one)).when(by == 1, F.concat(F.lit("md.trades."), two)).when(by == 2, F.concat(F.lit("md.book."), two, F.lit(".snapshots")))
+    name = (F.when(by == 0, F.concat(F.lit("md.status."), one)).when(by == 1, F.concat(F.lit("md.trades."), two)).when(by == 2,
+        F.concat(F.lit("md.book."), two, F.lit(".snapshots")))
             .when(by == 3, F.concat(F.lit("md.book."), two, F.lit(".deltas"))).otherwise(F.concat(F.lit("md.bbo."), two)))
     return q.select(name.alias("topic"), (F.col("user_id") % 2).cast("int").alias("partition"), F.col("arrival").alias("offset"), "ts_ns")
 
@@ -373,11 +403,14 @@ def message_route(spark, sf):
 SELECT symbol, count_if(side = 'bid') AS n_bids, count_if(side = 'ask') AS n_asks, CAST(max(px) FILTER (side = 'bid') AS VARCHAR) AS first_bid, CAST(min(px) FILTER (side = 'ask') AS VARCHAR) AS first_ask, 0::BIGINT AS exchange_ts_ns
 FROM l WHERE sz > 0 GROUP BY symbol""")
 def book_resnapshot(spark, sf):
-    q = quotes(spark, sf).withColumn("px", F.expr("((price - 1000000000) div 2) div 100")).withColumn("side", F.when(F.col("user_id") % 2 == 0, "bid").otherwise("ask"))
+    q = quotes(spark, sf).withColumn("px", F.expr("((price - 1000000000) div 2) div 100")).withColumn("side",
+        F.when(F.col("user_id") % 2 == 0, "bid").otherwise("ask"))
     levels = q.groupBy("symbol", "side", "px").agg(F.max_by("k", "arrival").alias("sz")).where("sz > 0")
-    levels = levels.select("symbol", F.lit(7).cast("long").alias("sequence"), F.lit(1).cast("long").alias("epoch"), "side", F.col("px").cast("string").alias("px"), F.col("sz").cast("string").alias("sz"))
+    levels = levels.select("symbol", F.lit(7).cast("long").alias("sequence"), F.lit(1).cast("long").alias("epoch"), "side",
+        F.col("px").cast("string").alias("px"), F.col("sz").cast("string").alias("sz"))
     out = venues.resnapshots(levels, ["symbol"], 0)
-    return out.select("symbol", F.size("bids").cast("long").alias("n_bids"), F.size("asks").cast("long").alias("n_asks"), F.get("bids", F.lit(0))["px"].alias("first_bid"), F.get("asks", F.lit(0))["px"].alias("first_ask"), "exchange_ts_ns")
+    return out.select("symbol", F.size("bids").cast("long").alias("n_bids"), F.size("asks").cast("long").alias("n_asks"),
+        F.get("bids", F.lit(0))["px"].alias("first_bid"), F.get("asks", F.lit(0))["px"].alias("first_ask"), "exchange_ts_ns")
 
 
 @query(BASE + f"""SELECT DISTINCT exchange, canonical_symbol FROM (SELECT unnest(['click','error']) AS exchange) a, (SELECT unnest({SYMBOLS}) AS canonical_symbol) b""")

@@ -13,8 +13,10 @@ CHUNK = "topic string, partition int, chunk long, date string, start_offset long
 
 def topic(kind: str, exchange: Column | None = None, symbol: Column | None = None) -> Column:
     """The topic of a kind of message: ``md.book.<exchange>.<symbol>.snapshots`` and the like; symbols are normalized."""
-    one = {"snapshots": ("md.book", ".snapshots"), "deltas": ("md.book", ".deltas"), "trades": ("md.trades", ""), "bbo": ("md.bbo", ""), "liquidations": ("md.liquidations", ""),
-           "mark_price": ("md.markprice", ""), "open_interest": ("md.openinterest", ""), "status": ("md.status", ""), "nbbo": ("md.nbbo", "")}
+    one = {"snapshots": ("md.book", ".snapshots"), "deltas": ("md.book", ".deltas"), "trades": ("md.trades", ""), "bbo": ("md.bbo", ""),
+        "liquidations": ("md.liquidations", ""),
+           "mark_price": ("md.markprice", ""), "open_interest": ("md.openinterest", ""), "status": ("md.status", ""),
+           "nbbo": ("md.nbbo", "")}
     head, tail = one[kind]
     parts = [F.lit(head)]
     if exchange is not None:
@@ -60,7 +62,8 @@ def paced(records: DataFrame, by: list[str], order: list[str], speed: float, ela
 def dropped(records: DataFrame, path: str, batch: int) -> int:
     """Replay into a folder that a file stream reads: files of ``batch`` records, in the order of the log; how many."""
     numbered = records.withColumn("_n", F.row_number().over(Window.orderBy("topic", "partition", "offset")) - 1)
-    numbered.withColumn("drop", F.expr(f"_n div {batch}")).drop("_n").repartitionByRange("drop").sortWithinPartitions("drop", "topic", "partition", "offset").write.mode("append").partitionBy("drop").parquet(path)
+    numbered.withColumn("drop", F.expr(f"_n div {batch}")).drop("_n").repartitionByRange("drop").sortWithinPartitions("drop", "topic",
+        "partition", "offset").write.mode("append").partitionBy("drop").parquet(path)
     return records.count()
 
 
@@ -81,7 +84,8 @@ def chunks(records: DataFrame, most_bytes: int = 16 << 20, most_ms: int = 900_00
             if held is not None:
                 part = int(pdf["partition"].iloc[0])
                 key = f"{held['date']}/{part:03d}-{held['start']:012d}.parquet"
-                rows.append((pdf["topic"].iloc[0], part, len(rows), held["date"], held["start"], held["end"], held["n"], held["bytes"], cause, key))
+                rows.append((pdf["topic"].iloc[0], part, len(rows), held["date"], held["start"], held["end"], held["n"], held["bytes"],
+                    cause, key))
                 held = None
 
         for r in pdf.sort_values("offset").itertuples(index=False):

@@ -20,9 +20,12 @@ _DEPTH = ", ".join(f"{s}_depth_{n} {_D}" for n in (5, 10) for s in ("bid", "ask"
 _STATS = ", ".join(f"basis_bps_{s} double" for s in ("mean", "std", "median", "min", "max", "p1", "p99"))
 #: The log's datasets, the topics that feed them, and the keys of their paths besides the date.
 BRONZE = {
-    "book_snapshots": ("md.book.*.snapshots", ("exchange", "symbol")), "book_deltas": ("md.book.*.deltas", ("exchange", "symbol")), "trades": ("md.trades.*", ("exchange", "symbol")),
-    "bbo": ("md.bbo.*", ("exchange", "symbol")), "liquidations": ("md.liquidations.*", ("exchange", "symbol")), "mark_price": ("md.markprice.*", ("exchange", "symbol")),
-    "open_interest": ("md.openinterest.*", ("exchange", "symbol")), "status": ("md.status.*", ("exchange",)), "nbbo": ("md.nbbo.*", ("symbol",)),
+    "book_snapshots": ("md.book.*.snapshots", ("exchange", "symbol")), "book_deltas": ("md.book.*.deltas", ("exchange", "symbol")),
+    "trades": ("md.trades.*", ("exchange", "symbol")),
+    "bbo": ("md.bbo.*", ("exchange", "symbol")), "liquidations": ("md.liquidations.*", ("exchange", "symbol")),
+    "mark_price": ("md.markprice.*", ("exchange", "symbol")),
+    "open_interest": ("md.openinterest.*", ("exchange", "symbol")), "status": ("md.status.*", ("exchange",)),
+    "nbbo": ("md.nbbo.*", ("symbol",)),
 }
 #: The datasets by (layer, name).
 SCHEMAS = {
@@ -76,7 +79,8 @@ def write(df: DataFrame, base: str, layer: str, name: str, by: list[str], marker
     for c in by:
         out = out.withColumn(f"p_{c}", F.col(c))
     path = f"{base}/{layer}/{name}"
-    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy(*[f"p_{c}" for c in by]).parquet(path)
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression",
+        "zstd").partitionBy(*[f"p_{c}" for c in by]).parquet(path)
     if markers and "date" in by:
         mark(df.sparkSession.read.parquet(path), base, layer, name)
 
@@ -86,7 +90,8 @@ def mark(rows: DataFrame, base: str, layer: str, name: str) -> None:
     now = F.unix_micros(F.current_timestamp()).cast("double") / 1e6
     out = rows.groupBy(F.col("p_date").cast("string").alias("date")).agg(F.count("*").alias("row_count"))
     out = out.select(F.lit(name).alias("dataset"), "date", now.alias("written_at_epoch"), "row_count", F.lit(name).alias("p_dataset"))
-    out.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("p_dataset").parquet(f"{base}/{layer}/_freshness")
+    out.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode",
+        "dynamic").partitionBy("p_dataset").parquet(f"{base}/{layer}/_freshness")
 
 
 def read(spark: SparkSession, base: str, layer: str, name: str, **keys: str) -> DataFrame:
@@ -94,7 +99,8 @@ def read(spark: SparkSession, base: str, layer: str, name: str, **keys: str) ->
 
     ``keys`` name path keys (``date="2024-01-01"``): only the folders of those are listed and read."""
     declared = schema(layer, name)
-    files = spark.read.schema(T.StructType([*declared, *[T.StructField(f"p_{k}", T.StringType()) for k in keys]])).parquet(f"{base}/{layer}/{name}")
+    files = spark.read.schema(T.StructType([*declared,
+        *[T.StructField(f"p_{k}", T.StringType()) for k in keys]])).parquet(f"{base}/{layer}/{name}")
     for k, v in keys.items():
         files = files.where(F.col(f"p_{k}") == v)
     return files.select(*declared.names)
@@ -146,7 +152,8 @@ def newest_files(spark: SparkSession, base: str, layer: str, names: list[str]) -
     for name in names:
         date = latest_date(spark, base, layer, name)
         if date is not None:
-            files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(f"{base}/{layer}/{name}")
+            files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter",
+                "*.parquet").load(f"{base}/{layer}/{name}")
             files = files.where(F.col("path").contains(f"p_date={date}"))
             parts.append(files.agg(F.max(F.unix_micros("modificationTime").cast("double") / 1e6).alias("at")).select(F.lit(layer).alias("layer"), F.lit(name).alias("dataset"), "at"))
     return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], "layer string, dataset string, at double")
@@ -177,7 +184,9 @@ def roots(settings: Mapping[str, str], layers: tuple[str, ...] = ("bronze", "sil
 
 def manifest(records: DataFrame) -> DataFrame:
     """Per topic, partition and date: the offsets and rows of its chunk, and its file name."""
-    out = records.groupBy("topic", "partition", F.date_format(F.timestamp_millis("timestamp_ms"), "yyyy-MM-dd").alias("date")).agg(F.min("offset").alias("start_offset"), F.max("offset").alias("end_offset"), F.count("*").alias("n_records"))
+    out = records.groupBy("topic", "partition", F.date_format(F.timestamp_millis("timestamp_ms"),
+        "yyyy-MM-dd").alias("date")).agg(F.min("offset").alias("start_offset"), F.max("offset").alias("end_offset"),
+        F.count("*").alias("n_records"))
     return out.withColumn("file", F.format_string("%03d-%012d.parquet", "partition", "start_offset"))
 
 
@@ -190,7 +199,8 @@ def contract(layer: str) -> str:
             lines.append(f"| `{name}` | as above | |")
             continue
         shown.add(SCHEMAS[layer, name])
-        lines += [f"| `{name}` | `{c}` | {k} |" for c, k in re.findall(r"(\w+) ((?:array<.*>|decimal\(\d+,\d+\)|\w+))(?:, |$)", SCHEMAS[layer, name])]
+        lines += [f"| `{name}` | `{c}` | {k} |" for c, k in re.findall(r"(\w+) ((?:array<.*>|decimal\(\d+,\d+\)|\w+))(?:, |$)",
+            SCHEMAS[layer, name])]
     return "\n".join(lines)
 
 

@@ -23,7 +23,8 @@ BOOKS = (f"channel string, type string, data array<struct<symbol:string,bids:{_L
 MAX_BUFFER = 500
 DEPTH = 100
 
-EVENT = ["symbol", "kind", "sequence", "exchange_ts_ns", "recv_ns", "bids", "asks", "engine_ts_ns", "trade_id", "price", "size", "side", "extra"]
+EVENT = ["symbol", "kind", "sequence", "exchange_ts_ns", "recv_ns", "bids", "asks", "engine_ts_ns", "trade_id", "price", "size", "side",
+    "extra"]
 
 
 def aggressor(venue: str, flag: Column) -> Column:
@@ -32,9 +33,11 @@ def aggressor(venue: str, flag: Column) -> Column:
     One venue names the maker's side, so that its BUY is a sale; the flag of two others says that the
     buyer is the maker; a forced order is named by its own side."""
     if venue == "coinbase":
-        return F.when(flag == "BUY", "ask").when(flag == "SELL", "bid").otherwise(F.raise_error(F.concat(F.lit("unexpected trade side "), flag)).cast("string"))
+        return F.when(flag == "BUY", "ask").when(flag == "SELL",
+            "bid").otherwise(F.raise_error(F.concat(F.lit("unexpected trade side "), flag)).cast("string"))
     if venue == "kraken":
-        return F.when(flag == "buy", "bid").when(flag == "sell", "ask").otherwise(F.raise_error(F.concat(F.lit("unexpected trade side "), flag)).cast("string"))
+        return F.when(flag == "buy", "bid").when(flag == "sell",
+            "ask").otherwise(F.raise_error(F.concat(F.lit("unexpected trade side "), flag)).cast("string"))
     if venue == "forced":
         return F.when(flag == "SELL", "ask").otherwise("bid")
     return F.when(flag, "ask").otherwise("bid")
@@ -50,8 +53,10 @@ def _named(levels: Column) -> Column:
 
 def _event(df: DataFrame, **cols: Column) -> DataFrame:
     """Event rows; fields that a kind has not are null."""
-    kinds = {"symbol": "string", "kind": "string", "sequence": "bigint", "exchange_ts_ns": "bigint", "recv_ns": "bigint", "bids": "array<struct<px:string,sz:string>>",
-             "asks": "array<struct<px:string,sz:string>>", "engine_ts_ns": "bigint", "trade_id": "string", "price": "string", "size": "string", "side": "string", "extra": "map<string,string>"}
+    kinds = {"symbol": "string", "kind": "string", "sequence": "bigint", "exchange_ts_ns": "bigint", "recv_ns": "bigint",
+        "bids": "array<struct<px:string,sz:string>>",
+             "asks": "array<struct<px:string,sz:string>>", "engine_ts_ns": "bigint", "trade_id": "string", "price": "string",
+             "size": "string", "side": "string", "extra": "map<string,string>"}
     return df.select(*[c for c in df.columns if c == "frame_id"], *[cols.get(c, F.lit(None)).cast(kinds[c]).alias(c) for c in EVENT])
 
 
@@ -73,9 +78,11 @@ def _ms(name: str) -> Column:
 def spot_events(frames: DataFrame) -> DataFrame:
     """``frames(frame_id, raw, recv_ns)`` of the spot venue: depth updates and trades; other frames give no row."""
     m = _fields(frames, F.col("raw"), "e=e s=sym E=at U=first u=last b=bids a=asks t=tid p=px q=qty T=traded m=maker")
-    depth = _event(m.where("e = 'depthUpdate'"), symbol=F.col("sym"), kind=F.lit("delta"), sequence=F.col("last"), exchange_ts_ns=_ms("at"), recv_ns=F.col("recv_ns"),
+    depth = _event(m.where("e = 'depthUpdate'"), symbol=F.col("sym"), kind=F.lit("delta"), sequence=F.col("last"), exchange_ts_ns=_ms("at"),
+        recv_ns=F.col("recv_ns"),
                    bids=_book_side("bids"), asks=_book_side("asks"), extra=F.create_map(F.lit("first"), F.col("first")))
-    trade = _event(m.where("e = 'trade'"), symbol=F.col("sym"), kind=F.lit("trade"), exchange_ts_ns=_ms("traded"), recv_ns=F.col("recv_ns"), trade_id=F.col("tid"), price=F.col("px"),
+    trade = _event(m.where("e = 'trade'"), symbol=F.col("sym"), kind=F.lit("trade"), exchange_ts_ns=_ms("traded"), recv_ns=F.col("recv_ns"),
+        trade_id=F.col("tid"), price=F.col("px"),
                    size=F.col("qty"), side=aggressor("spot", F.col("maker").cast("boolean")))
     return depth.unionByName(trade)
 
@@ -83,17 +90,25 @@ def spot_events(frames: DataFrame) -> DataFrame:
 def futures_events(frames: DataFrame) -> DataFrame:
     """Combined-stream frames of the futures venue: depth, trades, forced orders and mark prices."""
     outer = _fields(frames, F.col("raw"), "stream=stream data=data").where("stream is not null")
-    m = _fields(outer, F.col("data"), "e=e s=sym E=at U=first u=last pu=before b=bids a=a p=px q=qty T=traded m=maker i=idx P=settle r=rate o=o")
+    m = _fields(outer, F.col("data"),
+        "e=e s=sym E=at U=first u=last pu=before b=bids a=a p=px q=qty T=traded m=maker i=idx P=settle r=rate o=o")
     recv = F.col("recv_ns")
-    depth = _event(m.where("e = 'depthUpdate'"), symbol=F.col("sym"), kind=F.lit("delta"), sequence=F.col("last"), exchange_ts_ns=_ms("at"), recv_ns=recv, bids=_book_side("bids"), asks=_book_side("a"),
+    depth = _event(m.where("e = 'depthUpdate'"), symbol=F.col("sym"), kind=F.lit("delta"), sequence=F.col("last"), exchange_ts_ns=_ms("at"),
+        recv_ns=recv, bids=_book_side("bids"), asks=_book_side("a"),
                    extra=F.create_map(F.lit("first"), F.col("first"), F.lit("previous"), F.col("before")))
-    trade = _event(m.where("e = 'aggTrade'"), symbol=F.col("sym"), kind=F.lit("trade"), exchange_ts_ns=_ms("traded"), recv_ns=recv, trade_id=F.col("a"), price=F.col("px"), size=F.col("qty"),
+    trade = _event(m.where("e = 'aggTrade'"), symbol=F.col("sym"), kind=F.lit("trade"), exchange_ts_ns=_ms("traded"), recv_ns=recv,
+        trade_id=F.col("a"), price=F.col("px"), size=F.col("qty"),
                    side=aggressor("futures", F.col("maker").cast("boolean")))
-    orders = _fields(m.where("e = 'forceOrder'").select("frame_id", "recv_ns", "o"), F.col("o"), "s=sym S=way p=px ap=avg q=qty z=filled X=status T=traded")
-    forced = _event(orders, symbol=F.col("sym"), kind=F.lit("liquidation"), exchange_ts_ns=_ms("traded"), recv_ns=recv, price=F.col("px"), size=F.col("qty"), side=aggressor("forced", F.col("way")),
-                    extra=F.create_map(F.lit("avg_price"), F.col("avg"), F.lit("filled_size"), F.col("filled"), F.lit("status"), F.col("status")))
-    mark = _event(m.where("e = 'markPriceUpdate'"), symbol=F.col("sym"), kind=F.lit("mark_price"), exchange_ts_ns=_ms("at"), recv_ns=recv, price=F.col("px"),
-                  extra=F.create_map(F.lit("index_price"), F.col("idx"), F.lit("est_settle_price"), F.col("settle"), F.lit("funding_rate"), F.col("rate"),
+    orders = _fields(m.where("e = 'forceOrder'").select("frame_id", "recv_ns", "o"), F.col("o"),
+        "s=sym S=way p=px ap=avg q=qty z=filled X=status T=traded")
+    forced = _event(orders, symbol=F.col("sym"), kind=F.lit("liquidation"), exchange_ts_ns=_ms("traded"), recv_ns=recv, price=F.col("px"),
+        size=F.col("qty"), side=aggressor("forced", F.col("way")),
+                    extra=F.create_map(F.lit("avg_price"), F.col("avg"), F.lit("filled_size"), F.col("filled"), F.lit("status"),
+                    F.col("status")))
+    mark = _event(m.where("e = 'markPriceUpdate'"), symbol=F.col("sym"), kind=F.lit("mark_price"), exchange_ts_ns=_ms("at"), recv_ns=recv,
+        price=F.col("px"),
+                  extra=F.create_map(F.lit("index_price"), F.col("idx"), F.lit("est_settle_price"), F.col("settle"), F.lit("funding_rate"),
+                  F.col("rate"),
                                      F.lit("next_funding_ts_ns"), _ms("traded").cast("string")))
     return depth.unionByName(trade).unionByName(forced).unionByName(mark)
 
@@ -101,13 +116,15 @@ def futures_events(frames: DataFrame) -> DataFrame:
 def open_interest(polls: DataFrame) -> DataFrame:
     """``polls(frame_id, raw, recv_ns)``: answers of the open-interest endpoint."""
     m = polls.withColumn("m", F.from_json("raw", "symbol string, openInterest string, time long"))
-    return _event(m, symbol=F.col("m.symbol"), kind=F.lit("open_interest"), exchange_ts_ns=F.col("m.time") * 1_000_000, recv_ns=F.col("recv_ns"), size=F.col("m.openInterest"))
+    return _event(m, symbol=F.col("m.symbol"), kind=F.lit("open_interest"), exchange_ts_ns=F.col("m.time") * 1_000_000,
+        recv_ns=F.col("recv_ns"), size=F.col("m.openInterest"))
 
 
 def engine_time(updates: Column) -> Column:
     """The latest engine time among a book event's updates, 0 if none has one: parsed first, as trimmed
     fractions do not sort as text."""
-    times = F.transform(F.array_distinct(F.transform(updates, lambda u: u["event_time"])), lambda t: F.when(F.length(t) > 0, rfc3339_ns(t)).otherwise(F.lit(0)))
+    times = F.transform(F.array_distinct(F.transform(updates, lambda u: u["event_time"])),
+        lambda t: F.when(F.length(t) > 0, rfc3339_ns(t)).otherwise(F.lit(0)))
     return F.coalesce(F.array_max(times), F.lit(0))
 
 
@@ -118,13 +135,19 @@ def channel_events(frames: DataFrame) -> DataFrame:
 
     def side(*names: str) -> Column:
         odd = F.filter("ev.updates", lambda u: ~u["side"].isin("bid", "offer", "ask"))
-        own = F.transform(F.filter("ev.updates", lambda u: u["side"].isin(*names)), lambda u: F.struct(u["price_level"].alias("px"), u["new_quantity"].alias("sz")))
-        return F.when(F.size(odd) > 0, F.raise_error(F.concat(F.lit("unexpected level side "), odd[0]["side"])).cast("array<struct<px:string,sz:string>>")).otherwise(own)
-
-    book = _event(one.where("m.channel = 'l2_data'"), symbol=F.col("ev.product_id"), kind=F.when(F.col("ev.type") == "snapshot", "snapshot").otherwise("delta"), sequence=F.col("m.sequence_num"),
-                  exchange_ts_ns=rfc3339_ns(F.col("m.timestamp")), recv_ns=F.col("recv_ns"), bids=side("bid"), asks=side("offer", "ask"), engine_ts_ns=engine_time(F.col("ev.updates")))
+        own = F.transform(F.filter("ev.updates", lambda u: u["side"].isin(*names)),
+            lambda u: F.struct(u["price_level"].alias("px"), u["new_quantity"].alias("sz")))
+        return F.when(F.size(odd) > 0,
+            F.raise_error(F.concat(F.lit("unexpected level side "),
+            odd[0]["side"])).cast("array<struct<px:string,sz:string>>")).otherwise(own)
+
+    book = _event(one.where("m.channel = 'l2_data'"), symbol=F.col("ev.product_id"),
+        kind=F.when(F.col("ev.type") == "snapshot", "snapshot").otherwise("delta"), sequence=F.col("m.sequence_num"),
+                  exchange_ts_ns=rfc3339_ns(F.col("m.timestamp")), recv_ns=F.col("recv_ns"), bids=side("bid"), asks=side("offer", "ask"),
+                  engine_ts_ns=engine_time(F.col("ev.updates")))
     t = one.where("m.channel = 'market_trades'").select("frame_id", "recv_ns", "m", F.explode("ev.trades").alias("t"))
-    trade = _event(t, symbol=F.col("t.product_id"), kind=F.lit("trade"), sequence=F.col("m.sequence_num"), exchange_ts_ns=rfc3339_ns(F.col("t.time")), recv_ns=F.col("recv_ns"),
+    trade = _event(t, symbol=F.col("t.product_id"), kind=F.lit("trade"), sequence=F.col("m.sequence_num"),
+        exchange_ts_ns=rfc3339_ns(F.col("t.time")), recv_ns=F.col("recv_ns"),
                    trade_id=F.col("t.trade_id"), price=F.col("t.price"), size=F.col("t.size"), side=aggressor("coinbase", F.col("t.side")))
     return book.unionByName(trade)
 
@@ -133,9 +156,12 @@ def book_events(frames: DataFrame) -> DataFrame:
     """Frames of the venue whose books carry a checksum: books and trades, numbers kept as they are written."""
     m = frames.withColumn("m", F.from_json("raw", BOOKS))
     d = m.select("frame_id", "recv_ns", "m", F.explode("m.data").alias("d"))
-    book = _event(d.where("m.channel = 'book'"), symbol=F.col("d.symbol"), kind=F.when(F.col("m.type") == "snapshot", "snapshot").otherwise("delta"), exchange_ts_ns=rfc3339_ns(F.col("d.timestamp")),
-                  recv_ns=F.col("recv_ns"), bids=_named(F.col("d.bids")), asks=_named(F.col("d.asks")), extra=F.create_map(F.lit("checksum"), F.col("d.checksum").cast("string")))
-    trade = _event(d.where("m.channel = 'trade'"), symbol=F.col("d.symbol"), kind=F.lit("trade"), exchange_ts_ns=rfc3339_ns(F.col("d.timestamp")), recv_ns=F.col("recv_ns"),
+    book = _event(d.where("m.channel = 'book'"), symbol=F.col("d.symbol"),
+        kind=F.when(F.col("m.type") == "snapshot", "snapshot").otherwise("delta"), exchange_ts_ns=rfc3339_ns(F.col("d.timestamp")),
+                  recv_ns=F.col("recv_ns"), bids=_named(F.col("d.bids")), asks=_named(F.col("d.asks")),
+                  extra=F.create_map(F.lit("checksum"), F.col("d.checksum").cast("string")))
+    trade = _event(d.where("m.channel = 'trade'"), symbol=F.col("d.symbol"), kind=F.lit("trade"),
+        exchange_ts_ns=rfc3339_ns(F.col("d.timestamp")), recv_ns=F.col("recv_ns"),
                    trade_id=F.col("d.trade_id"), price=F.col("d.price"), size=F.col("d.qty"), side=aggressor("kraken", F.col("d.side")))
     return book.unionByName(trade)
 
@@ -160,7 +186,8 @@ def epochs(connections: DataFrame, by: list[str], order: str, now_ns: str) -> Da
     w = Window.partitionBy(*by).orderBy(order)
     n = F.row_number().over(w).cast("long")
     lead = connections.withColumn("_n", n)
-    return lead.withColumn("epoch", F.max(F.col(now_ns) - F.col("_n")).over(w.rowsBetween(Window.unboundedPreceding, 0)) + F.col("_n")).drop("_n")
+    return lead.withColumn("epoch", F.max(F.col(now_ns) - F.col("_n")).over(w.rowsBetween(Window.unboundedPreceding, 0))
+        + F.col("_n")).drop("_n")
 
 
 def straddles(first: int, last: int, previous: int | None, at: int, fresh: bool, futures: bool) -> str:
@@ -235,7 +262,8 @@ def recv_clock(frames: DataFrame, by: list[str], order: str, recv: str) -> DataF
     w = Window.partitionBy(*by).orderBy(order)
     step = F.lag(recv).over(w) - F.col(recv)
     back = frames.withColumn("_s", step)
-    return back.groupBy(*by).agg(F.count_if(F.col("_s") > 0).alias("backward_steps"), (F.coalesce(F.max(F.when(F.col("_s") > 0, F.col("_s"))), F.lit(0)) / 1e6).alias("worst_step_ms"))
+    return back.groupBy(*by).agg(F.count_if(F.col("_s") > 0).alias("backward_steps"),
+        (F.coalesce(F.max(F.when(F.col("_s") > 0, F.col("_s"))), F.lit(0)) / 1e6).alias("worst_step_ms"))
 
 
 def silences(frames: DataFrame, by: list[str], recv: str, most_ns: int) -> DataFrame:
@@ -259,7 +287,8 @@ def checksum(asks: list[tuple[str, str]], bids: list[tuple[str, str]]) -> int:
     """CRC32 over ten asks, then ten bids, best first: price and size without dot and leading zeros."""
     import zlib
 
-    return zlib.crc32("".join(plain(x).replace(".", "").lstrip("0") for side in (asks[:10], bids[:10]) for level in side for x in level).encode())
+    return zlib.crc32("".join(plain(x).replace(".", "").lstrip("0") for side in (asks[:10], bids[:10]) for level in side
+        for x in level).encode())
 
 
 def numbered_books(events: DataFrame, depth: int = DEPTH) -> DataFrame:
@@ -291,7 +320,8 @@ def numbered_books(events: DataFrame, depth: int = DEPTH) -> DataFrame:
                     gone = ([], [])
                 if not ok:
                     book = None
-            rows.append((e.connection, e.symbol, e.position, seq, got, ok, [plain(str(p)) for p in gone[0]], [plain(str(p)) for p in gone[1]]))
+            rows.append((e.connection, e.symbol, e.position, seq, got, ok, [plain(str(p)) for p in gone[0]],
+                [plain(str(p)) for p in gone[1]]))
         out = pd.DataFrame(rows, columns=[c.split()[0] for c in CHECKED.split(", ")])
         return out.astype({"sequence": "Int64", "checksum": "Int64"})
 
@@ -303,7 +333,9 @@ def resnapshots(levels: DataFrame, by: list[str], at_ns: int) -> DataFrame:
     """Whole books as snapshots of our own: ``levels(*by, sequence, epoch, side, px, sz)`` to one row per book, both
     sides best first, without an exchange time."""
     number = F.col("px").cast("decimal(38,18)")
-    side = lambda name, key: F.transform(F.array_sort(F.collect_list(F.when(F.col("side") == name, F.struct(key.alias("k"), F.col("px").alias("px"), F.col("sz").alias("sz"))))),
+    side = lambda name, key: F.transform(F.array_sort(F.collect_list(F.when(F.col("side") == name,
+        F.struct(key.alias("k"), F.col("px").alias("px"), F.col("sz").alias("sz"))))),
                                          lambda x: F.struct(x["px"].alias("px"), x["sz"].alias("sz")))
     return levels.groupBy(*by, "sequence", "epoch").agg(side("bid", -number).alias("bids"), side("ask", number).alias("asks")).select(
-        *by, "sequence", "epoch", "bids", "asks", F.lit(0).cast("long").alias("exchange_ts_ns"), F.lit(at_ns).cast("long").alias("local_ts_ns"))
+        *by, "sequence", "epoch", "bids", "asks", F.lit(0).cast("long").alias("exchange_ts_ns"),
+        F.lit(at_ns).cast("long").alias("local_ts_ns"))

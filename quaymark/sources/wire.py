@@ -26,12 +26,14 @@ def read_corpus(spark: SparkSession, path: str) -> DataFrame:
     """Log records from gzipped JSON lines with base64 bytes."""
     raw = spark.read.schema("topic string, partition int, offset long, timestamp_ms long, key string, value string, headers array<struct<key:string,value:string>>").json(path)
     heads = F.transform(F.coalesce("headers", F.array()), lambda h: F.struct(h["key"].alias("key"), F.unbase64(h["value"]).alias("value")))
-    return raw.select("topic", "partition", "offset", "timestamp_ms", F.unbase64("key").alias("key"), F.unbase64("value").alias("value"), heads.alias("headers"))
+    return raw.select("topic", "partition", "offset", "timestamp_ms", F.unbase64("key").alias("key"), F.unbase64("value").alias("value"),
+        heads.alias("headers"))
 
 
 def write_corpus(records: DataFrame, path: str) -> None:
     heads = F.transform(F.coalesce("headers", F.array()), lambda h: F.struct(h["key"].alias("key"), F.base64(h["value"]).alias("value")))
-    records.select("topic", "partition", "offset", "timestamp_ms", F.base64("key").alias("key"), F.base64("value").alias("value"), heads.alias("headers")).write.option("compression", "gzip").json(path)
+    records.select("topic", "partition", "offset", "timestamp_ms", F.base64("key").alias("key"), F.base64("value").alias("value"),
+        heads.alias("headers")).write.option("compression", "gzip").json(path)
 
 
 def decode(records: DataFrame, tag: str) -> DataFrame:
@@ -55,7 +57,8 @@ def topic_parts(topic: Column, datasets: list[str]) -> Column:
     The exchange ends at the first dot; the symbol may hold more."""
     m = lambda i: F.regexp_extract(topic, "^([^.]+)\\.([^.]+)(?:\\.(.*))?$", i)
     known = m(1).isin(datasets)
-    return F.struct(F.when(known, m(1)).otherwise(F.raise_error(F.concat(F.lit("unknown topic "), topic)).cast("string")).alias("dataset"), m(2).alias("exchange"), F.nullif(m(3), F.lit("")).alias("symbol"))
+    return F.struct(F.when(known, m(1)).otherwise(F.raise_error(F.concat(F.lit("unknown topic "), topic)).cast("string")).alias("dataset"),
+        m(2).alias("exchange"), F.nullif(m(3), F.lit("")).alias("symbol"))
 
 
 def record_date(ms: Column) -> Column:
@@ -76,8 +79,10 @@ def levels(col: Column) -> Column:
 
 def book_records(records: DataFrame) -> DataFrame:
     """Snapshots and deltas of a log as input of the book fold."""
-    parts = [decode(records, t).select(F.col("m.exchange").alias("exchange"), F.col("m.symbol").alias("symbol"), record_date(F.col("timestamp_ms")).alias("date"), F.lit(t).alias("kind"), "offset",
-             F.col("m.sequence").alias("sequence"), F.coalesce("m.epoch", F.lit(0)).cast("long").alias("epoch"), F.coalesce(header("local_recv_ts_ns"), F.col("m.local_ts_ns")).alias("ts_ns"),
+    parts = [decode(records, t).select(F.col("m.exchange").alias("exchange"), F.col("m.symbol").alias("symbol"),
+        record_date(F.col("timestamp_ms")).alias("date"), F.lit(t).alias("kind"), "offset",
+             F.col("m.sequence").alias("sequence"), F.coalesce("m.epoch", F.lit(0)).cast("long").alias("epoch"),
+             F.coalesce(header("local_recv_ts_ns"), F.col("m.local_ts_ns")).alias("ts_ns"),
              levels(F.col("m.bids")).alias("bids"), levels(F.col("m.asks")).alias("asks")) for t in ("snap", "delta")]
     return reduce(DataFrame.unionByName, parts)
 
@@ -88,10 +93,13 @@ def resolve(rows: DataFrame, instruments: DataFrame) -> DataFrame:
     The instrument table has one row per declared venue symbol and is broadcast."""
     ref = instruments.select(F.col("exchange").alias("_ex"), normalized(F.col("symbol")).alias("_sym"), F.col("canonical").alias("_canon"))
     out = rows.withColumn("_n", normalized(F.col("symbol")))
-    return out.join(F.broadcast(ref), (F.col("exchange") == F.col("_ex")) & (F.col("_n") == F.col("_sym")), "left").withColumn("canonical", F.coalesce("_canon", "_n")).drop("_ex", "_sym", "_canon", "_n")
+    return out.join(F.broadcast(ref), (F.col("exchange") == F.col("_ex")) & (F.col("_n") == F.col("_sym")), "left").withColumn("canonical",
+        F.coalesce("_canon", "_n")).drop("_ex", "_sym", "_canon", "_n")
 
 
 def pairs_by_base(instruments: DataFrame) -> DataFrame:
     """Bases with a USD and a USDT spot instrument: ``(base, usd, usdt)``."""
     spot = instruments.where(~F.col("canonical").endswith("-PERP")).select("base", "quote", "canonical").distinct()
-    return spot.groupBy("base").pivot("quote", ["USD", "USDT"]).agg(F.min("canonical")).where("USD is not null and USDT is not null").select("base", F.col("USD").alias("usd"), F.col("USDT").alias("usdt"))
+    return spot.groupBy("base").pivot("quote", ["USD",
+        "USDT"]).agg(F.min("canonical")).where("USD is not null and USDT is not null").select("base", F.col("USD").alias("usd"),
+        F.col("USDT").alias("usdt"))

@@ -54,7 +54,8 @@ def subscribe(spark: SparkSession, path: str, pattern: str, kafka: dict[str, str
 def bronze_sink(records: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Log records to Parquet by topic and date: exactly once, by the checkpoint."""
     out = records.withColumn("date", F.date_format(F.timestamp_millis("timestamp_ms"), "yyyy-MM-dd"))
-    return out.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).partitionBy("topic", "date").trigger(availableNow=True).start()
+    return out.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).partitionBy("topic",
+        "date").trigger(availableNow=True).start()
 
 
 def top_changes(quotes: DataFrame) -> DataFrame:
@@ -72,7 +73,8 @@ def top_changes(quotes: DataFrame) -> DataFrame:
             state.update(last)
         yield pd.DataFrame(rows, columns=[c.split()[0] for c in TOP.split(", ")])
 
-    return quotes.groupBy("venue", "symbol").applyInPandasWithState(run, TOP, "bid_u long, ask_u long", "append", GroupStateTimeout.NoTimeout)
+    return quotes.groupBy("venue", "symbol").applyInPandasWithState(run, TOP, "bid_u long, ask_u long", "append",
+        GroupStateTimeout.NoTimeout)
 
 
 class Side:
@@ -196,7 +198,8 @@ def live_books(records: DataFrame, held: int = HELD) -> DataFrame:
             rows.append((r.exchange, r.symbol, r.position, outcome, book.crossed(), top is not None, *(top or (None,) * 4), ts))
         return pd.DataFrame(rows, columns=names)
 
-    return records.select("exchange", "symbol", "position", "kind", "epoch", "sequence", "bids", "asks", "ts_ns").groupBy("exchange", "symbol").applyInPandas(run, BBO)
+    return records.select("exchange", "symbol", "position", "kind", "epoch", "sequence", "bids", "asks", "ts_ns").groupBy("exchange",
+        "symbol").applyInPandas(run, BBO)
 
 
 def decimal(text: Column) -> Column:
@@ -217,7 +220,8 @@ def leg_age_ms(now_ns: Column, leg_ns: Column) -> Column:
     return F.greatest(F.lit(0.0), (now_ns - leg_ns) / 1e6)
 
 
-def material(crossed: Column, bid_age_ms: Column, ask_age_ms: Column, spread: Column, mid: Column, most_ms: float = 1000, least_bps: float = 10) -> Column:
+def material(crossed: Column, bid_age_ms: Column, ask_age_ms: Column, spread: Column, mid: Column, most_ms: float = 1000,
+    least_bps: float = 10) -> Column:
     """A cross worth an alert: both legs fresh and at least ``least_bps`` deep."""
     return fresh_cross(crossed, bid_age_ms, ask_age_ms, most_ms) & (cross_bps(spread, mid) >= least_bps)
 
@@ -237,19 +241,24 @@ def best_legs(events: DataFrame, venues: list[str]) -> DataFrame:
     top = F.struct("bid_px", "bid_sz", "ask_px", "ask_sz", F.col("ts_ns").alias("at"))
     names = F.array(*[F.lit(v) for v in venues])
     legs = F.array(*[F.last(F.when(quote & (F.col("exchange") == v), top), ignorenulls=True).over(w) for v in venues])
-    downs = F.array(*[F.coalesce(F.last(F.when(F.col("exchange") == v, F.col("down")), ignorenulls=True).over(w), F.lit(False)) for v in venues])
-    was = F.array(*[F.coalesce(F.last(F.when(F.col("exchange") == v, F.col("down")), ignorenulls=True).over(before), F.lit(False)) for v in venues])
+    downs = F.array(*[F.coalesce(F.last(F.when(F.col("exchange") == v, F.col("down")), ignorenulls=True).over(w), F.lit(False))
+        for v in venues])
+    was = F.array(*[F.coalesce(F.last(F.when(F.col("exchange") == v, F.col("down")), ignorenulls=True).over(before), F.lit(False))
+        for v in venues])
     out = events.withColumn("clock", F.max("ts_ns").over(w)).withColumn("_legs", legs).withColumn("_downs", downs).withColumn("_was", was)
     at = F.array_position(names, F.col("exchange")).cast("int") - 1
     zipped = F.transform(names, lambda v, i: F.struct(v.alias("v"), F.get("_legs", i).alias("leg"), F.get("_downs", i).alias("down")))
     live = F.filter(zipped, lambda x: x["leg"].isNotNull() & ~x["down"])
     out = out.withColumn("_live", live)
     # sorted so that the first is the winner: the sign of what is to be large is turned
-    bids = F.array_sort(F.transform("_live", lambda x: F.struct((-decimal(x["leg"]["bid_px"])).alias("p"), (-decimal(x["leg"]["bid_sz"])).alias("s"), x["v"].alias("v"), x["leg"].alias("leg"))))
-    asks = F.array_sort(F.transform("_live", lambda x: F.struct(decimal(x["leg"]["ask_px"]).alias("p"), (-decimal(x["leg"]["ask_sz"])).alias("s"), x["v"].alias("v"), x["leg"].alias("leg"))))
+    bids = F.array_sort(F.transform("_live", lambda x: F.struct((-decimal(x["leg"]["bid_px"])).alias("p"),
+        (-decimal(x["leg"]["bid_sz"])).alias("s"), x["v"].alias("v"), x["leg"].alias("leg"))))
+    asks = F.array_sort(F.transform("_live", lambda x: F.struct(decimal(x["leg"]["ask_px"]).alias("p"),
+        (-decimal(x["leg"]["ask_sz"])).alias("s"), x["v"].alias("v"), x["leg"].alias("leg"))))
     some = F.size("_live") > 0
     out = out.withColumn("_bid", F.when(some, F.get(bids, F.lit(0)))).withColumn("_ask", F.when(some, F.get(asks, F.lit(0))))
-    best = F.struct(F.col("_bid.leg.bid_px").alias("bid_px"), F.col("_bid.leg.bid_sz").alias("bid_sz"), F.col("_ask.leg.ask_px").alias("ask_px"), F.col("_ask.leg.ask_sz").alias("ask_sz"))
+    best = F.struct(F.col("_bid.leg.bid_px").alias("bid_px"), F.col("_bid.leg.bid_sz").alias("bid_sz"),
+        F.col("_ask.leg.ask_px").alias("ask_px"), F.col("_ask.leg.ask_sz").alias("ask_sz"))
     turned = ~quote & (F.get("_was", at) != F.col("down")) & F.get("_legs", at).isNotNull()
     # what the row leaves as the last emitted: a top's best if there is one, a status change's in any case
     sets = F.when(turned | (quote & some), F.struct(F.when(some, best).alias("best")))
@@ -258,7 +267,8 @@ def best_legs(events: DataFrame, venues: list[str]) -> DataFrame:
     fresh = F.col("_old").isNull() | ~F.col("_old.best").eqNullSafe(F.col("_best"))
     emitted = out.where(F.col("_some") & (F.col("_turned") | (quote & fresh)))
     return emitted.select(
-        "canonical", "position", "ts_ns", F.col("_bid.v").alias("bid_venue"), F.col("_ask.v").alias("ask_venue"), "_best.*", F.size("_live").cast("long").alias("n_venues"),
+        "canonical", "position", "ts_ns", F.col("_bid.v").alias("bid_venue"), F.col("_ask.v").alias("ask_venue"), "_best.*",
+        F.size("_live").cast("long").alias("n_venues"),
         "clock", F.col("_bid.leg.at").alias("bid_at"), F.col("_ask.leg.at").alias("ask_at"))
 
 
@@ -323,7 +333,8 @@ class Consolidated:
         bid, ask, numbers, n = best
         b, a = float(numbers[0]), float(numbers[2])
         ages = [max(0.0, (self.clock - self.tops[v][4]) / 1e6) for v in (bid, ask)]
-        return ("", position, self.clock, cause, bid, ask, *numbers, Decimal(numbers[2]) < Decimal(numbers[0]), a - b, (a + b) / 2, n, *ages)
+        return ("", position, self.clock, cause, bid, ask, *numbers, Decimal(numbers[2]) < Decimal(numbers[0]), a - b, (a + b) / 2, n,
+            *ages)
 
 
 def _fed(machine: Consolidated, pdf: pd.DataFrame) -> list[tuple]:
@@ -360,7 +371,8 @@ def consolidated_stream(events: DataFrame, silence_ns: int) -> DataFrame:
 
 def route(messages: DataFrame, tag: str = "t") -> DataFrame:
     """``goes_to``: what the gateway does with a message: books feed the books, trades pass through, status feeds the venues."""
-    where = F.when(F.col(tag).isin("snap", "delta"), "book").when(F.col(tag) == "trade", "broadcast").when(F.col(tag) == "status", "status").otherwise("ignored")
+    where = F.when(F.col(tag).isin("snap", "delta"), "book").when(F.col(tag) == "trade", "broadcast").when(F.col(tag) == "status",
+        "status").otherwise("ignored")
     return messages.withColumn("goes_to", where)
 
 
@@ -378,17 +390,22 @@ def warm_start(partitions: DataFrame) -> DataFrame:
     and status are read from the lookback on; all others, and what has nothing that recent, from the live
     edge. Books below the live edge are drained up to it. Topics of no known kind have no row."""
     kind = F.when(F.col("topic").rlike("^md\\.status\\."), "status").when(F.col("topic").rlike("^md\\.trades\\."), "trades")
-    kind = kind.when(F.col("topic").rlike("^md\\.book\\..*\\.snapshots$"), "snapshots").when(F.col("topic").rlike("^md\\.book\\..*\\.deltas$"), "deltas")
+    kind = kind.when(F.col("topic").rlike("^md\\.book\\..*\\.snapshots$"),
+        "snapshots").when(F.col("topic").rlike("^md\\.book\\..*\\.deltas$"), "deltas")
     recent = F.coalesce((F.col("at_cutoff") >= 0) & (F.col("at_cutoff") < F.col("high")), F.lit(False)) & (F.col("kind") != "trades")
     seek = F.when(recent & (F.col("kind") == "snapshots"), F.col("high") - 1).when(recent, F.col("at_cutoff")).otherwise(F.col("high"))
     books = F.col("kind").isin("snapshots", "deltas") & (F.col("seek") < F.col("high"))
-    return partitions.withColumn("kind", kind).where("kind is not null").withColumn("seek", seek).withColumn("drain_to", F.when(books, F.col("high") - 1))
+    return partitions.withColumn("kind", kind).where("kind is not null").withColumn("seek", seek).withColumn("drain_to",
+        F.when(books, F.col("high") - 1))
 
 
 def drained(records: DataFrame, plan: DataFrame, order: str) -> DataFrame:
     """The records from the one on that drains the last partition of a warm start: ``plan(topic, partition, drain_to)``."""
     need = plan.where("drain_to is not null").select("topic", "partition", "drain_to")
-    reached = records.join(F.broadcast(need), ["topic", "partition"]).where(F.col("offset") >= F.col("drain_to")).groupBy("topic", "partition").agg(F.min(order).alias("at"))
-    opened = need.join(reached, ["topic", "partition"], "left").agg(F.max("at").alias("_open"), F.count("*").alias("_n"), F.count("at").alias("_done"))
+    reached = records.join(F.broadcast(need), ["topic", "partition"]).where(F.col("offset") >= F.col("drain_to")).groupBy("topic",
+        "partition").agg(F.min(order).alias("at"))
+    opened = need.join(reached, ["topic", "partition"], "left").agg(F.max("at").alias("_open"), F.count("*").alias("_n"),
+        F.count("at").alias("_done"))
     gate = F.broadcast(opened)  # one row
-    return records.join(gate, F.lit(True)).where((F.col("_n") == F.col("_done")) & (F.col("_open").isNull() | (F.col(order) >= F.col("_open")))).drop("_open", "_n", "_done")
+    return records.join(gate, F.lit(True)).where((F.col("_n") == F.col("_done"))
+        & (F.col("_open").isNull() | (F.col(order) >= F.col("_open")))).drop("_open", "_n", "_done")

@@ -100,15 +100,19 @@ def test_consolidated_against_brute_force_and_as_a_stream(spark, tmp_path):
     rows = sorted(events.collect(), key=lambda r: r.position)
     got = gateway.consolidated(events, 12 * 3_600_000_000_000).collect()
     for c in {r.canonical for r in rows}:
-        mine = [(r.position, r.cause, r.bid_venue, r.ask_venue, r.bid_px, r.bid_sz, r.ask_px, r.ask_sz) for r in sorted((x for x in got if x.canonical == c), key=lambda r: r.position)]
+        mine = [(r.position, r.cause, r.bid_venue, r.ask_venue, r.bid_px, r.bid_sz, r.ask_px, r.ask_sz)
+            for r in sorted((x for x in got if x.canonical == c), key=lambda r: r.position)]
         want = brute_best([r for r in rows if r.canonical == c], 12 * 3_600_000_000_000)
         assert sorted(mine) == sorted(want) and want
     assert {r.cause for r in got} >= {"top", "silent", "up"}
     cut = sorted(r.position for r in rows)[len(rows) // 2]
     for name, part in (("0", events.where(F.col("position") <= cut)), ("1", events.where(F.col("position") > cut))):
         part.coalesce(1).write.mode("append").parquet(str(tmp_path / "in" / name))
-    stream = spark.readStream.schema(events.schema).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", 1).option("latestFirst", "false").parquet(str(tmp_path / "in"))
-    q = gateway.consolidated_stream(stream, 12 * 3_600_000_000_000).writeStream.format("memory").queryName("best").outputMode("append").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+    stream = spark.readStream.schema(events.schema).option("recursiveFileLookup", "true").option("maxFilesPerTrigger",
+        1).option("latestFirst", "false").parquet(str(tmp_path / "in"))
+    q = gateway.consolidated_stream(stream,
+        12 * 3_600_000_000_000).writeStream.format("memory").queryName("best").outputMode("append").option("checkpointLocation",
+        str(tmp_path / "cp")).trigger(availableNow=True).start()
     q.awaitTermination(120)
     assert Counter(map(tuple, spark.table("best").collect())) == Counter(map(tuple, got))
 
@@ -121,7 +125,8 @@ def test_live_books_by_book(spark):
     books = {}
     for r in sorted(rows, key=lambda r: r.position):
         b = books.setdefault((r.exchange, r.symbol), gateway.LiveBook(50))
-        outcome, top, _ = b.on("snapshot" if r.kind == "snap" else "delta", r.epoch, r.sequence, [tuple(x) for x in r.bids], [tuple(x) for x in r.asks])
+        outcome, top, _ = b.on("snapshot" if r.kind == "snap" else "delta", r.epoch, r.sequence, [tuple(x) for x in r.bids],
+            [tuple(x) for x in r.asks])
         g = got[r.exchange, r.symbol, r.position]
         assert (g.outcome, g.changed, g.crossed) == (outcome, top is not None, b.crossed())
     assert {r.outcome for r in got.values()} >= {"held", "applied", "snapshot"}
@@ -174,7 +179,9 @@ def test_sync_against_the_rules_written_out(spark, futures):
 
 def test_sync_refuses_to_hold_too_much(spark):
     rows = [(1, "s", i, "delta", i, i, i - 1) for i in range(5)]
-    got = venues.sync(spark.createDataFrame(rows, "connection long, symbol string, position long, kind string, sequence long, first long, previous long"), most=3).orderBy("position").collect()
+    got = venues.sync(spark.createDataFrame(rows,
+        "connection long, symbol string, position long, kind string, sequence long, first long, previous long"),
+        most=3).orderBy("position").collect()
     assert [r.action for r in got] == ["buffer"] * 3 + ["resync", "void"]
 
 
@@ -184,7 +191,8 @@ def test_numbered_books_check_the_venues_sum(spark):
 
     snap = ([("10.5", "1.0"), ("10.4", "2.0"), ("10.3", "0.5")], [("10.6", "0.05"), ("10.7", "3")])
     after = ([("10.55", "1"), ("10.5", "1.0")], [("10.6", "0.05"), ("10.7", "3")])
-    rows = [(1, "s", 0, "delta", [], [], 0), (1, "s", 1, "snapshot", *snap, crc(snap[1], snap[0][:2])), (1, "s", 2, "delta", [("10.55", "1")], [], crc(after[1], after[0])),
+    rows = [(1, "s", 0, "delta", [], [], 0), (1, "s", 1, "snapshot", *snap, crc(snap[1], snap[0][:2])),
+        (1, "s", 2, "delta", [("10.55", "1")], [], crc(after[1], after[0])),
             (1, "s", 3, "delta", [("10.5", "9")], [], 5), (1, "s", 4, "delta", [], [], 5)]
     kinds = "connection long, symbol string, position long, kind string, bids array<struct<px:string,sz:string>>, asks array<struct<px:string,sz:string>>, checksum long"
     got = venues.numbered_books(spark.createDataFrame(rows, kinds), depth=2).orderBy("position").collect()
@@ -194,10 +202,12 @@ def test_numbered_books_check_the_venues_sum(spark):
 
 
 def test_frames_that_are_no_events(spark):
-    frames = spark.createDataFrame([(1, '{"result":null}', 5), (2, "not json", 5), (3, '{"channel":"heartbeats","sequence_num":1}', 5)], "frame_id long, raw string, recv_ns long")
+    frames = spark.createDataFrame([(1, '{"result":null}', 5), (2, "not json", 5), (3, '{"channel":"heartbeats","sequence_num":1}', 5)],
+        "frame_id long, raw string, recv_ns long")
     for parse in (venues.spot_events, venues.futures_events, venues.channel_events, venues.book_events):
         assert parse(frames).collect() == []
-    bad = {"channel": "market_trades", "sequence_num": 1, "timestamp": "2024-01-01T00:00:00Z", "events": [{"trades": [{"trade_id": "1", "side": "MAYBE", "time": "2024-01-01T00:00:00Z"}]}]}
+    bad = {"channel": "market_trades", "sequence_num": 1, "timestamp": "2024-01-01T00:00:00Z",
+        "events": [{"trades": [{"trade_id": "1", "side": "MAYBE", "time": "2024-01-01T00:00:00Z"}]}]}
     with pytest.raises(Exception, match="unexpected trade side"):
         venues.channel_events(spark.createDataFrame([(1, json.dumps(bad), 5)], frames.schema)).collect()
     poll = spark.createDataFrame([(1, '{"symbol":"S","openInterest":"12.5","time":7}', 9)], frames.schema)
@@ -206,7 +216,8 @@ def test_frames_that_are_no_events(spark):
 
 def test_chunks_by_the_rules_written_out(spark):
     records = log_plans.log_records(spark, SF)
-    got = {(r.topic, r.partition, r.chunk): (r.start_offset, r.end_offset, r.n_records, r.value_bytes, r.cause) for r in bronze.chunks(records, 200_000, 5 * 3_600_000).collect()}
+    got = {(r.topic, r.partition, r.chunk): (r.start_offset, r.end_offset, r.n_records, r.value_bytes, r.cause)
+        for r in bronze.chunks(records, 200_000, 5 * 3_600_000).collect()}
     want, groups = {}, {}
     for r in records.withColumn("date", F.date_format(F.timestamp_millis("timestamp_ms"), "yyyy-MM-dd")).collect():
         groups.setdefault((r.topic, r.partition), []).append(r)
@@ -229,14 +240,17 @@ def test_chunks_by_the_rules_written_out(spark):
         for i, (h, cause) in enumerate(cuts):
             want[*key, i] = (h[0].offset, h[-1].offset, len(h), sum(x["size"] for x in h), cause)
     assert got == want and {c[4] for c in want.values()} >= {"age", "end"}
-    small = spark.createDataFrame([("t", 0, i, 0, 60, 0) for i in range(5)], "topic string, partition int, offset long, timestamp_ms long, size long, poll_ms long")
+    small = spark.createDataFrame([("t", 0, i, 0, 60, 0) for i in range(5)],
+        "topic string, partition int, offset long, timestamp_ms long, size long, poll_ms long")
     assert [(r.n_records, r.cause) for r in bronze.chunks(small, 100).orderBy("chunk").collect()] == [(2, "size"), (2, "size"), (1, "end")]
 
 
 def test_topics_as_a_stream(spark, tmp_path):
     rows = [("md.trades.a.S", 0, i, 10 * i, None, b"x", []) for i in range(3)] + [("md.status.a", 0, 9, 5, None, b"y", [])]
-    spark.createDataFrame(rows, "topic string, partition int, offset long, timestamp_ms long, key binary, value binary, headers array<struct<key:string,value:binary>>").write.parquet(str(tmp_path / "log"))
-    q = gateway.subscribe(spark, str(tmp_path / "log"), r"^md\.trades\.").writeStream.format("memory").queryName("sub").trigger(availableNow=True).start()
+    spark.createDataFrame(rows,
+        "topic string, partition int, offset long, timestamp_ms long, key binary, value binary, headers array<struct<key:string,value:binary>>").write.parquet(str(tmp_path / "log"))
+    q = gateway.subscribe(spark, str(tmp_path / "log"),
+        r"^md\.trades\.").writeStream.format("memory").queryName("sub").trigger(availableNow=True).start()
     q.awaitTermination(60)
     assert sorted(r.offset for r in spark.table("sub").collect()) == [0, 1, 2]
     n = bronze.dropped(spark.read.parquet(str(tmp_path / "log")), str(tmp_path / "replay"), 2)

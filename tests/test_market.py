@@ -55,10 +55,12 @@ def test_reorder(spark):
     ok = spark.createDataFrame([(1, 0), (1, 1), (3, 2), (10, 3), (8, 4)], "ts long, n long").withColumn("k", F.lit(1))
     assert [r.ts for r in asof.reorder(ok, ["k"], "ts", "n", 5).orderBy("position").collect()] == [1, 1, 3, 8, 10]
     near = spark.createDataFrame([(0, 0), (100, 1), (10, 2)], "ts long, n long").withColumn("k", F.lit(1))
-    assert [r.ts for r in asof.reorder(near, ["k"], "ts", "n", 50).orderBy("position").collect()] == [0, 10, 100]  # nothing above 10 was let go
+    assert [r.ts for r in asof.reorder(near, ["k"], "ts", "n", 50).orderBy("position").collect()] == [0, 10,
+        100]  # nothing above 10 was let go
     rng = np.random.default_rng(1)
     events = [(int(t), i) for i, t in enumerate(np.arange(400) * 3 + rng.integers(-60, 60, 400))]
-    got = {r.n: r.late for r in asof.lateness(spark.createDataFrame(events, "ts long, n long").withColumn("k", F.lit(1)), ["k"], "ts", "n", 70).collect()}
+    got = {r.n: r.late for r in asof.lateness(spark.createDataFrame(events, "ts long, n long").withColumn("k", F.lit(1)), ["k"], "ts", "n",
+        70).collect()}
     peak, last, held = -10**9, -10**9, []
     for t, i in events:  # the buffer itself
         assert got[i] == (t < last)
@@ -75,15 +77,18 @@ def test_reorder(spark):
 
 def rec(kind, seq, bids=(), asks=(), epoch=0, offset=None):
     d = lambda ls: [(Decimal(p), Decimal(s)) for p, s in ls]
-    return N(exchange="x", symbol="s", kind=kind, sequence=seq, epoch=epoch, offset=seq if offset is None else offset, bids=d(bids), asks=d(asks))
+    return N(exchange="x", symbol="s", kind=kind, sequence=seq, epoch=epoch, offset=seq if offset is None else offset, bids=d(bids),
+        asks=d(asks))
 
 
 def test_fold():
-    events = list(book.fold([rec("snap", 5, [("10", "1")], [("11", "1")]), rec("delta", 6, [("10.5", "2")]), rec("delta", 8, [("10", "0")]), rec("delta", 9, [("12", "1")]), rec("delta", 10, [("9", "1")])], True))
+    events = list(book.fold([rec("snap", 5, [("10", "1")], [("11", "1")]), rec("delta", 6, [("10.5", "2")]), rec("delta", 8, [("10", "0")]),
+        rec("delta", 9, [("12", "1")]), rec("delta", 10, [("9", "1")])], True))
     assert [e[1] for e in events] == [0, 0, 1, 0, 0]
     assert [e[2] for e in events] == [None, None, None, "crossed_after_delta", None]
     assert events[3][3][0][0] == Decimal(12) and events[4][3] == [(Decimal(9), Decimal(1))] and events[4][4] == []
-    again = list(book.fold([rec("snap", 5, [("10", "1")], [("11", "1")]), rec("delta", 5, [("10.9", "1")]), rec("delta", 4), rec("snap", 7, [("3", "1")], [("2", "1")])], False))
+    again = list(book.fold([rec("snap", 5, [("10", "1")], [("11", "1")]), rec("delta", 5, [("10.9", "1")]), rec("delta", 4),
+        rec("snap", 7, [("3", "1")], [("2", "1")])], False))
     assert [e[2] for e in again] == [None, None, "non_monotonic_seq", "snapshot_crossed"] and again[1][3][0][0] == Decimal(10)
 
 
@@ -138,7 +143,8 @@ def test_fold_of_stretches_is_the_fold_of_a_day(spark):
             for _ in range(150):
                 seq += int(rng.integers(0, 3)) if exchange == "kraken" else 1
                 kind = "snap" if rng.random() < 0.1 else "delta"
-                lv = lambda lo: [(str(lo + int(rng.integers(0, 12))), str(int(rng.integers(0, 3)))) for _ in range(3 if kind == "snap" else 1)]  # noqa: E731, B023
+                lv = lambda lo: [(str(lo + int(rng.integers(0, 12))), str(int(rng.integers(0, 3))))
+                    for _ in range(3 if kind == "snap" else 1)]  # noqa: E731, B023
                 rows.append((exchange, "s", "d", kind, offset, seq, epoch, offset, lv(90), lv(99), offset * 2))
                 offset += 1
     kinds = "exchange string, symbol string, date string, kind string, offset long, sequence long, epoch long, ts_ns long, bids array<struct<px:string,sz:string>>, asks array<struct<px:string,sz:string>>, more long"
@@ -192,7 +198,8 @@ def test_information_share_of_a_leader(spark):
     follow = np.zeros(4000)
     for i in range(1, 4000):  # closes half of the gap to the leader each step
         follow[i] = follow[i - 1] + 0.5 * (lead[i - 1] - follow[i - 1]) + 1e-5 * rng.standard_normal()
-    df = spark.createDataFrame([("d", i, float(a), float(b)) for i, (a, b) in enumerate(zip(lead, follow))], "date string, ts_ns long, a double, b double")
+    df = spark.createDataFrame([("d", i, float(a), float(b)) for i, (a, b) in enumerate(zip(lead, follow))],
+        "date string, ts_ns long, a double, b double")
     r = research.info_shares(df, lags=3).first()
     assert r.lo > 0.9 and r.gg > 0.9
 
@@ -236,28 +243,35 @@ def test_information_shares_of_all_pairs_and_dates(spark):
 
 
 def test_wire_and_lake(spark, tmp_path):
-    assert [tuple(r[0]) for r in spark.createDataFrame([("trades.coinbase.BTC-USD.x",), ("status.kraken",)], "t string").select(wire.topic_parts(F.col("t"), ["trades", "status"])).collect()] == [("trades", "coinbase", "BTC-USD.x"), ("status", "kraken", None)]
+    assert [tuple(r[0]) for r in spark.createDataFrame([("trades.coinbase.BTC-USD.x",), ("status.kraken",)],
+        "t string").select(wire.topic_parts(F.col("t"), ["trades", "status"])).collect()] == [("trades", "coinbase", "BTC-USD.x"),
+        ("status", "kraken", None)]
     assert spark.range(1).select(wire.rfc3339_ns(F.lit("2023-11-14T22:13:20.123456789Z"))).first()[0] == 1_700_000_000_123_456_789
-    r = spark.createDataFrame([("trades.x.y", 0, 5, 1_700_000_000_000, None, b'{"t":"trade","exchange":"x","symbol":"y","price":"1E-8"}', [("local_recv_ts_ns", b"7")])], wire.RECORD)
+    r = spark.createDataFrame([("trades.x.y", 0, 5, 1_700_000_000_000, None, b'{"t":"trade","exchange":"x","symbol":"y","price":"1E-8"}',
+        [("local_recv_ts_ns", b"7")])], wire.RECORD)
     wire.write_corpus(r, str(tmp_path / "c"))
     back = wire.read_corpus(spark, str(tmp_path / "c"))
     assert [tuple(x) for x in back.collect()] == [tuple(x) for x in r.collect()]
-    m = wire.decode(back, "trade").select(F.col("m.price").cast("decimal(38,18)").alias("p"), wire.header("local_recv_ts_ns").alias("h")).first()
+    m = wire.decode(back, "trade").select(F.col("m.price").cast("decimal(38,18)").alias("p"),
+        wire.header("local_recv_ts_ns").alias("h")).first()
     assert m.p == Decimal("1E-8") and m.h == 7
     rows = spark.createDataFrame([("x", "2023-11-14", 1, "up", None, False, None)], lake.SCHEMAS["silver", "status_events"])
     lake.write(rows, str(tmp_path / "lake"), "silver", "status_events", ["exchange", "date"])
-    assert [tuple(x) for x in lake.read(spark, str(tmp_path / "lake"), "silver", "status_events").collect()] == [tuple(x) for x in rows.collect()]
+    assert [tuple(x) for x in lake.read(spark, str(tmp_path / "lake"), "silver", "status_events").collect()] == [tuple(x)
+        for x in rows.collect()]
     with pytest.raises(ValueError, match="missing"):
         lake.checked(rows.drop("state"), "silver", "status_events")
 
 
 def test_top_changes_stream_equals_batch(spark, tmp_path):
-    q = market.quotes(spark, SF).select("venue", "symbol", "ts_ns", "arrival", F.expr("k div 20").alias("bid_u"), F.expr("k div 20 + 1").alias("ask_u"))
+    q = market.quotes(spark, SF).select("venue", "symbol", "ts_ns", "arrival", F.expr("k div 20").alias("bid_u"),
+        F.expr("k div 20 + 1").alias("ask_u"))
     q.write.parquet(str(tmp_path / "in"))
     run = (gateway.top_changes(spark.readStream.schema(q.schema).parquet(str(tmp_path / "in"))).writeStream.format("memory").queryName("tops").outputMode("append")
            .option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start())
     run.awaitTermination()
-    want = gateway.changed(q, ["venue", "symbol"], ["ts_ns", "arrival"], ["bid_u", "ask_u"]).select("venue", "symbol", "ts_ns", "bid_u", "ask_u")
+    want = gateway.changed(q, ["venue", "symbol"], ["ts_ns", "arrival"], ["bid_u", "ask_u"]).select("venue", "symbol", "ts_ns", "bid_u",
+        "ask_u")
     assert sorted(map(tuple, spark.table("tops").collect())) == sorted(map(tuple, want.collect()))
 
 

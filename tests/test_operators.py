@@ -17,7 +17,8 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("small", [0, 100_000])
 def test_percentiles_are_numpy_s(spark, small):
     rng = np.random.default_rng(0)
-    groups = {"a": rng.standard_normal(500).tolist(), "b": [1.0] * 40, "c": [3.0], "d": [float(x) for x in rng.integers(0, 4, 300)], "e": [1e300, -1e300, 0.0, float("inf")], None: [2.0, 5.0]}
+    groups = {"a": rng.standard_normal(500).tolist(), "b": [1.0] * 40, "c": [3.0], "d": [float(x) for x in rng.integers(0, 4, 300)],
+        "e": [1e300, -1e300, 0.0, float("inf")], None: [2.0, 5.0]}
     rows = [(k, x) for k, xs in groups.items() for x in xs] + [("a", None), ("f", None)]
     df = spark.createDataFrame(rows, "k string, x double").repartition(3)
     shares = [0.0, 0.01, 0.5, 0.95, 1.0]
@@ -49,16 +50,19 @@ def test_matrix_has_the_columns_of_its_grammar(spark):
     inputs = g.features(m.columns, without="view")
     assert "click_ofi" in inputs and not any(c.startswith(("view", "nbbo", "y_")) for c in inputs) and "click_mid" not in inputs
     book_ages, tape_ages = g.ages()
-    assert book_ages == ["click_age_ms", "error_age_ms", "view_age_ms"] and set(tape_ages) == {"nbbo_age_ms", "view_mark_age_ms", "view_oi_age_ms"}
+    assert book_ages == ["click_age_ms", "error_age_ms", "view_age_ms"] and set(tape_ages) == {"nbbo_age_ms", "view_mark_age_ms",
+        "view_oi_age_ms"}
     assert grammar.Grammar(c for c in m.columns if c != "view_vwap").missing() == {"view/flow": ["view_vwap"]}
     rows = m.orderBy("ts_ns").collect()
-    assert len(rows) == len({(r.date, r.ts_ns) for r in rows}) and any(r.y_ret_bps_1 is not None for r in rows) and any(r.view_ofi_5 is not None for r in rows)
+    assert len(rows) == len({(r.date, r.ts_ns) for r in rows}) and any(r.y_ret_bps_1 is not None
+        for r in rows) and any(r.view_ofi_5 is not None for r in rows)
     kept = features.clean(m, g.target(1), g.tolerances(3_600_000, 4 * 3_600_000))
     assert 0 < kept.count() < len(rows)
 
 
 def test_grammar_reads_the_longest_tail():
-    assert grammar.classify("binance_futures_oi_age_ms") == grammar.Named("binance_futures_oi_age_ms", "open_interest", "diagnostic", "binance_futures")
+    assert grammar.classify("binance_futures_oi_age_ms") == grammar.Named("binance_futures_oi_age_ms", "open_interest", "diagnostic",
+        "binance_futures")
     assert grammar.classify("y_a_b_dz_5").venue == "a_b" and grammar.classify("y_dz_5").venue is None
     for bad in ("what", "y_coinbase_mid", "_mid"):
         with pytest.raises(ValueError):
@@ -76,7 +80,8 @@ def test_feature_rules(spark):
     assert features.legs(q, ["A"]) == [("x_y", "A", "x-y"), ("z", "A", "z")]
     none = features.depth_shape(["bid"], F.lit(1.0))
     assert spark.range(1).select(none["depth_imb_5"].alias("a"), none["depth_10"].alias("b")).first() == (None, None)
-    oi = spark.createDataFrame([(2.0, 1.0), (2.0, 0.0), (None, 1.0)], "a double, b double").select(features.oi_change_bps(F.col("a"), F.col("b")))
+    oi = spark.createDataFrame([(2.0, 1.0), (2.0, 0.0), (None, 1.0)],
+        "a double, b double").select(features.oi_change_bps(F.col("a"), F.col("b")))
     assert [r[0] for r in oi.collect()] == [10_000.0, None, None]
     aged = spark.createDataFrame([(1.0, 4.0), (1.0, None), (1.0, 6.0), (None, 1.0)], "y double, age double")
     assert features.clean(aged, "y", {"age": 5}).count() == 2
@@ -102,7 +107,9 @@ def test_fold_embargoes(spark):
 def test_intervals_are_the_draws_of_the_seed(spark):
     rng = np.random.default_rng(0)
     rows = [(f"d{i % 6}", float(y), float(p), 0.5) for i, (y, p) in enumerate(rng.standard_normal((300, 2)))]
-    got = {(r.family, r.metric): r for r in research.intervals(spark.createDataFrame(rows, "date string, y double, p double, threshold double"), share=0.4, draws=300).collect()}
+    got = {(r.family, r.metric): r
+        for r in research.intervals(spark.createDataFrame(rows, "date string, y double, p double, threshold double"), share=0.4,
+        draws=300).collect()}
     dates = sorted({r[0] for r in rows})
     picks = np.random.default_rng(0).integers(0, 6, (300, 6))
     per = {d: [r for r in rows if r[0] == d] for d in dates}
@@ -116,7 +123,8 @@ def test_intervals_are_the_draws_of_the_seed(spark):
     cut = np.quantile([abs(r[2]) for r in rows], 0.6)
     calls = [r for r in rows if r[2] > cut]
     assert got["coverage", "up_precision"].point == pytest.approx(sum(r[1] > 0.5 for r in calls) / len(calls))
-    one = research.intervals(spark.createDataFrame([r for r in rows if r[0] == "d0"], "date string, y double, p double, threshold double"), draws=10)
+    one = research.intervals(spark.createDataFrame([r for r in rows if r[0] == "d0"], "date string, y double, p double, threshold double"),
+        draws=10)
     assert all(r.lo is None for r in one.collect())
 
 
@@ -140,7 +148,8 @@ def test_importance_finds_the_feature(spark):
     rng = np.random.default_rng(1)
     rows = [(float(a), float(b), float(a)) for a, b in rng.standard_normal((300, 2))]
     df = spark.createDataFrame(rows, "a double, b double, y double").coalesce(1)
-    got = {r.venue: r.importance for r in research.permutation_importance(df, lambda d: d.withColumn("p", F.col("a")), ["a", "b"], {"a": "x", "b": "z"}, 2).collect()}
+    got = {r.venue: r.importance for r in research.permutation_importance(df, lambda d: d.withColumn("p", F.col("a")), ["a", "b"],
+        {"a": "x", "b": "z"}, 2).collect()}
     assert got["x"] > 1 and got["z"] == pytest.approx(0)
 
 
@@ -159,13 +168,16 @@ def test_a_placebo_kills_an_edge_and_not_a_leak(spark):
 def test_runs_are_held_against_each_other(spark, tmp_path):
     prov = runs.provenance("2024-01-02T03:04:05+00:00", b"builder", ["a", "b"], {"d": "x"}) | {"git_dirty": False, "git_sha": "abc"}
     spec = dict.fromkeys(runs.EXPERIMENT, 1) | {"predict_venue": "a", "placebo": False}
-    oos = spark.createDataFrame([(0, m, "d", t, 1.0, p) for t in (1, 2) for m, p in (("zero", 0.0), ("gbt", 0.5))], "fold int, model string, date string, ts_ns long, y double, p double")
-    make = lambda name, **more: runs.write_run(spark, str(tmp_path / name), {"spec": spec | more, "provenance": prov, "score": math.nan}, oos)
+    oos = spark.createDataFrame([(0, m, "d", t, 1.0, p) for t in (1, 2) for m, p in (("zero", 0.0), ("gbt", 0.5))],
+        "fold int, model string, date string, ts_ns long, y double, p double")
+    make = lambda name, **more: runs.write_run(spark, str(tmp_path / name), {"spec": spec | more, "provenance": prov, "score": math.nan},
+        oos)
     real, placebo, other = make("r"), make("p", placebo=True), make("o", predict_venue="b", target=2)
     assert runs.read_run(spark, real)["score"] is None
     assert sorted(map(tuple, runs.tall(spark.read.parquet(f"{real}/oos")).collect())) == sorted(map(tuple, oos.collect()))
     assert len(runs.export(spark, str(tmp_path / "out"), real, placebo, other)) == 6
-    for bad in ({"placebo": real}, {"placebo": make("q", placebo=True, horizon=9)}, {"reverse": real}, {"reverse": make("s", predict_venue="b", horizon=9)}):
+    for bad in ({"placebo": real}, {"placebo": make("q", placebo=True, horizon=9)}, {"reverse": real},
+        {"reverse": make("s", predict_venue="b", horizon=9)}):
         with pytest.raises(ValueError):
             runs.export(spark, str(tmp_path / "no"), real, **bad)
     dirty = runs.read_run(spark, real)
@@ -173,8 +185,11 @@ def test_runs_are_held_against_each_other(spark, tmp_path):
     with pytest.raises(ValueError, match="dirty"):
         runs.check(dirty)
     runs.check(dirty, allow_dirty=True)
-    shown = runs.report(spark.createDataFrame([("gbt", 0.1, None)], "model string, mean double, std double"), spark.createDataFrame([("returns", "r2", 0.1, None, 0.2)], "family string, metric string, point double, lo double, hi double"), {"x/flow": ["x_vwap"]})
-    assert shown == ["returns   r2              0.10000 [-, 0.20000]", "gbt         R2 over folds 0.10000 +/- -", "missing in x/flow: x_vwap"]
+    shown = runs.report(spark.createDataFrame([("gbt", 0.1, None)], "model string, mean double, std double"),
+        spark.createDataFrame([("returns", "r2", 0.1, None, 0.2)], "family string, metric string, point double, lo double, hi double"),
+        {"x/flow": ["x_vwap"]})
+    assert shown == ["returns   r2              0.10000 [-, 0.20000]", "gbt         R2 over folds 0.10000 +/- -",
+        "missing in x/flow: x_vwap"]
 
 
 def test_the_lake_lists_prunes_and_marks(spark, tmp_path):
@@ -183,7 +198,8 @@ def test_the_lake_lists_prunes_and_marks(spark, tmp_path):
     rows = [("A", d, i, 1, 2, "x", "y", 2) for d in ("2024-01-01", "2024-01-02") for i in range(3)]
     df = spark.createDataFrame([(s, d, i, None, None, x, y, n) for s, d, i, _, _, x, y, n in rows], lake.SCHEMAS["silver", "nbbo"])
     lake.write(df, base, "silver", "nbbo", ["canonical_symbol", "date"])
-    assert lake.partitions(spark, base, "silver", "nbbo") == [{"canonical_symbol": "A", "date": "2024-01-01"}, {"canonical_symbol": "A", "date": "2024-01-02"}]
+    assert lake.partitions(spark, base, "silver", "nbbo") == [{"canonical_symbol": "A", "date": "2024-01-01"},
+        {"canonical_symbol": "A", "date": "2024-01-02"}]
     assert lake.latest_date(spark, base, "silver", "nbbo") == "2024-01-02"
     one = lake.read(spark, base, "silver", "nbbo", date="2024-01-02", canonical_symbol="A")
     assert one.count() == 3 and one.columns == lake.schema("silver", "nbbo").names
@@ -194,7 +210,8 @@ def test_the_lake_lists_prunes_and_marks(spark, tmp_path):
     skew = metrics.marker_skew(lake.layer_at(spark, base, "silver", ["nbbo"]).withColumnRenamed("at", "written_at_epoch"), newest).first()
     assert skew.labels == {"layer": "silver", "dataset": "nbbo"} and 0 <= skew.value < 120
     assert lake.read_markers(spark, base, "gold").collect() == []
-    assert len(lake.SCHEMAS) == 21 and lake.decimals("silver", "nbbo") == ["best_bid", "best_ask"] and lake.drifted(lake.contract("gold"), "gold") == []
+    assert len(lake.SCHEMAS) == 21 and lake.decimals("silver", "nbbo") == ["best_bid", "best_ask"] and lake.drifted(lake.contract("gold"),
+        "gold") == []
     assert lake.drifted(lake.contract("gold").replace("n_obs", "n"), "gold")
     with pytest.raises(KeyError):
         lake.schema("gold", "nbbo")
@@ -202,7 +219,8 @@ def test_the_lake_lists_prunes_and_marks(spark, tmp_path):
     with pytest.raises(ValueError):
         lake.roots({})
     digest = runs.fingerprint(spark, base, "2024-01-02", ["A"], ["nbbo"])
-    assert digest == runs.fingerprint(spark, base, "2024-01-02", ["A"], ["nbbo", "quotes"]) != runs.fingerprint(spark, base, "2024-01-02", ["B"], ["nbbo"])
+    assert digest == runs.fingerprint(spark, base, "2024-01-02", ["A"], ["nbbo", "quotes"]) != runs.fingerprint(spark, base, "2024-01-02",
+        ["B"], ["nbbo"])
     built = []
     make = lambda: (built.append(1), df)[1]
     for _ in range(2):
@@ -215,17 +233,20 @@ def test_scorecard_gate_and_gauges(spark):
     rules = spark.createDataFrame(scorecard.load_budget(gold.BUDGET), scorecard.RULES)
     failed = scorecard.breaches(card.withColumnRenamed("canonical_symbol", "symbol"), rules)
     assert scorecard.gate(failed) == 1 and scorecard.gate(failed, False) == 0 and scorecard.gate(failed.limit(0)) == 0
-    two = spark.createDataFrame([("x", "s", d, "coverage", 1, 5, None) for d in ("d1", "d2")], "exchange string, symbol string, date string, check string, n_records long, n_violations long, p99_ms double")
+    two = spark.createDataFrame([("x", "s", d, "coverage", 1, 5, None) for d in ("d1", "d2")],
+        "exchange string, symbol string, date string, check string, n_records long, n_violations long, p99_ms double")
     got = scorecard.breaches(two, spark.createDataFrame(scorecard.budget_rules({}), scorecard.RULES)).collect()
     assert sorted((r.date, r.limit, r.value) for r in got) == [("d1", "max_violations", 5.0), ("d2", "max_violations", 5.0)]
     last = metrics.LastGood()
-    assert last.refresh(lambda: spark.range(2), 1.0) == [(0,), (1,)] and last.refresh(lambda: spark.range(1).select("nope"), 2.0) == [(0,), (1,)] and last.errors == 1
+    assert last.refresh(lambda: spark.range(2), 1.0) == [(0,), (1,)] and last.refresh(lambda: spark.range(1).select("nope"), 2.0) == [(0,),
+        (1,)] and last.errors == 1
 
 
 def test_alert_needs_its_time(spark):
     rule = [("Down", "up", "value", 0, None, "==", 0.0, 60)]
     rows = [("up", {"i": "a"}, t, v) for t, v in ((0, 1.0), (30, 0.0), (60, 0.0), (90, 0.0), (120, 1.0), (150, 0.0))]
-    got = metrics.alerts(spark.createDataFrame(rows, "metric string, labels map<string,string>, ts long, value double"), rule).orderBy("ts").collect()
+    got = metrics.alerts(spark.createDataFrame(rows, "metric string, labels map<string,string>, ts long, value double"),
+        rule).orderBy("ts").collect()
     assert [r.firing for r in got] == [False, False, False, True, False, False] and got[0].series == '{"i":"a"}'
     assert len(metrics.ALERTS) == 14
 
@@ -235,13 +256,17 @@ def test_decode_feeds_tape_and_latency(spark):
 
     value = b'{"t":"trade","exchange":"x","symbol":"A/B","trade_id":"7","price":"1.5","size":"2","side":"bid","exchange_ts_ns":10,"local_ts_ns":30}'
     r = spark.createDataFrame([("md.trades.x.A-B", 0, 5, 1_700_000_000_000, None, value, [("local_recv_ts_ns", b"20")])], wire.RECORD)
-    ref = spark.createDataFrame([("A-B", "A", "B", "x", "A/B")], "canonical string, base string, quote string, exchange string, symbol string")
+    ref = spark.createDataFrame([("A-B", "A", "B", "x", "A/B")],
+        "canonical string, base string, quote string, exchange string, symbol string")
     d = silver.decoded(r, ref, "trades")
     t, lat = silver.tape(d, "trades").first(), silver.latency(d).first()
-    assert (t.canonical_symbol, t.ts_ns, str(t.price)[:4], t.side) == ("A-B", 20, "1.50", "bid") and (lat.exchange_to_recv_ns, lat.exchange_to_emit_ns) == (10, 20)
-    assert silver.no_regression(spark.createDataFrame([(1, 5), (2, 6)], "n long, ts_ns long").withColumn("k", F.lit(1)), ["k"], "n", "ts_ns").count() == 2
+    assert (t.canonical_symbol, t.ts_ns, str(t.price)[:4], t.side) == ("A-B", 20, "1.50", "bid") and (lat.exchange_to_recv_ns,
+        lat.exchange_to_emit_ns) == (10, 20)
+    assert silver.no_regression(spark.createDataFrame([(1, 5), (2, 6)], "n long, ts_ns long").withColumn("k", F.lit(1)), ["k"], "n",
+        "ts_ns").count() == 2
     with pytest.raises(Exception, match="goes back"):
-        silver.no_regression(spark.createDataFrame([(1, 5), (2, 4)], "n long, ts_ns long").withColumn("k", F.lit(1)), ["k"], "n", "ts_ns").collect()
+        silver.no_regression(spark.createDataFrame([(1, 5), (2, 4)], "n long, ts_ns long").withColumn("k", F.lit(1)), ["k"], "n",
+            "ts_ns").collect()
 
 
 def test_columns_of_families_meet_by_date(spark):
