@@ -175,11 +175,13 @@ def word_counts(docs: DataFrame, text_col: str = "text", listed: int = 131_072)
     The driver sees a histogram of counts and the words at or above a count that at most
     ``listed`` words reach. The ``IDS - 1`` commonest of those get an id of their own.
     """
-    words = docs.select(F.explode_outer(F.regexp_extract_all(F.col(text_col).cast("string"), F.lit(WORD), F.lit(0))).alias("w")).where("w is not null")
+    words = docs.select(F.explode_outer(F.regexp_extract_all(F.col(text_col).cast("string"), F.lit(WORD),
+        F.lit(0))).alias("w")).where("w is not null")
     counts = written(words.groupBy("w").agg(F.count("*").alias("n")), "words")
     # counts beyond 4,096 by sixteenths of a doubling: a histogram of some thousand rows at every size
     level = F.when(F.col("n") <= 4096, F.col("n")).otherwise(4096 + F.floor((F.log2("n") - 12) * 16)).cast("long")
-    levels = counts.groupBy(level.alias("k")).agg(F.count("*").alias("words"), F.min("n").alias("least"), F.sum("n").alias("tokens")).collect()
+    levels = counts.groupBy(level.alias("k")).agg(F.count("*").alias("words"), F.min("n").alias("least"),
+        F.sum("n").alias("tokens")).collect()
     cut, many = None, 0
     for r in sorted(levels, key=lambda r: -r["k"]):
         many += r["words"]
@@ -231,7 +233,8 @@ def _weights(trainer: Trainer, blocks: int, kind: pa.DataType) -> Iterator[pa.Re
         none = [pa.nulls(blocks, k) for k in (pa.int64(), kind, pa.int64(), pa.binary(), pa.float64(), pa.list_(pa.binary()))]
         task = TaskContext.get()
         yield pa.record_batch([
-            *none, pa.array([task.partitionId() if task else 0] * blocks, pa.int32()), pa.array(range(blocks), pa.int32()), pa.array([float(seen)] * blocks),
+            *none, pa.array([task.partitionId() if task else 0] * blocks, pa.int32()), pa.array(range(blocks), pa.int32()),
+            pa.array([float(seen)] * blocks),
             pa.array([out[a:z].tobytes() for a, z in zip(cuts[:-1], cuts[1:])], pa.binary())],
             ["row", "doc_id", "n", "ids", "fixed", "tail", "task", "block", "weight", "part"])
 
@@ -261,7 +264,8 @@ def average(parts: DataFrame, fan: int = 64) -> np.ndarray | None:
     return np.concatenate([np.frombuffer(r["part"], np.float32) for r in sorted(parts.collect(), key=lambda r: r["block"])])
 
 
-def train(docs: DataFrame, words: Words, text_col: str = "text", id_col: str = "doc_id", rounds: int = 1, rate: float = 0.2, batch: int = 4096, blocks: int = 64) -> tuple[Net, DataFrame]:
+def train(docs: DataFrame, words: Words, text_col: str = "text", id_col: str = "doc_id", rounds: int = 1, rate: float = 0.2,
+    batch: int = 4096, blocks: int = 64) -> tuple[Net, DataFrame]:
     """The network, and the documents as ``(row, doc_id, n, ids, fixed, tail)``, a table in the shared folder.
 
     Parameter averaging: in a round each task trains a copy on every token of its documents, and
@@ -292,8 +296,10 @@ def train(docs: DataFrame, words: Words, text_col: str = "text", id_col: str = "
                     trainer.feed(*windows(ids[lo:hi]))
                 n = len(ids)
                 yield pa.record_batch(
-                    [b.column(0), b.column(1), pa.array(sizes, pa.int64()), pa.array([x.astype("<u2").tobytes() for x in ids], pa.binary()), pa.array(fixed, pa.float64()),
-                     pa.array(tails, pa.list_(pa.binary())), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.float64()), pa.nulls(n, pa.binary())],
+                    [b.column(0), b.column(1), pa.array(sizes, pa.int64()), pa.array([x.astype("<u2").tobytes() for x in ids], pa.binary()),
+                    pa.array(fixed, pa.float64()),
+                     pa.array(tails, pa.list_(pa.binary())), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.float64()),
+                     pa.nulls(n, pa.binary())],
                     ["row", "doc_id", "n", "ids", "fixed", "tail", "task", "block", "weight", "part"])
             yield from _weights(trainer, blocks, none)
         return run
@@ -309,7 +315,8 @@ def train(docs: DataFrame, words: Words, text_col: str = "text", id_col: str = "
                 yield out.select(["task", "block", "weight", "part"])
         return run
 
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"),
+        F.col(text_col).cast("string").alias("text"))
     table = written(rows.mapInArrow(first(net.flat()), f"row long, doc_id {kind}, {ROUND}"), "ids")
     coded = table.where("block is null").select("row", "doc_id", "n", "ids", "fixed", "tail")
     parts = table.where("block is not null").select("task", "block", "weight", "part")
@@ -351,7 +358,8 @@ def pseudo_likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                 got = np.concatenate([[0.0], np.cumsum(mine.log_probs(*windows(ids[lo:hi])))])
                 ends = np.cumsum(sizes[lo:hi])
                 sums[lo:hi] = got[ends] - got[ends - sizes[lo:hi]]
-            yield pa.record_batch([b.column(0), b.column(1), b.column(2), pa.array(sums + b.column(4).to_numpy(zero_copy_only=False))], ["row", "doc_id", "n_tokens", "known"])
+            yield pa.record_batch([b.column(0), b.column(1), b.column(2), pa.array(sums + b.column(4).to_numpy(zero_copy_only=False))],
+                ["row", "doc_id", "n_tokens", "known"])
 
     scored = coded.select("row", "doc_id", "n", "ids", "fixed").mapInArrow(run, f"row long, doc_id {kind}, n_tokens long, known double")
     # words that are not listed: each with its share of the rare tokens
@@ -359,4 +367,5 @@ def pseudo_likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     rare = coded.select("row", F.explode("tail").alias("w")).select("row", F.col("w").cast("string").alias("w"))
     added = rare.join(words.counts, "w").groupBy("row").agg(F.sum(share).alias("share"))
     pll = F.col("known") + F.coalesce("share", F.lit(0.0))
-    return scored.join(added, "row", "left").select("doc_id", "n_tokens", pll.alias("pll"), F.when(F.col("n_tokens") > 0, pll / F.col("n_tokens")).alias("mean_pll"))
+    return scored.join(added, "row", "left").select("doc_id", "n_tokens", pll.alias("pll"),
+        F.when(F.col("n_tokens") > 0, pll / F.col("n_tokens")).alias("mean_pll"))

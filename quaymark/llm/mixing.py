@@ -47,7 +47,8 @@ def _prefix(cells: DataFrame, bits: int) -> DataFrame:
     until = lambda *keys: Window.partitionBy(*keys[:-1]).orderBy(keys[-1]).rowsBetween(Window.unboundedPreceding, -1)
     zero = F.lit(0).cast("long")
     uppers = parts.groupBy("source", "upper").agg(F.sum("cell").alias("n"))
-    uppers = uppers.select(F.col("source").alias("s"), F.col("upper").alias("u"), F.coalesce(F.sum("n").over(until("source", "upper")), zero).alias("base"))
+    uppers = uppers.select(F.col("source").alias("s"), F.col("upper").alias("u"),
+        F.coalesce(F.sum("n").over(until("source", "upper")), zero).alias("base"))
     inner = parts.withColumn("inner", F.coalesce(F.sum("cell").over(until("source", "upper", "part")), zero))
     met = inner.join(uppers, F.col("source").eqNullSafe(F.col("s")) & (F.col("upper") == F.col("u")))
     return met.select("source", "part", (F.col("base") + F.col("inner")).alias("before"))
@@ -68,10 +69,13 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     named = F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col(id_col).cast("string"), F.lit("-")), F.md5(text.cast("binary")))
     keys = [] if key_col is None else ["key"]
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), n_words(F.col(text_col)).alias("size"),
-                       F.conv(F.substring(F.md5(named.cast("binary")), 1, 15), 16, 10).cast("long").alias("h"), *[F.col(key_col).alias(k) for k in keys])
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"),
+        n_words(F.col(text_col)).alias("size"),
+                       F.conv(F.substring(F.md5(named.cast("binary")), 1, 15), 16, 10).cast("long").alias("h"),
+                       *[F.col(key_col).alias(k) for k in keys])
     # equal rows are one row until they have their places
-    counted = rows.withColumn("times", F.lit(1).cast("long")) if keys else rows.groupBy("doc_id", "source", "size", "h").agg(F.count("*").alias("times"))
+    counted = rows.withColumn("times", F.lit(1).cast("long")) if keys else rows.groupBy("doc_id", "source", "size",
+        "h").agg(F.count("*").alias("times"))
     sized = written(counted, "sized")
     facts = sized.agg(F.count("*").alias("n"), F.sum(F.col("size") * F.col("times")).alias("budget"), F.max("times").alias("times")).first()
     budget = facts["budget"] or 0
@@ -86,7 +90,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     groups = (
         s.join(c, F.col("s.source").eqNullSafe(F.col("c.source")) & (F.col("s.part") == F.col("c.part")))
         .join(t, F.col("s.source").eqNullSafe(F.col("t.source")))
-        .select("s.doc_id", "s.size", "s.times", "t.source_size", "t.target", "t.rank", (F.col("c.before") + F.col("s.inner")).alias("before"), *[f"s.{k}" for k in keys])
+        .select("s.doc_id", "s.size", "s.times", "t.source_size", "t.target", "t.rank",
+        (F.col("c.before") + F.col("s.inner")).alias("before"), *[f"s.{k}" for k in keys])
     )
     if (facts["times"] or 1) > 1:
         block = 4096  # a large group is dealt out in blocks before it is unfolded
@@ -97,14 +102,16 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         groups = blocks.withColumn("nth", F.explode(F.sequence(F.col("block") * block + 1, last)))
     else:
         groups = groups.withColumn("nth", F.lit(1).cast("long"))
-    placed = written(groups.select("doc_id", "size", "source_size", "target", "rank", (F.col("before") + F.col("size") * F.col("nth")).alias("upto"), *keys), "placed")
+    placed = written(groups.select("doc_id", "size", "source_size", "target", "rank",
+        (F.col("before") + F.col("size") * F.col("nth")).alias("upto"), *keys), "placed")
 
     def place(e: Column) -> Column:
         return F.col("upto") + e * F.col("source_size")
 
     order = ["finish", "rank", "place"]
     copies = (
-        placed.where("size > 0").select("size", "target", "rank", "upto", "source_size", F.explode(F.array(*[F.lit(e).cast("long") for e in range(epochs)])).alias("epoch"))
+        placed.where("size > 0").select("size", "target", "rank", "upto", "source_size",
+        F.explode(F.array(*[F.lit(e).cast("long") for e in range(epochs)])).alias("epoch"))
         .withColumn("place", place(F.col("epoch"))).withColumn("finish", F.col("place") / F.col("target")).select("size", *order)
     )
     ranges = max(partitions(docs.sparkSession), epochs * facts["n"] // per_range)
@@ -124,7 +131,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
             return F.lit(1)
         p = place(F.lit(e).cast("long"))
         key = F.struct((p / F.col("target")).alias("finish"), F.col("rank"), p.alias("place"))
-        bound = F.struct(F.lit(stop["finish"]).alias("finish"), F.lit(stop["rank"]).cast("int").alias("rank"), F.lit(stop["place"]).cast("long").alias("place"))
+        bound = F.struct(F.lit(stop["finish"]).alias("finish"), F.lit(stop["rank"]).cast("int").alias("rank"),
+            F.lit(stop["place"]).cast("long").alias("place"))
         return (key < bound).cast("int")
 
     times = sum((is_taken(e) for e in range(epochs)), F.lit(0))

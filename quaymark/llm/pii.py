@@ -30,19 +30,24 @@ IBAN = "(?<![A-Z0-9])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}(?![A-Z0-9])"
 
 #: Words before a span that speak for its kind.
 CONTEXT = {
-    "email_like": "(?i)(mail|contact|write|reach|address|inbox)", "card_like": "(?i)(card|visa|credit|debit|master|amex|payment|pan|number)",
-    "phone_like": "(?i)(tel|phone|call|fax|mobile|cell|dial|sms|text)", "ssn": "(?i)(ssn|social|security|tax|itin)", "iban": "(?i)(iban|bank|account|transfer|konto|swift|bic)",
+    "email_like": "(?i)(mail|contact|write|reach|address|inbox)",
+    "card_like": "(?i)(card|visa|credit|debit|master|amex|payment|pan|number)",
+    "phone_like": "(?i)(tel|phone|call|fax|mobile|cell|dial|sms|text)", "ssn": "(?i)(ssn|social|security|tax|itin)",
+    "iban": "(?i)(iban|bank|account|transfer|konto|swift|bic)",
 }
 #: Listed domain endings, issuers' beginnings, countries of account numbers.
 ENDINGS = "com org net edu gov mil int info biz name pro io ai app dev co me tv de at ch fr be nl lu es pt it uk ie dk se no fi pl cz gr ru ua tr us ca mx br ar au nz jp cn in kr za eu"
 COUNTRIES = "AD AE AL AT AZ BA BE BG BH BR CH CR CY CZ DE DK DO EE ES FI FO FR GB GE GI GL GR GT HR HU IE IL IS IT KW KZ LB LI LT LU LV MC MD ME MK MR MT MU NL NO PK PL PS PT QA RO RS SA SE SI SK SM TN TR UA VG XK"
 GAZETTEER = {
-    "email_like": f"(?i)(?<![A-Za-z])({ENDINGS.replace(' ', '|')})$", "card_like": "^(4|5[1-5]|2[2-7]|3[47]|30[0-5]|36|38|6011|64[4-9]|65|62|35)",
-    "phone_like": "^\\(?(2[0-9]{2}|[3-9][0-9]{2})", "ssn": "^(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)", "iban": f"^({COUNTRIES.replace(' ', '|')})",
+    "email_like": f"(?i)(?<![A-Za-z])({ENDINGS.replace(' ', '|')})$",
+    "card_like": "^(4|5[1-5]|2[2-7]|3[47]|30[0-5]|36|38|6011|64[4-9]|65|62|35)",
+    "phone_like": "^\\(?(2[0-9]{2}|[3-9][0-9]{2})", "ssn": "^(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)",
+    "iban": f"^({COUNTRIES.replace(' ', '|')})",
 }
 #: The strict form of each kind: grouped as cards are printed, one separator throughout, and so on.
 STRICT = {
-    "email_like": "^[A-Za-z0-9][A-Za-z0-9._%+-]+\\x20?[\\[(](at|AT)[\\])]", "card_like": f"^[0-9]{{4}}{JOINT}[0-9]{{4}}{JOINT}[0-9]{{4}}{JOINT}[0-9]{{4}}$|^[0-9]{{4}}{JOINT}[0-9]{{6}}{JOINT}[0-9]{{5}}$|^[0-9]{{15,16}}$",
+    "email_like": "^[A-Za-z0-9][A-Za-z0-9._%+-]+\\x20?[\\[(](at|AT)[\\])]",
+    "card_like": f"^[0-9]{{4}}{JOINT}[0-9]{{4}}{JOINT}[0-9]{{4}}{JOINT}[0-9]{{4}}$|^[0-9]{{4}}{JOINT}[0-9]{{6}}{JOINT}[0-9]{{5}}$|^[0-9]{{15,16}}$",
     "phone_like": "^\\([0-9]{3}\\)\\x20|^([0-9]{3})([.-])[0-9]{3}\\2", "ssn": "^(?!000|666|9)[0-9]{3}", "iban": "^.{15,34}$",
 }
 #: What stands right before a span: a sign that announces a value, or a word that does.
@@ -91,7 +96,8 @@ def base_spans(text: Column, joined: Column) -> Column:
 def candidate_spans(text: Column, joined: Column) -> Column:
     """What might be personal data beyond the base rules: each to be voted on."""
     unlucky = lambda hit: _card_length(hit) & ~_is_card(hit)
-    return F.concat(spans(text, EMAIL_LIKE, 4), spans(joined, CARD, 5, unlucky), spans(text, PHONE_LIKE, 6), spans(text, SSN, 7), spans(text, IBAN, 8))
+    return F.concat(spans(text, EMAIL_LIKE, 4), spans(joined, CARD, 5, unlucky), spans(text, PHONE_LIKE, 6), spans(text, SSN, 7),
+        spans(text, IBAN, 8))
 
 
 @dataclass(frozen=True)
@@ -175,14 +181,16 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least:
     base span are not added.
     """
     names = ["row"] if whole else []
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), *[F.struct("*").alias(n) for n in names])
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
+        *[F.struct("*").alias(n) for n in names])
     text = F.col("text")
     joined = F.regexp_replace(F.translate(text, "\u0001", "\u0002"), "(?<=[0-9])[\\x20-](?=[0-9])", "\u0001")
     has = F.col("text").rlike("[0-9@]|[\\[(](?:at|AT)[\\])]")
     empty = F.array().cast("array<struct<start:bigint,kind:int,stop:bigint,hit:string,left:string>>")
     # joined is made for texts with long digit runs alone
     cards = F.when(text.rlike("[0-9]"), joined).otherwise(F.lit(""))
-    found = rows.select("doc_id", *names, F.when(has, base_spans(text, cards)).otherwise(empty).alias("base"), F.when(has, candidate_spans(text, cards)).otherwise(empty).alias("more"))
+    found = rows.select("doc_id", *names, F.when(has, base_spans(text, cards)).otherwise(empty).alias("base"),
+        F.when(has, candidate_spans(text, cards)).otherwise(empty).alias("more"))
     apart = F.filter("more", lambda c: ~F.exists("base", lambda b: (b["start"] < c["stop"]) & (c["start"] < b["stop"])))
     found = written(found.select("doc_id", *names, "base", apart.alias("more")), "spans")
     one = found.select(F.explode("more").alias("s")).select("s.*")
@@ -204,7 +212,8 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least:
         shape = (before * 3 + F.least(F.lit(2), F.floor(F.length(hit) / 16))).cast("int") * 2 + left.rlike("[^\\s]$").cast("int")
         return {"kind": kind, "v0": regex, "v1": gazetteer, "v2": context, "shape": shape}
 
-    counted = one.select(*[v.alias(k) for k, v in cell(None).items()]).groupBy("kind", "v0", "v1", "v2", "shape").agg(F.count("*").alias("n")).collect()
+    counted = one.select(*[v.alias(k) for k, v in cell(None).items()]).groupBy("kind", "v0", "v1", "v2",
+        "shape").agg(F.count("*").alias("n")).collect()
     cells = {(r["kind"], r["v0"], r["v1"], r["v2"], r["shape"]): r["n"] for r in counted}
     patterns: dict[tuple, int] = {}
     for c, n in cells.items():
@@ -227,7 +236,8 @@ def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     found = find(docs, id_col, text_col)
     base = F.filter("found", lambda s: s["kind"] < len(BASE))
     return found.select("doc_id", *[count(F.col("found"), i).alias(f"n_{x}") for i, x in enumerate(BASE)],
-                        F.sha2(listing(base, NAMES).cast("binary"), 256).alias("base_sha256"), listing(F.col("found"), NAMES).alias("spans"))
+                        F.sha2(listing(base, NAMES).cast("binary"), 256).alias("base_sha256"),
+                        listing(F.col("found"), NAMES).alias("spans"))
 
 
 def masked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -241,10 +251,12 @@ def masked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
 
     def step(acc: Column, s: Column) -> Column:
-        piece = F.concat(acc["out"], F.substr(text, (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int")), F.get(label, s["kind"]))
+        piece = F.concat(acc["out"], F.substr(text, (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int")),
+            F.get(label, s["kind"]))
         beyond = F.struct(F.greatest(acc["at"], s["stop"]).alias("at"), acc["out"].alias("out"))
         return F.when(s["start"] < acc["at"], beyond).otherwise(F.struct(s["stop"].alias("at"), piece.alias("out")))
 
-    done = F.aggregate(F.array_sort("found"), start, step, lambda acc: F.concat(acc["out"], F.substr(text, (acc["at"] + 1).cast("int"), F.length(text))))
+    done = F.aggregate(F.array_sort("found"), start, step, lambda acc: F.concat(acc["out"],
+        F.substr(text, (acc["at"] + 1).cast("int"), F.length(text))))
     clean = F.when(F.size("found") == 0, text).otherwise(done)
     return found.select(*[clean.alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns])

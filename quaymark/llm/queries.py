@@ -51,7 +51,8 @@ def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = (op1_decontamination, op2_toxicity, op3_warc, op4_substring, op5_pii, op6_lm_scoring, op7_mixing, op8_secrets, op9_simhash, op10_embeddings)
+    named = (op1_decontamination, op2_toxicity, op3_warc, op4_substring, op5_pii, op6_lm_scoring, op7_mixing, op8_secrets, op9_simhash,
+        op10_embeddings)
     return {f.__name__: f for f in named}
 
 

@@ -90,7 +90,8 @@ def _runs(p: str, at: int = 0) -> tuple[Ways, int]:
         least, most = 1, 1
         if often:
             at = often.end()
-            least, most = {"?": (0, 1), "*": (0, None), "+": (1, None)}.get(often[1]) or (int(often[2]), int(often[4]) if often[4] else None if often[3] else int(often[2]))
+            least, most = {"?": (0, 1), "*": (0, None), "+": (1, None)}.get(often[1]) or (int(often[2]),
+                int(often[4]) if often[4] else None if often[3] else int(often[2]))
         if kind == "nothing":
             continue
         if least == 0:
@@ -124,7 +125,8 @@ def postings(docs: DataFrame, grams: list[str], per_block: int = 4096) -> DataFr
     low = docs.select("rid", F.lower("text").alias("low"))  # a column of its own: folded once, not for each trigram
     has = F.filter(F.array(*[F.when(F.contains("low", F.lit(g)), F.lit(i)) for i, g in enumerate(grams)]), lambda x: x.isNotNull())
     # the outer form: for the inner one the optimizer computes the array a second time, to filter on its size
-    rows = low.select("rid", F.explode_outer(has).alias("g")).where("g is not null").select("g", "rid", F.pmod(F.shiftright("rid", 7), F.lit(blocks)).alias("block"))
+    rows = low.select("rid", F.explode_outer(has).alias("g")).where("g is not null").select("g", "rid",
+        F.pmod(F.shiftright("rid", 7), F.lit(blocks)).alias("block"))
     # a set: rows that repeat in id and text have one key, and are one posting
     return written(rows.groupBy("block").pivot("g", list(range(len(grams)))).agg(F.collect_set("rid")), "postings")
 
@@ -168,7 +170,8 @@ def secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rul
             keep = lambda hit, r=rule: F.length(F.regexp_extract(hit, r.pattern, r.group)) >= r.least
         part = spans(text, rule.pattern, i, keep)
         if i in queries:
-            part = F.when(F.array_contains("rules", i), part).otherwise(F.array().cast("array<struct<start:bigint,kind:int,stop:bigint,hit:string,left:string>>"))
+            part = F.when(F.array_contains("rules", i),
+                part).otherwise(F.array().cast("array<struct<start:bigint,kind:int,stop:bigint,hit:string,left:string>>"))
         parts.append(part)
     return rows.select("doc_id", F.concat(*parts).alias("found"))
 

@@ -177,7 +177,8 @@ def _leaf_pairs(leaves: DataFrame, budget: int) -> DataFrame:
     masks = [(d, signed(sum(1 << b for b in bits))) for d in depths for k in range(budget + 1) for bits in combinations(range(d), k)]
     flips = F.broadcast(leaves.sparkSession.createDataFrame(masks, "da int, mask long"))  # its size depends on budget and BITS alone
     names = leaves.select("depth", "prefix")
-    near = names.select(F.col("depth").alias("da"), F.col("prefix").alias("pa")).join(flips, "da").select("da", "pa", F.col("pa").bitwiseXOR(F.col("mask")).alias("q"))
+    near = names.select(F.col("depth").alias("da"), F.col("prefix").alias("pa")).join(flips, "da").select("da", "pa",
+        F.col("pa").bitwiseXOR(F.col("mask")).alias("q"))
     above = F.filter(F.array(*[F.lit(d) for d in depths]), lambda d: d <= F.col("depth"))
     deep = names.select(F.col("depth").alias("db"), F.col("prefix").alias("pb"), F.explode(above).alias("k")).select(
         "db", "pb", F.col("k").alias("da"), F.expr("if(k = 0, 0L, shiftrightunsigned(pb, db - k))").alias("q"))
@@ -222,7 +223,8 @@ def near_links(keys: DataFrame, budget: int = 2, leaf: int | None = None, per_ta
     return dealt.mapInArrow(join, "u long, v long")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, seed: int = 42, budget: int = 2) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, seed: int = 42,
+    budget: int = 2) -> DataFrame:
     """One row per document: ``(doc_id, fingerprint string, component_id)``.
 
     Fingerprints within ``budget`` bits are linked, and so are equal ones; ``component_id`` is

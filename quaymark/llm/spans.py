@@ -31,7 +31,8 @@ def spans(text: Column, pattern: str, kind: int, keep: Callable[[Column], Column
         one = F.array(F.struct(at.cast("bigint").alias("start"), F.lit(kind).alias("kind"), stop.cast("bigint").alias("stop"),
                                hit.alias("hit"), F.right(gap, F.lit(context)).alias("left")))
         good = F.lit(True) if keep is None else F.coalesce(keep(hit), F.lit(False))
-        return F.struct(stop.cast("bigint").alias("at"), F.when(hit.isNotNull() & good, F.concat(acc["out"], one)).otherwise(acc["out"]).alias("out"))
+        return F.struct(stop.cast("bigint").alias("at"), F.when(hit.isNotNull() & good,
+            F.concat(acc["out"], one)).otherwise(acc["out"]).alias("out"))
 
     pairs = F.arrays_zip(hits.alias("h"), F.slice(gaps, 1, F.size(hits)).alias("g"))
     # no pairs: hits and gaps named for the lambda
@@ -43,7 +44,8 @@ def listing(all_spans: Column, names: list[str]) -> Column:
     """``kind:start:end`` by start, then kind in the order of ``names``, comma-joined."""
     label = F.array(*[F.lit(x) for x in names])
     return F.array_join(
-        F.transform(F.array_sort(all_spans), lambda s: F.concat_ws(":", F.get(label, s["kind"]), s["start"].cast("string"), s["stop"].cast("string"))), ",")
+        F.transform(F.array_sort(all_spans), lambda s: F.concat_ws(":", F.get(label, s["kind"]), s["start"].cast("string"),
+        s["stop"].cast("string"))), ",")
 
 
 def count(all_spans: Column, kind: int) -> Column:

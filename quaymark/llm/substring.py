@@ -248,7 +248,8 @@ def repeated_spans(docs: DataFrame, firsts: DataFrame, width: int = 20, hot: int
     # as a table of its own, so that the join below has plain exchanges on both sides, which can be split
     shared = written(filed.groupBy("h").agg(
         F.count("*").alias("n"), F.min("tie").alias("t0"), F.max("tie").alias("t1"), F.max(F.col("at").bitwiseAND(F.lit(1))).alias("again")
-    ).where("t0 <> t1 or again = 1").select("h", F.when(F.col("n") <= hot, 0).when(F.col("n") <= 16 * hot, 1).otherwise(2).alias("level")), "shared")
+    ).where("t0 <> t1 or again = 1").select("h", F.when(F.col("n") <= hot, 0).when(F.col("n") <= 16 * hot, 1).otherwise(2).alias("level")),
+    "shared")
     ours = filed.join(shared, "h").select("tie", F.struct(F.shiftright("at", 1).alias("at"), "level", "h").alias("e"))
     lists = ours.groupBy("tie").agg(F.collect_set("e").alias("es")).join(firsts.select("key", "tie"), "tie")
     # lists are of firsts alone; "copy" comes along so that both uses of the texts share one exchange
@@ -283,7 +284,8 @@ def repeated_spans(docs: DataFrame, firsts: DataFrame, width: int = 20, hot: int
 
         last = None
         for batch in batches:
-            for key, tie, text, es in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), _bytes(batch.column(2)), batch.column(3)):
+            for key, tie, text, es in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), _bytes(batch.column(2)),
+                batch.column(3)):
                 if (key, tie) == last:  # the row is there twice
                     continue
                 last = key, tie
@@ -333,7 +335,8 @@ def repeated_spans(docs: DataFrame, firsts: DataFrame, width: int = 20, hot: int
             yield pa.record_batch([pa.array(c, pa.int64()) for c in done], ["key", "tie", "lo", "hi"])
         if texts:
             found = [(*order[i][:2], order[i][2] + a, order[i][2] + z) for i, a, z in repeats(texts, counts, order, width)]
-            yield pa.record_batch([pa.array(c, pa.int64()) for c in (zip(*found) if found else ([], [], [], []))], ["key", "tie", "lo", "hi"])
+            yield pa.record_batch([pa.array(c, pa.int64()) for c in (zip(*found) if found else ([], [], [], []))],
+                ["key", "tie", "lo", "hi"])
 
     return entries.mapInArrow(grow, "key long, tie long, lo long, hi long")
 
@@ -364,7 +367,8 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[list] = [[], [], [], [], []]
-            for key, text, copy, ranges in zip(batch.column(0).to_pylist(), _bytes(batch.column(1)), batch.column(2).to_pylist(), batch.column(3)):
+            for key, text, copy, ranges in zip(batch.column(0).to_pylist(), _bytes(batch.column(1)), batch.column(2).to_pylist(),
+                batch.column(3)):
                 words = text.split()
                 kept = words
                 if copy:
@@ -375,7 +379,8 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     np.add.at(delta, ranges.values.field("hi").to_numpy(), -1)
                     kept = [words[i] for i in np.flatnonzero(np.cumsum(delta[:-1]) == 0).tolist()]
                 line = b" ".join(kept)
-                for col, x in zip(out, (None if key == _LAST else key, len(words), len(words) - len(kept), hashlib.sha256(line).hexdigest(), line.decode() if with_text else None)):
+                for col, x in zip(out, (None if key == _LAST else key, len(words), len(words) - len(kept), hashlib.sha256(line).hexdigest(),
+                    line.decode() if with_text else None)):
                     col.append(x)
             arrays = [pa.array(c, k) for c, k in zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()))]
             yield pa.record_batch(arrays, ["doc_id", "n_words", "n_removed", "kept_sha256", "kept"])

@@ -132,7 +132,8 @@ def measures(gains: np.ndarray) -> np.ndarray:
 
 #: How matches are sought: every place of a dictionary has its slot, and a match has at least six bytes, about a word;
 #: shorter ones are chance.
-SEARCH = {"window_log": 17, "chain_log": 17, "hash_log": 17, "search_log": 4, "min_match": 6, "target_length": 0, "strategy": zstandard.STRATEGY_FAST}
+SEARCH = {"window_log": 17, "chain_log": 17, "hash_log": 17, "search_log": 4, "min_match": 6, "target_length": 0,
+    "strategy": zstandard.STRATEGY_FAST}
 
 
 @dataclass
@@ -163,7 +164,8 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def fit(texts: list[bytes], labels: list[int], share: float | None = None, size: int = 40, common_bytes: int = 16384, tail_bytes: int = 1024, least: float = 0.015, lift: float = 6.0, near: float = 0.8) -> Model:
+def fit(texts: list[bytes], labels: list[int], share: float | None = None, size: int = 40, common_bytes: int = 16384,
+    tail_bytes: int = 1024, least: float = 0.015, lift: float = 6.0, near: float = 0.8) -> Model:
     """Dictionaries and thresholds from labelled texts.
 
     Both dictionaries begin with the same text trained on the ordinary class, whole texts but for the
@@ -190,7 +192,8 @@ def fit(texts: list[bytes], labels: list[int], share: float | None = None, size:
     common = _train([x[i : i + 512] for x in prose for i in range(0, len(x), 512)], common_bytes)[-common_bytes:]
     toxic = _train([parted(x, stems)[0] for x in tox], tail_bytes)
     ordinary = common[: len(toxic)]
-    model = Model(common, toxic or b" ", (ordinary or b" ")[: max(1, len(toxic))], size, np.zeros(FEATURES), np.ones(FEATURES), np.zeros(FEATURES + 1))
+    model = Model(common, toxic or b" ", (ordinary or b" ")[: max(1, len(toxic))], size, np.zeros(FEATURES), np.ones(FEATURES),
+        np.zeros(FEATURES + 1))
     presses = model.presses()
     x = np.stack([measures(model.gains(t, presses)) for t in texts])
     model.mean, model.scale = x.mean(axis=0), x.std(axis=0) + 1e-6
@@ -213,7 +216,8 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", per_class: int = 2500,
+def training_sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
+    per_class: int = 2500,
                     class_bytes: int = 48 << 20) -> tuple[list[bytes], list[int], float | None]:
     """Texts, labels, and the share of toxic ones among all labels that are not held out.
 
@@ -222,7 +226,8 @@ def training_sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     chosen from the labels alone; only the chosen texts are gathered, and only those within the bounds reach
     the driver, each whole.
     """
-    said = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("y")).where("id is not null and y in (0, 1)").where(~held_out("id"))
+    said = labels.select(F.col(id_col).alias("id"),
+        F.col(label_col).alias("y")).where("id is not null and y in (0, 1)").where(~held_out("id"))
     known = said.groupBy("id").agg(F.min("y").alias("y"), F.max("y").alias("_z")).where("y = _z").drop("_z")
     share = known.agg(F.avg("y")).first()[0]
     picked = None
@@ -242,8 +247,10 @@ def training_sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     return [r["text"].encode() for r in texts], [int(r["y"]) for r in texts], share
 
 
-def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", threshold: float = 0.3, per_class: int = 2500, class_bytes: int = 48 << 20, whole: bool = False,
-          size: int = 40, common_bytes: int = 16384, tail_bytes: int = 1024, least: float = 0.015, lift: float = 6.0, near: float = 0.8) -> DataFrame:
+def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
+    threshold: float = 0.3, per_class: int = 2500, class_bytes: int = 48 << 20, whole: bool = False,
+          size: int = 40, common_bytes: int = 16384, tail_bytes: int = 1024, least: float = 0.015, lift: float = 6.0,
+          near: float = 0.8) -> DataFrame:
     """One row per document: ``(doc_id, held_out, score, predicted)``, and ``row``, all its columns, if ``whole``.
 
     The model is fitted on at most ``per_class`` labelled texts and ``class_bytes`` of each class whose
@@ -255,18 +262,22 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     every text gets the share of toxic labels. A null doc_id is not held out; repeated
     rows repeat.
     """
-    model = fit(*training_sample(docs, labels, id_col, text_col, label_col, per_class, class_bytes), size=size, common_bytes=common_bytes, tail_bytes=tail_bytes, least=least, lift=lift, near=near)
+    model = fit(*training_sample(docs, labels, id_col, text_col, label_col, per_class, class_bytes), size=size, common_bytes=common_bytes,
+        tail_bytes=tail_bytes, least=least, lift=lift, near=near)
     names = ["row"] if whole else []
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(held_out(id_col), F.lit(False)).alias("held_out"), F.col(text_col).cast("string").alias("text"),
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(held_out(id_col), F.lit(False)).alias("held_out"),
+        F.col(text_col).cast("string").alias("text"),
                        *[F.struct("*").alias(n) for n in names])
-    kinds = T.StructType([rows.schema["doc_id"], rows.schema["held_out"], T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType()), *[rows.schema[n] for n in names]])
+    kinds = T.StructType([rows.schema["doc_id"], rows.schema["held_out"], T.StructField("score", T.DoubleType()),
+        T.StructField("predicted", T.IntegerType()), *[rows.schema[n] for n in names]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         presses = model.presses()
         for batch in batches:
             x = [measures(model.gains(t.as_buffer().to_pybytes() if t.is_valid else b"", presses)) for t in batch.column(2)]
             s = model.score(np.stack(x)) if x else np.zeros(0)
-            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(s, pa.float64()), pa.array((s >= threshold).astype(np.int32)), *batch.columns[3:]],
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(s, pa.float64()), pa.array((s >= threshold).astype(np.int32)),
+                *batch.columns[3:]],
                                   ["doc_id", "held_out", "score", "predicted", *names])
 
     return rows.mapInArrow(run, kinds)

@@ -28,7 +28,8 @@ def centroids(sample: np.ndarray, k: int, rounds: int = 8, seed: int = 0) -> np.
 
 
 def near_duplicates(vecs: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label",
-                    least: float = 0.98, per_cell: int = 512, per_centroid: int = 20, sample_rows: int = 20_000, block: int = 512) -> DataFrame:
+                    least: float = 0.98, per_cell: int = 512, per_centroid: int = 20, sample_rows: int = 20_000,
+                    block: int = 512) -> DataFrame:
     """One row per vector: ``(vec_id, n_links, component_id, kept)``.
 
     Two vectors of one non-null label and one length are linked if their cosine, in double
@@ -109,9 +110,12 @@ def near_duplicates(vecs: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
                 home, visits = cells_of(np.stack([np.frombuffer(units[i]) for i in at]))
                 row, cell = np.nonzero(visits)
                 src = pa.array(at[row])
-                seen = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(visits.sum(axis=1))]), pa.int32()), pa.array(cell.astype(np.int32)))
-                yield pa.record_batch([batch.column(0).take(src), pa.array(np.full(len(row), size // 8)), pa.array(cell), pa.array(home[row]),
-                                       batch.column(1).take(src), batch.column(2).take(src), batch.column(3).take(src), seen.take(pa.array(row))],
+                seen = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(visits.sum(axis=1))]), pa.int32()),
+                    pa.array(cell.astype(np.int32)))
+                yield pa.record_batch([batch.column(0).take(src), pa.array(np.full(len(row), size // 8)), pa.array(cell),
+                    pa.array(home[row]),
+                                       batch.column(1).take(src), batch.column(2).take(src), batch.column(3).take(src),
+                                       seen.take(pa.array(row))],
                                       ["label", "size", "cell", "home", "id", "unit", "n", "visits"])
 
     placed = classes.select("label", F.col("id").alias("id"), "unit", "n").mapInArrow(
@@ -120,8 +124,10 @@ def near_duplicates(vecs: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     spot = F.concat_ws(":", F.col("label").cast("string"), "size", "cell")
     sizes = placed.groupBy(spot.alias("spot")).agg(F.count("*").alias("n"), F.ceil(F.count("*") / block).alias("blocks"))
     dealt = meet(placed.withColumn("spot", spot), sizes, "spot", F.xxhash64("unit")).withColumn("own", F.pmod(F.xxhash64("unit"), "blocks"))
-    others = F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda j: F.struct(F.least(j, "own").alias("i"), F.greatest(j, "own").alias("j")))
-    dealt = dealt.withColumn("pair", F.explode(others)).select("label", "size", "cell", "pair.i", "pair.j", "own", "home", "id", "unit", "n", "visits")
+    others = F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1),
+        lambda j: F.struct(F.least(j, "own").alias("i"), F.greatest(j, "own").alias("j")))
+    dealt = dealt.withColumn("pair", F.explode(others)).select("label", "size", "cell", "pair.i", "pair.j", "own", "home", "id", "unit",
+        "n", "visits")
 
     def compare(key: tuple, t: pa.Table) -> pa.Table:
         cell, i, j = key[2].as_py(), key[3].as_py(), key[4].as_py()
@@ -161,12 +167,16 @@ def near_duplicates(vecs: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     linked = written(dealt.groupBy("label", "size", "cell", "i", "j").applyInArrow(
         compare, f"id {id_kind}, unit binary, label {label_kind}, links long, root {id_kind}"), "linked")
     comp = components(linked.select(F.col("id").cast("long").alias("u"), F.col("root").cast("long").alias("v"))
-                      .unionByName(good.join(classes.where("n > 1"), ["label", "unit"]).select(F.col("vec_id").cast("long").alias("u"), F.col("id").cast("long").alias("v")).distinct()))
+                      .unionByName(good.join(classes.where("n > 1"), ["label", "unit"]).select(F.col("vec_id").cast("long").alias("u"),
+                      F.col("id").cast("long").alias("v")).distinct()))
     degree = linked.groupBy("label", "unit").agg(F.sum("links").alias("links"))
-    per = classes.join(degree, ["label", "unit"], "left").select("label", "unit", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("links"))
+    per = classes.join(degree, ["label", "unit"], "left").select("label", "unit",
+        (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("links"))
     # rows without a usable vector have nothing to meet, and would all meet in one task
     usable = F.col("unit").isNotNull() & F.col("label").isNotNull() & F.col("vec_id").isNotNull()
     out = rows.where(usable).join(per, ["label", "unit"]).join(comp, F.col("vec_id").cast("long") == F.col("node"), "left")
-    out = out.select("vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", F.col("vec_id").cast("long")).alias("component_id"))
-    out = out.unionByName(rows.where(~usable).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").cast("long").alias("component_id")))
+    out = out.select("vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
+        F.coalesce("component", F.col("vec_id").cast("long")).alias("component_id"))
+    out = out.unionByName(rows.where(~usable).select("vec_id", F.lit(0).cast("long").alias("n_links"),
+        F.col("vec_id").cast("long").alias("component_id")))
     return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))

@@ -34,18 +34,21 @@ def _urn(page: int | None) -> str:
 
 def record(page: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None, revisit: bool) -> bytes:
     """One WARC/1.1 record. A revisit has the payload's digest and length, but not the payload."""
-    uri = "".join(c if 32 < ord(c) < 127 else "".join(f"%{b:02X}" for b in c.encode("utf-8", "surrogatepass")) for c in url or "about:blank")
+    uri = "".join(c if 32 < ord(c) < 127 else "".join(f"%{b:02X}" for b in c.encode("utf-8", "surrogatepass")) for c in url
+        or "about:blank")
     head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = head if revisit else head + payload
     fields = [
         ("WARC-Type", "revisit" if revisit else "response"), ("WARC-Record-ID", _urn(page)), ("WARC-Date", DATE), ("WARC-Target-URI", uri),
-        ("Content-Type", "application/http; msgtype=response"), ("WARC-Payload-Digest", f"sha1:{digest}"), ("WARC-Block-Digest", f"sha1:{sha1_base32(block)}"),
+        ("Content-Type", "application/http; msgtype=response"), ("WARC-Payload-Digest", f"sha1:{digest}"),
+        ("WARC-Block-Digest", f"sha1:{sha1_base32(block)}"),
         ("X-Payload-Length", str(len(payload))),
     ]
     if page is not None:
         fields.append(("X-Page-ID", str(page)))
     if revisit:
-        fields += [("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"), ("WARC-Refers-To", _urn(refers_to)), ("X-Refers-To-Page", str(refers_to))]
+        fields += [("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"),
+            ("WARC-Refers-To", _urn(refers_to)), ("X-Refers-To-Page", str(refers_to))]
     fields.append(("Content-Length", str(len(block))))
     return ("WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in fields) + "\r\n").encode() + block + b"\r\n\r\n"
 
@@ -175,7 +178,8 @@ def payload_of(headers: dict[str, str], block: bytes) -> bytes:
     return block[cut + 4 :] if cut >= 0 else b""
 
 
-def write_archives(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least: int = 0, target: int = 8 << 20) -> DataFrame:
+def write_archives(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least: int = 0,
+    target: int = 8 << 20) -> DataFrame:
     """Archives of all pages: a table ``(archive binary)`` in the shared folder, each of about ``target`` raw bytes.
 
     The payload is the html in UTF-8 (null: empty). Of records with equal payloads of at
@@ -184,7 +188,8 @@ def write_archives(pages: DataFrame, id_col: str = "page_id", url_col: str = "ur
     ids of their payload are null. A table of binary rows can be written to any store that
     Spark writes to; each row is a whole ``.warc.zst`` file.
     """
-    rows = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"), F.coalesce(F.col(html_col).cast("string"), F.lit("")).cast("binary").alias("html"))
+    rows = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"),
+        F.coalesce(F.col(html_col).cast("string"), F.lit("")).cast("binary").alias("html"))
     keyed = rows.withColumn("sha", F.sha2("html", 256))
     shared = keyed.groupBy("sha").agg(F.max("id").alias("owner"), F.count("*").alias("n")).where("n > 1")
     joined = meet(keyed, written(shared, "payloads"), "sha", F.xxhash64("id", "url"))
@@ -249,7 +254,8 @@ def read_archives(archives: DataFrame, col: str = "archive") -> DataFrame:
                 if rows:
                     yield made(rows)
 
-    return archives.select(F.col(col)).mapInArrow(run, "page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long, payload binary")
+    return archives.select(F.col(col)).mapInArrow(run,
+        "page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long, payload binary")
 
 
 def round_trip(pages: DataFrame, **names: str) -> DataFrame:

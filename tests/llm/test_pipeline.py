@@ -15,10 +15,12 @@ SCHEMA = "doc_id long, text string, source string"
 
 def test_one_row_of_each_component_stays(spark):
     a, b, c, d = TEXTS[:4]
-    rows = [(3, a, "s"), (5, a, "s"), (5, b, "s"), (None, a, "s"), (7, c, "s"), (7, c, "s"), (None, d, "s"), (None, d, "s"), (8, a.upper(), "s")]
+    rows = [(3, a, "s"), (5, a, "s"), (5, b, "s"), (None, a, "s"), (7, c, "s"), (7, c, "s"), (None, d, "s"), (None, d, "s"),
+        (8, a.upper(), "s")]
     rows += [(9, t, "s") for t in TEXTS[4:]] + [(9, TEXTS[4], "s")]
     docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
-    fp = {r.doc_id: r.fp for r in simhash.fingerprints(spark.createDataFrame([(i, r[1]) for i, r in enumerate(rows)], "doc_id long, text string"), "doc_id", "text", 3, 42).collect()}
+    fp = {r.doc_id: r.fp for r in simhash.fingerprints(spark.createDataFrame([(i, r[1]) for i, r in enumerate(rows)],
+        "doc_id long, text string"), "doc_id", "text", 3, 42).collect()}
     part = list(range(len(rows)))
     for i in range(len(rows)):
         for j in range(i):
@@ -38,16 +40,19 @@ def test_one_row_of_each_component_stays(spark):
 def test_contaminated_rows_go_alone(spark, tmp_path):
     bad, *clean = TEXTS
     spark.createDataFrame([(1, bad)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
-    rows = [(None, bad, "s"), (None, clean[0], "s"), (5, bad, "s"), (5, bad, "s"), (5, clean[1], "s"), (5, clean[1], "s"), (6, clean[2], "s"), (7, None, "s"), (None, None, "s")]
+    rows = [(None, bad, "s"), (None, clean[0], "s"), (5, bad, "s"), (5, bad, "s"), (5, clean[1], "s"), (5, clean[1], "s"),
+        (6, clean[2], "s"), (7, None, "s"), (None, None, "s")]
     got = corpus_pipeline.drop_contaminated(spark, spark.createDataFrame(rows, SCHEMA).repartition(3), str(tmp_path)).collect()
     assert Counter(tuple(r) for r in got) == Counter(r for r in rows if r[1] != bad)
 
 
 def test_the_mix_keeps_columns_of_documents(spark):
-    rows = [(i, TEXTS[i % 8], f"s{i % 2}", 100 + i, "t") for i in range(20)] + [(None, None, None, 7, "t"), (5, TEXTS[5], "s1", 9, "t"), (5, TEXTS[5], "s1", 9, "t")]
+    rows = [(i, TEXTS[i % 8], f"s{i % 2}", 100 + i, "t") for i in range(20)] + [(None, None, None, 7, "t"), (5, TEXTS[5], "s1", 9, "t"),
+        (5, TEXTS[5], "s1", 9, "t")]
     docs = spark.createDataFrame(rows, SCHEMA + ", size int, Copies string").repartition(3)
     got = corpus_pipeline.mix_sources(spark, docs, "").collect()
-    assert got[0].asDict().keys() == {"doc_id", "text", "source", "size", "Copies", "mix_size", "source_size", "target", "taken", "mix_copies"}
+    assert got[0].asDict().keys() == {"doc_id", "text", "source", "size", "Copies", "mix_size", "source_size", "target", "taken",
+        "mix_copies"}
     assert all(r.mix_size == 60 and r.taken == r.mix_copies * 60 for r in got)
     left = Counter(rows)
     for r in got:
@@ -64,7 +69,8 @@ def test_toxic_rows_go_alone(spark, tmp_path):
         if i % 4 == 0:
             t[:4] = ["worthless", "pathetic", "moron", "idiot"]
         rows.append((i, " ".join(t), "s"))
-    spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(400)], "doc_id long, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(400)],
+        "doc_id long, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
     extra = [(None, None, "s"), (None, "", None), (3, rows[0][1], "s"), (3, rows[0][1], "s"), (3, rows[1][1], "s")]
     docs = spark.createDataFrame([(*r, 0.5) for r in rows + extra], SCHEMA + ", score double").repartition(3)
     got = Counter(tuple(r) for r in corpus_pipeline.drop_toxic(spark, docs, str(tmp_path)).collect())
@@ -77,7 +83,8 @@ def test_toxic_rows_go_alone(spark, tmp_path):
 
 def test_masked_texts_keep_no_character_of_a_span(spark):
     rng = np.random.default_rng(8)
-    parts = ["10.0.0.4", "111 1111 1111 1111", "4111 1111 1111 1111", "a@b.co", "+1 (743) 555-3824", "x", " ", "12", "@x.com", "-", "é", "123-45-6789"]
+    parts = ["10.0.0.4", "111 1111 1111 1111", "4111 1111 1111 1111", "a@b.co", "+1 (743) 555-3824", "x", " ", "12", "@x.com", "-", "é",
+        "123-45-6789"]
     rows = [(i, " ".join(rng.choice(parts, int(rng.integers(0, 9)))), "s") for i in range(300)]
     rows += [(None, None, "s"), (1, "", None), (1, "pay 10.0.0.4 111 1111 1111 1111 now", "s"), (2, "word " * 20_000 + "a@b.co", "s")]
     docs = spark.createDataFrame([(*r, 5) for r in rows], SCHEMA + ", n_chars long").repartition(3)
