@@ -144,7 +144,7 @@ def _prefix(fp: Column, depth: int) -> Column:
     return F.shiftrightunsigned(fp, BITS - depth) if depth else F.lit(0).cast("long")
 
 
-def _cover(keys: DataFrame, leaf: int, n: int, step: int = 4) -> DataFrame:
+def _cover(keys: DataFrame, leaf: int, n: int, step: int = 8) -> DataFrame:
     """The trie's leaves as ``(depth int, prefix long, fps array<long>)``, of at most ``leaf`` keys each.
 
     Keys are counted below the prefixes that would hold half a leaf each if keys were spread
