@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,8 +33,18 @@ def _free(docs: DataFrame, name: str) -> str:
 
 
 def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
-    """``docs`` as a table with a number of each row's own, and that column's name: ids may be null or repeat."""
+    """``docs`` with a name of each row's own, and that column's name: ids may be null or repeat.
+
+    Rows of Parquet files are named by their file and place in it, which every reading finds again; others
+    by numbers, for which they are written to a table first.
+    """
     row = _free(docs, "_row")
+    try:
+        if "_metadata" not in docs.columns:
+            file, place = F.md5(F.col("_metadata.file_path").cast("binary")), F.col("_metadata.row_index").cast("string")
+            return docs.select("*", F.concat_ws(":", file, place).alias(row)), row
+    except AnalysisException:  # no files behind it, or files of another kind
+        pass
     return written(docs.withColumn(row, F.monotonically_increasing_id()), "rows"), row
 
 
