@@ -105,6 +105,20 @@ def test_masked_texts_keep_no_character_of_a_span(spark):
     assert corpus_pipeline.mask_personal_data(spark, docs.limit(0), "").collect() == []
 
 
+def test_rows_of_files_are_named_by_their_place(spark, tmp_path):
+    rows = [(i % 3, TEXTS[i % 8], "s") for i in range(30)] + [(None, None, "s")] * 3
+    spark.createDataFrame(rows, SCHEMA).repartition(4).write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    named, row = corpus_pipeline._numbered(docs)
+    first = {r[row]: tuple(r)[:3] for r in named.collect()}
+    again = {r[row]: r.doc_id for r in named.select(row, "doc_id").repartition(7).collect()}
+    assert len(first) == 33 and {k: v[0] for k, v in first.items()} == again
+    got = Counter(tuple(r) for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect())
+    assert got == Counter({(0, t, "s"): 1 for t in TEXTS} | {(None, None, "s"): 1})
+    odd, name = corpus_pipeline._numbered(docs.withColumn("_metadata", F.lit(1)).withColumn("_ROW", F.lit(2)))
+    assert name.lower() not in ("_row", "_metadata") and odd.select(name).distinct().count() == 33
+
+
 def test_the_whole_pipeline(spark):
     got = corpus_pipeline.run(spark, "/root/testdata/sf0.001").collect()
     assert got and len({r.doc_id for r in got}) == len(got) and all(r.taken % r["size"] == 0 for r in got)
