@@ -198,3 +198,11 @@ class LastGood:
         except Exception:
             self.errors += 1
         return self.rows
+
+
+def observed(rows: DataFrame, by: list[str], value: str, bounds: list[float]) -> DataFrame:
+    """Observations as a histogram: ``(*by, le, n)`` with cumulative counts, ``le`` null for infinity, as quantiles take it."""
+    steps = F.array(*[F.struct(F.lit(float(b)).alias("le"), (F.col(value) <= b).cast("long").alias("in")) for b in bounds],
+                    F.struct(F.lit(None).cast("double").alias("le"), F.lit(1).cast("long").alias("in")))
+    tall = rows.where(F.col(value).isNotNull()).select(*by, F.explode(steps).alias("s"))
+    return tall.groupBy(*by, F.col("s.le").alias("le")).agg(F.sum("s.in").alias("n"))

@@ -273,3 +273,21 @@ def venue_importance(spark, sf):
 def leg_prefixes(spark, sf):
     return spark.createDataFrame([(s,) for s in SYMBOLS], "symbol string").select("symbol",
         features.leg_prefix(F.col("symbol")).alias("prefix"))
+
+
+@query(BASE + _EV + """, c AS (SELECT date, CASE WHEN abs(y) > threshold THEN sign(y) ELSE 0 END AS y, CASE WHEN abs(p) > threshold THEN sign(p) ELSE 0 END AS p FROM z)
+SELECT date, avg(CAST(CAST(y = 1 AS INTEGER) AS DOUBLE)) AS base_up, avg(CAST(CAST(y = -1 AS INTEGER) AS DOUBLE)) AS base_down, avg(CAST(CAST(p <> 0 AS INTEGER) AS DOUBLE)) AS traded_share FROM c GROUP BY date""")
+def base_rates(spark, sf):
+    """How often each direction is right by itself, and how often the model trades, pooled by date."""
+    rows = research.as_classes(_predicted(spark, sf))
+    share = lambda c: F.avg(c.cast("double"))
+    return rows.groupBy("date").agg(share(F.col("y") == 1).alias("base_up"), share(F.col("y") == -1).alias("base_down"),
+        share(F.col("p") != 0).alias("traded_share"))
+
+
+@query(BASE + """SELECT arrival, CASE WHEN venue = 'view' THEN k END AS view_x, CASE WHEN venue = 'click' THEN size END AS click_x FROM q WHERE venue IN ('view', 'click')""")
+def families_by_date(spark, sf):
+    """Frames whose columns differ, one below the other: what a frame has not is null."""
+    q = quotes(spark, sf)
+    view = q.where("venue = 'view'").select("arrival", F.col("k").alias("view_x"))
+    return view.unionByName(q.where("venue = 'click'").select("arrival", F.col("size").alias("click_x")), allowMissingColumns=True)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quaymark.operators import silver
+from quaymark.operators import metrics, silver
 from quaymark.plans.market import BASE, H, SYMBOLS, query, quotes
 from quaymark.sources import bronze, lake, venues, wire
 from quaymark.streaming import gateway
@@ -417,3 +417,33 @@ def book_resnapshot(spark, sf):
 def declared_partitions(spark, sf):
     text = "instruments:\n" + "".join(f"  {s}:\n    base: {s[:3]}\n    quote: {s[4:]}\n    venues:\n      - {{exchange: click, symbol: {s}}}\n      - {{exchange: error, symbol: {s}}}\n" for s in SYMBOLS)
     return bronze.declared(bronze.instruments(spark, text))
+
+
+@query(BASE + MESSAGES + "SELECT DISTINCT dataset FROM m WHERE k > 90 INTERSECT SELECT unnest(['book_snapshots','book_deltas']) AS dataset")
+def book_datasets_present(spark, sf):
+    """The book datasets that a build finds: those of all that are there."""
+    books = spark.createDataFrame([(d,) for d in silver.BOOK_DATASETS], "dataset string")
+    return messages(spark, sf).where("k > 90").select("dataset").intersect(books)
+
+
+@query(BASE + "SELECT DISTINCT venue, symbol, strftime(make_timestamp(ts_ns // 1000), '%Y-%m-%d') AS date FROM q")
+def streams_seen(spark, sf):
+    return dated(quotes(spark, sf)).select("venue", "symbol", "date").distinct()
+
+
+_BOUNDS = [5.0, 10.0, 25.0, 50.0, 75.0]
+
+
+@query(BASE + MESSAGES + f""", b AS (SELECT exchange, CAST(k AS DOUBLE) AS ms FROM m WHERE dataset <> 'bbo'), l AS (SELECT unnest([{", ".join(map(str, _BOUNDS))}, NULL])::DOUBLE AS le)
+SELECT exchange, le, count_if(le IS NULL OR ms <= le) AS n FROM b, l GROUP BY ALL""")
+def latency_histogram(spark, sf):
+    """Messages by latency as a histogram with cumulative buckets."""
+    rows = silver.built(messages(spark, sf)).select("exchange", F.col("k").cast("double").alias("ms"))
+    return metrics.observed(rows, ["exchange"], "ms", _BOUNDS)
+
+
+@query(BASE + "SELECT venue, ['book','book','broadcast','status','ignored'][k % 5 + 1] AS goes_to, count(*) AS n FROM q GROUP BY ALL")
+def message_counters(spark, sf):
+    """Messages by what the gateway does with them."""
+    return message_route(spark, sf).join(quotes(spark, sf).select("arrival", "venue"), "arrival").groupBy("venue",
+        "goes_to").agg(F.count("*").alias("n"))
