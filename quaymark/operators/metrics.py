@@ -2,10 +2,34 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def _trailing(rows: DataFrame, by: list[str], ts: str, value: str, out: str, span: int) -> DataFrame:
+    """``out``: the sum of ``value`` over the rows at ``ts - span + 1`` to ``ts``; ``ts`` and ``span`` are whole numbers.
+
+    A sliding frame adds all its rows anew for each row, which grows with the square of their density. Here time is cut
+    into stretches of ``span``: a frame is the head of its own stretch and the tail of the one before, both running sums.
+    Nothing is subtracted, so that large steps leave no remainder and infinite ones no NaN."""
+    at = F.col(ts)
+    cut = rows.withColumn("_at", at - F.pmod(at, F.lit(span)))
+    part = Window.partitionBy(*by, "_at")
+    head = cut.withColumn("_head", F.sum(value).over(part.orderBy(ts)))
+    kind = head.schema["_head"].dataType
+    # each row as itself, and as a part of the tails that the next stretch's rows need: of those as late as itself, less a span
+    own = F.struct(F.col("_at").alias("at"), at.alias("pos"), F.lit(True).alias("own"), F.lit(None).cast(rows.schema[value].dataType).alias("v"))
+    past = F.struct((F.col("_at") + span).alias("at"), (at + (span - 1)).alias("pos"), F.lit(False).alias("own"), F.col(value).alias("v"))
+    both = head.withColumn("_r", F.explode(F.when(at.isNull(), F.array(own)).otherwise(F.array(own, past))))
+    both = both.drop("_at").select("*", F.col("_r.at").alias("_at"), F.col("_r.pos").alias("_pos"), F.col("_r.own").alias("_own"), F.col("_r.v").alias("_v"))
+    back = part.orderBy(F.desc("_pos"), "_own").rowsBetween(Window.unboundedPreceding, 0)
+    met = both.withColumn("_tail", F.sum("_v").over(back)).where("_own")
+    total = F.when(F.col("_tail").isNull(), F.col("_head")).when(F.col("_head").isNull(), F.col("_tail")).otherwise(F.col("_head") + F.col("_tail"))
+    return met.withColumn(out, total.cast(kind)).drop("_r", "_at", "_pos", "_own", "_v", "_head", "_tail")
+
+
 def increase(samples: DataFrame, by: list[str], ts: str, value: str, span: int) -> DataFrame:
     """``increase``: how much a counter grew in the ``span`` before each sample, across resets.
 
@@ -14,25 +38,24 @@ def increase(samples: DataFrame, by: list[str], ts: str, value: str, span: int)
     w = Window.partitionBy(*by).orderBy(ts)
     prev = F.lag(value).over(w)
     step = F.when(prev.isNull(), 0).when(F.col(value) >= prev, F.col(value) - prev).otherwise(F.col(value))
-    frame = Window.partitionBy(*by).orderBy(ts).rangeBetween(-(span - 1), 0)
-    return samples.withColumn("_step", step).withColumn("increase", F.sum("_step").over(frame)).drop("_step")
+    return _trailing(samples.withColumn("_step", step), by, ts, "_step", "increase", span).drop("_step")
 
 
 def changes(samples: DataFrame, by: list[str], ts: str, value: str, span: int) -> DataFrame:
     w = Window.partitionBy(*by).orderBy(ts)
     moved = F.coalesce((F.col(value) != F.lag(value).over(w)).cast("int"), F.lit(0))
-    return samples.withColumn("_m", moved).withColumn("changes",
-        F.sum("_m").over(Window.partitionBy(*by).orderBy(ts).rangeBetween(-(span - 1), 0))).drop("_m")
+    return _trailing(samples.withColumn("_m", moved), by, ts, "_m", "changes", span).drop("_m")
 
 
-def firing(samples: DataFrame, by: list[str], ts: str, condition: Column, hold: int) -> DataFrame:
+def firing(samples: DataFrame, by: list[str], ts: str, condition: Column, hold: int | Column) -> DataFrame:
     """``active`` and ``firing``: the condition, and whether it has held for at least ``hold``."""
     w = Window.partitionBy(*by).orderBy(ts)
     on = samples.withColumn("active", F.coalesce(condition, F.lit(False)))
-    edge = F.coalesce((F.col("active") != F.lag("active").over(w)).cast("int"), F.lit(1))
-    runs = on.withColumn("_e", edge).withColumn("_run", F.sum("_e").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    since = F.min(ts).over(Window.partitionBy(*by, "_run"))
-    return runs.withColumn("firing", F.col("active") & (F.col(ts) - since >= hold)).drop("_e", "_run")
+    edge = F.coalesce(F.col("active") != F.lag("active").over(w), F.lit(True))
+    runs = on.withColumn("_e", edge)
+    # time only rises, so that the last edge so far is the start of the run
+    since = F.max(F.when(F.col("_e"), F.col(ts))).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    return runs.withColumn("firing", F.col("active") & (F.col(ts) - since >= hold)).drop("_e")
 
 
 def histogram_quantile(buckets: DataFrame, by: list[str], q: float) -> DataFrame:
@@ -100,29 +123,39 @@ def alerts(samples: DataFrame, rules: list[tuple] = ALERTS) -> DataFrame:
     """Every alert at every evaluation that has a sample: ``(alert, series, ts, value, active, firing)``.
 
     ``samples(metric string, labels map<string,string>, ts long, value double)``. ``series`` holds the labels that
-    an alert is by, as sorted JSON. An alert fires once its test has held for as long as its rule says."""
+    an alert is by, as sorted JSON. An alert fires once its test has held for as long as its rule says.
+    Rules that are read in the same way over the same span go through the samples together."""
     from functools import reduce
 
-    parts = []
-    for name, metric, how, span, by, test, bound, hold in rules:
-        own = selected(samples, metric)
-        full = F.to_json(F.map_from_entries(F.array_sort(F.map_entries("labels"))))
-        kept = full if by is None else F.to_json(F.map_from_arrays(F.array(*[F.lit(b) for b in sorted(by)]),
+    alike: dict[tuple, list[int]] = {}
+    for i, (_, _, how, span, *_) in enumerate(rules):
+        alike.setdefault((how, span) if how in ("rate", "changes") else ("max" if how == "value" else how, 0), []).append(i)
+    full = F.to_json(F.map_from_entries(F.sort_array(F.map_entries("labels"))))
+
+    def kept(by: tuple | None) -> Column:
+        if by is None:
+            return full
+        return F.to_json(F.map_from_arrays(F.array(*[F.lit(b) for b in sorted(by)]),
             F.array(*[F.coalesce(F.col("labels")[b], F.lit("")) for b in sorted(by)]))) if by else F.lit("{}")
-        rows = own.select(full.alias("_full"), kept.alias("series"), "ts", "value")
+
+    def of_rule(own: list[int], one: Callable[[int], Column]) -> Column:
+        return reduce(lambda out, i: out.when(F.col("_rule") == i, one(i)), own[1:], F.when(F.col("_rule") == own[0], one(own[0])))
+
+    parts, key = [], ["_rule", "series"]
+    for (how, span), own in alike.items():
+        rows = reduce(DataFrame.unionByName, [selected(samples, rules[i][1]).select(F.lit(i).alias("_rule"), kept(rules[i][4]).alias("series"),
+            *[full.alias("_full")] * (how == "rate"), "ts", "value") for i in own])
         if how == "rate":
-            got = summed_rate(rows, ["_full", "series"], ["series"], "ts", "value", span).select("series", "ts",
-                F.col("rate").alias("value"))
+            got = summed_rate(rows, ["_full", *key], key, "ts", "value", span).select(*key, "ts", F.col("rate").alias("value"))
         elif how == "changes":
-            got = changes(rows, ["series"], "ts", "value", span).select("series", "ts", F.col("changes").cast("double").alias("value"))
+            got = changes(rows, key, "ts", "value", span).select(*key, "ts", F.col("changes").cast("double").alias("value"))
         elif how == "age":
-            got = rows.select("series", "ts", (F.col("ts") - F.col("value")).alias("value"))
+            got = rows.select(*key, "ts", (F.col("ts") - F.col("value")).alias("value"))
         else:
-            pick = {"max": F.max, "min": F.min, "value": F.max}[how]
-            got = rows.groupBy("series", "ts").agg(pick("value").alias("value"))
-        on = F.col("value") > bound if test == ">" else F.col("value") == bound
-        held = firing(got, ["series"], "ts", on, hold)
-        parts.append(held.select(F.lit(name).alias("alert"), "series", "ts", "value", "active", "firing"))
+            got = rows.groupBy(*key, "ts").agg({"max": F.max, "min": F.min}[how]("value").alias("value"))
+        on = of_rule(own, lambda i: F.col("value") > rules[i][6] if rules[i][5] == ">" else F.col("value") == rules[i][6])
+        held = firing(got, key, "ts", on, of_rule(own, lambda i: F.lit(rules[i][7]).cast("long")))
+        parts.append(held.select(of_rule(own, lambda i: F.lit(rules[i][0])).alias("alert"), "series", "ts", "value", "active", "firing"))
     return reduce(DataFrame.unionByName, parts)
 
 

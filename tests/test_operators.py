@@ -251,6 +251,39 @@ def test_alert_needs_its_time(spark):
     assert len(metrics.ALERTS) == 14
 
 
+def test_spans_are_summed_without_sliding_frames(spark):
+    """A sliding frame adds its rows anew for each row: dense series took the square of their rows."""
+    rng = np.random.default_rng(5)
+    ts = [int(t) for t in rng.choice(np.arange(-300, 300), 150, replace=False)]
+    rows = [(k, t, float(v)) for k in "ab" for t, v in zip(ts, rng.choice([0.1, 0.3, 7.0, 1e17], len(ts)))] + [("c", 5, float("inf")), ("c", 8, 1.0), ("c", 11, 3.0), ("c", None, 4.0)]
+    df = spark.createDataFrame(rows, "k string, ts long, v double")
+    for span in (1, 2, 7, 50, 1000):
+        got = metrics.increase(df, ["k"], "ts", "v", span)
+        moved = metrics.changes(df, ["k"], "ts", "v", span)
+        for frame, name in ((got, "increase"), (moved, "changes")):
+            assert "RangeFrame, -" not in frame._jdf.queryExecution().analyzed().toString()
+            assert frame.columns == ["k", "ts", "v", name] and frame.count() == len(rows)
+        up, turned = ({(r.k, r.ts): r[3] for r in f.collect()} for f in (got, moved))
+        for k in "ab":
+            own = sorted((t, v) for n, t, v in rows if n == k)
+            steps = [(own[i][0], own[i][1] if own[i][1] < own[i - 1][1] else own[i][1] - own[i - 1][1], own[i][1] != own[i - 1][1]) if i else (own[0][0], 0.0, False) for i in range(len(own))]
+            for t, _ in own:
+                inside = [s for s in steps if t - span < s[0] <= t]
+                assert up[k, t] == pytest.approx(sum(s[1] for s in inside), rel=1e-12) and turned[k, t] == sum(s[2] for s in inside)
+        if span == 2:
+            assert up["c", 11] == 2.0  # what has left the span leaves nothing behind
+
+
+def test_alerts_read_no_sliding_frames(spark):
+    board = gold.alert_board(spark, SF)
+    assert "RangeFrame, -" not in board._jdf.queryExecution().analyzed().toString()
+    twice = [("A", "m", "value", 0, None, ">", 1.0, 0), ("A", "m", "value", 0, ("i",), ">", 3.0, 10)]
+    df = spark.createDataFrame([("m", {"i": "a", "b": "x"}, t, float(t)) for t in (2, 4, 14)], "metric string, labels map<string,string>, ts long, value double")
+    got = sorted((r.series, r.ts, r.active, r.firing) for r in metrics.alerts(df, twice).collect())
+    assert got == [('{"b":"x","i":"a"}', 2, True, True), ('{"b":"x","i":"a"}', 4, True, True), ('{"b":"x","i":"a"}', 14, True, True),
+        ('{"i":"a"}', 2, False, False), ('{"i":"a"}', 4, True, False), ('{"i":"a"}', 14, True, True)]
+
+
 def test_decode_feeds_tape_and_latency(spark):
     from quaymark.sources import wire
 
