@@ -60,33 +60,49 @@ def prefixes(wins: DataFrame, shingle: int = 5) -> DataFrame:
 
 
 def matches(docs: DataFrame, probes: DataFrame, broadcast_rows: int = 200_000) -> DataFrame:
-    """``(doc_id, th, start, stop, items)`` for each occurrence of a window; docs(doc_id, th, text).
+    """``(doc_id, th, n_words, start, stop, items)``: a row for each row of docs(doc_id, th, text), its last three
+    columns null, and one for each occurrence of a window.
 
     Candidates come from the prefix shingles; length and place bound the start; then all
     words of the window are compared. The window table is broadcast up to ``broadcast_rows``
     rows (of at most a window's words each); a larger one is joined by shuffling, and its
-    candidates meet their documents by key.
+    candidates meet their documents by key. With the broadcast a text is cut into words once: the
+    shingles of all sizes are in one array, whose last element meets a row without a window, so
+    that each document leaves the join with its number of words.
     """
-    sizes = [r["size"] for r in probes.groupBy("size").agg(F.count("*").alias("n")).collect()]
+    sizes = sorted(r["size"] for r in probes.groupBy("size").agg(F.count("*").alias("n")).collect())
     small = probes.limit(broadcast_rows + 1).count() <= broadcast_rows
     worded = docs.select("doc_id", "th", tokens(F.col("text")).alias("words"))
-    found = None
+    n = F.size("words")
+    start = F.col("pos") - F.col("at")
+    inside = (start >= 0) & (start + F.size("win") <= n)
+    same = F.slice("words", F.when(inside, start + 1).otherwise(F.lit(1)), F.size("win")) == F.col("win")
+    hit = ["doc_id", "th", n.cast("long").alias("n_words"), start.alias("start"), (start + F.size("win")).alias("stop"), "items"]
+    # the outer form of explode: for the inner one the optimizer derives a filter on the
+    # size of the array, and computes the array, words and all, a second time for it
+    if small:
+        # a hash that two sizes share costs a comparison and no more, as all words are compared
+        probe = probes.drop("size").unionByName(
+            probes.sparkSession.range(1).select(F.lit(0).cast("long").alias("h")), allowMissingColumns=True)
+        hs = F.concat(*[_shingles(F.col("words"), n, k) for k in sizes], F.array(F.lit(0).cast("long")))
+        cand = worded.select("doc_id", "th", "words", hs.alias("hs")).select(
+            "doc_id", "th", "words", F.posexplode_outer("hs").alias("i", "h")).join(F.broadcast(probe), "h")
+        pos, before = F.col("i"), F.lit(0)
+        for k in sizes:  # the places of a size follow those of the sizes before
+            pos = F.when(F.col("i") >= before, F.col("i") - before).otherwise(pos)
+            before = before + F.greatest(n - k + 1, F.lit(0))
+        last = F.col("i") == before
+        cand = cand.withColumn("pos", pos)
+        return cand.where(F.when(F.col("win").isNull(), last).otherwise(~last & inside & same)).select(*hit)
+    found = worded.select("doc_id", "th", n.cast("long").alias("n_words"), F.lit(None).cast("int").alias("start"),
+        F.lit(None).cast("int").alias("stop"), F.lit(None).cast(probes.schema["items"].dataType).alias("items"))
     for k in sizes:
-        # the outer form of explode: for the inner one the optimizer derives a filter on the
-        # size of the array, and computes the array, words and all, a second time for it
-        hashed = worded.select("doc_id", "th", "words", _shingles(F.col("words"), F.size("words"), k).alias("hs"))
-        probe = probes.where(F.col("size") == k).drop("size")
-        start = F.col("pos") - F.col("at")
-        inside = (start >= 0) & (start + F.size("win") <= F.size("words"))
-        if small:
-            cand = hashed.select("doc_id", "th", "words", F.posexplode_outer("hs").alias("pos", "h")).join(F.broadcast(probe), "h")
-        else:
-            keys = hashed.select("doc_id", "th", F.posexplode_outer("hs").alias("pos", "h")).join(probe, "h").drop("h")
-            cand = keys.withColumnRenamed("doc_id", "d").withColumnRenamed("th", "t").join(
-                worded, F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("t") == F.col("th")))
-        same = F.slice("words", F.when(inside, start + 1).otherwise(F.lit(1)), F.size("win")) == F.col("win")
-        hit = cand.where(inside & same).select("doc_id", "th", start.alias("start"), (start + F.size("win")).alias("stop"), "items")
-        found = hit if found is None else found.unionByName(hit)
+        hashed = worded.select("doc_id", "th", _shingles(F.col("words"), n, k).alias("hs"))
+        keys = hashed.select("doc_id", "th", F.posexplode_outer("hs").alias("pos", "h")).join(
+            probes.where(F.col("size") == k).drop("size"), "h").drop("h")
+        cand = keys.withColumnRenamed("doc_id", "d").withColumnRenamed("th", "t").join(
+            worded, F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("t") == F.col("th")))
+        found = found.unionByName(cand.where(inside & same).select(*hit))
     return found
 
 
@@ -106,25 +122,21 @@ def contamination(
     rows = rows.withColumn("th", F.xxhash64("text"))
     probes = written(prefixes(written(windows(items, width, item_col, item_text_col), "windows"), shingle), "prefixes")
     found = matches(rows, probes, broadcast_rows)
-    base = rows.select("doc_id", "th", F.size(tokens(F.col("text"))).cast("long").alias("n_words"))
-    if found is None:
-        hits = base.select("doc_id", "th", F.lit(0).cast("long").alias("n_hit"), F.array().cast("array<string>").alias("ids")).limit(0)
-    else:
-        reach = F.aggregate(
-            F.array_sort("spans"),
-            F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("to")),
-            lambda a, s: F.struct(
-                (a["n"] + F.greatest(F.lit(0).cast("long"), s["stop"] - F.greatest(a["to"], s["start"].cast("long")))).alias("n"),
-                F.greatest(a["to"], s["stop"].cast("long")).alias("to")))
-        hits = found.groupBy("doc_id", "th").agg(
-            F.collect_set(F.struct("start", "stop")).alias("spans"), F.collect_set("items").alias("items"),
-        ).select("doc_id", "th", reach["n"].alias("n_hit"),
-                 F.array_sort(F.transform(F.array_distinct(F.flatten("items")), lambda x: x.cast("string"))).alias("ids"))
-    hits = hits.select(F.col("doc_id").alias("d"), F.col("th").alias("t"), "n_hit", "ids")
-    joined = base.join(hits, F.col("doc_id").eqNullSafe(F.col("d")) & F.col("th").eqNullSafe(F.col("t")), "left")
-    n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
-    ids = F.coalesce("ids", F.array().cast("array<string>"))
-    return joined.select(
-        "doc_id", "n_words", n_hit.alias("n_hit"), F.size(ids).cast("long").alias("n_items"),
+    reach = F.aggregate(
+        F.array_sort("spans"),
+        F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("to")),
+        lambda a, s: F.struct(
+            (a["n"] + F.greatest(F.lit(0).cast("long"), s["stop"] - F.greatest(a["to"], s["start"].cast("long")))).alias("n"),
+            F.greatest(a["to"], s["stop"].cast("long")).alias("to")))
+    # equal texts with one doc_id (or none) are one group until each has its row again
+    grouped = found.groupBy("doc_id", "th", "n_words").agg(
+        F.count(F.when(F.col("start").isNull(), 1)).alias("copies"),
+        F.collect_set(F.when(F.col("start").isNotNull(), F.struct("start", "stop"))).alias("spans"), F.collect_set("items").alias("items"),
+    ).select("doc_id", "n_words", "copies", reach["n"].alias("n_hit"),
+             F.array_sort(F.transform(F.array_distinct(F.flatten("items")), lambda x: x.cast("string"))).alias("ids"))
+    n_hit, ids = F.col("n_hit"), F.col("ids")
+    made = grouped.select(
+        "doc_id", "n_words", "n_hit", F.size(ids).cast("long").alias("n_items"),
         F.sha2(F.array_join(ids, ",").cast("binary"), 256).alias("items_sha256"),
-        ((n_hit > 0) & (n_hit * share >= F.col("n_words"))).alias("contaminated"))
+        ((n_hit > 0) & (n_hit * share >= F.col("n_words"))).alias("contaminated"), "copies")
+    return made.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).drop("copies", "copy")

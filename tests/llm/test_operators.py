@@ -68,6 +68,17 @@ def test_decontamination(spark, docs, empty):
     assert {r.n_hit for r in decontam.contamination(docs, bench.limit(0)).collect()} == {0}
 
 
+def test_decontamination_cuts_each_text_once(spark, docs):
+    """It did so for each size of shingle, and again to count words."""
+    bench = spark.createDataFrame([(1, PASSAGE), (2, "one"), (3, "Two words")], "item_id long, text string")
+    got = decontam.contamination(docs, bench)
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all(") == 1
+    many = spark.createDataFrame([(None, "one Two words")] * 1000 + [(7, None)] * 5, SCHEMA.removesuffix(", source string"))
+    for rows in (200_000, 0):
+        assert Counter((r.doc_id, r.n_words, r.n_hit, r.n_items) for r in decontam.contamination(many, bench, broadcast_rows=rows).collect()) == {
+            (None, 3, 3, 2): 1000, (7, 0, 0, 0): 5}
+
+
 def test_toxicity_learns_and_keeps_its_hands_off_held_out_labels(spark):
     bad = ["idiot", "worthless", "moron", "pathetic"]
     rows, labels = [], []
