@@ -129,7 +129,7 @@ def alerts(samples: DataFrame, rules: list[tuple] = ALERTS) -> DataFrame:
 
     alike: dict[tuple, list[int]] = {}
     for i, (_, _, how, span, *_) in enumerate(rules):
-        alike.setdefault((how, span) if how in ("rate", "changes") else ("max" if how == "value" else how, 0), []).append(i)
+        alike.setdefault((how, span if how in ("rate", "changes") else 0), []).append(i)
     full = F.to_json(F.map_from_entries(F.sort_array(F.map_entries("labels"))))
 
     def kept(by: tuple | None) -> Column:
@@ -151,6 +151,11 @@ def alerts(samples: DataFrame, rules: list[tuple] = ALERTS) -> DataFrame:
             got = changes(rows, key, "ts", "value", span).select(*key, "ts", F.col("changes").cast("double").alias("value"))
         elif how == "age":
             got = rows.select(*key, "ts", (F.col("ts") - F.col("value")).alias("value"))
+        elif how == "value":
+            # a series seldom has two samples of one time: these meet in the order that firing needs anyway
+            at = Window.partitionBy(*key).orderBy("ts")
+            got = rows.select(*key, "ts", F.max("value").over(at.rangeBetween(0, 0)).alias("value"), F.lead("ts").over(at).alias("_next"),
+                F.lead(F.lit(1)).over(at).alias("_more")).where("_more is null or not (ts <=> _next)").drop("_next", "_more")
         else:
             got = rows.groupBy(*key, "ts").agg({"max": F.max, "min": F.min}[how]("value").alias("value"))
         on = of_rule(own, lambda i: F.col("value") > rules[i][6] if rules[i][5] == ">" else F.col("value") == rules[i][6])

@@ -284,6 +284,17 @@ def test_alerts_read_no_sliding_frames(spark):
         ('{"i":"a"}', 2, False, False), ('{"i":"a"}', 4, True, False), ('{"i":"a"}', 14, True, True)]
 
 
+def test_samples_of_one_time_are_one_evaluation(spark):
+    rules = [("V", "m", "value", 0, None, ">", 1.0, 5), ("M", "m", "max", 0, ("i",), ">", 1.0, 5), ("L", "m", "min", 0, (), ">", 1.0, 5)]
+    rows = [("m", {"i": "a"}, t, v) for t, v in ((1, 2.0), (1, 0.0), (1, None), (6, 0.0), (6, 3.0), (9, None), (9, None), (12, 1.0), (None, 4.0), (None, 5.0))]
+    df = spark.createDataFrame(rows, "metric string, labels map<string,string>, ts long, value double")
+    got = {(r.alert, r.ts): (r.value, r.active) for r in metrics.alerts(df, rules).collect()}
+    high = {None: (5.0, True), 1: (2.0, True), 6: (3.0, True), 9: (None, False), 12: (1.0, False)}
+    low = high | {None: (4.0, True), 1: (0.0, False), 6: (0.0, False)}
+    assert got == {(n, t): v for n, want in (("V", high), ("M", high), ("L", low)) for t, v in want.items()}
+    assert metrics.alerts(df, rules).count() == len(got)
+
+
 def test_decode_feeds_tape_and_latency(spark):
     from quaymark.sources import wire
 
